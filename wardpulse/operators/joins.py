@@ -114,5 +114,5 @@ def pre_alert_window(alerts: DataFrame, scored: DataFrame,
         F.count(F.lit(1)).alias("readings"),
         F.min("heart_rate").alias("hr_min"),
         F.max("heart_rate").alias("hr_max"),
-        F.round(F.avg("respiration_rate"), 4).alias("rr_avg"),
+        F.avg("respiration_rate").alias("rr_avg"),
         F.max("news2_score").alias("score_max"))

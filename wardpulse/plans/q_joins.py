@@ -78,7 +78,7 @@ def alerts_with_vitals(spark, sf_dir):
 @register("pre_alert_window", sql("""
 SELECT a.patient_id, a.seq AS alert_seq, a.ts_ms AS alert_ms, a.new_tier,
        count(*) AS readings, min(s.heart_rate) AS hr_min, max(s.heart_rate) AS hr_max,
-       round(avg(s.respiration_rate), 4) AS rr_avg, max(s.news2_score) AS score_max
+       avg(s.respiration_rate) AS rr_avg, max(s.news2_score) AS score_max
 FROM alerts a JOIN scored s ON a.patient_id = s.patient_id
  AND s.ts_ms BETWEEN a.ts_ms - 600000 AND a.ts_ms AND s.seq <= a.seq
 GROUP BY ALL"""))
