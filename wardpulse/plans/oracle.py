@@ -55,7 +55,10 @@ PREFIX = f"""
 WITH env(sid, simulator_state, rr0, rrn, sp0, spn, o2_pct, t0, tn, bp0, bpn, hr0, hrn) AS (
   VALUES {_ENV}
 ),
-transition_dim(from_state, to_state, declared_p) AS (VALUES {_TRANS}),
+transition_dim AS (
+  SELECT from_state, to_state, CAST(p AS DOUBLE) AS declared_p
+  FROM (VALUES {_TRANS}) t(from_state, to_state, p)
+),
 typical_dim(simulator_state, lo, hi) AS (VALUES {_TYPICAL}),
 ev AS (
   SELECT event_id AS seq, user_id,
