@@ -17,13 +17,13 @@ from wardpulse.sources.fixtures import envelope_dim, transition_dim, typical_sco
 CONSCIOUSNESS_LEVELS = ["ALERT", "NEW_CONFUSION", "VOICE", "PAIN", "UNRESPONSIVE"]
 SILENCE_MS = 300_000          # R4/R5 threshold (parameter)
 
-# parameter -> (value expression, low, high) over the envelope columns
+# parameter -> (low column, count column, scale) over the envelope dimension
 _ENVELOPE_CHECKS = {
-    "respiration_rate": (F.col("respiration_rate"), "rr0", "rrn", 1.0),
-    "oxygen_saturation": (F.col("oxygen_saturation"), "sp0", "spn", 1.0),
-    "temperature": (F.col("temperature"), "t0", "tn", 10.0),
-    "systolic_bp": (F.col("systolic_bp"), "bp0", "bpn", 1.0),
-    "heart_rate": (F.col("heart_rate"), "hr0", "hrn", 1.0),
+    "respiration_rate": ("rr0", "rrn", 1.0),
+    "oxygen_saturation": ("sp0", "spn", 1.0),
+    "temperature": ("t0", "tn", 10.0),
+    "systolic_bp": ("bp0", "bpn", 1.0),
+    "heart_rate": ("hr0", "hrn", 1.0),
 }
 
 
@@ -33,7 +33,7 @@ def envelope_violations(readings: DataFrame) -> DataFrame:
     env = F.broadcast(envelope_dim(spark).drop("sid"))
     j = readings.join(env, "simulator_state", "left")
     flags = []
-    for name, (_, lo, n, scale) in _ENVELOPE_CHECKS.items():
+    for name, (lo, n, scale) in _ENVELOPE_CHECKS.items():
         v = F.col(name)
         low = F.col(lo) / F.lit(scale) if scale != 1.0 else F.col(lo)
         high = (F.col(lo) + F.col(n) - 1) / F.lit(scale) if scale != 1.0 else F.col(lo) + F.col(n) - 1
