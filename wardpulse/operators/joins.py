@@ -5,7 +5,8 @@ registry grows with the patient population, so it is never force-broadcast;
 AQE switches to a broadcast join at runtime only when the measured size is
 under ``spark.sql.autoBroadcastJoinThreshold``.  Range joins are rewritten
 as equi-joins on ``(patient_id, time bucket)`` so a heavy patient is spread
-over many join keys instead of one nested-loop group.
+over many join keys instead of one nested-loop group; the pre-alert window
+is a trailing frame rather than a join.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardpulse.operators.ordered import TIME_CHUNK_MS, with_ffill
+from wardpulse.operators.ordered import TIME_CHUNK_MS, with_ffill, with_frame, with_neighbour
 
 REGISTRY_COLUMNS = ["event_ms", "event_type", "ward", "unit", "suspected_infection",
                     "initial_state", "seq"]
@@ -92,27 +93,30 @@ def alerts_with_vitals(alerts: DataFrame, scored: DataFrame) -> DataFrame:
     return alerts.join(vit, ["patient_id", "seq"], "inner")
 
 
-def pre_alert_window(alerts: DataFrame, scored: DataFrame,
-                     window_ms: int = 600_000) -> DataFrame:
-    """Readings in the ``window_ms`` before (and including) each alert.
+def pre_alert_window(scored: DataFrame, window_ms: int = 600_000,
+                     bucket_width: int = 3_600_000) -> DataFrame:
+    """Vitals in the ``window_ms`` up to and including each alert.
 
-    Range join as a bucketed equi-join: each alert is sent to its own and the
-    previous ``window_ms`` bucket, each reading to its own; the range is then
-    a residual filter inside one small ``(patient, bucket)`` group.
+    Computed without a join: the tier-change flag comes from the chunked
+    ``lag`` pass, the window statistics from a trailing RANGE frame (halo
+    buckets), and only alert rows are kept.  Linear in the readings — no
+    (alert, reading) pairs are formed, however many alerts a patient has.
+    Readings at the alert's own millisecond are in the frame (RANGE peers).
     """
-    bucket = lambda c: F.floor(F.col(c) / F.lit(window_ms)).cast("long")
-    a = alerts.select(
+    base = scored.select("patient_id", "seq", "ts_ms", "news2_tier", "heart_rate",
+                         "respiration_rate", "news2_score")
+    flagged = with_neighbour(base, "patient_id", ["seq"], ["news2_tier"]).withColumn(
+        "_alert", F.col("prev_news2_tier").isNotNull()
+        & (F.col("prev_news2_tier") != F.col("news2_tier")))
+    aggs = {
+        "readings": lambda w: F.count(F.lit(1)).over(w),
+        "hr_min": lambda w: F.min("heart_rate").over(w),
+        "hr_max": lambda w: F.max("heart_rate").over(w),
+        "rr_avg": lambda w: F.avg("respiration_rate").over(w),
+        "score_max": lambda w: F.max("news2_score").over(w),
+    }
+    framed = with_frame(flagged, "patient_id", "ts_ms", -window_ms, 0, aggs,
+                        bucket_width=bucket_width)
+    return framed.filter("_alert").select(
         "patient_id", F.col("seq").alias("alert_seq"), F.col("ts_ms").alias("alert_ms"),
-        "new_tier",
-        F.explode(F.array(bucket("ts_ms") - 1, bucket("ts_ms"))).alias("_b"))
-    r = scored.select("patient_id", "seq", "ts_ms", "heart_rate", "respiration_rate",
-                      "news2_score", bucket("ts_ms").alias("_b"))
-    j = a.join(r, ["patient_id", "_b"]).filter(
-        (F.col("ts_ms") >= F.col("alert_ms") - F.lit(window_ms))
-        & (F.col("ts_ms") <= F.col("alert_ms")) & (F.col("seq") <= F.col("alert_seq")))
-    return j.groupBy("patient_id", "alert_seq", "alert_ms", "new_tier").agg(
-        F.count(F.lit(1)).alias("readings"),
-        F.min("heart_rate").alias("hr_min"),
-        F.max("heart_rate").alias("hr_max"),
-        F.avg("respiration_rate").alias("rr_avg"),
-        F.max("news2_score").alias("score_max"))
+        F.col("news2_tier").alias("new_tier"), *aggs.keys())

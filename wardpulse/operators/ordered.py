@@ -59,8 +59,8 @@ def with_neighbour(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
     w = Window.partitionBy(*keys, _CK).orderBy(*_order_cols(order))
     inner = (F.lag if direction == "prev" else F.lead)(packed).over(w)
     c2 = c.select("*", inner.alias("_wp_nb"))
-    # Chunk edges by aggregation: partial aggregation ships one row per
-    # (key, chunk) per map task, not the rows themselves.
+    # Chunk edges by aggregation over the pre-shuffle rows: partial
+    # aggregation ships one row per (key, chunk) and map task, not the rows.
     pick = F.max_by if direction == "prev" else F.min_by
     edges = c.groupBy(*keys, _CK).agg(pick(packed, order_key).alias("_wp_self"))
     wk = Window.partitionBy(*keys).orderBy(_CK)
@@ -85,7 +85,8 @@ def with_ffill(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     c2 = c.select("*", F.last(col, ignorenulls=True).over(w).alias("_wp_ff"))
     # last non-null value of each chunk (rows with a null value have a null
-    # ordering key, which max_by skips)
+    # ordering key, which max_by skips); partial aggregation runs map-side, so
+    # one row per (key, chunk) and map task crosses the shuffle
     tails = c.groupBy(*keys, _CK).agg(
         F.max_by(col, F.when(F.col(col).isNotNull(), order_key)).alias("_wp_ff"))
     wk = (Window.partitionBy(*keys).orderBy(_CK)

@@ -80,9 +80,8 @@ SELECT a.patient_id, a.seq AS alert_seq, a.ts_ms AS alert_ms, a.new_tier,
        count(*) AS readings, min(s.heart_rate) AS hr_min, max(s.heart_rate) AS hr_max,
        avg(s.respiration_rate) AS rr_avg, max(s.news2_score) AS score_max
 FROM alerts a JOIN scored s ON a.patient_id = s.patient_id
- AND s.ts_ms BETWEEN a.ts_ms - 600000 AND a.ts_ms AND s.seq <= a.seq
+ AND s.ts_ms BETWEEN a.ts_ms - 600000 AND a.ts_ms
 GROUP BY ALL"""))
 def pre_alert_window(spark, sf_dir):
-    """Vitals in the 10 minutes up to each alert (bucketed range join)."""
-    s = scored(spark, sf_dir)
-    return J.pre_alert_window(tier_change_alerts(s), s)
+    """Vitals in the 10 minutes up to each alert (trailing frame)."""
+    return J.pre_alert_window(scored(spark, sf_dir))
