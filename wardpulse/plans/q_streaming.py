@@ -13,12 +13,17 @@ from wardpulse.plans.registry import raw, register
 from wardpulse.session import scratch_path
 from wardpulse.sources import history as H
 from wardpulse.streaming.aggregates import run_aggregates
-from wardpulse.streaming.scoring import file_readings, run_scoring, write_replay
+from wardpulse.streaming.scoring import (
+    file_readings, read_live_board, run_live_board, run_scoring, write_replay)
 
+REPLAY_DUP_MOD = 50   # every 50th reading redelivered in the lake replay
 
-def _replayed(spark, sf_dir, name):
+
+def _replayed(spark, sf_dir, name, duplicates: bool = False):
     base = scratch_path(spark, name)
     r = raw(spark, sf_dir)
+    if duplicates:
+        r = r.unionByName(r.filter(F.col("seq") % REPLAY_DUP_MOD == 0))
     fpt = write_replay(r, f"{base}/replay")
     return file_readings(spark, f"{base}/replay", r.schema, fpt), base
 
@@ -37,8 +42,9 @@ def stream_raw_replay(spark, sf_dir):
 
 @register("stream_tier_change_alerts", sql("SELECT * FROM alerts"))
 def stream_tier_change_alerts(spark, sf_dir):
-    """Stateful alert stream over several micro-batches; equals T2."""
-    stream, base = _replayed(spark, sf_dir, "stream_alerts")
+    """T3 (+T6): stateful alert stream over several micro-batches, fed a
+    replay with redelivered readings; equals T2."""
+    stream, base = _replayed(spark, sf_dir, "stream_alerts", duplicates=True)
     paths = run_scoring(spark, stream, f"{base}/out")
     return spark.read.parquet(paths["alerts"]).select(
         "patient_id", "seq", "ts_ms", "previous_tier", "new_tier", "news2_score")
@@ -49,8 +55,10 @@ SELECT seq, ts_ms, patient_id, simulator_state, respiration_rate, oxygen_saturat
        supplemental_o2, temperature, systolic_bp, heart_rate, consciousness_level,
        news2_score, news2_tier FROM scored"""))
 def lake_write_readback(spark, sf_dir):
-    """K6: scored stream into the date-partitioned lake table, read back."""
-    stream, base = _replayed(spark, sf_dir, "stream_lake")
+    """K6 + T6 (stream): a replay with every 50th reading redelivered,
+    de-duplicated within the watermark, scored into the date-partitioned
+    lake table, read back."""
+    stream, base = _replayed(spark, sf_dir, "stream_lake", duplicates=True)
     paths = run_scoring(spark, stream, f"{base}/out")
     return spark.read.parquet(paths["lake"]).select(
         "seq", "ts_ms", *H.SCORED_ROW[1:])
@@ -66,3 +74,18 @@ def stream_agg_5min(spark, sf_dir):
     stream, base = _replayed(spark, sf_dir, "stream_windows")
     path = run_aggregates(spark, stream, f"{base}/out")
     return finish_stats(spark.read.parquet(path))
+
+
+_LIVE_COLS = ["seq", "ts_ms", "news2_score", "news2_tier", "respiration_rate",
+              "oxygen_saturation", "temperature", "systolic_bp", "heart_rate",
+              "consciousness_level"]
+
+
+@register("stream_live_snapshot", sql(
+    "SELECT patient_id, " + ", ".join(f"arg_max({c}, seq) AS {c}" for c in _LIVE_COLS)
+    + " FROM scored GROUP BY patient_id"))
+def stream_live_snapshot(spark, sf_dir):
+    """K7 (stream): live board kept by a streaming update-mode aggregate and
+    an upsert log; after the replay it equals the batch snapshot."""
+    stream, base = _replayed(spark, sf_dir, "stream_board")
+    return read_live_board(spark, run_live_board(spark, stream, f"{base}/out"))
