@@ -41,6 +41,16 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def prepare_streaming(spark: SparkSession) -> SparkSession:
+    """State store settings for the stateful streams (fixed per checkpoint at
+    its first run): RocksDB, with changelog checkpointing so a commit writes
+    the batch's changes instead of a full snapshot."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    return spark
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings the jobs rely on; safe to call on a caller's session.
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from wardpulse.functions.news2 import with_news2
 from wardpulse.schemas import ALERT, ALERT_AVSC, RAW_AVSC, TOPIC_RAW
-from wardpulse.session import ROCKSDB_PROVIDER
+from wardpulse.session import prepare_streaming
 from wardpulse.sources import frames as FR
 from wardpulse.sources import history as H
 
@@ -75,32 +76,46 @@ def kafka_readings(spark: SparkSession, brokers: str, topic: str = TOPIC_RAW,
     return ok, rejects
 
 
-class TierStep(StatefulProcessor):
-    """Per patient: previous tier in state; an alert when it exists and differs.
+def step_tiers(chunks: list[pd.DataFrame], prev: str | None
+               ) -> tuple[str, pd.DataFrame | None]:
+    """One patient's rows of one micro-batch -> (last tier, alerts or None).
 
-    All Arrow chunks of the key in this micro-batch are concatenated and
-    sorted by ``seq`` before stepping, so chunking and shuffle order do not
-    change the result.  The state is updated on every reading.
+    The chunks are concatenated and ordered by ``seq`` (stable), so Arrow
+    chunking and shuffle order do not change the result; numpy arrays keep
+    the per-patient cost small.
     """
+    pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+    seq = pdf["seq"].to_numpy()
+    order = np.argsort(seq, kind="stable")
+    tiers = pdf["news2_tier"].to_numpy(dtype=object)[order]
+    previous = np.empty(len(tiers), dtype=object)
+    previous[0] = prev
+    previous[1:] = tiers[:-1]
+    changed = (previous != tiers) & (previous != None)  # noqa: E711 (elementwise)
+    if not changed.any():
+        return tiers[-1], None
+    idx = order[changed]
+    return tiers[-1], pd.DataFrame({
+        "patient_id": pdf["patient_id"].to_numpy()[idx], "seq": seq[idx],
+        "ts_ms": pdf["ts_ms"].to_numpy()[idx], "previous_tier": previous[changed],
+        "new_tier": tiers[changed],
+        "news2_score": pdf["news2_score"].to_numpy()[idx].astype("int32")})
+
+
+class TierStep(StatefulProcessor):
+    """Per patient: previous tier in a RocksDB value state; an alert when it
+    exists and differs.  The state is updated on every reading."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._last = handle.getValueState("last_tier", STATE_SCHEMA)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues
                         ) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-        prev = self._last.get()[0] if self._last.exists() else None
-        tiers = pdf["news2_tier"].reset_index(drop=True)
-        previous = tiers.shift(1)
-        previous.iloc[0] = prev
-        self._last.update((tiers.iloc[-1],))
-        changed = previous.notna() & (previous != tiers)
-        out = pdf.reset_index(drop=True)[changed]
-        yield pd.DataFrame({
-            "patient_id": out["patient_id"], "seq": out["seq"], "ts_ms": out["ts_ms"],
-            "previous_tier": previous[changed], "new_tier": out["news2_tier"],
-            "news2_score": out["news2_score"].astype("int32"),
-        })
+        prev = self._last.get()
+        last, alerts = step_tiers(list(rows), prev[0] if prev is not None else None)
+        self._last.update((last,))
+        if alerts is not None:
+            yield alerts
 
     def close(self) -> None:
         pass
@@ -144,7 +159,7 @@ def run_scoring(spark: SparkSession, readings: DataFrame, out_dir: str,
     ``dedup`` both queries drop redelivered messages first (T6), so a late
     duplicate of an old reading can neither repeat a row nor step the state.
     """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    prepare_streaming(spark)
     scored = with_news2(dedup_stream(readings) if dedup else readings)
     lake_rows = scored
     paths = {"lake": f"{out_dir}/lake", "alerts": f"{out_dir}/alerts",
@@ -183,7 +198,7 @@ def run_live_board(spark: SparkSession, readings: DataFrame, out_dir: str,
     """K7 (stream): latest reading per patient as a streaming ``max_by``
     aggregate in update mode; each batch's changed patients are appended to
     an upsert log that ``read_live_board`` compacts (latest batch wins)."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    prepare_streaming(spark)
     latest = with_news2(readings).groupBy("patient_id").agg(
         F.max_by(F.struct(*SNAPSHOT_COLUMNS), F.col("seq")).alias("r"))
     rows = latest.select("patient_id", *[F.col("r")[c].alias(c) for c in SNAPSHOT_COLUMNS])
