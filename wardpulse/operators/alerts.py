@@ -69,6 +69,16 @@ def dedup_alerts(alerts: DataFrame) -> DataFrame:
     return alerts.dropDuplicates(["patient_id", "seq", "new_tier"])
 
 
+def redeliver(df: DataFrame, every: int, key: str = "seq") -> DataFrame:
+    """Fixture for T5/T6: rows with ``key % every == 0`` delivered twice.
+
+    One pass (``explode`` of a one- or two-element array) instead of a union
+    with a filtered copy, which would compute ``df`` twice."""
+    copies = F.when(F.col(key) % every == 0, F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(0)))
+    return df.select("*", F.explode(copies).alias("_copy")).drop("_copy")
+
+
 def dedup_readings(readings: DataFrame) -> DataFrame:
     """T6 (batch): one row per arrival position ``seq`` after a replay.
 

@@ -46,9 +46,7 @@ SELECT DISTINCT * FROM (
   SELECT * FROM alerts WHERE seq % {ALERT_REPLAY_MOD} = 0)"""))
 def dedup_alerts(spark, sf_dir):
     """T5: alert stream with every 5th alert re-delivered, de-duplicated."""
-    a = alerts_of(spark, sf_dir)
-    replayed = a.unionByName(a.filter(F.col("seq") % ALERT_REPLAY_MOD == 0))
-    return A.dedup_alerts(replayed)
+    return A.dedup_alerts(A.redeliver(alerts_of(spark, sf_dir), ALERT_REPLAY_MOD))
 
 
 @register("dedup_readings", sql(f"""
@@ -58,8 +56,7 @@ SELECT DISTINCT seq, patient_id, ts_ms, news2_score, news2_tier FROM (
 def dedup_readings(spark, sf_dir):
     """Replayed readings (every 50th twice) reduced to one per ``seq``."""
     from wardpulse.functions.news2 import with_news2
-    r = raw(spark, sf_dir)
-    replayed = r.unionByName(r.filter(F.col("seq") % READING_REPLAY_MOD == 0))
+    replayed = A.redeliver(raw(spark, sf_dir), READING_REPLAY_MOD)
     return with_news2(A.dedup_readings(replayed)).select(
         "seq", "patient_id", "ts_ms", "news2_score", "news2_tier")
 

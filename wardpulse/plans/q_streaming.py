@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wardpulse.operators.alerts import redeliver
 from wardpulse.operators.windows import finish_stats
 from wardpulse.plans.oracle import sql
 from wardpulse.plans.q_windows import _stats_sql
@@ -23,7 +24,7 @@ def _replayed(spark, sf_dir, name, duplicates: bool = False):
     base = scratch_path(spark, name)
     r = raw(spark, sf_dir)
     if duplicates:
-        r = r.unionByName(r.filter(F.col("seq") % REPLAY_DUP_MOD == 0))
+        r = redeliver(r, REPLAY_DUP_MOD)
     fpt = write_replay(r, f"{base}/replay")
     return file_readings(spark, f"{base}/replay", r.schema, fpt), base
 
