@@ -41,35 +41,41 @@ def readings_with_ward(readings: DataFrame, admin: DataFrame) -> DataFrame:
             .withColumn("ward", F.coalesce("ward", F.lit("unknown"))))
 
 
+ASOF_FIELDS = ["event_ms", "admin_seq", "event_type", "ward", "unit", "suspected_infection"]
+
+
 def asof_registry(readings: DataFrame, admin: DataFrame,
-                  chunk_width: int = TIME_CHUNK_MS) -> DataFrame:
+                  chunk_width: int = TIME_CHUNK_MS, keep_unmatched: bool = False
+                  ) -> DataFrame:
     """Registry row in force at each reading's time (as-of join).
 
     Readings and registry events are unioned per patient and ordered by
     ``(time, kind, seq)`` with events first at equal times; the last event
     seen is forward-filled onto each reading.  Ordered scans run per
     ``(patient, day)`` chunk with a carried state, so no patient is one task
-    and no reading is compared with more than its own predecessor.  Readings
-    before the first event have no match and are dropped (inner semantics).
+    and no reading is compared with more than its own predecessor.  All
+    reading columns ride along, so no join back to the readings is needed.
+    Readings before the patient's first event are dropped unless
+    ``keep_unmatched`` (then their registry fields are NULL).
     """
+    cols = readings.columns
+    ev_struct = F.struct(F.col("event_ms"), F.col("seq").alias("admin_seq"), "event_type",
+                         "ward", "unit", "suspected_infection")
     ev = admin.select(
-        "patient_id", F.col("event_ms").alias("_t"), F.lit(0).alias("_kind"),
-        F.col("seq").alias("_s"),
-        F.struct(F.col("event_ms"), F.col("seq").alias("admin_seq"), "event_type",
-                 "ward", "unit", "suspected_infection").alias("_ev"),
-        F.lit(None).cast(readings.schema["seq"].dataType).alias("seq"),
-        F.lit(None).cast("long").alias("ts_ms"))
+        F.col("patient_id").alias("_pid"), F.col("event_ms").alias("_t"),
+        F.lit(0).alias("_kind"), F.col("seq").alias("_s"), ev_struct.alias("_ev"),
+        *[F.lit(None).cast(readings.schema[c].dataType).alias(c) for c in cols])
     rd = readings.select(
-        "patient_id", F.col("ts_ms").alias("_t"), F.lit(1).alias("_kind"),
+        F.col("patient_id").alias("_pid"), F.col("ts_ms").alias("_t"), F.lit(1).alias("_kind"),
         F.col("seq").alias("_s"), F.lit(None).cast(ev.schema["_ev"].dataType).alias("_ev"),
-        "seq", "ts_ms")
-    filled = with_ffill(ev.unionByName(rd), "patient_id", ["_t", "_kind", "_s"], "_ev",
+        *cols)
+    filled = with_ffill(ev.unionByName(rd), "_pid", ["_t", "_kind", "_s"], "_ev",
                         "_in_force", chunk_width=chunk_width)
-    return (filled.filter((F.col("_kind") == 1) & F.col("_in_force").isNotNull())
-            .select("patient_id", "seq", "ts_ms",
-                    *[F.col("_in_force")[c].alias(c) for c in
-                      ["event_ms", "admin_seq", "event_type", "ward", "unit",
-                       "suspected_infection"]]))
+    keep = F.col("_kind") == 1
+    if not keep_unmatched:
+        keep = keep & F.col("_in_force").isNotNull()
+    return filled.filter(keep).select(*cols, *[F.col("_in_force")[c].alias(c)
+                                               for c in ASOF_FIELDS])
 
 
 def unregistered_patients(readings: DataFrame, admin: DataFrame) -> DataFrame:

@@ -16,20 +16,16 @@ HOUR_MS = 3_600_000
 def readings_in_ward(scored: DataFrame, admin: DataFrame) -> DataFrame:
     """Each reading with the ward in force at its time (J3), ``unknown`` when
     the patient had no registry event yet; plus alert flag and dwell time.
-
-    The as-of result carries only keys and the ward; it is joined back on the
-    reading identity ``(patient_id, seq)``, which has no hot key.
-    """
+    Three ordered passes (as-of fill, previous tier, next reading time), each
+    chunked per patient; no join back to the readings."""
     base = scored.select("patient_id", "seq", "ts_ms", "news2_score", "news2_tier")
-    wards = asof_registry(base.select("patient_id", "seq", "ts_ms"), admin).select(
-        "patient_id", "seq", "ward")
-    prev = with_neighbour(base, "patient_id", ["seq"], ["news2_tier"],
+    placed = asof_registry(base, admin, keep_unmatched=True).select(*base.columns, "ward")
+    prev = with_neighbour(placed, "patient_id", ["seq"], ["news2_tier"],
                           chunk_width=SEQ_CHUNK)
     flagged = prev.withColumn(
         "is_alert", F.col("prev_news2_tier").isNotNull()
         & (F.col("prev_news2_tier") != F.col("news2_tier")))
-    dwell = with_dwell(flagged)
-    return (dwell.join(wards, ["patient_id", "seq"], "left")
+    return (with_dwell(flagged)
             .withColumn("ward", F.coalesce("ward", F.lit("unknown")))
             .withColumn("day_num", F.floor(F.col("ts_ms") / DAY_MS).cast("long")))
 

@@ -49,7 +49,8 @@ SELECT r.patient_id, r.seq, r.ts_ms, a.event_ms, a.seq AS admin_seq, a.event_typ
 FROM raw r ASOF JOIN admin a ON r.patient_id = a.patient_id AND r.ts_ms >= a.event_ms"""))
 def readings_asof_ward(spark, sf_dir):
     """Registry row in force at each reading's event time."""
-    return J.asof_registry(raw(spark, sf_dir), admin(spark, sf_dir))
+    r = raw(spark, sf_dir).select("patient_id", "seq", "ts_ms")
+    return J.asof_registry(r, admin(spark, sf_dir))
 
 
 @register("unregistered_patients", sql("""
