@@ -14,8 +14,11 @@ from wardpulse.plans.registry import raw, register
 from wardpulse.session import scratch_path
 from wardpulse.sources import history as H
 from wardpulse.streaming.aggregates import run_aggregates
+from wardpulse.functions.news2 import with_news2
+from wardpulse.schemas import ALERT
 from wardpulse.streaming.scoring import (
-    file_readings, read_live_board, run_live_board, run_scoring, write_replay)
+    REPLAY_FILES, alerts_with_vitals_stream, file_readings, read_live_board, run_live_board, run_scoring,
+    write_replay)
 
 REPLAY_DUP_MOD = 50   # every 50th reading redelivered in the lake replay
 
@@ -90,3 +93,22 @@ def stream_live_snapshot(spark, sf_dir):
     an upsert log; after the replay it equals the batch snapshot."""
     stream, base = _replayed(spark, sf_dir, "stream_board")
     return read_live_board(spark, run_live_board(spark, stream, f"{base}/out"))
+
+
+@register("stream_alerts_with_vitals", sql("""
+SELECT a.*, s.respiration_rate, s.oxygen_saturation, s.supplemental_o2, s.temperature,
+       s.systolic_bp, s.heart_rate, s.consciousness_level
+FROM alerts a JOIN scored s ON a.patient_id = s.patient_id AND a.seq = s.seq"""))
+def stream_alerts_with_vitals(spark, sf_dir):
+    """J1 (stream): the alert topic joined to the scored topic with
+    watermarks and an event-time bound; equals the batch J1."""
+    stream, base = _replayed(spark, sf_dir, "stream_j1")
+    paths = run_scoring(spark, stream, f"{base}/out")
+    r = raw(spark, sf_dir)
+    readings = with_news2(file_readings(spark, f"{base}/replay", r.schema, REPLAY_FILES))
+    alerts = spark.readStream.schema(ALERT).parquet(f"{paths['alerts']}/*")
+    q = (alerts_with_vitals_stream(alerts, readings).writeStream.format("parquet")
+         .option("checkpointLocation", f"{base}/_ck_j1").trigger(availableNow=True)
+         .start(f"{base}/j1"))
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/j1")

@@ -34,7 +34,11 @@ STATE_SCHEMA = T.StructType([T.StructField("tier", T.StringType())])
 STEP_COLUMNS = ["patient_id", "seq", "ts_ms", "news2_tier", "news2_score"]
 
 
-def write_replay(raw: DataFrame, path: str, parts: int = 4, files_per_part: int = 4) -> int:
+REPLAY_PARTS, REPLAY_FILES = 4, 4
+
+
+def write_replay(raw: DataFrame, path: str, parts: int = REPLAY_PARTS,
+                 files_per_part: int = REPLAY_FILES) -> int:
     """Replay fixture: ``raw`` split into ``parts`` consecutive ``seq`` ranges,
     appended one after another so each range's files are newer than the
     previous range's; each append writes exactly ``files_per_part`` files, so
@@ -219,3 +223,26 @@ def read_live_board(spark: SparkSession, path: str) -> DataFrame:
     best = log.groupBy("patient_id").agg(
         F.max_by(F.struct(*SNAPSHOT_COLUMNS), F.col("batch_id")).alias("r"))
     return best.select("patient_id", *[F.col("r")[c].alias(c) for c in SNAPSHOT_COLUMNS])
+
+
+def alerts_with_vitals_stream(alerts: DataFrame, scored: DataFrame,
+                              delay: str = "10 minutes", bound_ms: int = 60_000
+                              ) -> DataFrame:
+    """J1 (stream): alert stream ⋈ scored-reading stream on the reading's
+    identity, with watermarks on both sides and an event-time bound so the
+    join state is purged once the watermark passes ``bound_ms``."""
+    a = (alerts.withColumn("a_time", F.timestamp_millis("ts_ms"))
+         .withWatermark("a_time", delay).alias("a"))
+    s = (scored.select("patient_id", "seq", "timestamp", "respiration_rate",
+                       "oxygen_saturation", "supplemental_o2", "temperature",
+                       "systolic_bp", "heart_rate", "consciousness_level")
+         .withWatermark("timestamp", delay).alias("s"))
+    cond = ((F.col("a.patient_id") == F.col("s.patient_id"))
+            & (F.col("a.seq") == F.col("s.seq"))
+            & F.col("s.timestamp").between(
+                F.col("a.a_time") - F.expr(f"INTERVAL {bound_ms} MILLISECONDS"),
+                F.col("a.a_time") + F.expr(f"INTERVAL {bound_ms} MILLISECONDS")))
+    return a.join(s, cond, "inner").select(
+        "a.patient_id", "a.seq", "a.ts_ms", "a.previous_tier", "a.new_tier",
+        "a.news2_score", "s.respiration_rate", "s.oxygen_saturation", "s.supplemental_o2",
+        "s.temperature", "s.systolic_bp", "s.heart_rate", "s.consciousness_level")
