@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from wardpulse.operators import alerts as A
 from wardpulse.plans.oracle import sql

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from wardpulse.operators import joins as J
 from wardpulse.operators.alerts import tier_change_alerts

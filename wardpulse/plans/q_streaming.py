@@ -4,7 +4,6 @@ and checkpoints under a fresh folder of the shared directory."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from wardpulse.operators.alerts import redeliver
 from wardpulse.operators.windows import finish_stats
