@@ -51,8 +51,9 @@ def escalation_band(total: str = "news2_score", extreme: str = "any_extreme") ->
 
 def escalation_dim(spark: SparkSession) -> DataFrame:
     """Five-row band -> risk/response dimension (fixed size: broadcastable)."""
-    return spark.createDataFrame(ESCALATION, "escalation_band string, risk string, "
-                                             "required_response string")
+    from wardpulse.sources.tables import inline_table
+    return inline_table(spark, ESCALATION, [("escalation_band", "string"), ("risk", "string"),
+                                            ("required_response", "string")])
 
 
 def sepsis_criteria_count() -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardpulse.sources.tables import read_table
+from wardpulse.sources.tables import inline_table, read_table
 
 EPOCH_2024_US = 1704067200000000   # 2024-01-01T00:00:00Z in microseconds
 EPOCH_2024_MS = EPOCH_2024_US // 1000
@@ -166,19 +166,21 @@ def admin_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def envelope_dim(spark: SparkSession) -> DataFrame:
     """Six-row state-envelope dimension (fixed size: safe to broadcast)."""
-    cols = ["sid", "simulator_state", "rr0", "rrn", "sp0", "spn", "o2_pct",
-            "t0", "tn", "bp0", "bpn", "hr0", "hrn"]
-    return spark.createDataFrame(ENVELOPE, cols).withColumn("sid", F.col("sid").cast("int"))
+    cols = [("sid", "int"), ("simulator_state", "string")] + [
+        (c, "bigint") for c in ["rr0", "rrn", "sp0", "spn", "o2_pct", "t0", "tn", "bp0",
+                                "bpn", "hr0", "hrn"]]
+    return inline_table(spark, ENVELOPE, cols)
 
 
 def transition_dim(spark: SparkSession) -> DataFrame:
     """36-row declared transition matrix (fixed size: safe to broadcast)."""
     rows = [(STATES[i], STATES[j], float(TRANSITIONS[i][j]))
             for i in range(6) for j in range(6)]
-    return spark.createDataFrame(
-        rows, "from_state string, to_state string, declared_p double")
+    return inline_table(spark, rows, [("from_state", "string"), ("to_state", "string"),
+                                      ("declared_p", "double")])
 
 
 def typical_score_dim(spark: SparkSession) -> DataFrame:
     rows = [(s, lo, hi) for s, (lo, hi) in TYPICAL_SCORE.items()]
-    return spark.createDataFrame(rows, "simulator_state string, lo int, hi int")
+    return inline_table(spark, rows, [("simulator_state", "string"), ("lo", "int"),
+                                      ("hi", "int")])
