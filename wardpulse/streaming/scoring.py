@@ -246,3 +246,35 @@ def alerts_with_vitals_stream(alerts: DataFrame, scored: DataFrame,
         "a.patient_id", "a.seq", "a.ts_ms", "a.previous_tier", "a.new_tier",
         "a.news2_score", "s.respiration_rate", "s.oxygen_saturation", "s.supplemental_o2",
         "s.temperature", "s.systolic_bp", "s.heart_rate", "s.consciousness_level")
+
+
+def kafka_topic_sink(records: DataFrame, avsc: str, brokers: str, topic: str,
+                     checkpoint: str, schema_id: int = FR.EXPECTED_SCHEMA_ID):
+    """K3/K4: frame records (key = patient id) and write them to a topic.
+
+    Needs the Kafka connector on the classpath (not present in this build
+    environment, so only the encoder half is exercised by the tests)."""
+    framed = FR.encode_frames(records, avsc, schema_id=schema_id)
+    return (framed.select("key", "value").writeStream.format("kafka")
+            .option("kafka.bootstrap.servers", brokers).option("topic", topic)
+            .option("checkpointLocation", checkpoint).start())
+
+
+def run_scoring_kafka(spark: SparkSession, brokers: str, out_dir: str,
+                      max_offsets: int | None = None) -> dict:
+    """The deployed shape: raw topic -> scoring -> lake + alert table, alerts
+    and scored records to their topics, rejects to their own table."""
+    from wardpulse.schemas import SCORED_AVSC, TOPIC_ALERTS, TOPIC_SCORED
+    readings, rejects = kafka_readings(spark, brokers, max_offsets=max_offsets)
+    paths = run_scoring(spark, readings, out_dir, available_now=False)
+    scored = with_news2(readings)
+    queries = {
+        "scored_topic": kafka_topic_sink(scored, SCORED_AVSC, brokers, TOPIC_SCORED,
+                                         f"{out_dir}/_ck_scored_topic"),
+        "alert_topic": kafka_topic_sink(alert_stream(scored), ALERT_AVSC, brokers,
+                                        TOPIC_ALERTS, f"{out_dir}/_ck_alert_topic"),
+        "rejects": (rejects.writeStream.format("parquet")
+                    .option("checkpointLocation", f"{out_dir}/_ck_rejects")
+                    .start(f"{out_dir}/rejects")),
+    }
+    return {"paths": paths, "queries": queries}
