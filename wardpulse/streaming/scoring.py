@@ -134,14 +134,20 @@ def alert_stream(scored_stream: DataFrame) -> DataFrame:
                                         outputMode="Append", timeMode="None"))
 
 
-def _alert_sink(table_path: str, frames_path: str | None):
+def _alert_sink(table_path: str, frames_path: str | None,
+                topic: tuple[str, str] | None = None):
     def sink(batch: DataFrame, batch_id: int) -> None:
         # Overwrite by batch id: a replayed micro-batch rewrites the same folder.
         batch = batch.persist()
         H.to_alert_row(batch).write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
-        if frames_path:
-            FR.encode_frames(batch, ALERT_AVSC).write.mode("overwrite").parquet(
-                f"{frames_path}/batch={batch_id}")
+        if frames_path or topic:
+            frames = FR.encode_frames(batch, ALERT_AVSC)
+            if frames_path:
+                frames.write.mode("overwrite").parquet(f"{frames_path}/batch={batch_id}")
+            if topic:   # K3: at-least-once, like any Kafka producer on retry
+                (frames.select("key", "value").write.format("kafka")
+                 .option("kafka.bootstrap.servers", topic[0]).option("topic", topic[1])
+                 .save())
         batch.unpersist()
     return sink
 
@@ -154,7 +160,8 @@ def dedup_stream(readings: DataFrame, delay: str = "10 minutes") -> DataFrame:
 
 
 def run_scoring(spark: SparkSession, readings: DataFrame, out_dir: str,
-                available_now: bool = True, dedup: bool = True) -> dict[str, str]:
+                available_now: bool = True, dedup: bool = True,
+                alert_topic: tuple[str, str] | None = None) -> dict[str, str]:
     """Score a readings stream; write the lake table and the alert outputs.
 
     Two queries share the source: a stateless one (scored rows -> parquet
@@ -172,7 +179,7 @@ def run_scoring(spark: SparkSession, readings: DataFrame, out_dir: str,
               .option("checkpointLocation", f"{out_dir}/_ck_lake")
               .partitionBy("date"))
     alert_q = (alert_stream(scored).writeStream
-               .foreachBatch(_alert_sink(paths["alerts"], paths["alert_frames"]))
+               .foreachBatch(_alert_sink(paths["alerts"], paths["alert_frames"], alert_topic))
                .option("checkpointLocation", f"{out_dir}/_ck_alerts"))
     if available_now:
         lake_q, alert_q = (lake_q.trigger(availableNow=True),
@@ -266,13 +273,11 @@ def run_scoring_kafka(spark: SparkSession, brokers: str, out_dir: str,
     and scored records to their topics, rejects to their own table."""
     from wardpulse.schemas import SCORED_AVSC, TOPIC_ALERTS, TOPIC_SCORED
     readings, rejects = kafka_readings(spark, brokers, max_offsets=max_offsets)
-    paths = run_scoring(spark, readings, out_dir, available_now=False)
-    scored = with_news2(readings)
+    paths = run_scoring(spark, readings, out_dir, available_now=False,
+                        alert_topic=(brokers, TOPIC_ALERTS))
     queries = {
-        "scored_topic": kafka_topic_sink(scored, SCORED_AVSC, brokers, TOPIC_SCORED,
-                                         f"{out_dir}/_ck_scored_topic"),
-        "alert_topic": kafka_topic_sink(alert_stream(scored), ALERT_AVSC, brokers,
-                                        TOPIC_ALERTS, f"{out_dir}/_ck_alert_topic"),
+        "scored_topic": kafka_topic_sink(with_news2(readings), SCORED_AVSC, brokers,
+                                         TOPIC_SCORED, f"{out_dir}/_ck_scored_topic"),
         "rejects": (rejects.writeStream.format("parquet")
                     .option("checkpointLocation", f"{out_dir}/_ck_rejects")
                     .start(f"{out_dir}/rejects")),
