@@ -75,3 +75,56 @@ def test_fault_routing(spark):
     reasons = {r.seq: r.reason for r in rejects.collect()}
     assert reasons == {1: "short_frame", 2: "short_frame", 3: "bad_magic",
                        4: "decode_error", 6: "bad_timestamp"}
+
+
+def test_batch_codec_equals_row_codec():
+    """The numpy batch codec gives the row codec's bytes and decisions on
+    random records, truncations, garbage, extreme values and nulls."""
+    import math
+    import random
+
+    import pyarrow as pa
+
+    from wardpulse.functions.avro import _ARROW, decode_batch, encode_batch
+
+    fields = parse_schema(RAW_AVSC)
+    rng = random.Random(7)
+
+    def rec():
+        return [rng.choice(["p1", "", "pé", "x" * 200]),
+                rng.choice([0, 1, -1, 1_700_000_000_000, (1 << 63) - 1, -(1 << 63)]),
+                rng.choice(["STABLE", "é"]), rng.randint(-2**31, 2**31 - 1),
+                rng.randint(0, 300), rng.random() < .5,
+                rng.choice([37.25, -0.0, float("inf"), 1e300, float("nan")]),
+                rng.randint(-5, 300), 70, "ALERT"]
+
+    rows = [rec() for _ in range(2000)]
+    rows[5][3] = None
+    cols = [pa.array([r[i] for r in rows], type=_ARROW[k]) for i, (_, k) in enumerate(fields)]
+    ref = [None if any(v is None for v in r) else frame(1, encode_body(fields, r)) for r in rows]
+    assert encode_batch(fields, cols, 1).to_pylist() == ref
+    bodies = []
+    for f in ref:
+        if f is None:
+            bodies.append(None)
+            continue
+        b, c = f[5:], rng.random()
+        if c < 0.2:
+            b = b[:rng.randint(0, len(b))]
+        elif c < 0.25:
+            b = bytes(rng.getrandbits(8) for _ in range(rng.randint(0, 30)))
+        bodies.append(b)
+    arrs, errs = decode_batch(fields, pa.array(bodies, pa.binary()))
+    for i, b in enumerate(bodies):
+        got = [a[i].as_py() for a in arrs]
+        if b is None:
+            assert all(g is None for g in got) and errs[i].as_py() is None
+            continue
+        try:
+            exp = decode_body(fields, b)
+        except AvroDecodeError:
+            assert errs[i].as_py() is not None and all(g is None for g in got)
+            continue
+        assert errs[i].as_py() is None
+        for x, y in zip(got, exp):
+            assert x == y or (isinstance(x, float) and math.isnan(x) and math.isnan(y))

@@ -2,9 +2,9 @@
 
 Wire format: ``0x00 ‖ schema id (4 bytes, big-endian) ‖ Avro body``.  Frame
 split, header parsing and reject routing are native column expressions; only
-the Avro body codec runs in Python, one Arrow batch at a time
-(``mapInArrow``), because spark-avro is not on the classpath here.  The
-decoder never raises: bad frames become reject rows with a reason.
+the Avro body codec runs in Python, vectorised with numpy over one Arrow
+batch at a time (``mapInArrow``), because spark-avro is not on the classpath
+here.  The decoder never raises: bad frames become reject rows with a reason.
 """
 
 from __future__ import annotations
@@ -14,8 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardpulse.functions.avro import (
-    AvroDecodeError, decode_body, encode_body, frame, parse_schema)
+from wardpulse.functions.avro import decode_batch, encode_batch, parse_schema
 
 EXPECTED_SCHEMA_ID = 1
 MIN_TS_MS, MAX_TS_MS = -62135596800000, 253402300799999
@@ -35,8 +34,6 @@ OTHER_SCHEMA_ID = 7
 
 _SPARK_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(),
                 "double": T.DoubleType(), "boolean": T.BooleanType()}
-_ARROW_TYPES = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(),
-                "double": pa.float64(), "boolean": pa.bool_()}
 
 
 def _column_for(field: str) -> str:
@@ -58,19 +55,10 @@ def encode_frames(df: DataFrame, avsc: str, schema_id: int = EXPECTED_SCHEMA_ID,
 
     def run(batches):
         for b in batches:
-            cols = [b.column(c).to_pylist() for c in src]
-            values = []
-            for row in zip(*cols):
-                try:
-                    values.append(frame(schema_id, encode_body(fields, row)))
-                except (ValueError, TypeError, OverflowError):
-                    values.append(None)
-            keys = [None if k is None else k.encode("utf-8")
-                    for k in b.column(key_col).to_pylist()]
+            values = encode_batch(fields, [b.column(c) for c in src], schema_id)
+            keys = b.column(key_col).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [b.column(k) for k in keep]
-                + [pa.array(keys, pa.binary()), pa.array(values, pa.binary())],
-                names=keep + ["key", "value"])
+                [b.column(k) for k in keep] + [keys, values], names=keep + ["key", "value"])
 
     schema = T.StructType([prepared.schema[k] for k in keep]
                           + [T.StructField("key", T.BinaryType()),
@@ -108,28 +96,13 @@ def decode_frames(frames: DataFrame, avsc: str, keep: list[str] | None = None) -
     keep = list(keep or ["seq"])
     split = split_frames(frames).select(*keep, "split_status", "schema_id", "body")
     names = [_column_for(n) for n, _ in fields]
-    arrow_types = [_ARROW_TYPES[k] for _, k in fields]
 
     def run(batches):
         for b in batches:
-            bodies = b.column("body").to_pylist()
-            out = [[] for _ in fields]
-            errors = []
-            for body in bodies:
-                vals, err = None, None
-                if body is not None:
-                    try:
-                        vals = decode_body(fields, body)
-                    except AvroDecodeError as e:
-                        err = str(e)
-                for i in range(len(fields)):
-                    out[i].append(vals[i] if vals is not None else None)
-                errors.append(err)
+            decoded, errors = decode_batch(fields, b.column("body"))
             yield pa.RecordBatch.from_arrays(
                 [b.column(k) for k in keep]
-                + [b.column("split_status"), b.column("schema_id")]
-                + [pa.array(col, t) for col, t in zip(out, arrow_types)]
-                + [pa.array(errors, pa.string())],
+                + [b.column("split_status"), b.column("schema_id")] + decoded + [errors],
                 names=keep + ["split_status", "schema_id"] + names + ["decode_error"])
 
     schema = T.StructType(
