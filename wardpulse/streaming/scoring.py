@@ -159,6 +159,15 @@ def dedup_stream(readings: DataFrame, delay: str = "10 minutes") -> DataFrame:
             .dropDuplicatesWithinWatermark(["seq"]))
 
 
+def dedup_alert_stream(alerts: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """T5 (stream): drop re-delivered alerts, key = (patient, arrival, new
+    tier), e.g. when an alert topic is replayed into a downstream job."""
+    return (alerts.withColumn("alert_time", F.timestamp_millis("ts_ms"))
+            .withWatermark("alert_time", delay)
+            .dropDuplicatesWithinWatermark(["patient_id", "seq", "new_tier"])
+            .drop("alert_time"))
+
+
 def run_scoring(spark: SparkSession, readings: DataFrame, out_dir: str,
                 available_now: bool = True, dedup: bool = True,
                 alert_topic: tuple[str, str] | None = None) -> dict[str, str]:
