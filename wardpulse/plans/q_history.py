@@ -11,7 +11,7 @@ from wardpulse.session import scratch_path
 from wardpulse.sources import history as H
 
 DAY0_MS = 1704067200000            # 2024-01-01T00:00Z: the fixture's first day
-HISTORY_PATIENT, HISTORY_N = "7", 20
+HISTORY_N = 20
 
 _SCORED_OUT = ["seq", "ts_ms"] + H.SCORED_ROW[1:]
 
@@ -55,11 +55,15 @@ def scored_scan(spark, sf_dir):
 
 
 @register("patient_history", sql(f"""
-SELECT seq, ts_ms, patient_id, news2_score, news2_tier FROM scored
-WHERE patient_id = '{HISTORY_PATIENT}' AND ts_ms >= {DAY0_MS} AND ts_ms < {DAY0_MS + H.DAY_MS}
-ORDER BY ts_ms DESC, seq DESC LIMIT {HISTORY_N}"""))
+SELECT seq, ts_ms, patient_id, news2_score, news2_tier,
+       CAST(row_number() OVER (PARTITION BY patient_id ORDER BY ts_ms DESC, seq DESC)
+            AS INTEGER) AS recency
+FROM scored WHERE ts_ms >= {DAY0_MS} AND ts_ms < {DAY0_MS + H.DAY_MS}
+QUALIFY recency <= {HISTORY_N}"""))
 def patient_history(spark, sf_dir):
-    """Newest-first history of one patient over a time range."""
-    h = H.patient_history(_written_scored(spark, sf_dir), HISTORY_PATIENT, DAY0_MS,
-                          DAY0_MS + H.DAY_MS, HISTORY_N)
-    return h.select("seq", "ts_ms", "patient_id", "news2_score", "news2_tier")
+    """Newest-first history per patient over a time range (the newest
+    20 readings of every patient; ``sources.history.patient_history`` is the
+    single-patient access path)."""
+    h = H.newest_per_patient(_written_scored(spark, sf_dir), DAY0_MS, DAY0_MS + H.DAY_MS,
+                             HISTORY_N)
+    return h.select("seq", "ts_ms", "patient_id", "news2_score", "news2_tier", "recency")

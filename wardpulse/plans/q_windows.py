@@ -41,7 +41,7 @@ def agg_1hour(spark, sf_dir):
 @register("agg_sliding_10min", sql("""
 SELECT patient_id, (ts_ms // 60000 - k) * 60000 AS window_start_ms, count(*) AS readings,
        avg(heart_rate) AS hr_avg, max(news2_score) AS max_score
-FROM scored CROSS JOIN (SELECT range AS k FROM range(0, 10)) GROUP BY ALL"""))
+FROM (SELECT *, unnest(range(0, 10)) AS k FROM scored) GROUP BY ALL"""))
 def agg_sliding_10min(spark, sf_dir):
     """A4: 10-minute windows sliding every minute."""
     return W.agg_sliding(scored(spark, sf_dir))

@@ -9,7 +9,7 @@ one file per date it holds.  All paths live under the shared folder.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 DAY_MS = 86_400_000
@@ -72,3 +72,15 @@ def patient_history(df: DataFrame, patient_id: str, lo_ms: int, hi_ms: int,
     plans as ``TakeOrderedAndProject`` after pushed-down filters."""
     return (time_range(df, lo_ms, hi_ms).filter(F.col("patient_id") == patient_id)
             .orderBy(F.col("ts_ms").desc(), F.col("seq").desc()).limit(n))
+
+
+def newest_per_patient(df: DataFrame, lo_ms: int, hi_ms: int, n: int) -> DataFrame:
+    """S8 for every patient: the newest ``n`` rows of each in a time range.
+
+    ``row_number() <= n`` lets Spark plan a partial ``WindowGroupLimit``
+    below the shuffle, so each map task ships at most ``n`` rows per patient:
+    a patient with a huge history costs ``n`` rows per task, not its history.
+    """
+    w = Window.partitionBy("patient_id").orderBy(F.col("ts_ms").desc(), F.col("seq").desc())
+    return (time_range(df, lo_ms, hi_ms).withColumn("recency", F.row_number().over(w))
+            .filter(F.col("recency") <= n))
