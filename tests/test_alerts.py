@@ -97,3 +97,20 @@ def test_frame_matches_pandas_rolling(spark):
         rows.append((r.seq, len(win), win.heart_rate.max()))
     exp = pd.DataFrame(rows, columns=["seq", "n", "mx"]).set_index("seq").sort_index()
     assert got.n.tolist() == exp.n.tolist() and got.mx.tolist() == exp.mx.tolist()
+
+
+def test_null_vital_reading_does_not_hide_a_change(spark):
+    rows = [reading(seq=0, **NORMAL), reading(seq=1, **dict(NORMAL, hr=None)),
+            reading(seq=2, **CRITICAL)]
+    out = _alerts(spark, rows)
+    assert [(r.seq, r.previous_tier, r.new_tier) for r in out] == [(2, "Low", "High")]
+
+
+def test_null_vital_routed_to_rejects(spark):
+    from wardpulse.sources.frames import route
+    df = readings_df(spark, [reading(seq=0, **NORMAL), reading(seq=1, **dict(NORMAL, rr=None))])
+    decoded = df.withColumn("status", F.lit("ok")).withColumn(
+        "decode_error", F.lit(None).cast("string"))
+    ok, rejects = route(decoded)
+    assert ok.count() == 2
+    assert [(r.seq, r.reason) for r in rejects.collect()] == [(1, "null_vital")]

@@ -33,9 +33,13 @@ def last_tier(scored: DataFrame) -> DataFrame:
 
 
 def tier_change_alerts(scored: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
-    """One row per tier change, ``previous_tier IS NOT NULL AND <> new``."""
-    with_prev = with_neighbour(scored.select("patient_id", "seq", "ts_ms",
-                                             "news2_tier", "news2_score"),
+    """One row per tier change, ``previous_tier IS NOT NULL AND <> new``.
+
+    Readings with a NULL tier (a NULL vital) are rejects and do not step the
+    state, exactly as in the stream form, so they cannot hide a change."""
+    valid = scored.filter(F.col("news2_tier").isNotNull())
+    with_prev = with_neighbour(valid.select("patient_id", "seq", "ts_ms",
+                                            "news2_tier", "news2_score"),
                                "patient_id", ["seq"], ["news2_tier"],
                                chunk_width=chunk_width)
     return (with_prev

@@ -110,7 +110,8 @@ def pre_alert_window(scored: DataFrame, window_ms: int = 600_000,
     Readings at the alert's own millisecond are in the frame (RANGE peers).
     """
     base = scored.select("patient_id", "seq", "ts_ms", "news2_tier", "heart_rate",
-                         "respiration_rate", "news2_score")
+                         "respiration_rate", "news2_score").filter(
+        F.col("news2_tier").isNotNull())     # NULL-vital rejects do not step the state
     flagged = with_neighbour(base, "patient_id", ["seq"], ["news2_tier"]).withColumn(
         "_alert", F.col("prev_news2_tier").isNotNull()
         & (F.col("prev_news2_tier") != F.col("news2_tier")))

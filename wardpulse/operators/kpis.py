@@ -17,8 +17,10 @@ def readings_in_ward(scored: DataFrame, admin: DataFrame) -> DataFrame:
     """Each reading with the ward in force at its time (J3), ``unknown`` when
     the patient had no registry event yet; plus alert flag and dwell time.
     Three ordered passes (as-of fill, previous tier, next reading time), each
-    chunked per patient; no join back to the readings."""
-    base = scored.select("patient_id", "seq", "ts_ms", "news2_score", "news2_tier")
+    chunked per patient; no join back to the readings.  NULL-tier readings
+    are rejects (null vital) and are left out, as in the alert path."""
+    base = scored.select("patient_id", "seq", "ts_ms", "news2_score", "news2_tier").filter(
+        F.col("news2_tier").isNotNull())
     placed = asof_registry(base, admin, keep_unmatched=True).select(*base.columns, "ward")
     prev = with_neighbour(placed, "patient_id", ["seq"], ["news2_tier"],
                           chunk_width=SEQ_CHUNK)

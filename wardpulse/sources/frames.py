@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardpulse.functions.avro import decode_batch, encode_batch, parse_schema
+from wardpulse.schemas import VITAL_COLUMNS
 
 EXPECTED_SCHEMA_ID = 1
 MIN_TS_MS, MAX_TS_MS = -62135596800000, 253402300799999
@@ -139,10 +140,16 @@ def route(decoded: DataFrame, value: DataFrame | None = None) -> tuple[DataFrame
     ok = with_event_time(decoded.filter(F.col("status") == "ok"))
     frame_rejects = decoded.filter(F.col("status") != "ok").select(
         "seq", F.col("status").alias("reason"), "decode_error")
+    no_error = F.lit(None).cast("string").alias("decode_error")
     ts_rejects = ok.filter(~ts_guard()).select(
-        "seq", F.lit("bad_timestamp").alias("reason"),
-        F.lit(None).cast("string").alias("decode_error"))
-    return ok, frame_rejects.unionByName(ts_rejects)
+        "seq", F.lit("bad_timestamp").alias("reason"), no_error)
+    out = frame_rejects.unionByName(ts_rejects)
+    vitals = [c for c in VITAL_COLUMNS if c in ok.columns]
+    if vitals:   # possible only when a source allows NULLs (Avro fields do not)
+        any_null = F.greatest(*[F.col(c).isNull() for c in vitals])
+        out = out.unionByName(ok.filter(any_null).select(
+            "seq", F.lit("null_vital").alias("reason"), no_error))
+    return ok, out
 
 
 def fault_of(seq: Column) -> Column:
