@@ -108,7 +108,7 @@ scored AS (
 ),
 prev_tier AS (
   SELECT *, lag(news2_tier) OVER (PARTITION BY patient_id ORDER BY seq) AS previous_tier
-  FROM scored
+  FROM scored WHERE news2_tier IS NOT NULL
 ),
 alerts AS (
   SELECT patient_id, seq, ts_ms, previous_tier, news2_tier AS new_tier, news2_score
