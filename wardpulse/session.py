@@ -7,6 +7,7 @@ the session and names the shared checkpoint folder in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -85,3 +86,32 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder, unique per call."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the given inputs from file-system metadata (no scan)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def size_shuffles(spark: SparkSession, in_bytes: int, target_mb: int = 128,
+                  expansion: float = 3.0, min_partitions: int = 8,
+                  max_partitions: int = 100_000) -> int:
+    """Cluster sizing for one job: initial shuffle partitions from the input
+    size (decoded rows are ~``expansion`` times the compressed parquet),
+    capped; AQE then coalesces small partitions to ``target_mb`` and splits
+    skewed ones.  Returns the partition count it set."""
+    n = int(min(max(math.ceil(in_bytes * expansion / (target_mb << 20)), min_partitions),
+                max_partitions))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{target_mb}m")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", f"{target_mb}m")
+    return n
