@@ -100,6 +100,13 @@ def tier_rank(t) -> Column:
             .when(t == "High", 2).otherwise(F.lit(None).cast("int")))
 
 
+def rank_label(rank) -> Column:
+    """Inverse of ``tier_rank``."""
+    r = _col(rank)
+    return (F.when(r == 0, "Low").when(r == 1, "Medium").when(r == 2, "High")
+            .otherwise(F.lit(None).cast("string")))
+
+
 def subscores(prefix: str = "") -> dict[str, Column]:
     p = prefix
     return {

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardpulse.functions.news2 import tier_rank
+from wardpulse.functions.news2 import rank_label, tier_rank
 from wardpulse.operators.ordered import SEQ_CHUNK, with_neighbour
 
 ALERT_COLUMNS = ["patient_id", "seq", "ts_ms", "previous_tier", "new_tier",
@@ -38,15 +38,15 @@ def tier_change_alerts(scored: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataF
     Readings with a NULL tier (a NULL vital) are rejects and do not step the
     state, exactly as in the stream form, so they cannot hide a change."""
     valid = scored.filter(F.col("news2_tier").isNotNull())
-    with_prev = with_neighbour(valid.select("patient_id", "seq", "ts_ms",
-                                            "news2_tier", "news2_score"),
-                               "patient_id", ["seq"], ["news2_tier"],
+    # the tier travels as its rank (fixed-width) so chunk edges hash-aggregate
+    ranked = valid.select("patient_id", "seq", "ts_ms", "news2_tier", "news2_score",
+                          tier_rank("news2_tier").alias("_rank"))
+    with_prev = with_neighbour(ranked, "patient_id", ["seq"], ["_rank"],
                                chunk_width=chunk_width)
     return (with_prev
-            .filter(F.col("prev_news2_tier").isNotNull()
-                    & (F.col("prev_news2_tier") != F.col("news2_tier")))
+            .filter(F.col("prev__rank").isNotNull() & (F.col("prev__rank") != F.col("_rank")))
             .select("patient_id", "seq", "ts_ms",
-                    F.col("prev_news2_tier").alias("previous_tier"),
+                    rank_label(F.col("prev__rank")).alias("previous_tier"),
                     F.col("news2_tier").alias("new_tier"),
                     "news2_score"))
 

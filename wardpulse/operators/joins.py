@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardpulse.functions.news2 import tier_rank
 from wardpulse.operators.ordered import TIME_CHUNK_MS, with_ffill, with_frame, with_neighbour
 
 REGISTRY_COLUMNS = ["event_ms", "event_type", "ward", "unit", "suspected_infection",
@@ -112,9 +113,9 @@ def pre_alert_window(scored: DataFrame, window_ms: int = 600_000,
     base = scored.select("patient_id", "seq", "ts_ms", "news2_tier", "heart_rate",
                          "respiration_rate", "news2_score").filter(
         F.col("news2_tier").isNotNull())     # NULL-vital rejects do not step the state
-    flagged = with_neighbour(base, "patient_id", ["seq"], ["news2_tier"]).withColumn(
-        "_alert", F.col("prev_news2_tier").isNotNull()
-        & (F.col("prev_news2_tier") != F.col("news2_tier")))
+    ranked = base.withColumn("_rank", tier_rank("news2_tier"))
+    flagged = with_neighbour(ranked, "patient_id", ["seq"], ["_rank"]).withColumn(
+        "_alert", F.col("prev__rank").isNotNull() & (F.col("prev__rank") != F.col("_rank")))
     aggs = {
         "readings": lambda w: F.count(F.lit(1)).over(w),
         "hr_min": lambda w: F.min("heart_rate").over(w),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardpulse.functions.news2 import tier_rank
 from wardpulse.operators.joins import asof_registry
 from wardpulse.operators.ordered import SEQ_CHUNK, with_neighbour
 from wardpulse.operators.windows import with_dwell
@@ -22,11 +23,10 @@ def readings_in_ward(scored: DataFrame, admin: DataFrame) -> DataFrame:
     base = scored.select("patient_id", "seq", "ts_ms", "news2_score", "news2_tier").filter(
         F.col("news2_tier").isNotNull())
     placed = asof_registry(base, admin, keep_unmatched=True).select(*base.columns, "ward")
-    prev = with_neighbour(placed, "patient_id", ["seq"], ["news2_tier"],
-                          chunk_width=SEQ_CHUNK)
+    prev = with_neighbour(placed.withColumn("_rank", tier_rank("news2_tier")), "patient_id",
+                          ["seq"], ["_rank"], chunk_width=SEQ_CHUNK)
     flagged = prev.withColumn(
-        "is_alert", F.col("prev_news2_tier").isNotNull()
-        & (F.col("prev_news2_tier") != F.col("news2_tier")))
+        "is_alert", F.col("prev__rank").isNotNull() & (F.col("prev__rank") != F.col("_rank")))
     return (with_dwell(flagged)
             .withColumn("ward", F.coalesce("ward", F.lit("unknown")))
             .withColumn("day_num", F.floor(F.col("ts_ms") / DAY_MS).cast("long")))

@@ -25,6 +25,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ~16M consecutive seq values per chunk; a chunk of one key never exceeds it.
 SEQ_CHUNK = 1 << 24
@@ -34,6 +35,11 @@ TIME_CHUNK_MS = 86_400_000
 _CK = "_wp_chunk"
 
 
+def _fixed_width(t: T.DataType) -> bool:
+    return isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+                          T.DoubleType, T.BooleanType, T.DateType, T.TimestampType))
+
+
 def _chunk(col: str, width: int) -> Column:
     return F.floor(F.col(col) / F.lit(width)).cast("long")
 
@@ -62,7 +68,13 @@ def with_neighbour(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
     # Chunk edges by aggregation over the pre-shuffle rows: partial
     # aggregation ships one row per (key, chunk) and map task, not the rows.
     pick = F.max_by if direction == "prev" else F.min_by
-    edges = c.groupBy(*keys, _CK).agg(pick(packed, order_key).alias("_wp_self"))
+    if len(order) == 1 and all(_fixed_width(df.schema[x].dataType) for x in [*cols, *order]):
+        # fixed-width buffers: Spark hash-aggregates (no map-side sort)
+        edges = c.groupBy(*keys, _CK).agg(
+            *[pick(x, order[0]).alias(x) for x in cols]).select(
+            *keys, _CK, F.struct(*[F.col(x) for x in cols]).alias("_wp_self"))
+    else:
+        edges = c.groupBy(*keys, _CK).agg(pick(packed, order_key).alias("_wp_self"))
     wk = Window.partitionBy(*keys).orderBy(_CK)
     carry_fn = F.lag if direction == "prev" else F.lead
     carry = edges.select(*keys, _CK, carry_fn("_wp_self").over(wk).alias("_wp_carry"))
