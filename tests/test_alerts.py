@@ -81,6 +81,10 @@ def test_neighbour_and_ffill_match_pandas(spark):
                         "patient_id", ["seq"], "v", "vf", chunk_width=width)
         f = ff.toPandas().sort_values(["patient_id", "seq"])
         assert f.vf.fillna(-1).tolist() == exp_ff.fillna(-1).tolist()
+        mono = with_ffill(raw.withColumn("v", F.when(F.col("heart_rate") > 100, F.col("seq"))),
+                          "patient_id", ["seq"], "v", "vf", chunk_width=width, monotone=True)
+        m = mono.toPandas().sort_values(["patient_id", "seq"])
+        assert m.vf.fillna(-1).tolist() == exp_ff.fillna(-1).tolist()
 
 
 def test_frame_matches_pandas_rolling(spark):

@@ -68,7 +68,12 @@ def with_neighbour(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
     # Chunk edges by aggregation over the pre-shuffle rows: partial
     # aggregation ships one row per (key, chunk) and map task, not the rows.
     pick = F.max_by if direction == "prev" else F.min_by
-    if len(order) == 1 and all(_fixed_width(df.schema[x].dataType) for x in [*cols, *order]):
+    if all(x == order[0] for x in cols):
+        # the carried value is the leading order column: the edge is its max/min
+        edge_fn = F.max if direction == "prev" else F.min
+        edges = c.groupBy(*keys, _CK).agg(*[edge_fn(x).alias(x) for x in cols]).select(
+            *keys, _CK, F.struct(*[F.col(x) for x in cols]).alias("_wp_self"))
+    elif len(order) == 1 and all(_fixed_width(df.schema[x].dataType) for x in [*cols, *order]):
         # fixed-width buffers: Spark hash-aggregates (no map-side sort)
         edges = c.groupBy(*keys, _CK).agg(
             *[pick(x, order[0]).alias(x) for x in cols]).select(
@@ -87,8 +92,13 @@ def with_neighbour(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
 
 
 def with_ffill(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
-               col: str, out: str, *, chunk_width: int = SEQ_CHUNK) -> DataFrame:
-    """``out`` = last non-null ``col`` at or before each row of the same key."""
+               col: str, out: str, *, chunk_width: int = SEQ_CHUNK,
+               monotone: bool = False) -> DataFrame:
+    """``out`` = last non-null ``col`` at or before each row of the same key.
+
+    ``monotone=True`` declares ``col`` non-decreasing along ``order`` (e.g.
+    run-start markers); the chunk tails are then a plain ``max``, which Spark
+    hash-aggregates."""
     keys = [key] if isinstance(key, str) else list(key)
     order = list(order)
     order_key = F.struct(*[F.col(c) for c in order])
@@ -99,8 +109,11 @@ def with_ffill(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
     # last non-null value of each chunk (rows with a null value have a null
     # ordering key, which max_by skips); partial aggregation runs map-side, so
     # one row per (key, chunk) and map task crosses the shuffle
-    tails = c.groupBy(*keys, _CK).agg(
-        F.max_by(col, F.when(F.col(col).isNotNull(), order_key)).alias("_wp_ff"))
+    if monotone:
+        tails = c.groupBy(*keys, _CK).agg(F.max(col).alias("_wp_ff"))
+    else:
+        tails = c.groupBy(*keys, _CK).agg(
+            F.max_by(col, F.when(F.col(col).isNotNull(), order_key)).alias("_wp_ff"))
     wk = (Window.partitionBy(*keys).orderBy(_CK)
           .rowsBetween(Window.unboundedPreceding, -1))
     carry = tails.select(*keys, _CK,

@@ -74,7 +74,7 @@ def episodes(readings: DataFrame, state_col: str,
     starts = nb.withColumn(
         "_start", F.when(prev.isNull() | (prev != F.col(state_col)), F.col("seq")))
     filled = with_ffill(starts, "patient_id", ["seq"], "_start", "start_seq",
-                        chunk_width=chunk_width)
+                        chunk_width=chunk_width, monotone=True)
     return filled.groupBy("patient_id", "start_seq", F.col(state_col).alias("state")).agg(
         F.min("ts_ms").alias("start_ms"), F.max("ts_ms").alias("end_ms"),
         F.count(F.lit(1)).alias("readings"))
@@ -98,7 +98,7 @@ def monitoring_sessions(readings: DataFrame, gap_ms: int = SILENCE_MS) -> DataFr
         F.col("prev_ts_ms").isNull() | (F.col("ts_ms") - F.col("prev_ts_ms") >= gap_ms),
         F.col("ts_ms")))
     filled = with_ffill(starts, "patient_id", ["ts_ms", "seq"], "_start", "session_start_ms",
-                        chunk_width=TIME_CHUNK_MS)
+                        chunk_width=TIME_CHUNK_MS, monotone=True)
     return filled.groupBy("patient_id", "session_start_ms").agg(
         F.max("ts_ms").alias("session_end_ms"), F.count(F.lit(1)).alias("readings"))
 
