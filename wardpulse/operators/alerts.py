@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardpulse.functions.news2 import rank_label, tier_rank
-from wardpulse.operators.ordered import SEQ_CHUNK, with_neighbour
+from wardpulse.operators.ordered import SEQ_CHUNK, with_previous_non_null
 
 ALERT_COLUMNS = ["patient_id", "seq", "ts_ms", "previous_tier", "new_tier",
                  "news2_score"]
@@ -36,17 +36,17 @@ def tier_change_alerts(scored: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataF
     """One row per tier change, ``previous_tier IS NOT NULL AND <> new``.
 
     Readings with a NULL tier (a NULL vital) are rejects and do not step the
-    state, exactly as in the stream form, so they cannot hide a change."""
-    valid = scored.filter(F.col("news2_tier").isNotNull())
-    # the tier travels as its rank (fixed-width) so chunk edges hash-aggregate
-    ranked = valid.select("patient_id", "seq", "ts_ms", "news2_tier", "news2_score",
-                          tier_rank("news2_tier").alias("_rank"))
-    with_prev = with_neighbour(ranked, "patient_id", ["seq"], ["_rank"],
-                               chunk_width=chunk_width)
+    state, exactly as in the stream form, so they cannot hide a change; they
+    are skipped inside the window rather than filtered out before it."""
+    ranked = scored.select("patient_id", "seq", "ts_ms", "news2_tier", "news2_score",
+                           tier_rank("news2_tier").alias("_rank"))
+    with_prev = with_previous_non_null(ranked, "patient_id", "seq", "_rank", "_prev_rank",
+                                       chunk_width=chunk_width)
     return (with_prev
-            .filter(F.col("prev__rank").isNotNull() & (F.col("prev__rank") != F.col("_rank")))
+            .filter(F.col("_rank").isNotNull() & F.col("_prev_rank").isNotNull()
+                    & (F.col("_prev_rank") != F.col("_rank")))
             .select("patient_id", "seq", "ts_ms",
-                    rank_label(F.col("prev__rank")).alias("previous_tier"),
+                    rank_label(F.col("_prev_rank")).alias("previous_tier"),
                     F.col("news2_tier").alias("new_tier"),
                     "news2_score"))
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardpulse.functions.news2 import tier_rank
-from wardpulse.operators.ordered import TIME_CHUNK_MS, with_ffill, with_frame, with_neighbour
+from wardpulse.operators.ordered import TIME_CHUNK_MS, with_ffill, with_frame, with_previous_non_null
 
 REGISTRY_COLUMNS = ["event_ms", "event_type", "ward", "unit", "suspected_infection",
                     "initial_state", "seq"]
@@ -111,11 +111,13 @@ def pre_alert_window(scored: DataFrame, window_ms: int = 600_000,
     Readings at the alert's own millisecond are in the frame (RANGE peers).
     """
     base = scored.select("patient_id", "seq", "ts_ms", "news2_tier", "heart_rate",
-                         "respiration_rate", "news2_score").filter(
-        F.col("news2_tier").isNotNull())     # NULL-vital rejects do not step the state
+                         "respiration_rate", "news2_score")
     ranked = base.withColumn("_rank", tier_rank("news2_tier"))
-    flagged = with_neighbour(ranked, "patient_id", ["seq"], ["_rank"]).withColumn(
-        "_alert", F.col("prev__rank").isNotNull() & (F.col("prev__rank") != F.col("_rank")))
+    # NULL-vital rejects are skipped by the lag, so they never hide a change
+    flagged = with_previous_non_null(ranked, "patient_id", "seq", "_rank",
+                                     "_prev_rank").withColumn(
+        "_alert", F.col("_rank").isNotNull() & F.col("_prev_rank").isNotNull()
+        & (F.col("_prev_rank") != F.col("_rank")))
     aggs = {
         "readings": lambda w: F.count(F.lit(1)).over(w),
         "hr_min": lambda w: F.min("heart_rate").over(w),

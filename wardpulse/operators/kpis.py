@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wardpulse.functions.news2 import tier_rank
 from wardpulse.operators.joins import asof_registry
-from wardpulse.operators.ordered import SEQ_CHUNK, with_neighbour
+from wardpulse.operators.ordered import SEQ_CHUNK, with_previous_non_null
 from wardpulse.operators.windows import with_dwell
 
 DAY_MS = 86_400_000
@@ -19,14 +19,15 @@ def readings_in_ward(scored: DataFrame, admin: DataFrame) -> DataFrame:
     the patient had no registry event yet; plus alert flag and dwell time.
     Three ordered passes (as-of fill, previous tier, next reading time), each
     chunked per patient; no join back to the readings.  NULL-tier readings
-    are rejects (null vital) and are left out, as in the alert path."""
-    base = scored.select("patient_id", "seq", "ts_ms", "news2_score", "news2_tier").filter(
-        F.col("news2_tier").isNotNull())
+    are rejects (null vital): they never raise or hide an alert."""
+    base = scored.select("patient_id", "seq", "ts_ms", "news2_score", "news2_tier")
     placed = asof_registry(base, admin, keep_unmatched=True).select(*base.columns, "ward")
-    prev = with_neighbour(placed.withColumn("_rank", tier_rank("news2_tier")), "patient_id",
-                          ["seq"], ["_rank"], chunk_width=SEQ_CHUNK)
+    prev = with_previous_non_null(placed.withColumn("_rank", tier_rank("news2_tier")),
+                                  "patient_id", "seq", "_rank", "_prev_rank",
+                                  chunk_width=SEQ_CHUNK)
     flagged = prev.withColumn(
-        "is_alert", F.col("prev__rank").isNotNull() & (F.col("prev__rank") != F.col("_rank")))
+        "is_alert", F.col("_rank").isNotNull() & F.col("_prev_rank").isNotNull()
+        & (F.col("_prev_rank") != F.col("_rank")))
     return (with_dwell(flagged)
             .withColumn("ward", F.coalesce("ward", F.lit("unknown")))
             .withColumn("day_num", F.floor(F.col("ts_ms") / DAY_MS).cast("long")))

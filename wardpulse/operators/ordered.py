@@ -48,6 +48,30 @@ def _order_cols(order: Sequence[str], descending: bool = False) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
 
 
+def with_previous_non_null(df: DataFrame, key: str | Sequence[str], order: str, col: str,
+                           out: str, *, chunk_width: int = SEQ_CHUNK) -> DataFrame:
+    """``out`` = last non-null ``col`` strictly before each row of the key.
+
+    Rows whose ``col`` is NULL stay in place but are skipped, so no filter
+    has to be pushed under the shuffle (a pushed filter re-evaluates the
+    whole derivation of ``col`` at the scan).  Single integral ``order`` and
+    fixed-width ``col`` keep the edge table hash-aggregated."""
+    keys = [key] if isinstance(key, str) else list(key)
+    c = df.withColumn(_CK, _chunk(order, chunk_width))
+    w = (Window.partitionBy(*keys, _CK).orderBy(F.col(order))
+         .rowsBetween(Window.unboundedPreceding, -1))
+    c2 = c.select("*", F.last(col, ignorenulls=True).over(w).alias("_wp_prev"))
+    tails = c.groupBy(*keys, _CK).agg(
+        F.max_by(col, F.when(F.col(col).isNotNull(), F.col(order))).alias("_wp_tail"))
+    wk = (Window.partitionBy(*keys).orderBy(_CK)
+          .rowsBetween(Window.unboundedPreceding, -1))
+    carry = tails.select(*keys, _CK,
+                         F.last("_wp_tail", ignorenulls=True).over(wk).alias("_wp_carry"))
+    joined = c2.join(carry, [*keys, _CK], "left")
+    return joined.select(*[F.col(x) for x in df.columns],
+                         F.coalesce("_wp_prev", "_wp_carry").alias(out))
+
+
 def with_neighbour(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
                    cols: Sequence[str], *, direction: str = "prev",
                    chunk_width: int = SEQ_CHUNK, prefix: str | None = None
