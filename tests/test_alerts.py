@@ -118,3 +118,15 @@ def test_null_vital_routed_to_rejects(spark):
     ok, rejects = route(decoded)
     assert ok.count() == 2
     assert [(r.seq, r.reason) for r in rejects.collect()] == [(1, "null_vital")]
+
+
+def test_previous_non_null_matches_pandas(spark):
+    from wardpulse.operators.ordered import with_previous_non_null
+    raw = raw_readings(spark, SF_SMALL).select("patient_id", "seq", "heart_rate")
+    holes = raw.withColumn("v", F.when(F.col("seq") % 3 != 0, F.col("heart_rate")))
+    pdf = holes.toPandas().sort_values(["patient_id", "seq"])
+    exp = pdf.groupby("patient_id")["v"].transform(lambda s: s.ffill().shift(1))
+    for width in (2, 11, 1 << 24):
+        got = with_previous_non_null(holes, "patient_id", "seq", "v", "pv", chunk_width=width)
+        g = got.toPandas().sort_values(["patient_id", "seq"])
+        assert g.pv.fillna(-1).tolist() == exp.fillna(-1).tolist()
