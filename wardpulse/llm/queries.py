@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardpulse.llm.exact_dedup import exact_dedup
+from wardpulse.llm.mixing import mix_sources
+from wardpulse.llm.near_dedup import near_dedup
 from wardpulse.llm.quality_rules import quality_rules
 from wardpulse.sources.tables import read_table
 
@@ -28,6 +30,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+@query()
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of whole documents at 0.85."""
+    return near_dedup(documents(spark, sf_dir)).drop("__key")
+
+
 @query(r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
            FROM documents),
@@ -44,3 +52,66 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-text counts, line frequency by host, verdict."""
     return quality_rules(documents(spark, sf_dir)).drop("__key")
+
+
+#: Target weights of the registered mix; values not named weigh 1.
+MIX_WEIGHTS = {"domain": {"d0": 1, "d1": 4, "d2": 2, "d3": 2},
+               "lang": {"en": 4, "de": 3, "fr": 2, "es": 3}}
+MIX_PERMILLE, MIX_EPOCHS, MIX_SEED = 900, 2, 7
+
+
+def _fill_sql(level: str, parent: str, name: str) -> str:
+    by = f"PARTITION BY {parent}" if parent else "PARTITION BY 0"
+    keys = ", ".join([parent, name] if parent else [name])
+    return f"""
+{level}_a AS (SELECT *,
+    coalesce(sum(cap) OVER (l ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS bef,
+    (sum(w) OVER (l ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::HUGEINT AS wgt
+  FROM {level}_n WINDOW l AS ({by} ORDER BY cap::DOUBLE / w::DOUBLE, {name})),
+{level}_b AS (SELECT *, cap::HUGEINT * wgt <= (budget::HUGEINT - bef) * w AS sat FROM {level}_a),
+{level}_c AS (SELECT *, sum(CASE WHEN sat THEN cap ELSE 0 END) OVER ({by}) AS taken,
+    sum(CASE WHEN sat THEN 0 ELSE w END) OVER ({by}) AS open FROM {level}_b),
+{level}_g AS (SELECT {keys}, tokens, CASE WHEN sat THEN cap::HUGEINT
+    ELSE ((budget::HUGEINT - taken::HUGEINT) * w::HUGEINT) // open::HUGEINT END::BIGINT AS given
+  FROM {level}_c)"""
+
+
+def _weight_sql(level: str) -> str:
+    return ("CASE " + level + " " + " ".join(
+        f"WHEN '{v}' THEN {w}" for v, w in MIX_WEIGHTS[level].items()) + " ELSE 1 END")
+
+
+MIX_SQL = rf"""
+WITH num AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract(coalesce(source, ''), '([0-9]{{1,9}})$', 1) AS k,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n FROM documents),
+d AS (SELECT doc_id, lang, source, n,
+    CASE WHEN k = '' THEN '' ELSE 'd' || (k::BIGINT % 4)::VARCHAR END AS domain FROM num),
+leaf AS (SELECT domain, lang, source, sum(n)::BIGINT AS tokens,
+    sum(n)::BIGINT * {MIX_EPOCHS} AS cap FROM d GROUP BY ALL),
+x_n AS (SELECT domain, sum(cap)::BIGINT AS cap, sum(tokens)::BIGINT AS tokens,
+    {_weight_sql("domain")} AS w,
+    (SELECT (sum(tokens)::HUGEINT * {MIX_PERMILLE}) // 1000 FROM leaf)::BIGINT AS budget
+  FROM leaf GROUP BY domain),{_fill_sql("x", "", "domain")},
+y_n AS (SELECT l.domain, l.lang, sum(l.cap)::BIGINT AS cap, sum(l.tokens)::BIGINT AS tokens,
+    {_weight_sql("lang").replace("CASE lang", "CASE l.lang")} AS w, any_value(g.given) AS budget
+  FROM leaf l JOIN x_g g ON g.domain = l.domain GROUP BY l.domain, l.lang),{_fill_sql("y", "domain", "lang")},
+z_n AS (SELECT l.domain, l.lang, l.source, l.cap, l.tokens, 1 AS w, g.given AS budget
+  FROM leaf l JOIN y_g g ON g.domain = l.domain AND g.lang = l.lang),{_fill_sql("z", "domain, lang", "source")},
+e AS (SELECT d.*, g.given, g.given // g.tokens AS whole, g.given % g.tokens AS rest,
+    unnest(range({MIX_EPOCHS + 1})) AS epoch
+  FROM d JOIN (SELECT * FROM z_g WHERE tokens > 0) g
+    ON g.domain = d.domain AND g.lang = d.lang AND g.source = d.source),
+r AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY domain, lang, source, epoch
+    ORDER BY md5('{MIX_SEED}:' || epoch || ':' || doc_id), doc_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bef FROM e)
+SELECT doc_id, domain, lang, source, epoch::INTEGER AS epoch, n::BIGINT AS n_tokens,
+    given AS leaf_budget
+FROM r WHERE epoch < whole OR (epoch = whole AND bef < rest)"""
+
+
+@query(MIX_SQL)
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn to target weights over the domain-language-source tree."""
+    return mix_sources(documents(spark, sf_dir), MIX_WEIGHTS, MIX_PERMILLE, MIX_EPOCHS,
+                       MIX_SEED).drop("__key")
