@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wardpulse.llm.bpe import decode, encode
 from wardpulse.llm.exact_dedup import exact_dedup
 from wardpulse.llm.mixing import mix_sources
 from wardpulse.llm.near_dedup import near_dedup
@@ -115,3 +117,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents drawn to target weights over the domain-language-source tree."""
     return mix_sources(documents(spark, sf_dir), MIX_WEIGHTS, MIX_PERMILLE, MIX_EPOCHS,
                        MIX_SEED).drop("__key")
+
+
+BPE_FILE = "byte_bpe_multi_50k.tiktoken"
+
+
+@query()
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents encoded by byte-level BPE ranks, and decoded again."""
+    path, pattern = public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN
+    tokens = encode(documents(spark, sf_dir), path, pattern)
+    return decode(tokens, path, pattern).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
