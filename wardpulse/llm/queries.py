@@ -12,6 +12,7 @@ from wardpulse.llm.exact_dedup import exact_dedup
 from wardpulse.llm.mixing import mix_sources
 from wardpulse.llm.near_dedup import near_dedup
 from wardpulse.llm.quality_rules import quality_rules
+from wardpulse.llm import secrets
 from wardpulse.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +131,52 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(tokens, path, pattern).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def _secrets_sql() -> str:
+    q = {k: p.replace("'", "''") for k, p in secrets.PATTERNS.items()}
+    parts = "\n  UNION ALL ".join(
+        f"SELECT doc_id, {i} AS k, regexp_extract_all(t, '{p}') AS hits, "
+        f"string_split_regex(t, '{p}') AS gaps FROM d" for i, p in enumerate(q.values()))
+    limit = " ".join(
+        "WHEN " + " AND ".join(f"regexp_matches(h, '{p}')" for p in ([w] if w else []) + list(ps))
+        + f" THEN {secrets.most_sum(bits)}" for w, ps, bits in secrets.CLASSES.values())
+    allow = " OR ".join(f"regexp_matches(h, '{p}')" for p in secrets.ALLOW)
+    head = secrets.ASSIGN_HEAD.replace("'", "''")
+    w = secrets.WINDOW
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+p AS ({parts}),
+i AS (SELECT doc_id, k, hits, gaps, unnest(range(1, len(hits) + 1)) AS i FROM p),
+s AS (SELECT doc_id, k, hits[i] AS h, (list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+    + coalesce(list_sum(list_transform(hits[1:i-1], lambda x: length(x))), 0))::BIGINT AS a FROM i),
+c AS (SELECT *, CASE WHEN k = 3 AND regexp_matches(h, '{secrets.BESIDE}') AND NOT ({allow})
+    THEN CASE {limit} END END AS most FROM s),
+e AS (SELECT *, CASE WHEN most IS NOT NULL THEN list_min(list_transform(range(1, length(h) - {w - 2}),
+    lambda j: list_sum(list_transform(map_values(list_aggregate(string_split(h, '')[j:j + {w - 1}], 'histogram')),
+      lambda n: ({secrets.C_LOG_C})[n::BIGINT + 1])))) END AS least FROM c),
+g AS (SELECT doc_id, k, a, a + length(h) AS b FROM e WHERE CASE k
+    WHEN 0 THEN length(regexp_replace(h, '^{head}', '')) >= {secrets.MIN_VALUE}
+    WHEN 1 THEN length(h) >= {secrets.MIN_ACCESS} WHEN 2 THEN true
+    ELSE most IS NOT NULL AND least <= most END),
+l AS (SELECT doc_id, k, a, b, ['assign', 'access', 'hex', 'entropy'][k + 1] || ':' || a || ':' || b AS n FROM g),
+o AS (SELECT doc_id, count(*) FILTER (k = 0) AS n0, count(*) FILTER (k = 1) AS n1,
+    count(*) FILTER (k = 2) AS n2, count(*) FILTER (k = 3) AS n3,
+    string_agg(n, ',' ORDER BY a, k) FILTER (k < 3) AS base, string_agg(n, ',' ORDER BY a, k) AS spans
+  FROM l GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex,
+    coalesce(n3, 0) AS n_entropy, sha256(coalesce(base, '')) AS base_sha256,
+    coalesce(spans, '') AS spans
+FROM d LEFT JOIN o USING (doc_id)"""
+
+
+@query(_secrets_sql())
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets by fixed patterns and sliding-window entropy."""
+    found = secrets.scan_secrets(documents(spark, sf_dir))
+    base = F.filter("found", lambda s: s["k"] < 3)
+    return found.select(
+        "doc_id", *[secrets.of_kind(F.col("found"), k).alias(f"n_{n}")
+                    for k, n in enumerate(secrets.KINDS)],
+        F.sha2(secrets.named(base), 256).alias("base_sha256"),
+        secrets.named(F.col("found")).alias("spans"))
