@@ -13,6 +13,7 @@ from wardpulse.llm.mixing import mix_sources
 from wardpulse.llm.near_dedup import near_dedup
 from wardpulse.llm.quality_rules import quality_rules
 from wardpulse.llm import secrets
+from wardpulse.llm.token_store import read_tokens, write_tokens
 from wardpulse.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -180,3 +181,13 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                     for k, n in enumerate(secrets.KINDS)],
         F.sha2(secrets.named(base), 256).alias("base_sha256"),
         secrets.named(F.col("found")).alias("spans"))
+
+
+TOKENIZER_FILE = "byte_bpe_50k.json"
+
+
+@query()
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents written as token ids with Elias-Fano boundaries, read back."""
+    store = write_tokens(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER_FILE))
+    return read_tokens(spark, store)
