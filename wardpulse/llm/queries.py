@@ -13,6 +13,7 @@ from wardpulse.llm.mixing import mix_sources
 from wardpulse.llm.near_dedup import near_dedup
 from wardpulse.llm.quality_rules import quality_rules
 from wardpulse.llm import secrets
+from wardpulse.llm.substring_dedup import substring_dedup
 from wardpulse.llm.token_store import read_tokens, write_tokens
 from wardpulse.sources.tables import read_table
 
@@ -191,3 +192,10 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents written as token ids with Elias-Fano boundaries, read back."""
     store = write_tokens(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER_FILE))
     return read_tokens(spark, store)
+
+
+@query()
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of repeated 20-word windows removed from whole documents."""
+    return substring_dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
