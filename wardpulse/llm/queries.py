@@ -15,6 +15,8 @@ from wardpulse.llm.quality_rules import quality_rules
 from wardpulse.llm import secrets
 from wardpulse.llm.substring_dedup import substring_dedup
 from wardpulse.llm.token_store import read_tokens, write_tokens
+from wardpulse.llm.toxicity import score_toxicity
+from wardpulse.llm.weak_quality import score_quality
 from wardpulse.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -199,3 +201,16 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of repeated 20-word windows removed from whole documents."""
     return substring_dedup(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query()
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of whole documents."""
+    return score_toxicity(documents(spark, sf_dir),
+                          read_table(spark, sf_dir, "labels")).drop("__key")
+
+
+@query()
+def op9_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of whole documents from weak labels."""
+    return score_quality(documents(spark, sf_dir)).drop("__key")
