@@ -13,12 +13,18 @@ larger ones branch again, down to DEPTH.  TREES trees are independent.  A pair
 at similarity 0.85 survives one tree with probability ``s = 1 - (1 - .85 s)^2``
 = 0.97, and is missed by four of them in about one case of a million.
 
-Leaves are compared exhaustively, in two steps that keep the work linear in a
-group of mutual copies: first every class against two pivots of its node; then,
-with the components so found, the classes outside their node's largest
-component against all others, in blocks of BLOCK x BLOCK inside tasks.  Token
-agreement below ``percent`` by more than four standard deviations drops a pair;
-all others are confirmed on full sets.
+A large node that keeps most of its parent's classes holds mutual copies, which
+branching does not part; it is a leaf as well.
+
+Leaves are compared exhaustively, in steps that keep what is passed on linear
+in a group of mutual copies.  First every class meets two pivots of its node,
+confirmed on full sets.  Then, with the components so found, the classes
+outside their node's largest component meet all others of the node in blocks
+inside tasks, by the agreement of their tokens; each block passes on a spanning
+forest of the pairs that come within four standard deviations of ``percent``.
+What these loose pairs connect is compared on full sets, again outsiders
+against all in blocks inside tasks, and each block passes on the links that
+join components.
 
 Defined cases: null or wordless text has no set, n_shingles 0 and is its own
 component; fewer than five words are one shingle; null ids take part, and a
@@ -45,8 +51,10 @@ COORDS = 128
 TREES = 4
 BRANCH = 2
 NODE_LIMIT = 64
-DEPTH = 3
-BLOCK = 256
+DEPTH = 8
+TIGHT = 0.5
+BLOCK = 2048
+SET_BLOCK = 512
 SLOT_BITS = 20
 
 _MULT = np.random.default_rng(11).integers(1, 1 << 63, COORDS, np.uint64) | np.uint64(1)
@@ -99,8 +107,8 @@ def _children(node: np.ndarray, tokens: np.ndarray, step: int) -> np.ndarray:
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, c, tokens) -> (node, c) of the children; a null node is above the
-    roots of the trees."""
+    """(node, up, c, tokens) -> (node, up, c) of the children; a null node is
+    above the roots of the trees, ``up`` is the size of the parent."""
     for b in batches:
         if not b.num_rows:
             continue
@@ -113,32 +121,90 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for node in nodes:
             for step in range(BRANCH):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_children(node, tokens, step).view(np.int64)), b.column("c")],
-                    names=["node", "c"])
-
+                    [pa.array(_children(node, tokens, step).view(np.int64)), b.column("up"),
+                     b.column("c")], names=["node", "up", "c"])
+
+
+class Forest:
+    """Union-find over positions, joining by given groups first."""
+
+    def __init__(self, groups: np.ndarray):
+        first: dict[int, int] = {}
+        self.up = [first.setdefault(g, i) for i, g in enumerate(groups.tolist())]
+
+    def find(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = i = self.up[self.up[i]]
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        i, j = self.find(i), self.find(j)
+        self.up[j] = i
+        return i != j
+
+
+def _least_agreement(percent: int) -> float:
+    p = percent / 100
+    return p - 4 * (p * (1 - p) / COORDS) ** 0.5
+
+
+def _sized(n: np.ndarray, i: int, j: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+
+
+def loose_pairs(rows: dict, percent: int) -> list[tuple[int, int]]:
+    """Spanning pairs of outsiders and others whose tokens agree."""
+    brief = np.frombuffer(b"".join(rows["data"]), np.uint8).reshape(-1, COORDS)
+    c, n, comp = (np.asarray(rows[k], np.int64) for k in ("c", "n", "comp"))
+    out = np.asarray(rows["out"], bool)
+    rest, low = np.flatnonzero(~out), _least_agreement(percent)
+    # Pairs of one component need no edge; an outsider stands in both roles.
+    forest, pairs = Forest(c), []
+    for i in np.flatnonzero(out):
+        j = rest[(comp[rest] != comp[i]) & _sized(n, i, rest, percent)]
+        for k in j[(brief[j] == brief[i]).mean(axis=1) >= low].tolist():
+            if forest.join(int(i), k):
+                pairs.append((int(c[i]), int(c[k])))
+    return pairs
+
+
+def exact_pairs(rows: dict, percent: int) -> list[tuple[int, int]]:
+    """Links on full sets that join components, outsiders against others."""
+    c, n, comp = (np.asarray(rows[k], np.int64) for k in ("c", "n", "comp"))
+    out = np.asarray(rows["out"], bool)
+    sets = [np.frombuffer(x, np.uint64) for x in rows["data"]]
+    rest = np.flatnonzero(~out)
+    if not len(rest) or not out.any():
+        return []
+    members, where = np.unique(np.concatenate([sets[j] for j in rest]), return_inverse=True)
+    owner = np.repeat(np.arange(len(rest)), [len(sets[j]) for j in rest])
+    owner = owner[np.argsort(where, kind="stable")]
+    ends = np.concatenate([[0], np.cumsum(np.bincount(where, minlength=len(members)))])
+    forest, links = Forest(comp), []
+    for i in np.flatnonzero(out):
+        at = np.searchsorted(members, sets[i])
+        at = at[at < len(members)][members[at[at < len(members)]] == sets[i][at < len(members)]]
+        if not len(at):
+            continue
+        both = np.bincount(np.concatenate([owner[ends[a]:ends[a + 1]] for a in at]),
+                           minlength=len(rest))
+        hit = 100 * both >= percent * (n[i] + n[rest] - both)
+        for k in rest[hit].tolist():
+            if forest.join(int(i), k):
+                links.append((int(c[i]), int(c[k])))
+    return links
 
-def _agreeing(percent: int):
-    """Pairs inside blocks (rows sorted by block): outliers against the rest."""
-    low = percent / 100 - 4 * (percent / 100 * (1 - percent / 100) / COORDS) ** 0.5
 
+def _in_blocks(compare, percent: int):
+    """Run ``compare`` on each block; rows come sorted by block."""
     def pairs(rows: dict) -> pa.RecordBatch:
-        brief = np.frombuffer(b"".join(rows["brief"]), np.uint8).reshape(-1, COORDS)
-        c, n, comp = (np.asarray(rows[k], np.int64) for k in ("c", "n", "comp"))
-        out = np.asarray(rows["out"], bool)
-        rest = np.flatnonzero(~out)
-        a, b = [], []
-        for i in np.flatnonzero(out):
-            lo, hi = np.minimum(n[i], n[rest]), np.maximum(n[i], n[rest])
-            j = rest[(comp[rest] != comp[i]) & (100 * lo >= percent * hi)]
-            j = j[(brief[j] == brief[i]).mean(axis=1) >= low]
-            a.append(np.full(len(j), c[i]))
-            b.append(c[j])
-        a, b = np.concatenate(a or [c[:0]]), np.concatenate(b or [c[:0]])
+        found = compare(rows, percent)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            [pa.array([min(p) for p in found], pa.int64()),
+             pa.array([max(p) for p in found], pa.int64())], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, key, held = ["c", "n", "comp", "brief", "out"], None, {}
+        names, key, held = ["c", "n", "comp", "data", "out"], None, {}
         for batch in batches:
             keys = batch.column("block").to_pylist()
             cols = {k: batch.column(k).to_pylist() for k in names}
@@ -159,33 +225,67 @@ def _agreeing(percent: int):
     return run
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int,
-             by_tokens: bool) -> DataFrame:
+def _outsiders_against_all(members: DataFrame, data: DataFrame, block: int, compare,
+                           percent: int) -> DataFrame:
+    """``members``: (grp, c, comp); ``data``: (c, n, data).  Pairs (a, b) that
+    ``compare`` finds in each group of more than one component, between classes
+    outside the group's largest component and all classes, in cells of at most
+    ``block`` by ``block`` or so."""
+    parts = members.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("m"))
+    groups = (parts.groupBy("grp").agg(F.sum("m").alias("size"), F.max("m").alias("most"),
+                                       F.count(F.lit(1)).alias("comps"),
+                                       F.max_by("comp", F.struct("m", "comp")).alias("main"))
+              .filter("comps > 1")
+              .select("grp", "main", F.ceil(F.col("size") / block).alias("nb"),
+                      F.ceil((F.col("size") - F.col("most")) / block).alias("no")))
+    apart = members.join(groups, "grp").join(data, "c")
+    h, cols = F.xxhash64("c"), ["c", "n", "comp", "data"]
+    everyone = apart.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("no") - 1))).select(
+        F.xxhash64("grp", F.pmod(h, "nb"), "o").alias("block"), *cols, F.lit(False).alias("out"))
+    outside = (apart.filter("comp != main")
+               .withColumn("r", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select(
+        F.xxhash64("grp", "r", F.pmod(h, "no")).alias("block"), *cols, F.lit(True).alias("out")))
+    cells = everyone.union(outside).repartition("block").sortWithinPartitions("block")
+    return cells.mapInArrow(_in_blocks(compare, percent), "a long, b long")
+
+
+def _sets_of(need: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(c, data) of the classes in ``need``: full sets, as bytes.  The rows that
+    stand for them are found by at most 2**SLOT_BITS slots of their keys."""
+    need = classes.select("c", "rep").join(need.distinct(), "c", "left_semi")
+    slots = need.select(F.pmod("rep", F.lit(1 << SLOT_BITS)).alias("__slot")).distinct()
+    return (docs.join(F.broadcast(slots), F.pmod(KEY, F.lit(1 << SLOT_BITS)) == F.col("__slot"),
+                      "left_semi")
+            .mapInArrow(_sets, "c long, data binary")
+            .join(need.select("c"), "c", "left_semi")
+            .groupBy("c").agg(F.first("data").alias("data")))
+
+
+def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes that are links, on full sets."""
     lo, hi = F.least("na", "nb"), F.greatest("na", "nb")
     left = classes.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("brief").alias("ba"))
     right = classes.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("brief").alias("bb"))
-    pairs = pairs.distinct().join(left, "a").join(right, "b").filter(100 * lo >= percent * hi)
-    if by_tokens:
-        low = percent / 100 - 4 * (percent / 100 * (1 - percent / 100) / COORDS) ** 0.5
-        pairs = pairs.mapInArrow(_token_filter(low), "a long, b long, na long, nb long")
-    else:
-        pairs = pairs.select("a", "b", "na", "nb")
-    pairs = shared_table(pairs, "pairs")
-
-    need = classes.join(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct(),
-                        "c", "left_semi").select("rep")
-    slots = need.select(F.pmod("rep", F.lit(1 << SLOT_BITS)).alias("__slot")).distinct()
-    sets = (docs.join(F.broadcast(slots), F.pmod(KEY, F.lit(1 << SLOT_BITS)) == F.col("__slot"),
-                      "left_semi")
-            .mapInArrow(_sets, "c long, s array<long>")
-            .join(classes.select("c"), "c", "left_semi")
-            .groupBy("c").agg(F.first("s").alias("s")))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a")
-            .join(sets.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b")
-            .filter(100 * both >= percent * (F.col("na") + F.col("nb") - both))
-            .select("a", "b"))
+    pairs = (pairs.distinct().join(left, "a").join(right, "b").filter(100 * lo >= percent * hi)
+             .mapInArrow(_token_filter(_least_agreement(percent)),
+                         "a long, b long, na long, nb long"))
+    pairs = shared_table(pairs, "near-pairs")
+    sets = _sets_of(pairs.select(F.col("a").alias("c")).union(pairs.select("b")), classes, docs)
+    return (pairs.join(sets.select(F.col("c").alias("a"), F.col("data").alias("sa")), "a")
+            .join(sets.select(F.col("c").alias("b"), F.col("data").alias("sb")), "b")
+            .mapInArrow(_linked(percent), "a long, b long"))
+
+
+def _linked(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            both = np.array([len(np.intersect1d(np.frombuffer(x, np.uint64),
+                                                np.frombuffer(y, np.uint64), assume_unique=True))
+                             for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist())],
+                            np.int64)
+            n = b.column("na").to_numpy() + b.column("nb").to_numpy()
+            yield b.select(["a", "b"]).filter(pa.array(100 * both >= percent * (n - both)))
+    return run
 
 
 def _token_filter(low: float):
@@ -203,7 +303,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = [shingles(t or "") for t in b.column("__text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [pa.array([xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets], pa.int64()),
-             pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["c", "s"])
+             pa.array([s.tobytes() for s in sets], pa.binary())], names=["c", "data"])
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -220,54 +320,47 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.first("tokens").alias("tokens"), F.first("brief").alias("brief")), "near-classes")
 
     # Walk the trees.
-    above = classes.select(F.lit(None).cast("long").alias("node"), "c", "tokens")
+    above = classes.select(F.lit(None).cast("long").alias("node"),
+                           F.lit(1 << 62).alias("up"), "c", "tokens")
     stars, leaves = [], []
     for depth in range(1, DEPTH + 1):
-        level = shared_table(above.mapInArrow(_branch, "node long, c long"), "near-level")
+        level = shared_table(above.mapInArrow(_branch, "node long, up long, c long"), "near-level")
         sizes = (level.groupBy("node").agg(F.count(F.lit(1)).alias("size"),
                                            F.min("c").alias("p"), F.max("c").alias("q"))
                  .filter("size > 1"))
         level = shared_table(level.join(sizes, "node"), "near-nodes")
         stars += [level.select(F.least(p, "c").alias("a"), F.greatest(p, "c").alias("b"))
                   .filter("a != b") for p in ("p", "q")]
-        large = level.filter(F.col("size") > NODE_LIMIT).select("node", "c")
+        grows = (F.col("size") > NODE_LIMIT) & (F.col("size") <= TIGHT * F.col("up"))
+        large = level.filter(grows).select("node", F.col("size").alias("up"), "c")
         if depth == DEPTH or large.isEmpty():
             leaves.append(level.select("node", "c"))
             break
-        leaves.append(level.filter(F.col("size") <= NODE_LIMIT).select("node", "c"))
-        above = large.join(classes.select("c", "tokens"), "c").select("node", "c", "tokens")
+        leaves.append(level.filter(~grows).select("node", "c"))
+        above = large.join(classes.select("c", "tokens"), "c").select("node", "up", "c", "tokens")
 
     pairs = stars[0]
     for s in stars[1:]:
         pairs = pairs.union(s)
-    links = shared_table(_confirm(pairs, classes, slim, percent, True), "near-links")
+    links = shared_table(_confirm(pairs, classes, slim, percent), "near-links")
     roots = connected(links)
 
-    # What the pivots left apart.
+    # What the pivots left apart: loose pairs by tokens, then links on full sets.
+    def with_comp(members: DataFrame) -> DataFrame:
+        return members.join(roots, F.col("c") == F.col("u"), "left").select(
+            "grp", "c", F.coalesce("root", "c").alias("comp"))
+
     leaf = leaves[0]
     for x in leaves[1:]:
         leaf = leaf.union(x)
-    leaf = leaf.join(roots, F.col("c") == F.col("u"), "left").select(
-        "node", "c", F.coalesce("root", "c").alias("comp"))
-    parts = leaf.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("m"))
-    nodes = (parts.groupBy("node").agg(F.sum("m").alias("size"), F.max("m").alias("most"),
-                                       F.count(F.lit(1)).alias("comps"),
-                                       F.max_by("comp", F.struct("m", "comp")).alias("main"))
-             .filter("comps > 1")
-             .select("node", "main", F.ceil(F.col("size") / BLOCK).alias("nb"),
-                     F.ceil((F.col("size") - F.col("most")) / BLOCK).alias("no")))
-    apart = leaf.join(nodes, "node").join(classes.select("c", "n", "brief"), "c")
-    h = F.xxhash64("c")
-    cells = apart.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("no") - 1))).select(
-        F.xxhash64("node", F.pmod(h, "nb"), "row").alias("block"), "c", "n", "comp", "brief",
-        F.lit(False).alias("out")).union(
-        apart.filter("comp != main")
-        .withColumn("row", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select(
-            F.xxhash64("node", "row", F.pmod(h, "no")).alias("block"), "c", "n", "comp", "brief",
-            F.lit(True).alias("out")))
-    pairs = cells.repartition("block").sortWithinPartitions("block").mapInArrow(
-        _agreeing(percent), "a long, b long")
-    more = _confirm(pairs, classes, slim, percent, False)
+    loose = connected(_outsiders_against_all(
+        with_comp(leaf.select(F.col("node").alias("grp"), "c")),
+        classes.select("c", "n", F.col("brief").alias("data")), BLOCK, loose_pairs, percent))
+    members = shared_table(with_comp(
+        loose.select(F.col("root").alias("grp"), F.col("u").alias("c"))
+        .union(loose.select("root", F.col("root").alias("c")).distinct())), "near-loose")
+    sets = _sets_of(members.select("c"), classes, slim).join(classes.select("c", "n"), "c")
+    more = _outsiders_against_all(members, sets, SET_BLOCK, exact_pairs, percent)
     roots = connected(links.union(more))
 
     owner = classes.join(roots, F.col("c") == F.col("u"), "left").select(

@@ -67,8 +67,9 @@ ALLOW = (
 BESIDE = "[0-9][A-Za-z]|[A-Za-z][0-9]"
 
 _ONE = 1 << 20
-#: c * log2 c for counts up to WINDOW, in units of 1 / _ONE.
-C_LOG_C = [0] + [round(c * math.log2(c) * _ONE) for c in range(1, WINDOW + 1)]
+#: c * log2 c in units of 1 / _ONE, for counts up to that of a full window and
+#: the character that enters before another leaves.
+C_LOG_C = [0] + [round(c * math.log2(c) * _ONE) for c in range(1, WINDOW + 2)]
 
 
 def most_sum(bits: float) -> int:
