@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from wardpulse.llm.rows import KEY, arrow_batches, row_key, shared_table, text_or_empty
 
-CHUNK = 16_384
+CHUNK = 32_768
 OVERLAP = 1_024
 
 
@@ -62,12 +62,13 @@ def _chunks(chunk: int, overlap: int):
         for b in batches:
             for i, text in enumerate(b.column("__text").to_pylist()):
                 starts = range(0, len(text), chunk)
+                same = pa.array([i] * len(starts))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([b.column("__row")[i].as_py()] * len(starts), pa.int64()),
-                     pa.array(range(len(starts)), pa.int32()),
+                    [b.column("__id").take(same), b.column(KEY).take(same),
+                     b.column("row").take(same), pa.array(range(len(starts)), pa.int32()),
                      pa.array([len(text) > s + chunk for s in starts], pa.bool_()),
                      pa.array([text[s:s + chunk + overlap] for s in starts], pa.string())],
-                    names=["row", "k", "more", "part"])
+                    names=["__id", KEY, "row", "k", "more", "part"])
     return run
 
 
@@ -126,10 +127,10 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
         return df.mapInArrow(_encode(path, pattern), _typed(df, ("__text",), ids="binary"))
 
     small = F.length("__text") <= chunk
-    long = slim.filter(~small).withColumn("__row", F.monotonically_increasing_id())
-    long = shared_table(long, "bpe-long")
-    cut = long.select("__row", "__text").mapInArrow(
-        _chunks(chunk, overlap), "row long, k int, more boolean, part string")
+    long = slim.filter(~small).withColumn("row", F.monotonically_increasing_id())
+    kind = slim.schema["__id"].dataType.simpleString()
+    cut = long.mapInArrow(_chunks(chunk, overlap),
+                          f"__id {kind}, {KEY} long, row long, k int, more boolean, part string")
     cut = cut.repartition(F.col("row"), F.col("k"))
     cut = shared_table(cut.mapInArrow(_overlaps(chunk, overlap, pattern), _typed(
         cut, head="array<int>", tail="array<int>")), "bpe-chunks")
@@ -142,17 +143,16 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
         last.alias("last"))
     unstitched = cuts.filter("first is null or (more and last is null)").select("row").distinct()
     cuts = cuts.select("row", "k", "first", "last").join(unstitched, "row", "left_anti")
-    pieces = cut.select("row", "k", "part").join(cuts, ["row", "k"]).select(
-        "row", "k", F.when(F.col("last").isNull(), F.expr("substring(part, first + 1)"))
+    parts = cut.select("__id", KEY, "row", "k", "part")
+    pieces = parts.join(cuts, ["row", "k"]).select(
+        "__id", KEY, "row", "k", F.when(F.col("last").isNull(), F.expr("substring(part, first + 1)"))
         .otherwise(F.expr(f"substring(part, first + 1, {chunk} + last - first)")).alias("__text"))
-    joined = encoded(pieces).groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("p"))
-    joined = joined.select("row", F.expr(
-        "aggregate(p, cast('' as binary), (a, x) -> concat(a, x.ids))").alias("ids"))
-    stitched = long.select("__id", KEY, "__row").join(
-        joined, F.col("__row") == F.col("row")).select("__id", KEY, "ids")
-    whole = encoded(long.join(unstitched, F.col("__row") == F.col("row"), "left_semi")
-                    .select("__id", KEY, "__text"))
+    stitched = encoded(pieces).groupBy("row", "__id", KEY).agg(
+        F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("p")).select("__id", KEY, F.expr(
+            "aggregate(p, cast('' as binary), (a, x) -> concat(a, x.ids))").alias("ids"))
+    whole = encoded(parts.join(unstitched, "row", "left_semi").groupBy("row", "__id", KEY).agg(
+        F.array_sort(F.collect_list(F.struct("k", F.substring("part", 1, chunk).alias("t"))))
+        .alias("p")).select("__id", KEY, F.array_join(F.col("p.t"), "").alias("__text")))
     return encoded(slim.filter(small)).unionByName(stitched).unionByName(whole).select(
         F.col("__id").alias(id_col), KEY,
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")

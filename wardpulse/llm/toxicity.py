@@ -38,7 +38,7 @@ TRAIN = 4000
 THRESHOLD = 0.3
 STEMS = 60
 STEM_SIZES = (4, 5, 6)
-MIN_RATIO, MIN_SHARE = 25.0, 0.004
+MIN_RATIO, MIN_SHARE, MIN_TEXTS = 25.0, 0.008, 4
 HASHED = 1 << 15
 
 #: Fixed seed words.
@@ -97,10 +97,13 @@ class Voters:
 def _stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for toxic, text in zip(b.column("toxic").to_pylist(), b.column("__text").to_pylist()):
-            s = list(stems_of(set(words_of(text or ""))))
+            words = set(words_of(text or ""))
+            s = list(stems_of(words))
+            # Copies mostly share their least word hash, and count once together.
+            family = min((xxhash.xxh3_64_intdigest(w.encode()) for w in words), default=0) >> 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(s, pa.string()), pa.array([toxic] * len(s), pa.int32())],
-                names=["stem", "toxic"])
+                [pa.array(s, pa.string()), pa.array([toxic] * len(s), pa.int32()),
+                 pa.array([family] * len(s), pa.int64())], names=["stem", "toxic", "family"])
 
 
 def mine_stems(docs: DataFrame, labels: DataFrame) -> list[str]:
@@ -112,7 +115,7 @@ def mine_stems(docs: DataFrame, labels: DataFrame) -> list[str]:
               for y in (0, 1)]
     sample = F.broadcast(picked[0].union(picked[1]).withColumnRenamed("doc_id", "__sid"))
     found = (docs.join(sample, F.col("__id") == F.col("__sid")).select("toxic", "__text")
-             .mapInArrow(_stems, "stem string, toxic int")
+             .mapInArrow(_stems, "stem string, toxic int, family long").distinct()
              .groupBy("stem").agg(F.sum("toxic").alias("t"),
                                   F.sum(1 - F.col("toxic")).alias("c")))
     sizes = {y: n for y, n in picked[0].union(picked[1]).groupBy("toxic").count().collect()}
@@ -120,7 +123,7 @@ def mine_stems(docs: DataFrame, labels: DataFrame) -> list[str]:
     if not pos or not neg:
         return [w + "$" for w in SEED_WORDS]
     ratio = ((F.col("t") + 0.5) / (pos + 1)) / ((F.col("c") + 0.5) / (neg + 1))
-    best = (found.filter(F.col("t") >= max(3, MIN_SHARE * pos)).filter(ratio >= MIN_RATIO)
+    best = (found.filter(F.col("t") >= max(MIN_TEXTS, MIN_SHARE * pos)).filter(ratio >= MIN_RATIO)
             .select("stem", "t", "c", (F.col("t") * F.log(ratio)).alias("gain"))
             .orderBy(F.desc("gain"), "stem").limit(2000).collect())
     chosen: list[str] = []
