@@ -62,6 +62,11 @@ def sepsis_criteria_count() -> Column:
             + (F.col("consciousness_level") != F.lit("ALERT")).cast("int"))
 
 
+def sepsis_screen() -> Column:
+    """Positive with at least two of the three criteria."""
+    return sepsis_criteria_count() >= SEPSIS_MIN_CRITERIA
+
+
 def sepsis_bundle(score: str = "news2_score",
                   infection: str = "suspected_infection") -> Column:
     return (F.col(score) >= SEPSIS_BUNDLE_MIN_SCORE) & F.coalesce(F.col(infection),

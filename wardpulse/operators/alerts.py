@@ -9,7 +9,7 @@ new one (both directions).  In batch this is a ``lag`` over arrival order
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardpulse.functions.news2 import rank_label, tier_rank
@@ -92,8 +92,22 @@ def dedup_readings(readings: DataFrame) -> DataFrame:
     return readings.dropDuplicates(["seq"])
 
 
-def alert_latency(alerts: DataFrame) -> DataFrame:
-    """Processing-time stamp on each alert and its lag behind event time."""
-    return (alerts.withColumn("emitted_at", F.current_timestamp())
-            .withColumn("latency_ms",
-                        F.unix_millis(F.col("emitted_at")) - F.col("ts_ms")))
+def with_emission(alerts: DataFrame, emitted_at: Column | None = None) -> DataFrame:
+    """Processing time of each alert (now, unless given)."""
+    return alerts.withColumn("emitted_at", F.current_timestamp() if emitted_at is None
+                             else emitted_at)
+
+
+def alert_latency(alerts: DataFrame, emitted_at: Column | None = None) -> DataFrame:
+    """Lag of each alert's emission behind its reading's event time."""
+    return with_emission(alerts, emitted_at).withColumn(
+        "latency_ms", F.unix_millis(F.col("emitted_at")) - F.col("ts_ms"))
+
+
+def latency_summary(latency: DataFrame) -> DataFrame:
+    """Alerts, median, 95th percentile and largest lag by new tier."""
+    q = F.expr("percentile(latency_ms, array(0.5D, 0.95D))")
+    out = latency.groupBy("new_tier").agg(F.count(F.lit(1)).alias("alerts"), q.alias("_q"),
+                                          F.max("latency_ms").alias("max_ms"))
+    return out.select("new_tier", "alerts", F.round(F.col("_q")[0], 4).alias("p50_ms"),
+                      F.round(F.col("_q")[1], 4).alias("p95_ms"), "max_ms")

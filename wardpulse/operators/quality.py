@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardpulse.operators.ordered import SEQ_CHUNK, TIME_CHUNK_MS, with_ffill, with_neighbour
-from wardpulse.sources.fixtures import envelope_dim, transition_dim, typical_score_dim
+from wardpulse.sources.fixtures import (
+    consciousness_dim, envelope_dim, transition_dim, typical_score_dim)
 
 CONSCIOUSNESS_LEVELS = ["ALERT", "NEW_CONFUSION", "VOICE", "PAIN", "UNRESPONSIVE"]
 SILENCE_MS = 300_000          # R4/R5 threshold (parameter)
@@ -67,12 +68,12 @@ def state_transitions(readings: DataFrame, chunk_width: int = SEQ_CHUNK) -> Data
 
 def episodes(readings: DataFrame, state_col: str,
              chunk_width: int = SEQ_CHUNK) -> DataFrame:
-    """Gaps-and-islands runs of the same ``state_col`` per patient."""
+    """Gaps-and-islands runs of the same ``state_col`` per patient; NULL is
+    a state of its own (a rejected reading ends a run)."""
     base = readings.select("patient_id", "seq", "ts_ms", state_col)
-    nb = with_neighbour(base, "patient_id", ["seq"], [state_col], chunk_width=chunk_width)
-    prev = F.col("prev_" + state_col)
-    starts = nb.withColumn(
-        "_start", F.when(prev.isNull() | (prev != F.col(state_col)), F.col("seq")))
+    nb = with_neighbour(base, "patient_id", ["seq"], [state_col, "seq"], chunk_width=chunk_width)
+    same = F.col("prev_seq").isNotNull() & F.col("prev_" + state_col).eqNullSafe(F.col(state_col))
+    starts = nb.withColumn("_start", F.when(~same, F.col("seq")))
     filled = with_ffill(starts, "patient_id", ["seq"], "_start", "start_seq",
                         chunk_width=chunk_width, monotone=True)
     return filled.groupBy("patient_id", "start_seq", F.col(state_col).alias("state")).agg(
@@ -112,24 +113,23 @@ def sessions_native(readings: DataFrame, gap: str = "5 minutes") -> DataFrame:
 
 
 def state_profile(readings: DataFrame) -> DataFrame:
-    """Observed physiology per state vs the declared O2 rate, with the
-    consciousness mix as a pivot over the five ACVPU levels."""
+    """Observed physiology per state vs the declared O2 rate, and the
+    observed and declared consciousness mix over the five ACVPU levels; one
+    scan and one aggregate."""
     stats = readings.groupBy("simulator_state").agg(
         F.count(F.lit(1)).alias("readings"),
         F.min("heart_rate").alias("hr_min"), F.max("heart_rate").alias("hr_max"),
         F.avg("heart_rate").alias("hr_avg"), F.avg("respiration_rate").alias("rr_avg"),
         F.avg("systolic_bp").alias("bp_avg"), F.avg("oxygen_saturation").alias("spo2_avg"),
         F.min("temperature").alias("temp_min"), F.max("temperature").alias("temp_max"),
-        (F.count_if("supplemental_o2").cast("double") / F.count(F.lit(1))).alias("o2_rate"))
-    mix = (readings.groupBy("simulator_state").pivot("consciousness_level",
-                                                     CONSCIOUSNESS_LEVELS)
-           .agg(F.count(F.lit(1))))
-    mix = mix.select("simulator_state", *[
-        F.coalesce(F.col(lv), F.lit(0)).cast("long").alias("n_" + lv.lower())
-        for lv in CONSCIOUSNESS_LEVELS])
+        (F.count_if("supplemental_o2").cast("double") / F.count(F.lit(1))).alias("o2_rate"),
+        *[F.count_if(F.col("consciousness_level") == lv).alias("n_" + lv.lower())
+          for lv in CONSCIOUSNESS_LEVELS])
     declared = F.broadcast(envelope_dim(readings.sparkSession).select(
         "simulator_state", (F.col("o2_pct") / 100.0).alias("declared_o2_rate")))
-    return stats.join(mix, "simulator_state").join(declared, "simulator_state", "left")
+    mix = F.broadcast(consciousness_dim(readings.sparkSession))
+    return (stats.join(declared, "simulator_state", "left")
+            .join(mix, "simulator_state", "left"))
 
 
 def state_score_fit(scored: DataFrame) -> DataFrame:

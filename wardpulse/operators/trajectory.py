@@ -15,12 +15,13 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardpulse.operators.ordered import with_frame
+from wardpulse.operators.ordered import SEQ_CHUNK, with_ffill, with_frame, with_neighbour
+from wardpulse.operators.windows import DOUBLE_PLACES, vital
 
 DAY0_MS = 1704067200000       # origin of the minute axis used for slopes
 WINDOW_MS = 600_000           # 10-minute trailing feature window
 HORIZON_MS = 600_000          # 10-minute label horizon
-FEATURE_VITALS = {"heart_rate": "hr", "respiration_rate": "rr",
+FEATURE_VITALS = {"heart_rate": "hr", "respiration_rate": "rr", "oxygen_saturation": "spo2",
                   "systolic_bp": "bp", "temperature": "temp"}
 TREND_SLOPE = 2.0             # bpm per minute: heart-rate trend flag (M6)
 TREND_MIN_READINGS = 3
@@ -39,9 +40,8 @@ def trajectory_features(scored: DataFrame, width_ms: int = WINDOW_MS) -> DataFra
     aggs = {"n": lambda w: F.count(F.lit(1)).over(w)}
     for v, s in FEATURE_VITALS.items():
         if v == "temperature":
-            aggs[f"{s}_mean"] = (lambda v: lambda w: (
-                F.sum(F.col(v).cast("decimal(12,3)")).over(w).cast("double")
-                / F.count(F.lit(1)).over(w).cast("double")))(v)
+            aggs[f"{s}_mean"] = (lambda v: lambda w: F.round(
+                F.avg(vital(v)).over(w), DOUBLE_PLACES))(v)
         else:
             aggs[f"{s}_mean"] = (lambda v: lambda w: F.avg(v).over(w))(v)
         aggs[f"{s}_std"] = (lambda v: lambda w: F.round(F.stddev_samp(v).over(w), 4))(v)
@@ -72,13 +72,19 @@ FEATURE_COLUMNS = (["n", "news2_score"]
                       for k in ("mean", "std", "slope", "delta")])
 
 
+def patient_bucket(key: str = "patient_id") -> F.Column:
+    """0..9 from the md5 of the patient id, the same in any engine."""
+    return (F.conv(F.substring(F.md5(F.col(key).cast("binary")), 1, 6), 16, 10)
+            .cast("long") % 10)
+
+
 def training_frame(scored: DataFrame) -> DataFrame:
     feats = trajectory_features(scored)
     labels = deterioration_label(scored)
     j = feats.join(labels.select("patient_id", "seq", "label"), ["patient_id", "seq"])
     return (j.fillna(0.0, subset=[c for c in FEATURE_COLUMNS if c.endswith(("_std", "_slope"))])
             .withColumn("is_train",
-                        F.pmod(F.xxhash64("patient_id"), F.lit(10)) < TRAIN_BUCKETS)
+                        patient_bucket() < TRAIN_BUCKETS)
             .withColumn("label", F.col("label").cast("double")))
 
 
@@ -102,24 +108,40 @@ def predict(model: PipelineModel, frame: DataFrame) -> DataFrame:
 
 
 def evaluate(pred: DataFrame) -> DataFrame:
-    """M4: area under ROC on the held-out patients (one-row DataFrame)."""
+    """M4: area under the full ROC curve (no binning) on the held-out patients
+    (one-row DataFrame)."""
     auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction",
-                                        metricName="areaUnderROC").evaluate(pred)
+                                        metricName="areaUnderROC", numBins=0).evaluate(pred)
     stats = pred.agg(F.count(F.lit(1)).alias("test_rows"),
                      F.sum("label").cast("long").alias("test_positives"))
     return stats.withColumn("auc", F.lit(float(auc)))
 
 
-def lead_time(features: DataFrame) -> DataFrame:
-    """M6: per patient, time from the first heart-rate trend flag (while not
-    yet High) to the first High reading after it."""
-    flagged = features.withColumn(
-        "_flag", (F.col("hr_slope") >= TREND_SLOPE) & (F.col("n") >= TREND_MIN_READINGS)
-        & (F.col("news2_tier") != "High"))
-    first_high = features.filter(F.col("news2_tier") == "High").groupBy("patient_id").agg(
-        F.min("ts_ms").alias("first_high_ms"))
-    first_flag = flagged.filter("_flag").groupBy("patient_id").agg(
-        F.min("ts_ms").alias("first_flag_ms"))
-    return (first_flag.join(first_high, "patient_id")
-            .filter(F.col("first_flag_ms") < F.col("first_high_ms"))
-            .withColumn("lead_ms", F.col("first_high_ms") - F.col("first_flag_ms")))
+def state_confusion_of(pred: DataFrame, states: DataFrame) -> DataFrame:
+    """M4: predictions against the ground-truth state of each reading."""
+    return (pred.join(states.select("patient_id", "seq", "simulator_state"), ["patient_id", "seq"])
+            .groupBy("simulator_state", F.col("prediction").cast("int").alias("predicted"))
+            .agg(F.count(F.lit(1)).alias("readings")))
+
+
+def lead_time(features: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
+    """M6: per High onset, time from the first heart-rate trend flag since the
+    patient's previous High reading to the onset, in arrival order.
+
+    ``after_seq`` names that previous High reading (-1: none); onsets without
+    a flag before them have no lead time and no row."""
+    high = F.col("news2_tier") == "High"
+    base = features.select("patient_id", "seq", "ts_ms", "news2_tier", "hr_slope", "n").withColumn(
+        "_high_seq", F.when(high, F.col("seq")))
+    since = with_ffill(base, "patient_id", ["seq"], "_high_seq", "_after",
+                       chunk_width=chunk_width, monotone=True)
+    flags = (since.filter(~high & (F.col("hr_slope") >= TREND_SLOPE)
+                          & (F.col("n") >= TREND_MIN_READINGS))
+             .groupBy("patient_id", F.coalesce("_after", F.lit(-1)).alias("after_seq"))
+             .agg(F.min("ts_ms").alias("first_flag_ms")))
+    onsets = with_neighbour(base.filter(high).select("patient_id", "seq", "ts_ms"), "patient_id",
+                            ["seq"], ["seq"], chunk_width=chunk_width).select(
+        "patient_id", F.coalesce("prev_seq", F.lit(-1)).alias("after_seq"),
+        F.col("ts_ms").alias("high_ms"))
+    return flags.join(onsets, ["patient_id", "after_seq"]).withColumn(
+        "lead_ms", F.col("high_ms") - F.col("first_flag_ms"))

@@ -28,12 +28,15 @@ def _rank_label(c: Column) -> Column:
     return F.when(c == 2, "High").when(c == 1, "Medium").when(c == 0, "Low")
 
 
-def _exact_sum(v: str):
-    """Exact sums: integer vitals sum as BIGINT; temperature as DECIMAL so
-    sums of partial sums (roll-ups, partial aggregation) are order-independent."""
-    if v == "temperature":
-        return F.sum(F.col(v).cast("decimal(12,3)"))
-    return F.sum(v)
+#: Averages of doubles depend in their last bits on the order of partial sums;
+#: they are published to this many places.
+DOUBLE_PLACES = 6
+
+
+def vital(v: str) -> Column:
+    """A vital sign as window statistics see it: NaN is no measurement, like
+    NULL (it counts in ``readings``, not in a minimum, maximum or average)."""
+    return F.when(~F.isnan(v), F.col(v)) if v == "temperature" else F.col(v)
 
 
 def window_stats(scored: DataFrame, duration: str, slide: str | None = None,
@@ -46,16 +49,18 @@ def window_stats(scored: DataFrame, duration: str, slide: str | None = None,
     if watermark:
         df = df.withWatermark("timestamp", watermark)
     win = F.window("timestamp", duration, slide) if slide else F.window("timestamp", duration)
+    # A reading without a score (a missing vital) is never the last one.
+    scored_seq = F.when(F.col("news2_score").isNotNull(), F.col("seq"))
     aggs = [F.count(F.lit(1)).alias("readings")]
     for v in NUMERIC_VITALS:
-        s = SHORT[v]
-        aggs += [_exact_sum(v).alias(f"{s}_sum"), F.min(v).alias(f"{s}_min"),
-                 F.max(v).alias(f"{s}_max")]
+        s, x = SHORT[v], vital(v)
+        aggs += [F.sum(x).alias(f"{s}_sum"), F.count(x).alias(f"{s}_n"),
+                 F.min(x).alias(f"{s}_min"), F.max(x).alias(f"{s}_max")]
     aggs += [
         F.count_if(F.col("supplemental_o2")).alias("o2_readings"),
         F.max("news2_score").alias("max_score"),
-        F.max_by("news2_score", "seq").alias("last_score"),
-        F.max("seq").alias("last_seq"),
+        F.max_by("news2_score", scored_seq).alias("last_score"),
+        F.max(scored_seq).alias("last_seq"),
         F.max(_rank("news2_tier")).alias("worst_rank"),
     ]
     out = df.groupBy("patient_id", win.alias("window")).agg(*aggs)
@@ -67,7 +72,8 @@ def rollup_stats(stats: DataFrame, width_ms: int) -> DataFrame:
     start = (F.floor(F.col("window_start_ms") / F.lit(width_ms)) * F.lit(width_ms)).cast("long")
     aggs = [F.sum("readings").alias("readings")]
     for s in SHORT.values():
-        aggs += [F.sum(f"{s}_sum").alias(f"{s}_sum"), F.min(f"{s}_min").alias(f"{s}_min"),
+        aggs += [F.sum(f"{s}_sum").alias(f"{s}_sum"), F.sum(f"{s}_n").alias(f"{s}_n"),
+                 F.min(f"{s}_min").alias(f"{s}_min"),
                  F.max(f"{s}_max").alias(f"{s}_max")]
     aggs += [
         F.sum("o2_readings").alias("o2_readings"),
@@ -80,12 +86,13 @@ def rollup_stats(stats: DataFrame, width_ms: int) -> DataFrame:
 
 
 def finish_stats(stats: DataFrame) -> DataFrame:
-    """Public columns: averages from sums (rounded), tier label from rank."""
+    """Public columns: averages over the non-null values, tier label from rank."""
     cols = [F.col("patient_id"), F.col("window_start_ms"), F.col("readings").cast("long")]
-    for s in SHORT.values():
-        cols += [F.col(f"{s}_min"), F.col(f"{s}_max"),
-                 (F.col(f"{s}_sum").cast("double") / F.col("readings").cast("double"))
-                 .alias(f"{s}_avg")]
+    for v, s in SHORT.items():
+        avg = F.try_divide(F.col(f"{s}_sum").cast("double"), F.col(f"{s}_n").cast("double"))
+        if v == "temperature":
+            avg = F.round(avg, DOUBLE_PLACES)
+        cols += [F.col(f"{s}_min"), F.col(f"{s}_max"), avg.alias(f"{s}_avg")]
     cols += [F.col("o2_readings").cast("long").alias("o2_readings"), F.col("max_score"),
              F.col("last_score"), _rank_label(F.col("worst_rank")).alias("worst_tier")]
     return stats.select(*cols)
@@ -143,6 +150,13 @@ def throughput(scored: DataFrame, duration: str = "1 minute") -> DataFrame:
     return out.select(F.unix_millis("w.start").alias("minute_ms"), "readings", "patients")
 
 
+def throughput_per_patient(scored: DataFrame, duration: str = "1 minute") -> DataFrame:
+    """A10: readings of each patient per minute."""
+    out = scored.groupBy("patient_id", F.window("timestamp", duration).alias("w")).agg(
+        F.count(F.lit(1)).alias("readings"))
+    return out.select("patient_id", F.unix_millis("w.start").alias("minute_ms"), "readings")
+
+
 def with_dwell(scored: DataFrame) -> DataFrame:
     """Time until the patient's next reading (null for the last one)."""
     nb = with_neighbour(scored, "patient_id", ["ts_ms", "seq"], ["ts_ms"],

@@ -125,10 +125,24 @@ admin AS (
     o_orderkey % 4 = 0 AS suspected_infection,
     c_mktsegment AS unit
   FROM orders JOIN customer ON o_custkey = c_custkey
-  WHERE o_custkey % 17 <> 3
 )
 """
 
+#: Continues the CTEs: readings with missing vitals, scored.
+SCORED_NULLS = f"""
+, raw_nulls AS (
+  SELECT * REPLACE (CASE WHEN seq % 7 <> 0 THEN heart_rate END AS heart_rate,
+    CASE WHEN seq % 11 = 3 THEN 'NaN'::DOUBLE
+         ELSE temperature + CAST(seq % 1000 AS DOUBLE) * 0.00049::DOUBLE END AS temperature)
+  FROM raw),
+sub_nulls AS (SELECT *, {_SUBS} FROM raw_nulls),
+scored_nulls AS (
+  SELECT *, {_TOTAL} AS news2_score,
+    CASE WHEN {_TOTAL} IS NULL THEN NULL WHEN {_TOTAL} >= 7 THEN 'High'
+         WHEN {_TOTAL} >= 5 THEN 'Medium' ELSE 'Low' END AS news2_tier
+  FROM sub_nulls)
+"""
+
 
 def sql(body: str) -> str:
     """Oracle query: the fixture CTEs followed by ``body`` (a SELECT)."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from wardpulse.operators import alerts as A
 from wardpulse.plans.oracle import sql
@@ -60,8 +61,23 @@ def dedup_readings(spark, sf_dir):
         "seq", "patient_id", "ts_ms", "news2_score", "news2_tier")
 
 
-@register("alert_latency")
+#: Emission time of the latency fixture: a fixed delay that varies by arrival.
+EMIT_DELAY_SQL = "ts_ms + 40 + seq % 997"
+EMITTED = F.timestamp_millis(F.expr(EMIT_DELAY_SQL))
+
+
+@register("alert_latency", sql(f"""
+SELECT patient_id, seq, ts_ms, new_tier, {EMIT_DELAY_SQL} - ts_ms AS latency_ms FROM alerts"""))
 def alert_latency(spark, sf_dir):
-    """Processing-time stamp and latency (wall clock: rows-only check)."""
-    return A.alert_latency(alerts_of(spark, sf_dir)).select(
+    """Latency of each alert for a given emission time."""
+    return A.alert_latency(alerts_of(spark, sf_dir), EMITTED).select(
         "patient_id", "seq", "ts_ms", "new_tier", "latency_ms")
+
+
+@register("alert_latency_summary", sql(f"""
+SELECT new_tier, count(*) AS alerts, round(quantile_cont(l, 0.5), 4) AS p50_ms,
+       round(quantile_cont(l, 0.95), 4) AS p95_ms, max(l) AS max_ms
+FROM (SELECT *, {EMIT_DELAY_SQL} - ts_ms AS l FROM alerts) GROUP BY new_tier"""))
+def alert_latency_summary(spark, sf_dir):
+    """Latency percentiles by new tier."""
+    return A.latency_summary(A.alert_latency(alerts_of(spark, sf_dir), EMITTED))

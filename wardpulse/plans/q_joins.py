@@ -7,6 +7,7 @@ from wardpulse.operators import joins as J
 from wardpulse.operators.alerts import tier_change_alerts
 from wardpulse.plans.oracle import sql
 from wardpulse.plans.registry import admin, raw, register, scored
+from wardpulse.sources.fixtures import with_registry_holes
 
 _LATEST_SQL = """
 , latest AS (
@@ -54,15 +55,17 @@ def readings_asof_ward(spark, sf_dir):
 
 @register("unregistered_patients", sql("""
 , rp AS (SELECT patient_id, count(*) AS rows FROM raw GROUP BY patient_id),
-ap AS (SELECT patient_id, count(*) AS rows FROM admin GROUP BY patient_id)
+ap AS (SELECT patient_id, count(*) AS rows FROM admin
+       WHERE CAST(patient_id AS BIGINT) % 17 <> 3 GROUP BY patient_id)
 SELECT patient_id, rows, 'reading_without_registry' AS finding FROM rp
 WHERE patient_id NOT IN (SELECT patient_id FROM ap)
 UNION ALL
 SELECT patient_id, rows, 'registry_without_reading' AS finding FROM ap
 WHERE patient_id NOT IN (SELECT patient_id FROM rp)"""))
 def unregistered_patients(spark, sf_dir):
-    """Anti joins both ways between readings and the registry."""
-    return J.unregistered_patients(raw(spark, sf_dir), admin(spark, sf_dir))
+    """Anti joins both ways between readings and a registry with holes."""
+    return J.unregistered_patients(raw(spark, sf_dir),
+                                   with_registry_holes(admin(spark, sf_dir)))
 
 
 @register("alerts_with_vitals", sql("""

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from wardpulse.operators import quality as Q
-from wardpulse.plans.oracle import sql
-from wardpulse.plans.registry import raw, register, scored
+from wardpulse.plans.oracle import SCORED_NULLS, sql
+from wardpulse.plans.registry import raw, register, scored, scored_nulls
 
 _CHECKS = [("respiration_rate", "rr0", "rrn", False), ("oxygen_saturation", "sp0", "spn", False),
            ("temperature", "t0", "tn", True), ("systolic_bp", "bp0", "bpn", False),
@@ -56,7 +56,8 @@ def _episodes_sql(src: str, col: str) -> str:
     return f"""
 , f AS (
   SELECT patient_id, seq, ts_ms, {col} AS state,
-    CASE WHEN lag({col}) OVER (PARTITION BY patient_id ORDER BY seq) IS DISTINCT FROM {col}
+    CASE WHEN lag(seq) OVER (PARTITION BY patient_id ORDER BY seq) IS NULL
+           OR lag({col}) OVER (PARTITION BY patient_id ORDER BY seq) IS DISTINCT FROM {col}
          THEN seq END AS st
   FROM {src}),
 g AS (
@@ -79,6 +80,12 @@ def tier_episodes(spark, sf_dir):
     return Q.episodes(scored(spark, sf_dir), "news2_tier")
 
 
+@register("tier_episodes_nulls", sql(SCORED_NULLS + _episodes_sql("scored_nulls", "news2_tier")))
+def tier_episodes_nulls(spark, sf_dir):
+    """R3 with rejected readings (NULL tiers) between the runs."""
+    return Q.episodes(scored_nulls(spark, sf_dir), "news2_tier")
+
+
 @register("cadence_gaps", sql(f"""
 SELECT patient_id, seq, prev_ts_ms, ts_ms, ts_ms - prev_ts_ms AS gap_ms FROM (
   SELECT patient_id, seq, ts_ms,
@@ -118,8 +125,16 @@ SELECT r.simulator_state, count(*) AS readings, min(heart_rate) AS hr_min,
   avg(systolic_bp) AS bp_avg, avg(oxygen_saturation) AS spo2_avg,
   min(temperature) AS temp_min, max(temperature) AS temp_max,
   CAST(count_if(supplemental_o2) AS DOUBLE) / count(*) AS o2_rate, {_LEVELS},
-  any_value(e.o2_pct) / 100.0::DOUBLE AS declared_o2_rate
+  any_value(e.o2_pct) / 100.0::DOUBLE AS declared_o2_rate,
+  any_value(m.a) AS declared_alert, any_value(m.c) AS declared_new_confusion,
+  any_value(m.v) AS declared_voice, any_value(m.p) AS declared_pain,
+  any_value(m.u) AS declared_unresponsive
 FROM raw r LEFT JOIN env e ON r.simulator_state = e.simulator_state
+LEFT JOIN (SELECT s, a::DOUBLE a, c::DOUBLE c, v::DOUBLE v, p::DOUBLE p, u::DOUBLE u FROM (VALUES
+  ('STABLE', 1.0, 0, 0, 0, 0), ('DETERIORATING_SEPSIS', 0.60, 0.25, 0.15, 0, 0),
+  ('DETERIORATING_RESPIRATORY', 0.70, 0.20, 0.10, 0, 0),
+  ('DETERIORATING_CARDIAC', 0.70, 0.20, 0.10, 0, 0), ('POST_OP_RECOVERING', 1.0, 0, 0, 0, 0),
+  ('SEPTIC_SHOCK', 0, 0, 0.33, 0.33, 0.34)) t(s, a, c, v, p, u)) m ON r.simulator_state = m.s
 GROUP BY r.simulator_state"""))
 def state_profile(spark, sf_dir):
     """Per-state physiology and consciousness mix (pivot)."""

@@ -144,12 +144,13 @@ def sepsis_bundle(spark, sf_dir):
 SELECT simulator_state,
        CAST((respiration_rate >= 22) AS INTEGER) + CAST((systolic_bp <= 100) AS INTEGER)
          + CAST((consciousness_level <> 'ALERT') AS INTEGER) AS sepsis_criteria,
-       count(*) AS readings
+       sepsis_criteria >= 2 AS sepsis_screen, count(*) AS readings
 FROM scored GROUP BY ALL"""))
 def sepsis_criteria(spark, sf_dir):
     """F16: number of sepsis screening criteria met (>= 2 screens positive)."""
     return (scored(spark, sf_dir)
-            .groupBy("simulator_state", C.sepsis_criteria_count().alias("sepsis_criteria"))
+            .groupBy("simulator_state", C.sepsis_criteria_count().alias("sepsis_criteria"),
+                     C.sepsis_screen().alias("sepsis_screen"))
             .agg(F.count(F.lit(1)).alias("readings")))
 
 

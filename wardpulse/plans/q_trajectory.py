@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wardpulse.functions.clinical import clinical_state
 from wardpulse.operators import trajectory as M
+from wardpulse.operators.windows import DOUBLE_PLACES
 from wardpulse.plans.oracle import sql
 from wardpulse.plans.q_scoring import _CLIN_SQL
 from wardpulse.plans.registry import register, scored
@@ -17,8 +18,8 @@ def _features_sql() -> str:
     x = f"(ts_ms - {M.DAY0_MS}) / 60000.0::DOUBLE"
     for v, s in M.FEATURE_VITALS.items():
         if v == "temperature":
-            cols.append(f"CAST(sum(CAST({v} AS DECIMAL(12,3))) OVER w AS DOUBLE) "
-                        f"/ count(*) OVER w AS {s}_mean")
+            cols.append(f"round(avg(CASE WHEN NOT isnan({v}) THEN {v} END) OVER w, "
+                        f"{DOUBLE_PLACES}) AS {s}_mean")
         else:
             cols.append(f"avg({v}) OVER w AS {s}_mean")
         cols += [f"round(stddev_samp({v}) OVER w, 4) AS {s}_std",
@@ -60,17 +61,20 @@ def state_confusion(spark, sf_dir):
 
 @register("lead_time", sql(f"""
 , feats AS ({_features_sql()}),
-ff AS (SELECT patient_id, min(ts_ms) AS first_flag_ms FROM feats
+sf AS (SELECT *, coalesce(max(CASE WHEN news2_tier = 'High' THEN seq END) OVER (
+         PARTITION BY patient_id ORDER BY seq ROWS UNBOUNDED PRECEDING), -1) AS after_seq
+       FROM feats),
+ff AS (SELECT patient_id, after_seq, min(ts_ms) AS first_flag_ms FROM sf
        WHERE hr_slope >= {M.TREND_SLOPE} AND n >= {M.TREND_MIN_READINGS}
-         AND news2_tier <> 'High' GROUP BY patient_id),
-fh AS (SELECT patient_id, min(ts_ms) AS first_high_ms FROM feats
-       WHERE news2_tier = 'High' GROUP BY patient_id)
-SELECT ff.patient_id, first_flag_ms, first_high_ms, first_high_ms - first_flag_ms AS lead_ms
-FROM ff JOIN fh ON ff.patient_id = fh.patient_id WHERE first_flag_ms < first_high_ms"""))
+         AND news2_tier <> 'High' GROUP BY ALL),
+fh AS (SELECT patient_id, coalesce(lag(seq) OVER (PARTITION BY patient_id ORDER BY seq), -1)
+         AS after_seq, ts_ms AS high_ms FROM feats WHERE news2_tier = 'High')
+SELECT ff.patient_id, ff.after_seq, first_flag_ms, high_ms, high_ms - first_flag_ms AS lead_ms
+FROM ff JOIN fh ON ff.patient_id = fh.patient_id AND ff.after_seq = fh.after_seq"""))
 def lead_time(spark, sf_dir):
-    """M6: lead time from the first heart-rate trend flag to the first High."""
+    """M6: per High onset, lead time from the first heart-rate trend flag."""
     return M.lead_time(M.trajectory_features(scored(spark, sf_dir))).select(
-        "patient_id", "first_flag_ms", "first_high_ms", "lead_ms")
+        "patient_id", "after_seq", "first_flag_ms", "high_ms", "lead_ms")
 
 
 def _train_and_predict(spark, sf_dir):
@@ -90,6 +94,29 @@ def ml_train_predict(spark, sf_dir):
         "seq", "patient_id", "label", "prediction", "p_deteriorate")
 
 
+@register("ml_holdout", sql(f"""
+SELECT seq, patient_id, CAST(label AS DOUBLE) AS label FROM (
+  SELECT seq, patient_id, news2_tier,
+    coalesce(max(CAST(news2_tier = 'High' AS INTEGER)) OVER (
+      PARTITION BY patient_id ORDER BY ts_ms
+      RANGE BETWEEN 1 FOLLOWING AND {M.HORIZON_MS} FOLLOWING), 0) AS label
+  FROM scored)
+WHERE news2_tier <> 'High'
+  AND CAST('0x' || substr(md5(patient_id), 1, 6) AS BIGINT) % 10 >= {M.TRAIN_BUCKETS}"""))
+def ml_holdout(spark, sf_dir):
+    """M3/M5: the held-out rows and labels that the model is scored on."""
+    return (M.training_frame(scored(spark, sf_dir)).filter(~F.col("is_train"))
+            .select("seq", "patient_id", "label"))
+
+
+@register("ml_state_confusion")
+def ml_state_confusion(spark, sf_dir):
+    """M4: the model's predictions against the ground-truth state."""
+    from wardpulse.session import shared_dir
+    shared_dir(spark)
+    return M.state_confusion_of(_train_and_predict(spark, sf_dir), scored(spark, sf_dir))
+
+
 @register("ml_eval")
 def ml_eval(spark, sf_dir):
     """M4: AUC of the model on held-out patients (rows-only check)."""

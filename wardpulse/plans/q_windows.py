@@ -5,8 +5,8 @@ from __future__ import annotations
 from wardpulse.operators import kpis as K
 from wardpulse.operators import windows as W
 from wardpulse.operators.alerts import tier_change_alerts
-from wardpulse.plans.oracle import sql
-from wardpulse.plans.registry import admin, register, scored
+from wardpulse.plans.oracle import SCORED_NULLS, sql
+from wardpulse.plans.registry import admin, register, scored, scored_nulls
 
 _SHORT = W.SHORT
 _WORST = ("CASE max(CASE news2_tier WHEN 'High' THEN 2 WHEN 'Medium' THEN 1 "
@@ -14,16 +14,17 @@ _WORST = ("CASE max(CASE news2_tier WHEN 'High' THEN 2 WHEN 'Medium' THEN 1 "
           "WHEN 0 THEN 'Low' END")
 
 
-def _stats_sql(width_ms: int) -> str:
+def _stats_sql(width_ms: int, src: str = "scored") -> str:
     cols = [f"(ts_ms // {width_ms}) * {width_ms} AS window_start_ms", "count(*) AS readings"]
     for v, s in _SHORT.items():
-        cols += [f"min({v}) AS {s}_min", f"max({v}) AS {s}_max",
-                 (f"CAST(sum(CAST({v} AS DECIMAL(12,3))) AS DOUBLE) / count(*) AS {s}_avg"
-                  if v == "temperature" else f"sum({v}) / count(*) AS {s}_avg")]
+        x = f"CASE WHEN NOT isnan({v}) THEN {v} END" if v == "temperature" else v
+        cols += [f"min({x}) AS {s}_min", f"max({x}) AS {s}_max",
+                 f"round(avg({x}), {W.DOUBLE_PLACES}) AS {s}_avg" if v == "temperature"
+                 else f"avg({x}) AS {s}_avg"]
     cols += ["CAST(count_if(supplemental_o2) AS BIGINT) AS o2_readings", "max(news2_score) AS max_score",
              "arg_max(news2_score, seq) AS last_score", f"{_WORST} AS worst_tier"]
     return ("SELECT patient_id, " + ",\n  ".join(cols)
-            + "\nFROM scored GROUP BY patient_id, window_start_ms")
+            + f"\nFROM {src} GROUP BY patient_id, window_start_ms")
 
 
 @register("agg_5min", sql(_stats_sql(300_000)))
@@ -32,6 +33,12 @@ def agg_5min(spark, sf_dir):
     return W.agg_5min(scored(spark, sf_dir))
 
 
+@register("agg_5min_nulls", sql(SCORED_NULLS + _stats_sql(300_000, "scored_nulls")))
+def agg_5min_nulls(spark, sf_dir):
+    """A1 over readings with missing heart rates, NaN and fine-grained temperatures."""
+    return W.agg_5min(scored_nulls(spark, sf_dir))
+
+
 @register("agg_1hour", sql(_stats_sql(3_600_000)))
 def agg_1hour(spark, sf_dir):
     """A2: hourly summary, rolled up from the 5-minute partial aggregates."""
@@ -79,6 +86,14 @@ def throughput_per_min(spark, sf_dir):
     return W.throughput(scored(spark, sf_dir))
 
 
+@register("throughput_per_patient", sql("""
+SELECT patient_id, (ts_ms // 60000) * 60000 AS minute_ms, count(*) AS readings
+FROM scored GROUP BY ALL"""))
+def throughput_per_patient(spark, sf_dir):
+    """A10: readings of each patient per minute."""
+    return W.throughput_per_patient(scored(spark, sf_dir))
+
+
 @register("tier_occupancy", sql("""
 SELECT patient_id, news2_tier, count(*) AS readings,
        CAST(coalesce(sum(next_ts - ts_ms), 0) AS BIGINT) AS occupancy_ms

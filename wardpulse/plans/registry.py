@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardpulse.functions.news2 import with_news2
 from wardpulse.session import prepare
-from wardpulse.sources.fixtures import admin_events, raw_readings
+from wardpulse.sources.fixtures import admin_events, raw_readings, with_missing_vitals
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,10 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_news2(raw_readings(spark, sf_dir))
 
 
+def scored_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_news2(with_missing_vitals(raw_readings(spark, sf_dir)))
+
+
 def admin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admin_events(spark, sf_dir)
 

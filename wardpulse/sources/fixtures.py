@@ -57,7 +57,20 @@ TYPICAL_SCORE = {
 
 # Order status -> registry event type.
 ADMIN_EVENT = {"O": "ADMIT", "P": "TRANSFER", "F": "DISCHARGE"}
-UNREGISTERED_MOD, UNREGISTERED_REM = 17, 3
+UNREGISTERED_MOD, UNREGISTERED_REM = 17, 3   # registry holes of the J4 fixture
+# Share of each consciousness level declared for a state, in the
+# order ALERT, NEW_CONFUSION, VOICE, PAIN, UNRESPONSIVE.
+CONSCIOUSNESS_MIX = {
+    "STABLE": (1.0, 0.0, 0.0, 0.0, 0.0),
+    "DETERIORATING_SEPSIS": (0.60, 0.25, 0.15, 0.0, 0.0),
+    "DETERIORATING_RESPIRATORY": (0.70, 0.20, 0.10, 0.0, 0.0),
+    "DETERIORATING_CARDIAC": (0.70, 0.20, 0.10, 0.0, 0.0),
+    "POST_OP_RECOVERING": (1.0, 0.0, 0.0, 0.0, 0.0),
+    "SEPTIC_SHOCK": (0.0, 0.0, 0.33, 0.33, 0.34),
+}
+# Rules of the missing-vitals fixture: heart rate absent, temperature not a
+# number, and temperatures off the 0.1 degree grid.
+NO_HR_MOD, NAN_TEMP_MOD, FINE_MOD, FINE_STEP = 7, 11, 1000, 0.00049
 WARDS = 5
 
 
@@ -136,6 +149,21 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_missing_vitals(raw: DataFrame) -> DataFrame:
+    """Readings with NULL heart rates, NaN temperatures and temperatures of
+    full double precision."""
+    seq = F.col("seq")
+    return raw.withColumns({
+        "heart_rate": F.when(seq % NO_HR_MOD != 0, F.col("heart_rate")),
+        "temperature": F.when(seq % NAN_TEMP_MOD == 3, F.lit(float("nan"))).otherwise(
+            F.col("temperature") + (seq % FINE_MOD).cast("double") * F.lit(FINE_STEP))})
+
+
+def with_registry_holes(admin: DataFrame) -> DataFrame:
+    """J4 fixture: a registry that lacks every 17th patient."""
+    return admin.filter(F.col("patient_id").cast("long") % UNREGISTERED_MOD != UNREGISTERED_REM)
+
+
 def admin_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ADMIN registry changelog derived from ``orders`` ⋈ ``customer``.
 
@@ -149,8 +177,7 @@ def admin_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     etype = F.when(status == "O", "ADMIT").when(status == "P", "TRANSFER").when(
         status == "F", "DISCHARGE")
     return (
-        o.filter((F.col("o_custkey") % UNREGISTERED_MOD) != UNREGISTERED_REM)
-        .join(c, F.col("o_custkey") == F.col("c_custkey"), "inner")
+        o.join(c, F.col("o_custkey") == F.col("c_custkey"), "inner")
         .select(
             ok.alias("seq"),
             F.col("o_custkey").cast("string").alias("patient_id"),
@@ -180,6 +207,14 @@ def transition_dim(spark: SparkSession) -> DataFrame:
                                       ("declared_p", "double")])
 
 
+def consciousness_dim(spark: SparkSession) -> DataFrame:
+    """Six-row declared consciousness mix (fixed size: safe to broadcast)."""
+    rows = [(s, *map(float, mix)) for s, mix in CONSCIOUSNESS_MIX.items()]
+    return inline_table(spark, rows, [("simulator_state", "string")] + [
+        (f"declared_{c}", "double")
+        for c in ("alert", "new_confusion", "voice", "pain", "unresponsive")])
+
+
 def typical_score_dim(spark: SparkSession) -> DataFrame:
     rows = [(s, lo, hi) for s, (lo, hi) in TYPICAL_SCORE.items()]
     return inline_table(spark, rows, [("simulator_state", "string"), ("lo", "int"),
