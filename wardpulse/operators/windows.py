@@ -30,7 +30,7 @@ def _rank_label(c: Column) -> Column:
 
 #: Averages of doubles depend in their last bits on the order of partial sums;
 #: they are published to this many places.
-DOUBLE_PLACES = 6
+DOUBLE_PLACES = 9
 
 
 def vital(v: str) -> Column:
