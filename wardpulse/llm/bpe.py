@@ -29,17 +29,21 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame, Window, functions as F
 
-from wardpulse.llm.rows import KEY, arrow_batches, row_key, shared_table, text_or_empty
+from wardpulse.llm.rows import (KEY, arrow_batches, once_per_process, row_key,
+                                shared_table, text_or_empty)
 
 CHUNK = 32_768
 OVERLAP = 1_024
 
 
-@lru_cache(maxsize=4)
 def rank_encoding(path: str, pattern: str) -> tiktoken.Encoding:
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    def build() -> tiktoken.Encoding:
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks,
+                                 special_tokens={})
+
+    return once_per_process(f"ranks {path} {pattern}", build)
 
 
 @lru_cache(maxsize=4)

@@ -6,6 +6,10 @@ their names, neither clash nor get lost.
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardpulse.session import scratch_path
@@ -17,6 +21,17 @@ ARROW_ROWS = 1000
 KEY = "__key"
 
 
+def once_per_process(name: str, build: Callable[[], object]) -> object:
+    """An object that is costly to build, kept for all tasks of a Python worker.
+
+    Package code is pickled by value, so its own globals last for one task; the
+    object is kept on a module of its own."""
+    kept = sys.modules.setdefault("_wardpulse_process", types.ModuleType("_wardpulse_process"))
+    if not hasattr(kept, name):
+        setattr(kept, name, build())
+    return getattr(kept, name)
+
+
 def text_or_empty(text_col: str) -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
@@ -27,8 +42,8 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-def arrow_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+def arrow_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def shared_table(df: DataFrame, name: str) -> DataFrame:

@@ -27,17 +27,17 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
 from wardpulse.llm import elias_fano
 from wardpulse.llm.elias_fano import EliasFano
-from wardpulse.llm.rows import KEY, arrow_batches, row_key, text_or_empty
+from wardpulse.llm.rows import ARROW_ROWS, KEY, arrow_batches, once_per_process, row_key, text_or_empty
 from wardpulse.session import scratch_path
 
 END_ID = 2
@@ -45,13 +45,14 @@ SHARD_IDS = 1 << 20
 SHARDS_PER_FILE = 16
 _HEAD = "<4sBxxxIQQqQQ"
 
-KNOWN_UNITS = 300_000
+KNOWN_UNITS = 400_000
 LONGEST_KNOWN = 64
 _CROSS = re.compile(r"\s ")
+#: Marks that follow a letter as a pre-token of their own.
+_MARKS = frozenset(".,;:!?")
 _VISIBLE_SPACE = re.compile(r"(?<=\S) ")
 
 
-@lru_cache(maxsize=2)
 def json_tokenizer(path: str) -> Tokenizer:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     t = Tokenizer.from_file(path)
@@ -60,42 +61,137 @@ def json_tokenizer(path: str) -> Tokenizer:
 
 
 class UnitEncoder:
-    """Ids of texts as little-endian bytes of ``width`` each."""
+    """Ids of texts as little-endian bytes of ``width`` each.
+
+    Units seen before come from a table of two generations: when the younger is
+    full it becomes the older, and units still in use move over.  New units
+    without white space inside are encoded in one stretch, each after a space;
+    the ids that begin with a space tell them apart.  A mark behind letters is a
+    pre-token of its own, so the letters are looked up without it."""
 
     def __init__(self, path: str):
         self.tok = json_tokenizer(path)
-        self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
+        size = self.tok.get_vocab_size()
+        self.width = 2 if size <= 1 << 16 else 4
+        self.spaced = np.array([(self.tok.id_to_token(i) or "").startswith("\u0120")
+                                for i in range(size)])
+        self.marks = dict(zip(sorted(_MARKS), self._each(sorted(_MARKS))))
+        self.line_end = np.frombuffer(self._each(["\n"])[0], f"<u{self.width}")[0]
+        self.bare: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _ids(self, units: list[str]) -> list[bytes]:
+    def _each(self, units: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, f"<u{self.width}").tobytes()
                 for e in self.tok.encode_batch_fast(units, add_special_tokens=False)]
 
-    @staticmethod
-    def units(text: str) -> tuple[str, list[str]]:
-        """First unit, and the others without the space in front of them."""
-        if text[:1] == " " or _CROSS.search(text):
-            first, *rest = _VISIBLE_SPACE.split(text)
-        else:
-            first, *rest = text.split(" ")
-        return first, rest
+    def _together(self, units: list[str]) -> list[bytes]:
+        """Ids of plain units, each after one space."""
+        if not units:
+            return []
+        ids = np.array(self.tok.encode_batch_fast([" " + " ".join(units)],
+                                                  add_special_tokens=False)[0].ids,
+                       f"<u{self.width}")
+        starts = np.flatnonzero(self.spaced[ids])
+        assert len(starts) == len(units)
+        raw, at = ids.tobytes(), (starts * self.width).tolist()
+        return [raw[x:y] for x, y in zip(at, at[1:] + [len(raw)])]
+
+    def _units(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """Units of all texts, those behind a text's first without the space in
+        front of them, and the place of each text's first unit."""
+        mixed = [i for i, t in enumerate(texts) if t[:1] == " " or _CROSS.search(t)]
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        if mixed:  # white space before a space: cut behind visible characters only
+            own = pa.array([_VISIBLE_SPACE.split(texts[i]) for i in mixed], lists.type)
+            order = np.arange(len(texts))
+            order[mixed] = len(texts) + np.arange(len(mixed))
+            lists = pa.concat_arrays([lists, own]).take(pa.array(order))
+        sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        return lists.flatten(), np.cumsum(sizes) - sizes
+
+    def _bare(self, units: list[str]) -> list[bytes]:
+        """Ids of units with no space in front.  Plain ones are encoded in one
+        stretch between line ends, which stay tokens of their own."""
+        plain = list({u for u in units if u.split() == [u]}.difference(self.bare))
+        if len(self.bare) + len(plain) > KNOWN_UNITS // 4:
+            self.bare = {}
+            plain = list({u for u in units if u.split() == [u]})
+        if plain:
+            ids = np.array(self.tok.encode_batch_fast(["\n" + "\n".join(plain)],
+                                                      add_special_tokens=False)[0].ids,
+                           f"<u{self.width}")
+            ends = np.flatnonzero(ids == self.line_end)
+            assert len(ends) == len(plain)
+            raw, at = ids.tobytes(), (ends * self.width).tolist()
+            self.bare.update(zip(plain, (raw[x + self.width:y]
+                                         for x, y in zip(at, at[1:] + [len(raw)]))))
+        odd = [u for u in units if u not in self.bare]
+        once = dict(zip(odd, self._each(odd))) if odd else {}
+        return [self.bare[u] if u in self.bare else once[u] for u in units]
+
+    def _look_up(self, units: list[str]) -> list[bytes]:
+        """Ids of distinct units behind a space."""
+        if len(self.known) > KNOWN_UNITS:
+            self.known, self.older = {}, self.known
+        known = self.known
+        out = list(map(known.get, units))
+        missing = [i for i, x in enumerate(out) if x is None]
+        plain, marked, lines, odd = set(), [], [], []
+        older = self.older.get
+        for i in missing:
+            u = units[i]
+            x = older(u)
+            if x is not None:
+                known[u] = x
+            # Latin letters: classed alike by every version of Unicode.
+            elif u[-1:] in _MARKS and u[:-1].isalpha() and u[-2] < "\u0250" and len(u) <= LONGEST_KNOWN:
+                marked.append(u)
+                plain.add(u[:-1])
+            elif u.split() == [u]:
+                plain.add(u)
+            else:
+                two = u.split("\n")
+                if len(two) == 2 and u.split() == two:
+                    lines.append((u, *two))
+                    plain.add(two[0])
+                else:
+                    odd.append(u)
+        plain = list(plain.difference(known))
+        fresh = dict(zip(plain, self._together(plain)))
+        known.update((u, x) for u, x in fresh.items() if len(u) <= LONGEST_KNOWN)
+
+        def spaced(u: str) -> bytes:
+            x = fresh.get(u)
+            return known[u] if x is None else x
+
+        known.update((u, spaced(u[:-1]) + self.marks[u[-1]]) for u in marked)
+        end = self.line_end.tobytes()
+        fresh.update((u, spaced(a) + end + x) for (u, a, _), x in
+                     zip(lines, self._bare([b for _, _, b in lines])))
+        fresh.update(zip(odd, self._each([" " + u for u in odd])))
+        for i in missing:
+            out[i] = spaced(units[i])
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.units(t) for t in texts]
-        new = set().union(*(rest for _, rest in split)).difference(self.known)
-        if len(self.known) + len(new) > KNOWN_UNITS:
-            self.known.clear()
-            new = set().union(*(rest for _, rest in split))
-        long = [u for u in new if len(u) > LONGEST_KNOWN]
-        short = list(new.difference(long))
-        self.known.update(zip(short, self._ids([" " + u for u in short])))
-        once = dict(zip(long, self._ids([" " + u for u in long]))) if long else {}
-        heads = self._ids([first for first, _ in split])
-        if not once:
-            get = self.known.__getitem__
-            return [h + b"".join(map(get, rest)) for h, (_, rest) in zip(heads, split)]
-        return [h + b"".join(once.get(u) or self.known[u] for u in rest)
-                for h, (_, rest) in zip(heads, split)]
+        if not texts:
+            return []
+        units, first = self._units(texts)
+        coded = units.dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        place = coded.indices.to_numpy().astype(np.int64)
+        heads = self._bare(units.take(pa.array(first)).to_pylist())
+        place[first] = len(words) + np.arange(len(first))
+        parts = self._look_up(words) + heads
+        table = np.frombuffer(b"".join(parts), f"<u{self.width}")
+        size = np.array(list(map(len, parts)), np.int64) // self.width
+        begin = (np.cumsum(size) - size)[place]
+        size = size[place]
+        at = np.cumsum(size) - size
+        ids = table[np.repeat(begin - at, size) + np.arange(int(size.sum()))].tobytes()
+        cuts = (np.append(at[first], int(size.sum())) * self.width).tolist()
+        return [ids[x:y] for x, y in zip(cuts, cuts[1:])]
 
 
 def shard_image(ids: list[bytes], width: int, doc_ids: list[int | None]) -> bytes:
@@ -131,7 +227,7 @@ class Shard:
 
 def _write(path: str, end_id: int, shard_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = UnitEncoder(path)
+        encoder = once_per_process(f"units {path}", lambda: UnitEncoder(path))
         end = np.asarray([end_id], f"<u{encoder.width}").tobytes()
         part, seq, ids, names, held = TaskContext.get().partitionId(), 0, [], [], 0
 
@@ -178,7 +274,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
     """Write the store of ``docs`` and return its folder (under the shared
     folder unless given)."""
     spark = docs.sparkSession
-    arrow_batches(spark)
+    arrow_batches(spark, 2 * ARROW_ROWS)
     path = path or scratch_path(spark, "llm-tokens")
     slim = docs.select(F.col(id_col).cast("long").alias("__id"),
                        row_key(id_col, text_col).alias(KEY),
