@@ -22,11 +22,11 @@ from wardpulse.schemas import RAW
 
 
 def _readings(spark: SparkSession, args):
-    from wardpulse.streaming.scoring import file_readings, kafka_readings
+    from wardpulse.streaming.scoring import MAX_FILES, file_readings, kafka_readings
     if args.brokers:
         readings, _ = kafka_readings(spark, args.brokers, max_offsets=args.max_offsets)
         return readings
-    return file_readings(spark, args.replay, RAW, args.max_files)
+    return file_readings(spark, args.replay, RAW, args.max_files or MAX_FILES)
 
 
 def main(argv=None) -> int:
@@ -40,6 +40,9 @@ def main(argv=None) -> int:
         s.add_argument("--max-offsets", type=int, default=None)
         s.add_argument("--max-files", type=int, default=None)
         s.add_argument("--once", action="store_true", help="availableNow trigger")
+        if name == "score":
+            s.add_argument("--dedup", action="store_true", help="drop redelivered messages")
+            s.add_argument("--time-mode", choices=("event", "processing"), default="event")
         if name == "aggregate":
             s.add_argument("--duration", default="5 minutes")
     q = sub.add_parser("query")
@@ -59,10 +62,12 @@ def main(argv=None) -> int:
     if args.cmd == "score":
         if args.brokers:
             from wardpulse.streaming.scoring import run_scoring_kafka
-            run_scoring_kafka(spark, args.brokers, args.out, args.max_offsets)
+            run_scoring_kafka(spark, args.brokers, args.out, args.max_offsets, args.once,
+                              args.dedup, args.time_mode)
         else:
             from wardpulse.streaming.scoring import run_scoring
-            run_scoring(spark, _readings(spark, args), args.out, available_now=args.once)
+            run_scoring(spark, _readings(spark, args), args.out, available_now=args.once,
+                        dedup=args.dedup, time_mode=args.time_mode)
     else:
         from wardpulse.streaming.aggregates import run_aggregates
         run_aggregates(spark, _readings(spark, args), args.out, duration=args.duration,

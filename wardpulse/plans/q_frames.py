@@ -72,7 +72,8 @@ FROM faults WHERE fault IS NULL OR fault NOT IN ('empty', 'short', 'bad_magic')
 GROUP BY ALL"""))
 def schema_id_audit(spark, sf_dir):
     """Header schema ids seen, flagged against the expected id."""
-    return FR.schema_id_audit(_decoded(spark, sf_dir))
+    return FR.schema_id_audit(
+        FR.split_frames(FR.fixture_frames(raw(spark, sf_dir), RAW_AVSC)))
 
 
 def _vlen(u: str) -> str:

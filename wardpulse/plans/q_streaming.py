@@ -5,16 +5,20 @@ and checkpoints under a fresh folder of the shared directory."""
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from wardpulse.operators.alerts import redeliver
 from wardpulse.operators.windows import finish_stats
 from wardpulse.plans.oracle import sql
+from wardpulse.plans.q_frames import _FAULTS_CTE
 from wardpulse.plans.q_windows import _stats_sql
 from wardpulse.plans.registry import raw, register
 from wardpulse.session import scratch_path
+from wardpulse.sources import frames as FR
 from wardpulse.sources import history as H
 from wardpulse.streaming.aggregates import run_aggregates
 from wardpulse.functions.news2 import with_news2
-from wardpulse.schemas import ALERT
+from wardpulse.schemas import ALERT, RAW_AVSC
 from wardpulse.streaming.scoring import (
     REPLAY_FILES, alerts_with_vitals_stream, file_readings, read_live_board, run_live_board, run_scoring,
     write_replay)
@@ -22,12 +26,14 @@ from wardpulse.streaming.scoring import (
 REPLAY_DUP_MOD = 50   # every 50th reading redelivered in the lake replay
 
 
-def _replayed(spark, sf_dir, name, duplicates: bool = False):
+def _replayed(spark, sf_dir, name, duplicates: bool = False, frames: bool = False, order=None):
     base = scratch_path(spark, name)
     r = raw(spark, sf_dir)
+    if frames:
+        r = FR.fixture_frames(r, RAW_AVSC).select("seq", "value")
     if duplicates:
         r = redeliver(r, REPLAY_DUP_MOD)
-    fpt = write_replay(r, f"{base}/replay")
+    fpt = write_replay(r, f"{base}/replay", order=order)
     return file_readings(spark, f"{base}/replay", r.schema, fpt), base
 
 
@@ -48,7 +54,7 @@ def stream_tier_change_alerts(spark, sf_dir):
     """T3 (+T6): stateful alert stream over several micro-batches, fed a
     replay with redelivered readings; equals T2."""
     stream, base = _replayed(spark, sf_dir, "stream_alerts", duplicates=True)
-    paths = run_scoring(spark, stream, f"{base}/out")
+    paths = run_scoring(spark, stream, f"{base}/out", dedup=True)
     return spark.read.parquet(paths["alerts"]).select(
         "patient_id", "seq", "ts_ms", "previous_tier", "new_tier", "news2_score")
 
@@ -58,15 +64,55 @@ SELECT seq, ts_ms, patient_id, simulator_state, respiration_rate, oxygen_saturat
        supplemental_o2, temperature, systolic_bp, heart_rate, consciousness_level,
        news2_score, news2_tier FROM scored"""))
 def lake_write_readback(spark, sf_dir):
-    """K6 + T6 (stream): a replay with every 50th reading redelivered,
-    de-duplicated within the watermark, scored into the date-partitioned
-    lake table, read back."""
+    """K6 + T6 (stream): a replay with every 50th reading redelivered, scored
+    once into the date-partitioned lake table, read back."""
     stream, base = _replayed(spark, sf_dir, "stream_lake", duplicates=True)
-    paths = run_scoring(spark, stream, f"{base}/out")
+    paths = run_scoring(spark, stream, f"{base}/out", dedup=True)
     return spark.read.parquet(paths["lake"]).select(
         "seq", "ts_ms", *H.SCORED_ROW[1:])
 
 
+FAULTY_ORDER = (0, 2, 3, 1)   # replay order of the four ranges: one comes late
+
+
+@register("stream_faulty_replay", sql(_FAULTS_CTE + """
+, b AS (SELECT min(seq) AS lo, CAST(ceil((max(seq) - min(seq) + 1) / 4) AS BIGINT) AS step FROM raw),
+arrived AS (
+  SELECT s.*, f.fault, list_position([0, 2, 3, 1], (s.seq - lo) // step) AS batch
+  FROM scored s JOIN faults f ON s.seq = f.seq CROSS JOIN b),
+good AS (SELECT * FROM arrived WHERE fault IS NULL OR fault IN ('other_schema_id', 'bad_timestamp')),
+steps AS (
+  SELECT *, lag(news2_tier) OVER (PARTITION BY patient_id ORDER BY batch, seq) AS prev FROM good)
+SELECT 'lake' AS output, seq, news2_tier AS detail, CAST(NULL AS BIGINT) AS raw_bytes FROM good
+WHERE fault IS NULL OR fault <> 'bad_timestamp'
+UNION ALL
+SELECT 'alert', seq, prev || '>' || news2_tier, NULL FROM steps
+WHERE prev <> news2_tier AND (fault IS NULL OR fault <> 'bad_timestamp')
+UNION ALL
+SELECT 'reject', seq, CASE WHEN fault IN ('empty', 'short') THEN 'short_frame'
+    WHEN fault = 'truncated' THEN 'decode_error' ELSE fault END,
+  CASE fault WHEN 'empty' THEN 0 WHEN 'short' THEN 5 END
+FROM arrived WHERE fault IS NOT NULL AND fault <> 'other_schema_id'"""))
+def stream_faulty_replay(spark, sf_dir):
+    """Frames with every kind of fault, one range of
+    them late, every 50th redelivered; nothing else is lost, and rejects keep
+    their bytes."""
+    stream, base = _replayed(spark, sf_dir, "stream_faulty", duplicates=True, frames=True,
+                             order=FAULTY_ORDER)
+    paths = run_scoring(spark, stream, f"{base}/out", dedup=True, avsc=RAW_AVSC)
+    read = {k: spark.read.parquet(paths[k]) for k in ("lake", "alerts", "rejects")}
+    none = F.lit(None).cast("long").alias("raw_bytes")
+    short = F.when(F.col("reason") == "short_frame", F.length("value").cast("long"))
+    return (read["lake"].select(F.lit("lake").alias("output"), "seq",
+                                F.col("news2_tier").alias("detail"), none)
+            .unionByName(read["alerts"].select(
+                F.lit("alert").alias("output"), "seq",
+                F.concat_ws(">", "previous_tier", "new_tier").alias("detail"), none))
+            .unionByName(read["rejects"].select(
+                F.lit("reject").alias("output"), "seq", F.col("reason").alias("detail"),
+                short.alias("raw_bytes"))))
+
+
 @register("stream_agg_5min", sql(_stats_sql(300_000).replace(
     "GROUP BY patient_id, window_start_ms",
     "GROUP BY patient_id, window_start_ms "
@@ -105,7 +151,7 @@ def stream_alerts_with_vitals(spark, sf_dir):
     paths = run_scoring(spark, stream, f"{base}/out")
     r = raw(spark, sf_dir)
     readings = with_news2(file_readings(spark, f"{base}/replay", r.schema, REPLAY_FILES))
-    alerts = spark.readStream.schema(ALERT).parquet(f"{paths['alerts']}/*")
+    alerts = spark.readStream.schema(ALERT).parquet(f"{paths['alerts']}/*/*")
     q = (alerts_with_vitals_stream(alerts, readings).writeStream.format("parquet")
          .option("checkpointLocation", f"{base}/_ck_j1").trigger(availableNow=True)
          .start(f"{base}/j1"))

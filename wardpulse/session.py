@@ -88,6 +88,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete one folder of a job's own output, if it is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total size of the given inputs from file-system metadata (no scan)."""
     jvm = spark._jvm

@@ -130,26 +130,30 @@ def with_event_time(decoded: DataFrame) -> DataFrame:
         "timestamp", F.timestamp_millis(F.when(ts_guard(), F.col("ts_ms"))))
 
 
-def route(decoded: DataFrame, value: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def route(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split decoded frames into ``ok`` readings and ``rejects``.
 
+    Rejects carry the reason, the decode error and, when the decoded frames
+    kept it, the raw ``value``, so that they can be replayed; a frame's reasons
+    come from one pass over the decoded frames.
+
     A frame that decodes but carries an out-of-range timestamp is still a
     reading (it is scored and steps the patient state) and is *also* a
     ``bad_timestamp`` reject for the table sink, as in the reference.
     """
-    ok = with_event_time(decoded.filter(F.col("status") == "ok"))
-    frame_rejects = decoded.filter(F.col("status") != "ok").select(
-        "seq", F.col("status").alias("reason"), "decode_error")
-    no_error = F.lit(None).cast("string").alias("decode_error")
-    ts_rejects = ok.filter(~ts_guard()).select(
-        "seq", F.lit("bad_timestamp").alias("reason"), no_error)
-    out = frame_rejects.unionByName(ts_rejects)
-    vitals = [c for c in VITAL_COLUMNS if c in ok.columns]
+    good = F.col("status") == "ok"
+    ok = with_event_time(decoded.filter(good))
+    reasons = [F.when(~good, F.col("status")),
+               F.when(good & ~F.coalesce(ts_guard(), F.lit(False)), F.lit("bad_timestamp"))]
+    vitals = [c for c in VITAL_COLUMNS if c in decoded.columns]
     if vitals:   # possible only when a source allows NULLs (Avro fields do not)
         any_null = F.greatest(*[F.col(c).isNull() for c in vitals])
-        out = out.unionByName(ok.filter(any_null).select(
-            "seq", F.lit("null_vital").alias("reason"), no_error))
-    return ok, out
+        reasons.append(F.when(good & any_null, F.lit("null_vital")))
+    raw = ["value"] if "value" in decoded.columns else []
+    rejects = decoded.select(
+        "seq", F.explode(F.array_compact(F.array(*reasons))).alias("reason"),
+        "decode_error", *raw)
+    return ok, rejects
 
 
 def fault_of(seq: Column) -> Column:

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wardpulse.sources.frames import ts_guard
+
 DAY_MS = 86_400_000
 
 SCORED_ROW = ["time", "patient_id", "simulator_state", "respiration_rate",
@@ -20,21 +22,32 @@ SCORED_ROW = ["time", "patient_id", "simulator_state", "respiration_rate",
 ALERT_ROW = ["time", "patient_id", "previous_tier", "new_tier", "news2_score"]
 
 
+def _valid_ms(ms: str = "ts_ms") -> Column:
+    return F.when(ts_guard(ms), F.col(ms))
+
+
 def date_of(ms: str = "ts_ms") -> Column:
-    """Partition date from epoch ms, independent of the session time zone."""
-    return F.date_from_unix_date(F.floor(F.col(ms) / DAY_MS).cast("int"))
+    """Partition date from epoch ms, independent of the session time zone; NULL
+    for a time no table can hold."""
+    return F.date_from_unix_date(F.floor(_valid_ms(ms) / DAY_MS).cast("int"))
 
 
 def to_scored_row(scored: DataFrame) -> DataFrame:
-    """K1 projection: ``timestamp`` -> ``time``; plus ``seq``, ``ts_ms``, ``date``."""
-    return scored.select(
-        F.timestamp_millis("ts_ms").alias("time"),
+    """K1 projection: ``timestamp`` -> ``time``; plus ``seq``, ``ts_ms``, ``date``.
+
+    A reading with an invalid time has no row (F12): it is a ``bad_timestamp``
+    reject, and still steps the patient's state."""
+    return scored.filter(ts_guard()).select(
+        F.timestamp_millis(_valid_ms()).alias("time"),
         *[c for c in SCORED_ROW[1:]], "seq", "ts_ms", date_of().alias("date"))
 
 
 def to_alert_row(alerts: DataFrame) -> DataFrame:
-    return alerts.select(F.timestamp_millis("ts_ms").alias("time"),
-                         *ALERT_ROW[1:], "seq", "ts_ms", date_of().alias("date"))
+    """K2 projection; an alert with an invalid time has no row, as above."""
+    emitted = ["emitted_at"] if "emitted_at" in alerts.columns else []
+    return alerts.filter(ts_guard()).select(
+        F.timestamp_millis(_valid_ms()).alias("time"),
+        *ALERT_ROW[1:], "seq", "ts_ms", *emitted, date_of().alias("date"))
 
 
 def write_table(rows: DataFrame, path: str, mode: str = "append") -> None:
@@ -43,8 +56,7 @@ def write_table(rows: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def write_scored_readings(scored: DataFrame, path: str, mode: str = "append") -> None:
-    """K1: scored readings table (rows with an invalid timestamp are routed
-    to rejects upstream, see ``sources.frames.route``)."""
+    """K1: scored readings table."""
     write_table(to_scored_row(scored), path, mode)
 
 

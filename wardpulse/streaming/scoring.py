@@ -1,54 +1,54 @@
 """Structured Streaming jobs: sources, the scoring stream and its sinks.
 
-* ``kafka_readings`` — S1 + S2–S4 on a live topic (needs the Kafka connector).
-* ``file_readings``  — the same readings from replayed parquet files.
-* ``TierStep``       — T1/T3 keyed state (last tier per patient) stepped in
-  arrival order; emits T2-equal alerts across micro-batches and restarts.
-* ``run_scoring``    — scored readings to the lake (K6/K1) and alerts to the
-  alert table and topic frames (K2/K3), exactly-once per micro-batch.
-
-A hot patient is one state key; its per-batch work is bounded by the
-trigger size (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``), not by the
-size of its history, because only the last tier is kept as state.
+* ``kafka_frames``   — S1 on a live topic (needs the Kafka connector).
+* ``file_readings``  — readings or frames from replayed parquet files.
+* ``run_scoring``    — one query; each micro-batch is decoded and scored once
+  and written to the lake (K6/K1), the alert table and topic (K2/K3), the scored
+  topic (K4) and the rejects (S4).
+
+Arrival order is truth, and nothing is dropped for being late.  The alert state
+(T1/T3) is a table of the last tier by patient, rewritten per batch id: a batch
+is stepped by the same chunked operator as the batch form (T2), with each
+patient's last tier as a row before all others, so a hot patient is split and
+a replayed batch gives the same rows.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from wardpulse.functions.news2 import with_news2
-from wardpulse.schemas import ALERT, ALERT_AVSC, RAW_AVSC, TOPIC_RAW
-from wardpulse.session import prepare_streaming
+from wardpulse.functions.news2 import rank_label, tier_rank, with_news2
+from wardpulse.operators.alerts import tier_change_alerts, with_emission
+from wardpulse.schemas import ALERT_AVSC, RAW_AVSC, SCORED_AVSC, TOPIC_ALERTS, TOPIC_RAW, TOPIC_SCORED
+from wardpulse.session import delete_path, prepare_streaming
 from wardpulse.sources import frames as FR
 from wardpulse.sources import history as H
 
-STATE_SCHEMA = T.StructType([T.StructField("tier", T.StringType())])
-STEP_COLUMNS = ["patient_id", "seq", "ts_ms", "news2_tier", "news2_score"]
-
-
 REPLAY_PARTS, REPLAY_FILES = 4, 4
-
-
-def write_replay(raw: DataFrame, path: str, parts: int = REPLAY_PARTS,
-                 files_per_part: int = REPLAY_FILES) -> int:
-    """Replay fixture: ``raw`` split into ``parts`` consecutive ``seq`` ranges,
-    appended one after another so each range's files are newer than the
-    previous range's; each append writes exactly ``files_per_part`` files, so
-    a stream reading ``files_per_part`` files per trigger sees whole ranges in
-    order.  Returns the files-per-trigger to use."""
-    lo, hi = raw.agg(F.min("seq"), F.max("seq")).first()
+ROWS_PER_FILE = 4_000_000
+#: Offsets or files of one micro-batch unless the caller says otherwise; the
+#: first batch of a backlog is then no larger than the others.
+MAX_OFFSETS, MAX_FILES = 20_000_000, 1_000
+
+
+def write_replay(rows: DataFrame, path: str, parts: int = REPLAY_PARTS,
+                 files_per_part: int | None = None, order: tuple[int, ...] | None = None) -> int:
+    """Replay fixture: ``rows`` split into ``parts`` consecutive ``seq`` ranges,
+    appended one after another (in ``order``), so each range's files are newer
+    than those of the range before.  Each append writes ``files_per_part``
+    files (from the number of rows unless given), so a stream that reads as
+    many per trigger sees whole ranges.  Returns the files per trigger."""
+    lo, hi, n = rows.agg(F.min("seq"), F.max("seq"), F.count(F.lit(1))).first()
+    if not files_per_part:
+        files_per_part = max(REPLAY_FILES, math.ceil(n / parts / ROWS_PER_FILE))
     step = math.ceil((hi - lo + 1) / parts)
-    for i in range(parts):
+    for i in order or range(parts):
         a, b = lo + i * step, lo + (i + 1) * step
-        (raw.filter((F.col("seq") >= a) & (F.col("seq") < b))
+        (rows.filter((F.col("seq") >= a) & (F.col("seq") < b))
          .repartition(files_per_part).write.mode("append").parquet(path))
     return files_per_part
 
@@ -61,102 +61,131 @@ def file_readings(spark: SparkSession, path: str, schema: T.StructType,
     return r.parquet(path)
 
 
+def kafka_frames(spark: SparkSession, brokers: str, topic: str = TOPIC_RAW,
+                 starting: str = "earliest", max_offsets: int | None = None) -> DataFrame:
+    """Subscribe to the raw topic (earliest when no committed offsets).
+
+    ``seq`` is the (partition, offset) arrival order; per-patient order is the
+    offset order because the topic is keyed by patient id."""
+    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", brokers)
+            .option("subscribe", topic).option("startingOffsets", starting)
+            .option("maxOffsetsPerTrigger", max_offsets or MAX_OFFSETS).load()
+            .select((F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset"))
+                    .alias("seq"), "value"))
+
+
 def kafka_readings(spark: SparkSession, brokers: str, topic: str = TOPIC_RAW,
                    starting: str = "earliest", max_offsets: int | None = None,
                    avsc: str = RAW_AVSC) -> tuple[DataFrame, DataFrame]:
-    """Subscribe to the raw topic (earliest when no committed offsets),
-    unframe and decode; returns ``(readings, rejects)`` streams.  ``seq`` is
-    the (partition, offset) arrival order; per-patient order is the offset
-    order because the topic is keyed by patient id."""
-    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", brokers)
-         .option("subscribe", topic).option("startingOffsets", starting))
-    if max_offsets:
-        r = r.option("maxOffsetsPerTrigger", max_offsets)
-    src = r.load().select(
-        (F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")).alias("seq"),
-        "value")
-    decoded = FR.decode_frames(src, avsc, keep=["seq"])
-    ok, rejects = FR.route(decoded)
-    return ok, rejects
-
-
-def step_tiers(chunks: list[pd.DataFrame], prev: str | None
-               ) -> tuple[str, pd.DataFrame | None]:
-    """One patient's rows of one micro-batch -> (last tier, alerts or None).
-
-    The chunks are concatenated and ordered by ``seq`` (stable), so Arrow
-    chunking and shuffle order do not change the result; numpy arrays keep
-    the per-patient cost small.
-    """
-    pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-    seq = pdf["seq"].to_numpy()
-    order = np.argsort(seq, kind="stable")
-    tiers = pdf["news2_tier"].to_numpy(dtype=object)[order]
-    previous = np.empty(len(tiers), dtype=object)
-    previous[0] = prev
-    previous[1:] = tiers[:-1]
-    changed = (previous != tiers) & (previous != None)  # noqa: E711 (elementwise)
-    if not changed.any():
-        return tiers[-1], None
-    idx = order[changed]
-    return tiers[-1], pd.DataFrame({
-        "patient_id": pdf["patient_id"].to_numpy()[idx], "seq": seq[idx],
-        "ts_ms": pdf["ts_ms"].to_numpy()[idx], "previous_tier": previous[changed],
-        "new_tier": tiers[changed],
-        "news2_score": pdf["news2_score"].to_numpy()[idx].astype("int32")})
-
-
-class TierStep(StatefulProcessor):
-    """Per patient: previous tier in a RocksDB value state; an alert when it
-    exists and differs.  The state is updated on every reading."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last_tier", STATE_SCHEMA)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues
-                        ) -> Iterator[pd.DataFrame]:
-        prev = self._last.get()
-        last, alerts = step_tiers(list(rows), prev[0] if prev is not None else None)
-        self._last.update((last,))
-        if alerts is not None:
-            yield alerts
-
-    def close(self) -> None:
-        pass
-
-
-def alert_stream(scored_stream: DataFrame) -> DataFrame:
-    """Tier-change alerts from a scored stream (rows with a NULL tier
-    are rejects under the null rule and do not step the state)."""
-    return (scored_stream.filter(F.col("news2_tier").isNotNull()).select(*STEP_COLUMNS)
-            .groupBy("patient_id")
-            .transformWithStateInPandas(statefulProcessor=TierStep(), outputStructType=ALERT,
-                                        outputMode="Append", timeMode="None"))
-
-
-def _alert_sink(table_path: str, frames_path: str | None,
-                topic: tuple[str, str] | None = None):
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        # Overwrite by batch id: a replayed micro-batch rewrites the same folder.
-        batch = batch.persist()
-        H.to_alert_row(batch).write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
-        if frames_path or topic:
-            frames = FR.encode_frames(batch, ALERT_AVSC)
-            if frames_path:
-                frames.write.mode("overwrite").parquet(f"{frames_path}/batch={batch_id}")
-            if topic:   # K3: at-least-once, like any Kafka producer on retry
-                (frames.select("key", "value").write.format("kafka")
-                 .option("kafka.bootstrap.servers", topic[0]).option("topic", topic[1])
-                 .save())
-        batch.unpersist()
-    return sink
-
-
-def dedup_stream(readings: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """T6 (stream): drop redelivered messages (same ``seq``) that arrive
-    within the watermark delay; state is purged as the watermark passes."""
-    return (readings.withWatermark("timestamp", delay)
-            .dropDuplicatesWithinWatermark(["seq"]))
+    """``(readings, rejects)`` streams of a framed topic."""
+    src = kafka_frames(spark, brokers, topic, starting, max_offsets)
+    return FR.route(FR.decode_frames(src, avsc, keep=["seq", "value"]))
+
+
+BEFORE_ALL = -1   # ``seq`` of the row that stands for a patient's stored state
+
+
+def step_state(scored: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """One micro-batch against the stored last tiers (``patient_id``,
+    ``rank``) -> (alerts, new last tiers).  Rows with a NULL tier are rejects
+    under the null rule and do not step the state."""
+    rows = scored.select("patient_id", "seq", "ts_ms", "news2_tier", "news2_score")
+    if state is not None:
+        rows = rows.unionByName(state.select(
+            "patient_id", F.lit(BEFORE_ALL).cast("long").alias("seq"),
+            F.lit(0).cast("long").alias("ts_ms"), rank_label(F.col("rank")).alias("news2_tier"),
+            F.lit(0).alias("news2_score")))
+    alerts = tier_change_alerts(rows).filter(F.col("seq") > BEFORE_ALL)
+    last = (rows.filter(F.col("news2_tier").isNotNull())
+            .withColumn("rank", tier_rank("news2_tier"))
+            .groupBy("patient_id").agg(F.max_by("rank", "seq").alias("rank")))
+    return alerts, last
+
+
+def first_deliveries(readings: DataFrame, lake: DataFrame | None) -> DataFrame:
+    """Readings not delivered before: one per ``seq`` in the batch, and none
+    that the lake has.  The lake is read for the dates of the batch only (the
+    anti join's dates prune its partitions), and late readings stay."""
+    out = readings.dropDuplicates(["seq"])
+    if lake is None:
+        return out
+    out = out.withColumn("date", H.date_of())
+    seen = lake.select("date", F.col("seq").alias("_seen"))
+    return out.join(seen, (out["date"] == seen["date"]) & (out["seq"] == seen["_seen"]),
+                    "left_anti").drop("date")
+
+
+class ScoringSink:
+    """``foreachBatch`` sink: all outputs of a micro-batch from one decoding and
+    scoring.  Every folder is overwritten by batch id, so a replayed batch
+    rewrites the same files; topics are at-least-once like any producer."""
+
+    def __init__(self, out_dir: str, avsc: str | None = None, dedup: bool = False,
+                 brokers: str | None = None, time_mode: str = "event"):
+        if time_mode not in ("event", "processing"):
+            raise ValueError(time_mode)
+        self.avsc, self.dedup, self.brokers, self.time_mode = avsc, dedup, brokers, time_mode
+        self.paths = {k: f"{out_dir}/{k}" for k in
+                      ("lake", "alerts", "alert_frames", "rejects", "last_tier")}
+
+    def _readings(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        if self.avsc:
+            decoded = FR.decode_frames(batch, self.avsc, keep=["seq", "value"])
+        else:
+            decoded = batch.withColumns({
+                "status": F.lit("ok"), "decode_error": F.lit(None).cast("string"),
+                "value": F.lit(None).cast("binary")})
+        decoded = decoded.persist()
+        self._held.append(decoded)
+        ok, rejects = FR.route(decoded)
+        return ok.drop("status", "decode_error", "value", "split_status", "schema_id"), rejects
+
+    def _earlier(self, spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+        """The lake as of the batches before this one."""
+        if not batch_id:
+            return None
+        try:
+            lake = spark.read.parquet(path)
+        except Exception as e:  # noqa: BLE001  no batch has written a row so far
+            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+                return None
+            raise
+        return lake.filter(F.col("batch") < batch_id)
+
+    def _to_topic(self, records: DataFrame, avsc: str, topic: str) -> None:
+        (FR.encode_frames(records, avsc).select("key", "value").write.format("kafka")
+         .option("kafka.bootstrap.servers", self.brokers).option("topic", topic).save())
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark, at = batch.sparkSession, f"batch={batch_id}"
+        self._held: list[DataFrame] = []
+        readings, rejects = self._readings(batch)
+        if self.dedup:
+            readings = first_deliveries(
+                readings, self._earlier(spark, self.paths["lake"], batch_id))
+            rejects = rejects.dropDuplicates(["seq", "reason"])
+        scored = with_news2(readings).persist()
+        self._held.append(scored)
+        state = spark.read.parquet(f"{self.paths['last_tier']}/batch={batch_id - 1}") \
+            if batch_id else None
+        alerts, last = step_state(scored, state)
+        alerts = with_emission(alerts).persist()
+        self._held.append(alerts)
+
+        H.write_table(H.to_scored_row(scored), f"{self.paths['lake']}/{at}", "overwrite")
+        H.write_table(H.to_alert_row(alerts), f"{self.paths['alerts']}/{at}", "overwrite")
+        told = alerts if self.time_mode == "event" else alerts.withColumn(
+            "ts_ms", F.unix_millis("emitted_at"))
+        FR.encode_frames(told, ALERT_AVSC).write.mode("overwrite").parquet(
+            f"{self.paths['alert_frames']}/{at}")
+        rejects.write.mode("overwrite").parquet(f"{self.paths['rejects']}/{at}")
+        last.write.mode("overwrite").parquet(f"{self.paths['last_tier']}/{at}")
+        if self.brokers:
+            self._to_topic(told, ALERT_AVSC, TOPIC_ALERTS)
+            self._to_topic(scored, SCORED_AVSC, TOPIC_SCORED)
+        delete_path(spark, f"{self.paths['last_tier']}/batch={batch_id - 2}")
+        for df in self._held:
+            df.unpersist()
 
 
 def dedup_alert_stream(alerts: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -168,36 +197,22 @@ def dedup_alert_stream(alerts: DataFrame, delay: str = "10 minutes") -> DataFram
             .drop("alert_time"))
 
 
-def run_scoring(spark: SparkSession, readings: DataFrame, out_dir: str,
-                available_now: bool = True, dedup: bool = True,
-                alert_topic: tuple[str, str] | None = None) -> dict[str, str]:
-    """Score a readings stream; write the lake table and the alert outputs.
+def run_scoring(spark: SparkSession, source: DataFrame, out_dir: str,
+                available_now: bool = True, dedup: bool = False, avsc: str | None = None,
+                brokers: str | None = None, time_mode: str = "event") -> dict[str, str]:
+    """Score a stream of readings, or of frames when ``avsc`` is given.
 
-    Two queries share the source: a stateless one (scored rows -> parquet
-    file sink, exactly-once via the sink's commit log) and the stateful alert
-    query (RocksDB state, ``foreachBatch`` idempotent by batch id).  With
-    ``dedup`` both queries drop redelivered messages first (T6), so a late
-    duplicate of an old reading can neither repeat a row nor step the state.
-    """
+    ``dedup`` (T6) drops redelivered messages; late ones are scored, stored and
+    stepped like any other.  ``time_mode`` says which time alert records carry:
+    the reading's, or the time of processing.  With ``available_now`` the call
+    returns when the backlog is done."""
     prepare_streaming(spark)
-    scored = with_news2(dedup_stream(readings) if dedup else readings)
-    lake_rows = scored
-    paths = {"lake": f"{out_dir}/lake", "alerts": f"{out_dir}/alerts",
-             "alert_frames": f"{out_dir}/alert_frames"}
-    lake_q = (H.to_scored_row(lake_rows).writeStream.format("parquet")
-              .option("checkpointLocation", f"{out_dir}/_ck_lake")
-              .partitionBy("date"))
-    alert_q = (alert_stream(scored).writeStream
-               .foreachBatch(_alert_sink(paths["alerts"], paths["alert_frames"], alert_topic))
-               .option("checkpointLocation", f"{out_dir}/_ck_alerts"))
-    if available_now:
-        lake_q, alert_q = (lake_q.trigger(availableNow=True),
-                           alert_q.trigger(availableNow=True))
-    queries = [lake_q.start(paths["lake"]), alert_q.start()]
+    sink = ScoringSink(out_dir, avsc, dedup, brokers, time_mode)
+    w = source.writeStream.foreachBatch(sink).option("checkpointLocation", f"{out_dir}/_ck_scoring")
+    q = (w.trigger(availableNow=True) if available_now else w).start()
     if available_now:
-        for q in queries:
-            q.awaitTermination()
-    return paths
+        q.awaitTermination()
+    return sink.paths
 
 
 SNAPSHOT_COLUMNS = ["seq", "ts_ms", "news2_score", "news2_tier", "respiration_rate",
@@ -264,31 +279,11 @@ def alerts_with_vitals_stream(alerts: DataFrame, scored: DataFrame,
         "s.temperature", "s.systolic_bp", "s.heart_rate", "s.consciousness_level")
 
 
-def kafka_topic_sink(records: DataFrame, avsc: str, brokers: str, topic: str,
-                     checkpoint: str, schema_id: int = FR.EXPECTED_SCHEMA_ID):
-    """K3/K4: frame records (key = patient id) and write them to a topic.
-
-    Needs the Kafka connector on the classpath (not present in this build
-    environment, so only the encoder half is exercised by the tests)."""
-    framed = FR.encode_frames(records, avsc, schema_id=schema_id)
-    return (framed.select("key", "value").writeStream.format("kafka")
-            .option("kafka.bootstrap.servers", brokers).option("topic", topic)
-            .option("checkpointLocation", checkpoint).start())
-
-
 def run_scoring_kafka(spark: SparkSession, brokers: str, out_dir: str,
-                      max_offsets: int | None = None) -> dict:
-    """The deployed shape: raw topic -> scoring -> lake + alert table, alerts
-    and scored records to their topics, rejects to their own table."""
-    from wardpulse.schemas import SCORED_AVSC, TOPIC_ALERTS, TOPIC_SCORED
-    readings, rejects = kafka_readings(spark, brokers, max_offsets=max_offsets)
-    paths = run_scoring(spark, readings, out_dir, available_now=False,
-                        alert_topic=(brokers, TOPIC_ALERTS))
-    queries = {
-        "scored_topic": kafka_topic_sink(with_news2(readings), SCORED_AVSC, brokers,
-                                         TOPIC_SCORED, f"{out_dir}/_ck_scored_topic"),
-        "rejects": (rejects.writeStream.format("parquet")
-                    .option("checkpointLocation", f"{out_dir}/_ck_rejects")
-                    .start(f"{out_dir}/rejects")),
-    }
-    return {"paths": paths, "queries": queries}
+                      max_offsets: int | None = None, once: bool = False,
+                      dedup: bool = False, time_mode: str = "event") -> dict[str, str]:
+    """The deployed shape: raw topic -> lake, alert table, rejects, and the
+    alert and scored topics (needs the Kafka connector)."""
+    return run_scoring(spark, kafka_frames(spark, brokers, max_offsets=max_offsets), out_dir,
+                       available_now=once, dedup=dedup, avsc=RAW_AVSC, brokers=brokers,
+                       time_mode=time_mode)
