@@ -29,7 +29,6 @@ are one place (neither repeats the other); an empty table gives no rows.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +46,7 @@ FILTER_BITS = 27
 SHARD_WORDS = 1 << 20
 HOT_WORDS = 1 << 20
 QUERY_WINDOWS = 64
+SLOT_BITS = 20
 _LAST = (1 << 63) - 1
 
 
@@ -105,13 +105,14 @@ def _cut(passing):
             on = np.flatnonzero((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
             text = [b" ".join(s.words[a:a + n + WIDTH - 1])
                     for a, n in zip(s.start[on].tolist(), s.count[on].tolist())]
-            digest = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, text)), np.int64).reshape(-1, 2)
+            digest = np.fromiter(map(xxhash.xxh3_64_intdigest, text), np.uint64, len(text))
             rows = pa.array(s.doc[on])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(s.route[on].view(np.int64)), pa.array(digest[:, 0]), pa.array(digest[:, 1]),
+                [pa.array(s.route[on].view(np.int64)), pa.array(digest.view(np.int64)),
                  b.column("d").take(rows), b.column(KEY).take(rows),
-                 pa.array(s.place()[on]), pa.array(s.count[on]), pa.array(text, pa.binary())],
-                names=["route", "s1", "s2", "d", KEY, "at", "n", "seg"])
+                 pa.array(s.place()[on].astype(np.int32)), pa.array(s.count[on].astype(np.int32)),
+                 pa.array(text, pa.binary())],
+                names=["route", "digest", "d", KEY, "at", "n", "seg"])
     return run
 
 
@@ -160,8 +161,8 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(seg) else np.zeros(0, bool)
         i = np.flatnonzero(new)
         return pa.RecordBatch.from_arrays(
-            [pa.array(d[seg[i]]), pa.array(key[seg[i]]), pa.array(at[seg[i]] + win[i]),
-             pa.array(np.diff(np.append(i, len(seg))))], names=["d", KEY, "at", "n"])
+            [pa.array(d[seg[i]]), pa.array(key[seg[i]]), pa.array((at[seg[i]] + win[i]).astype(np.int32)),
+             pa.array(np.diff(np.append(i, len(seg))).astype(np.int32))], names=["d", KEY, "at", "n"])
 
     for b in batches:
         for route, d, key, at, n, s in zip(*(b.column(c).to_pylist()
@@ -186,7 +187,7 @@ def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                                             for i in range(n)), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.array([d] * n, pa.int64()),
-                 pa.array([key] * n, pa.int64()), pa.array(np.arange(at, at + n))],
+                 pa.array([key] * n, pa.int64()), pa.array(range(at, at + n), pa.int32())],
                 names=["s1", "s2", "d", KEY, "at"])
 
 
@@ -216,13 +217,14 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         filled[block * 4096:block * 4096 + len(bits)] = bits
     passing = spark.sparkContext.broadcast(bytes(filled))
 
-    schema = f"route long, s1 long, s2 long, d long, {KEY} long, at long, n long, seg binary"
+    # Route and digest together name a segment's content.
+    schema = f"route long, digest long, d long, {KEY} long, at int, n int, seg binary"
     segs = shared_table(slim.mapInArrow(_cut(passing), schema), "segments")
     here = F.struct("d", KEY, "at", "n", "seg")
     classes = shared_table(
-        segs.groupBy("route", "s1", "s2").agg(F.min(here).alias("r"))
+        segs.groupBy("route", "digest").agg(F.min(here).alias("r"))
         .select("route", "r.*"), "segment-classes")
-    copies = _later(segs.drop("seg"), ["route", "s1", "s2"])
+    copies = _later(segs.drop("seg"), ["route", "digest"])
     hot = (classes.groupBy("route").agg(F.sum(F.col("n") + WIDTH).alias("w"),
                                         F.count(F.lit(1)).alias("m"))
            .filter((F.col("w") > HOT_WORDS) & (F.col("m") > 1)).select("route"))
@@ -230,13 +232,13 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     out = copies
     if not hot.isEmpty():
         single = classes.join(hot, "route", "left_semi").select("d", KEY, "at", "seg").mapInArrow(
-            _single_windows, f"s1 long, s2 long, d long, {KEY} long, at long")
-        single = shared_table(single.withColumn("n", F.lit(1).cast("long")), "single-windows")
+            _single_windows, f"s1 long, s2 long, d long, {KEY} long, at int")
+        single = shared_table(single.withColumn("n", F.lit(1)), "single-windows")
         out = out.union(_later(single, ["s1", "s2"]))
         classes = classes.join(hot, "route", "left_anti")
     found = (classes.repartition("route").sortWithinPartitions("route")
              .select("route", "d", KEY, "at", "n", "seg")
-             .mapInArrow(_search, f"d long, {KEY} long, at long, n long"))
+             .mapInArrow(_search, f"d long, {KEY} long, at int, n int"))
     return out.union(found)
 
 
@@ -264,14 +266,24 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, KEY, n_words, n_removed, kept_text (the
     words that stay, joined by one space)."""
-    cuts = (repeated_windows(docs, id_col, text_col).groupBy("d", KEY)
-            .agg(F.collect_set(F.struct("at", "n")).alias("cuts"))
-            .select("d", F.col(KEY).alias("__k"), "cuts"))
+    cuts = shared_table(
+        repeated_windows(docs, id_col, text_col).groupBy("d", KEY)
+        .agg(F.collect_set(F.struct("at", "n")).alias("cuts"))
+        .select("d", F.col(KEY).alias("__k"), "cuts"), "cuts")
     slim = docs.select(F.col(id_col).alias("__id"), row_key(id_col, text_col).alias(KEY),
                        F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("__d"),
                        F.col(text_col).cast("string").alias("__text"))
-    both = slim.join(cuts, (F.col(KEY) == F.col("__k")) & (F.col("__d") == F.col("d")), "left")
+    # Rows that surely have no cuts need no shuffle; they are told by at most
+    # 2**SLOT_BITS slots of the keys that have some.
+    slots = cuts.select(F.pmod("__k", F.lit(1 << SLOT_BITS)).alias("__slot")).distinct()
+    marked = slim.join(F.broadcast(slots), F.pmod(KEY, F.lit(1 << SLOT_BITS)) == F.col("__slot"),
+                       "left")
+    whole = marked.filter("__slot is null").withColumn(
+        "cuts", F.lit(None).cast(cuts.schema["cuts"].dataType))
+    both = marked.filter("__slot is not null").join(
+        cuts, (F.col(KEY) == F.col("__k")) & (F.col("__d") == F.col("d")), "left")
     kind = slim.schema["__id"].dataType.simpleString()
-    return both.select("__id", KEY, "__text", "cuts").mapInArrow(
+    cols = ["__id", KEY, "__text", "cuts"]
+    return whole.select(*cols).union(both.select(*cols)).mapInArrow(
         _apply, f"__id {kind}, {KEY} long, n_words long, n_removed long, kept_text string"
     ).withColumnRenamed("__id", id_col)
