@@ -147,6 +147,54 @@ def with_ffill(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
                          F.coalesce("_wp_ff", "_wp_carry").alias(out))
 
 
+def runs(df: DataFrame, key: str, order: Sequence[str], state: Sequence[str],
+         same: Callable[[Column, Column], Column], start: str, ts_col: str, *,
+         chunk_width: int) -> DataFrame:
+    """Gaps and islands in one pass: maximal runs of rows, in ``order``, in which
+    each row continues the one before it by ``same(before, row)`` (both structs
+    of ``state``).
+
+    Output per run: key, ``run_start`` (``start`` of its first row), ``first``
+    (the struct of its first row), first and last ``ts_col`` and the number of
+    rows.  The rows are shuffled once, by (key, chunk), and aggregated there to
+    partial runs; only those, and one edge row per chunk, move on.  A chunk's
+    first run joins the last run before it by a scan of the chunks."""
+    packed = F.struct(*[F.col(c) for c in state])
+    w = Window.partitionBy(key, _CK).orderBy(*_order_cols(order))
+    rows = (df.withColumn(_CK, _chunk(order[0], chunk_width)).withColumn("_wp_s", packed)
+            .withColumn("_wp_b", F.lag("_wp_s").over(w)))
+    new = F.col("_wp_b").isNull() | ~same(F.col("_wp_b"), F.col("_wp_s"))
+    rows = rows.withColumn("_wp_n", F.sum(new.cast("long")).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    at = F.struct(*[F.col(c) for c in order])
+    part = rows.groupBy(key, _CK, "_wp_n").agg(
+        F.min_by(start, at).alias("_wp_start"), F.min_by("_wp_s", at).alias("first"),
+        F.max_by("_wp_s", at).alias("_wp_last"), F.min(ts_col).alias("start_ms"),
+        F.max(ts_col).alias("end_ms"), F.count(F.lit(1)).alias("rows"))
+
+    edge = part.groupBy(key, _CK).agg(
+        F.min_by("first", "_wp_n").alias("_wp_head"), F.max_by("_wp_last", "_wp_n").alias("_wp_tail"),
+        F.max("_wp_n").alias("_wp_runs"), F.min_by("_wp_start", "_wp_n").alias("_wp_first_start"),
+        F.max_by("_wp_start", "_wp_n").alias("_wp_last_start"))
+    wk = Window.partitionBy(key).orderBy(_CK)
+    before = F.lag("_wp_tail").over(wk)
+    edge = edge.withColumn("_wp_joins", before.isNotNull() & same(before, F.col("_wp_head")))
+    # Start of the run that is open at the end of each chunk, where known from
+    # the chunk itself; a chunk that is one joined run passes on the one before.
+    opens = F.when(F.col("_wp_runs") > 1, F.col("_wp_last_start")).when(
+        ~F.col("_wp_joins"), F.col("_wp_first_start"))
+    edge = edge.withColumn("_wp_opens", opens).withColumn(
+        "_wp_carry", F.last("_wp_opens", ignorenulls=True).over(
+            wk.rowsBetween(Window.unboundedPreceding, -1)))
+    edge = edge.select(key, _CK, F.when(F.col("_wp_joins"), F.col("_wp_carry")).alias("_wp_carry"))
+    head = F.when(F.col("_wp_n") == 1, F.col("_wp_carry"))
+    return (part.join(edge, [key, _CK])
+            .groupBy(key, F.coalesce(head, F.col("_wp_start")).alias("run_start")).agg(
+                F.min_by("first", F.struct(_CK, "_wp_n")).alias("first"),
+                F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"),
+                F.sum("rows").alias("rows")))
+
+
 def with_frame(df: DataFrame, key: str | Sequence[str], ts_col: str,
                lo: int, hi: int, aggs: dict[str, Callable[[Window], Column]],
                *, bucket_width: int = 3_600_000) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardpulse.operators.ordered import SEQ_CHUNK, TIME_CHUNK_MS, with_ffill, with_neighbour
+from wardpulse.operators.ordered import SEQ_CHUNK, TIME_CHUNK_MS, runs, with_neighbour
 from wardpulse.sources.fixtures import (
     consciousness_dim, envelope_dim, transition_dim, typical_score_dim)
 
@@ -70,38 +70,35 @@ def episodes(readings: DataFrame, state_col: str,
              chunk_width: int = SEQ_CHUNK) -> DataFrame:
     """Gaps-and-islands runs of the same ``state_col`` per patient; NULL is
     a state of its own (a rejected reading ends a run)."""
-    base = readings.select("patient_id", "seq", "ts_ms", state_col)
-    nb = with_neighbour(base, "patient_id", ["seq"], [state_col, "seq"], chunk_width=chunk_width)
-    same = F.col("prev_seq").isNotNull() & F.col("prev_" + state_col).eqNullSafe(F.col(state_col))
-    starts = nb.withColumn("_start", F.when(~same, F.col("seq")))
-    filled = with_ffill(starts, "patient_id", ["seq"], "_start", "start_seq",
-                        chunk_width=chunk_width, monotone=True)
-    return filled.groupBy("patient_id", "start_seq", F.col(state_col).alias("state")).agg(
-        F.min("ts_ms").alias("start_ms"), F.max("ts_ms").alias("end_ms"),
-        F.count(F.lit(1)).alias("readings"))
+    base = readings.select("patient_id", "seq", "ts_ms", F.col(state_col).alias("state"))
+    found = runs(base, "patient_id", ["seq"], ["state"],
+                 lambda before, row: before["state"].eqNullSafe(row["state"]), "seq", "ts_ms",
+                 chunk_width=chunk_width)
+    return found.select("patient_id", F.col("run_start").alias("start_seq"),
+                        F.col("first")["state"].alias("state"), "start_ms", "end_ms",
+                        F.col("rows").alias("readings"))
 
 
-def cadence_gaps(readings: DataFrame, threshold_ms: int = SILENCE_MS) -> DataFrame:
+def cadence_gaps(readings: DataFrame, threshold_ms: int = SILENCE_MS,
+                 chunk_width: int = TIME_CHUNK_MS) -> DataFrame:
     """Silences longer than ``threshold_ms`` between a patient's readings."""
     nb = with_neighbour(readings.select("patient_id", "seq", "ts_ms"), "patient_id",
-                        ["ts_ms", "seq"], ["ts_ms"], chunk_width=TIME_CHUNK_MS)
+                        ["ts_ms", "seq"], ["ts_ms"], chunk_width=chunk_width)
     gap = F.col("ts_ms") - F.col("prev_ts_ms")
     return (nb.withColumn("gap_ms", gap).filter(F.col("gap_ms") > threshold_ms)
             .select("patient_id", "seq", "prev_ts_ms", "ts_ms", "gap_ms"))
 
 
-def monitoring_sessions(readings: DataFrame, gap_ms: int = SILENCE_MS) -> DataFrame:
+def monitoring_sessions(readings: DataFrame, gap_ms: int = SILENCE_MS,
+                        chunk_width: int = TIME_CHUNK_MS) -> DataFrame:
     """Contiguous monitoring periods; an inactivity of ``gap_ms`` or more
     starts a new session (same split rule as ``session_window``)."""
-    nb = with_neighbour(readings.select("patient_id", "seq", "ts_ms"), "patient_id",
-                        ["ts_ms", "seq"], ["ts_ms"], chunk_width=TIME_CHUNK_MS)
-    starts = nb.withColumn("_start", F.when(
-        F.col("prev_ts_ms").isNull() | (F.col("ts_ms") - F.col("prev_ts_ms") >= gap_ms),
-        F.col("ts_ms")))
-    filled = with_ffill(starts, "patient_id", ["ts_ms", "seq"], "_start", "session_start_ms",
-                        chunk_width=TIME_CHUNK_MS, monotone=True)
-    return filled.groupBy("patient_id", "session_start_ms").agg(
-        F.max("ts_ms").alias("session_end_ms"), F.count(F.lit(1)).alias("readings"))
+    found = runs(readings.select("patient_id", "seq", "ts_ms"), "patient_id", ["ts_ms", "seq"],
+                 ["ts_ms"], lambda before, row: row["ts_ms"] - before["ts_ms"] < gap_ms,
+                 "ts_ms", "ts_ms", chunk_width=chunk_width)
+    return found.select("patient_id", F.col("run_start").alias("session_start_ms"),
+                        F.col("end_ms").alias("session_end_ms"),
+                        F.col("rows").alias("readings"))
 
 
 def sessions_native(readings: DataFrame, gap: str = "5 minutes") -> DataFrame:

@@ -157,16 +157,16 @@ def throughput_per_patient(scored: DataFrame, duration: str = "1 minute") -> Dat
     return out.select("patient_id", F.unix_millis("w.start").alias("minute_ms"), "readings")
 
 
-def with_dwell(scored: DataFrame) -> DataFrame:
+def with_dwell(scored: DataFrame, chunk_width: int = TIME_CHUNK_MS) -> DataFrame:
     """Time until the patient's next reading (null for the last one)."""
     nb = with_neighbour(scored, "patient_id", ["ts_ms", "seq"], ["ts_ms"],
-                        direction="next", chunk_width=TIME_CHUNK_MS)
+                        direction="next", chunk_width=chunk_width)
     return nb.withColumn("dwell_ms", F.col("next_ts_ms") - F.col("ts_ms"))
 
 
-def tier_occupancy(scored: DataFrame) -> DataFrame:
+def tier_occupancy(scored: DataFrame, chunk_width: int = TIME_CHUNK_MS) -> DataFrame:
     """Time spent in each tier per patient (sum of dwell times)."""
-    d = with_dwell(scored.select("patient_id", "seq", "ts_ms", "news2_tier"))
+    d = with_dwell(scored.select("patient_id", "seq", "ts_ms", "news2_tier"), chunk_width)
     return d.groupBy("patient_id", "news2_tier").agg(
         F.count(F.lit(1)).alias("readings"),
         F.coalesce(F.sum("dwell_ms"), F.lit(0)).cast("long").alias("occupancy_ms"))

@@ -144,6 +144,18 @@ scored_nulls AS (
 """
 
 
+def sql_days(body: str) -> str:
+    """The same over the uncompressed time axis of 30 days."""
+    return PREFIX.replace("// 300000 AS ts_ms", "// 1000 AS ts_ms") + body
+
+
+def sql_hot(body: str) -> str:
+    """The same with a third of the readings given to one patient."""
+    return PREFIX.replace("SELECT seq, CAST(user_id AS VARCHAR) AS patient_id, ts_ms,",
+                          "SELECT seq, CASE WHEN seq % 3 = 0 THEN 'hot' ELSE "
+                          "CAST(user_id AS VARCHAR) END AS patient_id, ts_ms,") + body
+
+
 def sql(body: str) -> str:
     """Oracle query: the fixture CTEs followed by ``body`` (a SELECT)."""
     return PREFIX + body

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardpulse.functions.news2 import with_news2
 from wardpulse.session import prepare
-from wardpulse.sources.fixtures import admin_events, raw_readings, with_missing_vitals
+from wardpulse.sources.fixtures import (
+    REAL_TIME, admin_events, raw_readings, with_hot_patient, with_missing_vitals)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +49,14 @@ def scored_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_news2(with_missing_vitals(raw_readings(spark, sf_dir)))
 
 
+def raw_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_readings(spark, sf_dir, REAL_TIME)
+
+
+def scored_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_news2(with_hot_patient(raw_readings(spark, sf_dir)))
+
+
 def admin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admin_events(spark, sf_dir)
 
@@ -57,6 +66,6 @@ def load_all() -> tuple[dict[str, QueryFn], dict[str, str]]:
     """Import every query module so its ``@register`` calls run."""
     from wardpulse.plans import (  # noqa: F401
         q_scoring, q_alerts, q_windows, q_joins, q_quality, q_frames,
-        q_history, q_trajectory, q_streaming,
+        q_history, q_trajectory, q_streaming, q_seams,
     )
     return QUERIES, ORACLE

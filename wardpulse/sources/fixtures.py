@@ -100,8 +100,10 @@ def _consciousness(sid: Column, k: Column) -> Column:
     )
 
 
-def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RAW readings (+ ``seq``, ``ts_ms``) derived row-by-row from ``events``."""
+def raw_readings(spark: SparkSession, sf_dir: str, compression: int = TIME_COMPRESSION
+                 ) -> DataFrame:
+    """RAW readings (+ ``seq``, ``ts_ms``) derived row-by-row from ``events``;
+    ``compression`` is µs of source time per ms of reading time."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "props"])
     us = epoch_us(ev, "ts")
     e = F.col("event_id")
@@ -109,7 +111,7 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = ev.select(
         e.alias("seq"),
         F.col("user_id"),
-        (F.lit(EPOCH_2024_MS) + F.floor((us - F.lit(EPOCH_2024_US)) / TIME_COMPRESSION)
+        (F.lit(EPOCH_2024_MS) + F.floor((us - F.lit(EPOCH_2024_US)) / compression)
          ).cast("long").alias("ts_ms"),
         F.dayofmonth(F.date_from_unix_date(F.floor(us / 86400000000).cast("int"))
                      ).cast("long").alias("dom"),
@@ -149,6 +151,15 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+REAL_TIME = 1000   # compression of the day fixture: the source's own 30 days
+
+
+def with_hot_patient(raw: DataFrame, share: int = 3) -> DataFrame:
+    """Skew fixture: one patient has a ``share``-th of all readings."""
+    return raw.withColumn("patient_id", F.when(F.col("seq") % share == 0, F.lit("hot"))
+                          .otherwise(F.col("patient_id")))
+
+
 def with_missing_vitals(raw: DataFrame) -> DataFrame:
     """Readings with NULL heart rates, NaN temperatures and temperatures of
     full double precision."""
