@@ -98,3 +98,104 @@ def test_alert_stream_dedup_matches_batch(spark):
     got = spark.read.parquet(f"{base}/out").select(*COLS)
     assert got.count() == 195
     assert got.exceptAll(alerts).count() == 0 and alerts.exceptAll(got).count() == 0
+
+
+def test_late_range_and_redeliveries(spark):
+    """A whole range that comes after later ones is scored, stored and stepped,
+    with and without de-duplication; redelivered rows appear once with it."""
+    from wardpulse.operators.alerts import redeliver
+    raw = raw_readings(spark, SF_SMALL)
+    base = tempfile.mkdtemp(prefix="wp-late2-")
+    fpt = write_replay(redeliver(raw, 50), f"{base}/replay", files_per_part=2, order=(0, 2, 3, 1))
+    for dedup, rows in ((False, 1020), (True, 1000)):
+        out = f"{base}/out{dedup}"
+        paths = run_scoring(spark, file_readings(spark, f"{base}/replay", raw.schema, fpt), out,
+                            dedup=dedup)
+        lake = spark.read.parquet(paths["lake"])
+        assert lake.count() == rows and lake.select("seq").distinct().count() == 1000
+        assert "date" in lake.columns
+
+
+def test_redelivery_in_a_later_batch(spark):
+    raw = raw_readings(spark, SF_SMALL)
+    base = tempfile.mkdtemp(prefix="wp-redeliver-")
+    for part in (raw.filter("seq < 500"), raw.filter("seq >= 300")):
+        part.repartition(2).write.mode("append").parquet(f"{base}/replay")
+    paths = run_scoring(spark, file_readings(spark, f"{base}/replay", raw.schema, 2),
+                        f"{base}/out", dedup=True)
+    got = spark.read.parquet(paths["alerts"]).select(*COLS)
+    expected = _batch(spark)
+    assert spark.read.parquet(paths["lake"]).count() == 1000
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
+def test_bad_timestamp_does_not_stop_the_stream(spark):
+    """An i64 maximum time: no table row, a reject with its bytes, and the
+    patient's state steps on."""
+    from tests.conftest import reading, readings_df
+    from wardpulse.schemas import RAW_AVSC
+    from wardpulse.sources import frames as FR
+    calm, ill = dict(rr=15, hr=75), dict(rr=26, hr=140, sbp=85, c="VOICE")
+    rows = [reading(seq=0, **calm), reading(seq=1, **ill), reading(seq=2, **calm)]
+    df = readings_df(spark, rows).withColumn(
+        "ts_ms", F.when(F.col("seq") == 1, F.lit(FR.I64_MAX)).otherwise(F.col("seq") * 1000))
+    frames = FR.encode_frames(df, RAW_AVSC).select("seq", "value")
+    base = tempfile.mkdtemp(prefix="wp-badts-")
+    frames.repartition(1).write.parquet(f"{base}/frames")
+    paths = run_scoring(spark, file_readings(spark, f"{base}/frames", frames.schema, 1),
+                        f"{base}/out", avsc=RAW_AVSC)
+    assert [r.seq for r in spark.read.parquet(paths["lake"]).orderBy("seq").collect()] == [0, 2]
+    rejects = spark.read.parquet(paths["rejects"]).collect()
+    value = bytes(frames.filter("seq = 1").first().value)
+    assert [(r.seq, r.reason, bytes(r.value)) for r in rejects] == [(1, "bad_timestamp", value)]
+    alerts = spark.read.parquet(paths["alerts"]).collect()
+    assert [(r.seq, r.previous_tier, r.new_tier) for r in alerts] == [(2, "High", "Low")]
+    assert all(r.emitted_at is not None for r in alerts)
+    assert spark.read.parquet(paths["alert_frames"]).count() == 2
+
+
+def test_hourly_is_the_rollup_of_five_minutes(spark):
+    from wardpulse.operators.windows import agg_1hour, finish_stats, window_stats
+    from wardpulse.sources.fixtures import with_missing_vitals
+    s = with_news2(with_missing_vitals(raw_readings(spark, SF_SMALL)))
+    direct = finish_stats(window_stats(s, "1 hour").drop("window"))
+    rolled = agg_1hour(s)
+    assert rolled.exceptAll(direct).count() == 0 and direct.exceptAll(rolled).count() == 0
+
+
+def test_heart_rate_drift_is_flagged_before_it_scores(spark):
+    """75 -> 85 -> 95 -> 108 over three minutes: the slope flags the trend while
+    each reading alone scores little."""
+    from tests.conftest import reading, readings_df
+    from wardpulse.operators.trajectory import TREND_SLOPE, lead_time, trajectory_features
+    rows = [reading(seq=i, ts=60_000 * i, hr=hr) for i, hr in enumerate((75, 85, 95, 108))]
+    rows.append(reading(seq=4, ts=300_000, hr=140, rr=26, sbp=85, c="VOICE"))
+    features = trajectory_features(with_news2(readings_df(spark, rows)))
+    by_seq = {r.seq: r for r in features.collect()}
+    assert by_seq[3].hr_slope >= TREND_SLOPE and by_seq[3].news2_tier == "Low"
+    assert by_seq[3].spo2_mean == 97.0
+    lead = lead_time(features).collect()
+    assert [(r.first_flag_ms, r.high_ms, r.lead_ms) for r in lead] == [(120_000, 300_000, 180_000)]
+
+
+def test_runs_do_not_depend_on_chunks(spark):
+    from wardpulse.operators.quality import episodes, monitoring_sessions
+    raw = raw_readings(spark, SF_SMALL).withColumn("patient_id", F.col("seq").cast("int") % 2)
+    whole, gaps = episodes(raw, "simulator_state"), monitoring_sessions(raw, 20_000)
+    for width in (1, 2, 7, 100):
+        small = episodes(raw, "simulator_state", width)
+        assert small.exceptAll(whole).count() == 0 and whole.exceptAll(small).count() == 0
+    for width in (1, 5_000, 60_000):
+        small = monitoring_sessions(raw, 20_000, width)
+        assert small.exceptAll(gaps).count() == 0 and gaps.exceptAll(small).count() == 0
+
+
+def test_declared_tables():
+    """The declared envelopes, transitions and consciousness mix, spelled out."""
+    from wardpulse.sources import fixtures as X
+    assert all(abs(sum(row) - 1) < 1e-9 for row in X.TRANSITIONS)
+    assert all(abs(sum(mix) - 1) < 1e-9 for mix in X.CONSCIOUSNESS_MIX.values())
+    assert X.TRANSITIONS[0] == [0.93, 0.02, 0.02, 0.01, 0.01, 0.01]
+    assert X.TRANSITIONS[5] == [0.02, 0.15, 0.05, 0.05, 0.03, 0.70]
+    high = {r[1]: (r[2] + r[3] - 1, r[11] + r[12] - 1) for r in X.ENVELOPE}
+    assert high["STABLE"] == (20, 80) and high["SEPTIC_SHOCK"] == (38, 160)
