@@ -24,12 +24,15 @@ def last_tier(scored: DataFrame) -> DataFrame:
 
     ``max_by`` is a declarative aggregate: map-side partial aggregation keeps a
     hot patient from reaching the shuffle as more than one row per task.
+    The tier travels as its rank: with fixed-width buffers Spark hash-aggregates.
     """
-    return scored.groupBy("patient_id").agg(
-        F.max_by("news2_tier", "seq").alias("last_tier"),
+    last = scored.withColumn("_rank", tier_rank("news2_tier")).groupBy("patient_id").agg(
+        F.max_by("_rank", "seq").alias("_rank"),
         F.max("seq").alias("last_seq"),
         F.count(F.lit(1)).alias("readings"),
     )
+    return last.select("patient_id", rank_label(F.col("_rank")).alias("last_tier"), "last_seq",
+                       "readings")
 
 
 def tier_change_alerts(scored: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:

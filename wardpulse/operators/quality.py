@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wardpulse.operators.ordered import SEQ_CHUNK, TIME_CHUNK_MS, runs, with_neighbour
 from wardpulse.sources.fixtures import (
-    consciousness_dim, envelope_dim, transition_dim, typical_score_dim)
+    STATES, consciousness_dim, envelope_dim, transition_dim, typical_score_dim)
 
 CONSCIOUSNESS_LEVELS = ["ALERT", "NEW_CONFUSION", "VOICE", "PAIN", "UNRESPONSIVE"]
 SILENCE_MS = 300_000          # R4/R5 threshold (parameter)
@@ -49,12 +49,17 @@ def envelope_violations(readings: DataFrame) -> DataFrame:
 def state_transitions(readings: DataFrame, chunk_width: int = SEQ_CHUNK) -> DataFrame:
     """R2: empirical P(next state | state) between consecutive readings of a
     patient, against the declared 36-cell matrix."""
-    nb = with_neighbour(readings.select("patient_id", "seq", "simulator_state"),
-                        "patient_id", ["seq"], ["simulator_state"], chunk_width=chunk_width)
-    observed = (nb.filter(F.col("prev_simulator_state").isNotNull())
-                .groupBy(F.col("prev_simulator_state").alias("from_state"),
-                         F.col("simulator_state").alias("to_state"))
-                .agg(F.count(F.lit(1)).alias("transitions")))
+    # States travel as their place in the declared list: fixed-width edges.
+    states = F.array(*map(F.lit, STATES))
+    coded = readings.select("patient_id", "seq",
+                            F.array_position(states, F.col("simulator_state")).alias("state"))
+    nb = with_neighbour(coded, "patient_id", ["seq"], ["state"], chunk_width=chunk_width)
+    observed = (nb.filter(F.col("prev_state").isNotNull())
+                .groupBy("prev_state", "state").agg(F.count(F.lit(1)).alias("transitions"))
+                .filter((F.col("prev_state") > 0) & (F.col("state") > 0))
+                .select(F.element_at(states, F.col("prev_state").cast("int")).alias("from_state"),
+                        F.element_at(states, F.col("state").cast("int")).alias("to_state"),
+                        "transitions"))
     dim = F.broadcast(transition_dim(readings.sparkSession))
     cells = dim.join(observed, ["from_state", "to_state"], "left").withColumn(
         "transitions", F.coalesce("transitions", F.lit(0)).cast("long"))
