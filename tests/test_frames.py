@@ -5,7 +5,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from wardpulse.functions.avro import AvroDecodeError, decode_body, encode_body, frame, parse_schema
+from tests.avro_rows import AvroDecodeError, decode_body, encode_body, frame
+from wardpulse.functions.avro import parse_schema
 from wardpulse.schemas import ALERT_AVSC, RAW_AVSC
 from wardpulse.sources import frames as FR
 
