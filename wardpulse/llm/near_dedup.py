@@ -343,7 +343,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for s in stars[1:]:
         pairs = pairs.union(s)
     links = shared_table(_confirm(pairs, classes, slim, percent), "near-links")
-    roots = connected(links)
+    # Groups within components are enough here: a pivot and its classes are joined
+    # after one round.
+    roots = connected(links, 1, partial=True)
 
     # What the pivots left apart: loose pairs by tokens, then links on full sets.
     def with_comp(members: DataFrame) -> DataFrame:
