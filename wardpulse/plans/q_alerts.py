@@ -63,14 +63,17 @@ def dedup_readings(spark, sf_dir):
 
 #: Emission time of the latency fixture: a fixed delay that varies by arrival.
 EMIT_DELAY_SQL = "ts_ms + 40 + seq % 997"
-EMITTED = F.timestamp_millis(F.expr(EMIT_DELAY_SQL))
+
+
+def _emitted():
+    return F.timestamp_millis(F.expr(EMIT_DELAY_SQL))
 
 
 @register("alert_latency", sql(f"""
 SELECT patient_id, seq, ts_ms, new_tier, {EMIT_DELAY_SQL} - ts_ms AS latency_ms FROM alerts"""))
 def alert_latency(spark, sf_dir):
     """Latency of each alert for a given emission time."""
-    return A.alert_latency(alerts_of(spark, sf_dir), EMITTED).select(
+    return A.alert_latency(alerts_of(spark, sf_dir), _emitted()).select(
         "patient_id", "seq", "ts_ms", "new_tier", "latency_ms")
 
 
@@ -80,4 +83,4 @@ SELECT new_tier, count(*) AS alerts, round(quantile_cont(l, 0.5), 4) AS p50_ms,
 FROM (SELECT *, {EMIT_DELAY_SQL} - ts_ms AS l FROM alerts) GROUP BY new_tier"""))
 def alert_latency_summary(spark, sf_dir):
     """Latency percentiles by new tier."""
-    return A.latency_summary(A.alert_latency(alerts_of(spark, sf_dir), EMITTED))
+    return A.latency_summary(A.alert_latency(alerts_of(spark, sf_dir), _emitted()))
