@@ -84,6 +84,22 @@ def test_depleted_documents_go(spark):
     assert {r.doc_id for r in drop_rejected(df).collect()} == {100 + i for i in range(30)}
 
 
+def test_copies_do_not_remove_one_another(spark):
+    """Many copies of a clean page of short lines, some in another case or
+    wrapping, stay; a line of many distinct texts still counts."""
+    verse = ["\n".join(f"verse{p} line{k} has a word{k}" for k in range(12)) for p in range(2)]
+    rows = [(i, verse[0], "h") for i in range(40)] + [(100 + i, verse[1].upper(), "h") for i in range(15)]
+    rows += [(200 + i, verse[1].replace("has a", "has\na"), "h") for i in range(15)]
+    rows += [(300 + i, "share this page with friends today\n" + " ".join(f"own{i}x{k}" for k in range(5)),
+              "h") for i in range(30)]
+    rows += [(400 + i, "share this page with friends today\n" * 5, "h") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in quality_rules(df).collect()}
+    assert all(got[i].kept and got[i].n_frequent_words == 0 for i, *_ in rows if i < 300)
+    assert {got[i].n_frequent_words for i in range(300, 330)} == {6}
+    assert not any(got[400 + i].kept for i in range(3))
+
+
 def test_quality_stage_keeps_columns(edge):
     kept = drop_rejected(edge)
     assert kept.columns == edge.columns

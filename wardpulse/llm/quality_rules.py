@@ -2,23 +2,26 @@
 
 Base rules look at one text (see ``text_counts``).  The corpus rule hashes the
 normalised lines of each text, counts for each host in how many distinct
-documents a line stands, removes lines above the limit and rejects documents
+texts a line stands, removes lines above the limit and rejects documents
 that this depletes.
 
 * normalised line: words lower-cased (A-Z), joined by one space;
-* the limit is a share of the host's documents with a floor, so it acts alike
-  at every size: ``max(MIN_DOCS, SHARE * documents of the host)``;
+* distinct text: the words of a document, lower-cased (A-Z).  Copies of one
+  text, whatever their case and white space, add one to each line, so copies of
+  a good document do not remove one another;
+* the limit is a share of the host's distinct texts with a floor, so it acts
+  alike at every size: ``max(MIN_DOCS, SHARE * distinct texts of the host)``;
 * a line of LONG_LINE words or more is a passage, not page furniture, and is
-  left to the dedup operators: copies of a good document must not remove one
-  another here;
+  left to the dedup operators;
 * depleted: fewer than MIN_WORDS words are left, and they are under half.
 
-Counts are partial-aggregated per map task, so a line that stands in a third
-of all documents sends one row per task.
+Pairs of line and text are made distinct first, dealt by both; their counts
+are then partial-aggregated per task, so a line that stands in a third of all
+documents sends one row per task.
 
 Defined cases: null text is empty (base rules fail it); a null host is a host;
-null ids and rows that repeat an id are judged row by row, and each row is a
-document in the line counts; an empty table gives no rows.
+null ids and rows that repeat an id are judged row by row; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -74,6 +77,11 @@ def line_words(text: str) -> dict[int, int]:
     return out
 
 
+def text_hash(text: str) -> int:
+    """Signed hash of the normalised words of a text."""
+    return xxhash.xxh3_64_intdigest(b" ".join(text.encode().lower().split())) - (1 << 63)
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = [t or "" for t in b.column("__text").to_pylist()]
@@ -82,9 +90,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [b.column("__id"), b.column(KEY), b.column("__host"),
              *[pa.array(c, pa.int64()) for c in counts],
+             pa.array([text_hash(t) for t in texts], pa.int64()),
              pa.array([list(x) for x in lines], pa.list_(pa.int64())),
              pa.array([list(x.values()) for x in lines], pa.list_(pa.int32()))],
-            names=["__id", KEY, "__host", *_COUNTS, "__lines", "__line_words"])
+            names=["__id", KEY, "__host", *_COUNTS, "__content", "__lines", "__line_words"])
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -101,7 +110,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         [slim.schema["__id"], T.StructField(KEY, T.LongType()),
          T.StructField("__host", T.StringType())]
         + [T.StructField(c, T.LongType()) for c in _COUNTS]
-        + [T.StructField("__lines", T.ArrayType(T.LongType())),
+        + [T.StructField("__content", T.LongType()),
+           T.StructField("__lines", T.ArrayType(T.LongType())),
            T.StructField("__line_words", T.ArrayType(T.IntegerType()))])
     scanned = shared_table(
         slim.mapInArrow(_scan, schema).withColumn("__row", F.monotonically_increasing_id()),
@@ -111,11 +121,14 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                            F.explode(F.arrays_zip("__lines", "__line_words")).alias("__l")
                            ).select("__row", "__host", F.col("__l.__lines").alias("__line"),
                                     F.col("__l.__line_words").alias("__w"))
-    hosts = scanned.groupBy("__host").agg(F.count(F.lit(1)).alias("__docs"))
-    frequent = (lines.groupBy("__host", "__line").agg(F.count(F.lit(1)).alias("__n"))
+    hosts = (scanned.select("__host", "__content").distinct()
+             .groupBy("__host").agg(F.count(F.lit(1)).alias("__texts")))
+    frequent = (scanned.select("__host", "__content", F.explode("__lines").alias("__line"))
+                .distinct()
+                .groupBy("__host", "__line").agg(F.count(F.lit(1)).alias("__n"))
                 .filter(F.col("__n") > min_docs)
                 .join(hosts, "__host")
-                .filter(F.col("__n") > F.col("__docs") * F.lit(share))
+                .filter(F.col("__n") > F.col("__texts") * F.lit(share))
                 .select("__host", "__line"))
     removed = (lines.join(frequent, ["__host", "__line"])
                .groupBy("__row").agg(F.sum("__w").alias("__removed")))
@@ -123,7 +136,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     failed = ((F.col("n_words") < MIN_WORDS)
               | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     depleted = (left < MIN_WORDS) & (2 * left < F.col("n_words"))
-    return (scanned.drop("__lines", "__line_words", "__host")
+    return (scanned.drop("__lines", "__line_words", "__host", "__content")
             .join(removed, "__row", "left")
             .withColumn("n_frequent_words", F.coalesce("__removed", F.lit(0)).cast("long"))
             .withColumn("base_failed", failed)
