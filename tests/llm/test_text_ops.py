@@ -100,6 +100,17 @@ def test_copies_do_not_remove_one_another(spark):
     assert not any(got[400 + i].kept for i in range(3))
 
 
+def test_long_lines_count(spark):
+    """A legal line of 25 words in every text is furniture, alone or not."""
+    legal = " ".join(f"clause{k}" for k in range(25))
+    rows = [(i, legal + f"\nonly {i}", "h") for i in range(30)]
+    rows += [(100 + i, legal + "\n" + " ".join(f"own{i}x{k}" for k in range(60)), "h") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = quality_rules(df).collect()
+    assert {r.n_frequent_words for r in got} == {25}
+    assert {r.doc_id for r in got if r.kept} == {100 + i for i in range(30)}
+
+
 def test_quality_stage_keeps_columns(edge):
     kept = drop_rejected(edge)
     assert kept.columns == edge.columns

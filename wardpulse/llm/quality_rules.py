@@ -11,8 +11,7 @@ that this depletes.
   a good document do not remove one another;
 * the limit is a share of the host's distinct texts with a floor, so it acts
   alike at every size: ``max(MIN_DOCS, SHARE * distinct texts of the host)``;
-* a line of LONG_LINE words or more is a passage, not page furniture, and is
-  left to the dedup operators;
+* lines count whatever their length;
 * depleted: fewer than MIN_WORDS words are left, and they are under half.
 
 Pairs of line and text are made distinct first, dealt by both; their counts
@@ -44,7 +43,6 @@ WHITE = " \t\n\v\f\r"
 
 MIN_DOCS = 10
 SHARE = 0.005
-LONG_LINE = 20
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -67,11 +65,11 @@ def text_counts(text: str) -> tuple[int, int, int, int, int]:
 
 
 def line_words(text: str) -> dict[int, int]:
-    """Signed hash of each distinct normalised short line -> words it covers."""
+    """Signed hash of each distinct normalised line -> words it covers."""
     out: dict[int, int] = {}
     for line in text.encode().lower().split(b"\n"):
         words = line.split()
-        if 0 < len(words) < LONG_LINE:
+        if words:
             h = xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
             out[h] = out.get(h, 0) + len(words)
     return out
