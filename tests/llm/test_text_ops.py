@@ -111,6 +111,18 @@ def test_long_lines_count(spark):
     assert {r.doc_id for r in got if r.kept} == {100 + i for i in range(30)}
 
 
+def test_frequent_lines_are_cut(spark):
+    """Kept texts lose the lines above the limit of their host, and only those."""
+    menu = "Home  about news"
+    own = [[" ".join(f"own{i}x{a}x{k}" for k in range(15)) for a in range(3)] for i in range(30)]
+    rows = [(i % 29, f"{menu}\n{o[0]}\n\n {menu.upper()}\n{o[1]}\n{o[2]}", "h") for i, o in enumerate(own)]
+    rows += [(None, rows[3][1], "h"), (50, rows[4][1], None), (51, None, "h"), rows[5]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = Counter((i, t if h is None else "\n".join([o[0], "", o[1], o[2]]), h) for (i, t, h), o in
+                   zip(rows, [*own, own[3], own[4], None, own[5]]) if t is not None)
+    assert Counter(tuple(r) for r in drop_rejected(df).collect()) == want
+
+
 def test_quality_stage_keeps_columns(edge):
     kept = drop_rejected(edge)
     assert kept.columns == edge.columns

@@ -11,7 +11,7 @@ from wardpulse.llm.bpe import decode, encode
 from wardpulse.llm.exact_dedup import exact_dedup
 from wardpulse.llm.mixing import mix_sources
 from wardpulse.llm.near_dedup import near_dedup
-from wardpulse.llm.quality_rules import quality_rules
+from wardpulse.llm.quality_rules import VERDICT, clean_texts
 from wardpulse.llm import secrets
 from wardpulse.llm.substring_dedup import substring_dedup
 from wardpulse.llm.token_store import read_tokens, write_tokens
@@ -57,8 +57,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-text counts, line frequency by host, verdict."""
-    return quality_rules(documents(spark, sf_dir)).drop("__key")
+    """Per-text counts, line frequency by host, verdict, cleaned text."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
+    return clean_texts(docs, verdict=VERDICT).select(
+        "doc_id", *VERDICT, F.sha2("text", 256).alias("clean_sha256"))
 
 
 #: Target weights of the registered mix; values not named weigh 1.
