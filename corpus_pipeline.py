@@ -19,6 +19,9 @@ from wardpulse.llm.queries import BPE_FILE, MIX_SEED, MIX_WEIGHTS
 from wardpulse.llm.rows import shared_table
 from wardpulse.sources.tables import read_table
 
+#: Similarity from which two documents are near copies, in hundredths.
+NEAR_PERCENT = 80
+
 #: Share of the tokens kept by the mix, in thousandths.
 KEEP_PERMILLE = 900
 
@@ -32,7 +35,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_near_copies(docs)
+    return drop_near_copies(docs, percent=NEAR_PERCENT)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

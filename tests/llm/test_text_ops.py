@@ -386,6 +386,23 @@ def test_empty(empty, op):
     assert op(empty).collect() == []
 
 
+def test_near_stage_links_at_80(spark):
+    """Pairs of 0.78, 0.81 and 0.87: the stage keeps one of each from 0.80 on."""
+    import corpus_pipeline as C
+    from tests.llm.test_dedup import components_reference
+    rows = []
+    for p in range(30):
+        w = [f"p{p}w{i}" for i in range(150 if p % 3 else 120)]
+        near = list(w)
+        for k in range(2 + (p % 3 != 1)):
+            near[20 + 30 * k] = f"changed{k}"
+        rows += [(2 * p, " ".join(w)), (2 * p + 1, " ".join(near))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {i for i, _, c in components_reference(rows, 80) if i == c}
+    assert len(want) == 40 and len({i for i, _, c in components_reference(rows) if i == c}) == 50
+    assert {r.doc_id for r in C.near(spark, df, "").collect()} == want
+
+
 def test_pipeline(spark, tmp_path):
     """Each stage against the reference of its operator, on its own input."""
     import corpus_pipeline as C
