@@ -199,3 +199,16 @@ def test_declared_tables():
     assert X.TRANSITIONS[5] == [0.02, 0.15, 0.05, 0.05, 0.03, 0.70]
     high = {r[1]: (r[2] + r[3] - 1, r[11] + r[12] - 1) for r in X.ENVELOPE}
     assert high["STABLE"] == (20, 80) and high["SEPTIC_SHOCK"] == (38, 160)
+
+
+def test_join_reads_whole_ranges_of_many_files(spark, monkeypatch):
+    """Ranges of more files than the least number: the readings of a range still
+    come in one micro-batch, so none is late for the join."""
+    from wardpulse.plans.q_streaming import stream_alerts_with_vitals
+    from wardpulse.streaming import scoring
+    monkeypatch.setattr(scoring, "ROWS_PER_FILE", 20)
+    got = stream_alerts_with_vitals(spark, SF_SMALL)
+    scored = with_news2(raw_readings(spark, SF_SMALL))
+    expected = tier_change_alerts(scored).select("patient_id", "seq")
+    assert got.count() == 195
+    assert expected.exceptAll(got.select("patient_id", "seq")).count() == 0

@@ -20,7 +20,7 @@ from wardpulse.streaming.aggregates import run_aggregates
 from wardpulse.functions.news2 import with_news2
 from wardpulse.schemas import ALERT, RAW_AVSC
 from wardpulse.streaming.scoring import (
-    REPLAY_FILES, alerts_with_vitals_stream, file_readings, read_live_board, run_live_board, run_scoring,
+    alerts_with_vitals_stream, file_readings, read_live_board, run_live_board, run_scoring,
     write_replay)
 
 REPLAY_DUP_MOD = 50   # every 50th reading redelivered in the lake replay
@@ -34,14 +34,14 @@ def _replayed(spark, sf_dir, name, duplicates: bool = False, frames: bool = Fals
     if duplicates:
         r = redeliver(r, REPLAY_DUP_MOD)
     fpt = write_replay(r, f"{base}/replay", order=order)
-    return file_readings(spark, f"{base}/replay", r.schema, fpt), base
+    return file_readings(spark, f"{base}/replay", r.schema, fpt), base, fpt
 
 
 @register("stream_raw_replay", sql("SELECT seq, patient_id, ts_ms FROM raw"))
 def stream_raw_replay(spark, sf_dir):
     """The readings source as a stream (file replay; Kafka by option),
     written through a checkpointed parquet sink and read back."""
-    stream, base = _replayed(spark, sf_dir, "stream_raw")
+    stream, base, _ = _replayed(spark, sf_dir, "stream_raw")
     q = (stream.select("seq", "patient_id", "ts_ms").writeStream.format("parquet")
          .option("checkpointLocation", f"{base}/_ck").trigger(availableNow=True)
          .start(f"{base}/out"))
@@ -53,7 +53,7 @@ def stream_raw_replay(spark, sf_dir):
 def stream_tier_change_alerts(spark, sf_dir):
     """T3 (+T6): stateful alert stream over several micro-batches, fed a
     replay with redelivered readings; equals T2."""
-    stream, base = _replayed(spark, sf_dir, "stream_alerts", duplicates=True)
+    stream, base, _ = _replayed(spark, sf_dir, "stream_alerts", duplicates=True)
     paths = run_scoring(spark, stream, f"{base}/out", dedup=True)
     return spark.read.parquet(paths["alerts"]).select(
         "patient_id", "seq", "ts_ms", "previous_tier", "new_tier", "news2_score")
@@ -66,7 +66,7 @@ SELECT seq, ts_ms, patient_id, simulator_state, respiration_rate, oxygen_saturat
 def lake_write_readback(spark, sf_dir):
     """K6 + T6 (stream): a replay with every 50th reading redelivered, scored
     once into the date-partitioned lake table, read back."""
-    stream, base = _replayed(spark, sf_dir, "stream_lake", duplicates=True)
+    stream, base, _ = _replayed(spark, sf_dir, "stream_lake", duplicates=True)
     paths = run_scoring(spark, stream, f"{base}/out", dedup=True)
     return spark.read.parquet(paths["lake"]).select(
         "seq", "ts_ms", *H.SCORED_ROW[1:])
@@ -97,7 +97,7 @@ def stream_faulty_replay(spark, sf_dir):
     """Frames with every kind of fault, one range of
     them late, every 50th redelivered; nothing else is lost, and rejects keep
     their bytes."""
-    stream, base = _replayed(spark, sf_dir, "stream_faulty", duplicates=True, frames=True,
+    stream, base, _ = _replayed(spark, sf_dir, "stream_faulty", duplicates=True, frames=True,
                              order=FAULTY_ORDER)
     paths = run_scoring(spark, stream, f"{base}/out", dedup=True, avsc=RAW_AVSC)
     read = {k: spark.read.parquet(paths[k]) for k in ("lake", "alerts", "rejects")}
@@ -120,7 +120,7 @@ def stream_faulty_replay(spark, sf_dir):
 def stream_agg_5min(spark, sf_dir):
     """A3: 5-minute windows on the stream with a 10-minute watermark; the
     closed windows equal A1's (open windows are not emitted in append mode)."""
-    stream, base = _replayed(spark, sf_dir, "stream_windows")
+    stream, base, _ = _replayed(spark, sf_dir, "stream_windows")
     path = run_aggregates(spark, stream, f"{base}/out")
     return finish_stats(spark.read.parquet(path))
 
@@ -136,7 +136,7 @@ _LIVE_COLS = ["seq", "ts_ms", "news2_score", "news2_tier", "respiration_rate",
 def stream_live_snapshot(spark, sf_dir):
     """K7 (stream): live board kept by a streaming update-mode aggregate and
     an upsert log; after the replay it equals the batch snapshot."""
-    stream, base = _replayed(spark, sf_dir, "stream_board")
+    stream, base, _ = _replayed(spark, sf_dir, "stream_board")
     return read_live_board(spark, run_live_board(spark, stream, f"{base}/out"))
 
 
@@ -147,10 +147,10 @@ FROM alerts a JOIN scored s ON a.patient_id = s.patient_id AND a.seq = s.seq""")
 def stream_alerts_with_vitals(spark, sf_dir):
     """J1 (stream): the alert topic joined to the scored topic with
     watermarks and an event-time bound; equals the batch J1."""
-    stream, base = _replayed(spark, sf_dir, "stream_j1")
+    stream, base, fpt = _replayed(spark, sf_dir, "stream_j1")
     paths = run_scoring(spark, stream, f"{base}/out")
     r = raw(spark, sf_dir)
-    readings = with_news2(file_readings(spark, f"{base}/replay", r.schema, REPLAY_FILES))
+    readings = with_news2(file_readings(spark, f"{base}/replay", r.schema, fpt))
     alerts = spark.readStream.schema(ALERT).parquet(f"{paths['alerts']}/*/*")
     q = (alerts_with_vitals_stream(alerts, readings).writeStream.format("parquet")
          .option("checkpointLocation", f"{base}/_ck_j1").trigger(availableNow=True)
