@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardpulse.llm.bpe import decode, encode
 from wardpulse.llm.exact_dedup import exact_dedup
+from wardpulse.llm.filter_audit import filter_audit
+from wardpulse.llm.lexical_search import search_documents
 from wardpulse.llm.mixing import mix_sources
 from wardpulse.llm.near_dedup import near_dedup
 from wardpulse.llm.quality_rules import VERDICT, clean_texts
@@ -16,6 +18,7 @@ from wardpulse.llm import secrets
 from wardpulse.llm.substring_dedup import substring_dedup
 from wardpulse.llm.token_store import read_tokens, write_tokens
 from wardpulse.llm.toxicity import score_toxicity
+from wardpulse.llm.url_filters import HostRule, PatternRule, judge_urls
 from wardpulse.llm.weak_quality import score_quality
 from wardpulse.sources.tables import read_table
 
@@ -216,3 +219,115 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of whole documents from weak labels."""
     return score_quality(documents(spark, sf_dir)).drop("__key")
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+q AS (SELECT item_id, text, unnest(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+      FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+i AS (SELECT item_id, text, t, count(*) AS qf FROM q GROUP BY ALL),
+g AS (SELECT count(*) FILTER (len(ts) > 0) AS docs, sum(len(ts))::BIGINT AS total FROM d),
+x AS (SELECT row_number() OVER () AS r, doc_id, len(ts)::BIGINT AS n, ts FROM d),
+p AS (SELECT r, doc_id, n, t, count(*) AS tf
+      FROM (SELECT r, doc_id, n, unnest(ts) AS t FROM x) SEMI JOIN i USING (t) GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+      FROM p, g GROUP BY t),
+s AS (SELECT item_id, text, r, doc_id, sum(qf * w * ((1000000000 * tf) //
+        (1000 * tf + 8 * (100 - 75 + ((75 * n * docs) // total)))))::BIGINT AS score
+      FROM i JOIN p USING (t) JOIN w USING (t), g GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id, text
+        ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 10""")
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return search_documents(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+#: Base rules of the registered URL filter, and pattern rules beyond them.
+URL_RULES = [
+    HostRule("net", "/"), HostRule("example.net", "/en/", "allow"),
+    HostRule("example.com", "/de/"), HostRule("org", "/fr/", "allow"),
+    *map(PatternRule, [
+        "||casino-*.", "||cheap-pills.", "||free-bets.", "||adult-*.", "^casino^", "^poker^",
+        "^slots^", "^jackpot^", "^viagra^", "^pills^*buy", "^porn^", "^xxx^", "^escort^",
+        "^payday^loans^", "^torrent^*download", "^warez^", "^keygen^", "/wp-login.php", "/cgi-bin/*",
+        "/cart/checkout^", "/search?q=", "?sessionid=*", "^replica^watches^", "^free^*^spins^"]),
+    *(PatternRule(p, "allow") for p in [
+        "^responsible^gambling^", "||*.edu/", "^addiction^help^"]),
+]
+
+
+def _urls_sql() -> str:
+    def host(r: HostRule) -> str:
+        return (f"CASE WHEN has AND (host = '{r.host}' OR ends_with(host, '.{r.host}')) "
+                f"AND starts_with(path, '{r.path}') THEN '{r.name}' END")
+
+    hosts = [r for r in URL_RULES if isinstance(r, HostRule)]
+    patterns = [r for r in URL_RULES if isinstance(r, PatternRule)]
+    # Allowing patterns first, each in the order given.
+    patterns.sort(key=lambda r: r.action != "allow")
+    found = " ".join(f"WHEN regexp_matches(u, '{r.regex().replace(chr(92) + 'Z', chr(92) + 'z')}', 's') "
+                     f"THEN '{r.pattern}'" for r in patterns)
+    allowed = ", ".join(f"'{r.pattern}'" for r in patterns if r.action == "allow")
+    return rf"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, contains(coalesce(url, ''), '://') AS has,
+    translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path,
+    translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS u
+  FROM pages),
+r AS (SELECT *, list_reduce(list_concat([NULL], list_filter([{", ".join(map(host, hosts))}],
+      lambda x: x IS NOT NULL)), lambda a, b: CASE WHEN length(coalesce(a, '')) >= length(b) THEN a ELSE b END)
+    AS rule, CASE {found} END AS pat FROM p)
+SELECT page_id, host, path, rule, CASE WHEN rule IS NULL THEN pat END AS pattern,
+  CASE WHEN rule IN ({", ".join(f"'{r.name}'" for r in hosts if r.action == "allow")}) THEN 'allow'
+       WHEN rule IS NOT NULL THEN 'block' WHEN pat IS NULL OR pat IN ({allowed}) THEN 'allow'
+       ELSE 'block' END AS verdict
+FROM r"""
+
+
+@query(_urls_sql())
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by host rules and patterns."""
+    return judge_urls(read_table(spark, sf_dir, "pages", ["page_id", "url"]), URL_RULES)
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS ws FROM documents),
+y AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, (len(ws) < 50)::INT + 2 * (100 * len(list_distinct(ws)) < 65 * len(ws))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT
+    + 16 * coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false)::INT AS f,
+    coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM d LEFT JOIN y USING (doc_id)),
+c AS (SELECT part, f, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x
+    FROM m GROUP BY part, f),
+l AS (SELECT unnest(range(5)) AS k),
+o AS (SELECT [a.k, b.k, c.k, d.k, e.k] AS ks FROM l a, l b, l c, l d, l e
+    WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+s AS (SELECT list_aggregate(list_transform(ks, lambda k: chr((65 + k)::INT)), 'string_agg', '') AS filter_order,
+    step, ks[step] AS k,
+    coalesce(list_sum(list_transform(ks[1:step - 1], lambda k: 1 << k)), 0)::INT AS bef
+    FROM o, (SELECT unnest(range(1, 6)) AS step)),
+a AS (SELECT part, filter_order, step::INT AS step,
+    sum(n) FILTER (f & (bef | (1 << k)) = 0) AS kept,
+    sum(n) FILTER (f & bef = 0 AND (f >> k) & 1 = 1) AS removed,
+    sum(n) FILTER (f & bef != 0 AND (f >> k) & 1 = 1) AS redundant,
+    sum(n) FILTER (f = 1 << k) AS unique_fails,
+    sum(g) FILTER (f & bef = 0 AND (f >> k) & 1 = 1) AS good_lost,
+    sum(x) FILTER (f & bef = 0 AND (f >> k) & 1 = 1) AS toxic_lost, any_value(k) AS k
+    FROM c, s GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+    coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+    coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+    (sum(coalesce(removed, 0)) OVER (PARTITION BY part, k))::BIGINT AS shapley
+FROM a""")
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all orders, by source."""
+    return filter_audit(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
