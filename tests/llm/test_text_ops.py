@@ -16,7 +16,7 @@ from tests.conftest import SF_SMALL
 from wardpulse.llm import bpe, secrets as S, token_store as TS
 from wardpulse.llm.elias_fano import EliasFano, pack
 from wardpulse.llm.mixing import draw, mix_sources
-from wardpulse.llm.quality_rules import drop_rejected, quality_rules
+from wardpulse.llm.quality_rules import VERDICT, clean_texts, drop_rejected, quality_rules
 from wardpulse.llm.toxicity import SEED_WORDS, score_toxicity
 from wardpulse.llm.weak_quality import score_quality
 
@@ -44,33 +44,58 @@ def counts_reference(t):
 
 
 def rules_reference(rows, min_docs, share):
-    hosts, lines, found = Counter(), Counter(), []
-    for i, t, host in rows:
-        hosts[host] += 1
-        own = Counter()
+    """(id, counts, words in frequent lines, failed, kept, cleaned text): a line counts
+    once for each distinct text of its host."""
+    def plain(text):
+        return tuple(x.lower() for x in text.encode().split())
+
+    texts, lines = defaultdict(set), defaultdict(set)
+    for _, t, host in rows:
+        texts[host].add(plain(t or ""))
         for line in (t or "").split("\n"):
-            w = [x.lower() for x in line.encode().split()]
-            if 0 < len(w) < 20:
-                own[tuple(w)] += len(w)
-        found.append(own)
-        lines.update((host, x) for x in own)
+            lines[host, plain(line)].add(plain(t or ""))
     out = Counter()
-    for (i, t, host), own in zip(rows, found):
+    for i, t, host in rows:
         c = counts_reference(t)
-        frequent = sum(n for x, n in own.items()
-                       if lines[host, x] > min_docs and lines[host, x] > share * hosts[host])
+        gone = {x for x in (t or "").split("\n") if plain(x)
+                and len(lines[host, plain(x)]) > min_docs
+                and len(lines[host, plain(x)]) > share * len(texts[host])}
+        frequent = sum(len(plain(x)) for x in (t or "").split("\n") if x in gone)
         failed = c[0] < 20 or 100 * c[4] > 30 * c[0]
         left = c[0] - frequent
-        out[(i, *c, frequent, failed, not failed and not (left < 20 and 2 * left < c[0]))] += 1
+        kept = not failed and not (left < 20 and 2 * left < c[0])
+        clean = t if t is None else "\n".join(x for x in t.split("\n") if x not in gone)
+        out[(i, *c, frequent, failed, kept, clean)] += 1
     return out
 
 
+@pytest.fixture(scope="session")
+def hundredth(spark):
+    """The fixture with frequent lines at the default limits."""
+    return spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+
+
 @pytest.mark.parametrize("min_docs,share", [(10, 0.005), (1, 0.0)])
-def test_quality_rules(edge, small, min_docs, share):
-    for df in (edge, small):
+def test_quality_rules(edge, small, hundredth, min_docs, share):
+    for df in (edge, small, hundredth):
+        ref = rules_reference(rows_of(df, "source"), min_docs, share)
+        assert df is edge or any(k[6] for k in ref) or (df is small and min_docs > 1)
         got = quality_rules(df, min_docs=min_docs, share=share).drop("__key")
-        assert Counter(tuple(r) for r in got.collect()) == rules_reference(
-            rows_of(df, "source"), min_docs, share)
+        assert Counter(tuple(r) for r in got.collect()) == Counter(
+            x for k, n in ref.items() for x in [k[:-1]] * n)
+        clean = clean_texts(df, min_docs=min_docs, share=share).select("doc_id", "text")
+        assert Counter(tuple(r) for r in clean.collect()) == Counter(
+            x for k, n in ref.items() for x in [(k[0], k[-1])] * n)
+
+
+def test_cleaned_texts_carry_the_verdict(edge):
+    """Columns of the same names as the verdict's keep theirs under another name."""
+    got = clean_texts(edge, verdict=VERDICT, min_docs=1, share=0.0)
+    assert got.count() == edge.count()
+    ref = rules_reference(rows_of(edge, "source"), 1, 0.0)
+    at = [got.columns.index(c) for c in ("doc_id", *VERDICT[:-1])]
+    rows = [tuple(r) for r in got.collect()]
+    assert Counter((*(r[i] for i in at), r[-1], r[1]) for r in rows) == ref
 
 
 def test_depleted_documents_go(spark):
@@ -225,7 +250,6 @@ def test_elias_fano():
 @pytest.mark.parametrize("shard", [1 << 20, 50])
 def test_token_store(spark, edge, small, shard):
     tok = Tokenizer.from_file(JSON)
-    tok.encode_special_tokens = True
     for df in (edge, small):
         rows = sorted(rows_of(df), key=lambda r: (r[0] is not None, r[0] or 0))
         path = TS.write_tokens(df, JSON, shard_ids=shard)
@@ -258,7 +282,6 @@ def test_unit_encoder_equals_whole_texts():
              "<|endoftext|>", "x'll ", "\r\n", "​", "🙂", "word", " word,"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
     tok = Tokenizer.from_file(JSON)
-    tok.encode_special_tokens = True
     for t, x in zip(texts, TS.UnitEncoder(JSON).encode(texts)):
         assert np.frombuffer(x, "<u2").tolist() == tok.encode(t, add_special_tokens=False).ids
 
@@ -418,11 +441,12 @@ def test_pipeline(spark, tmp_path):
         ids = Counter(r.doc_id for r in docs.collect())
         if name == "quality_rules":
             ref = rules_reference([(r.doc_id, r.text, r.source) for r in before], 10, 0.005)
-            assert set(ids) == {k[0] for k in ref if k[-1]}
+            assert {(r.doc_id, r.text) for r in docs.collect()} == {
+                (k[0], k[-1]) for k in ref if k[-2]}
         elif name == "exact_dedup":
             assert set(ids) == {k[0] for k in exact_reference([(r.doc_id, r.text) for r in before]) if k[3]}
         elif name == "near_dedup":
-            ref = components_reference([(r.doc_id, r.text) for r in before])
+            ref = components_reference([(r.doc_id, r.text) for r in before], C.NEAR_PERCENT)
             assert set(ids) == {i for i, _, c in ref if i == c}
         elif name == "mix_sources":
             rows = [(r.doc_id, r.lang, r.source, len(WORD.findall(r.text))) for r in before]

@@ -187,18 +187,22 @@ def clean_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 host_col: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE,
                 verdict: Sequence[str] = (), only_kept: bool = False) -> DataFrame:
     """Rows of ``docs``, all columns, texts without their lines above the limit,
-    and ``verdict`` (columns of ``quality_rules``)."""
+    and ``verdict`` (columns of ``quality_rules``; with ``verdict_`` in front where
+    ``docs`` has a column of that name)."""
     marks = _judged(docs, id_col, text_col, host_col, min_docs, share)
     if only_kept:
         marks = marks.filter("kept")
     # Rows of one id, text and host are judged alike.
-    marks = (marks.select("__id", KEY, "__host", *verdict, "__frequent")
+    marks = (marks.select("__id", KEY, "__host", *[F.col(c).alias(f"__v_{c}") for c in verdict],
+                          "__frequent")
              .dropDuplicates(["__id", KEY, "__host"]))
     left = docs.withColumns({text_col: F.col(text_col).cast("string"),
                              "__dk": row_key(id_col, text_col), "__dh": _host(host_col)})
     cond = ((F.col("__dk") == F.col(KEY)) & (F.col("__dh") == F.col("__host"))
             & F.col(f"`{id_col}`").eqNullSafe(F.col("__id")))
-    rows = left.join(marks, cond).select(*[f"`{c}`" for c in docs.columns], *verdict, "__frequent")
+    taken = {c.lower() for c in docs.columns}
+    named = [F.col(f"__v_{c}").alias(f"verdict_{c}" if c in taken else c) for c in verdict]
+    rows = left.join(marks, cond).select(*[f"`{c}`" for c in docs.columns], *named, "__frequent")
     return rows.mapInArrow(_cut(text_col), rows.drop("__frequent").schema)
 
 

@@ -14,7 +14,8 @@ store come from a running sum of shard sizes, one narrow row per shard.
 Encoding works on units (white space and the visible run behind it): no match
 of the byte-level pattern crosses from a visible character into a space, so a
 unit's ids never depend on its neighbours.  Tasks keep a bounded table of units
-already encoded.
+already encoded.  Texts that hold an added token of the vocabulary (such as
+``<|endoftext|>``) go through the library whole and get that token's id.
 
 Defined cases: null text is empty and has just the end id; null ids sort first;
 rows that repeat an id follow each other; an empty table gives no rows.
@@ -55,9 +56,7 @@ _VISIBLE_SPACE = re.compile(r"(?<=\S) ")
 
 def json_tokenizer(path: str) -> Tokenizer:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(path)
 
 
 class UnitEncoder:
@@ -77,6 +76,9 @@ class UnitEncoder:
                                 for i in range(size)])
         self.marks = dict(zip(sorted(_MARKS), self._each(sorted(_MARKS))))
         self.line_end = np.frombuffer(self._each(["\n"])[0], f"<u{self.width}")[0]
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        # Units are put side by side with spaces and line ends between them.
+        self.by_units = not any(c.isspace() for t in self.added for c in t)
         self.bare: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -175,6 +177,17 @@ class UnitEncoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; one that holds an added token is encoded whole, as such a
+        token is cut out before anything else."""
+        whole = {i for i, t in enumerate(texts)
+                 if not self.by_units or any(a in t for a in self.added)}
+        if not whole:
+            return self._by_units(texts)
+        some = iter(self._by_units([t for i, t in enumerate(texts) if i not in whole]))
+        full = iter(self._each([texts[i] for i in sorted(whole)]))
+        return [next(full) if i in whole else next(some) for i in range(len(texts))]
+
+    def _by_units(self, texts: list[str]) -> list[bytes]:
         if not texts:
             return []
         units, first = self._units(texts)
