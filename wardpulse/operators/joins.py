@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardpulse.functions.news2 import tier_rank
-from wardpulse.operators.ordered import TIME_CHUNK_MS, with_ffill, with_frame, with_previous_non_null
+from wardpulse.operators.ordered import TIME_CHUNK_MS, with_ffill, with_previous_non_null
+from wardpulse.operators.sliding import mean_of, moments, with_sliding
 
 REGISTRY_COLUMNS = ["event_ms", "event_type", "ward", "unit", "suspected_infection",
                     "initial_state", "seq"]
@@ -101,13 +102,13 @@ def alerts_with_vitals(alerts: DataFrame, scored: DataFrame) -> DataFrame:
 
 
 def pre_alert_window(scored: DataFrame, window_ms: int = 600_000,
-                     bucket_width: int = 3_600_000) -> DataFrame:
+                     splits: int = 1) -> DataFrame:
     """Vitals in the ``window_ms`` up to and including each alert.
 
     Computed without a join: the tier-change flag comes from the chunked
-    ``lag`` pass, the window statistics from a trailing RANGE frame (halo
-    buckets), and only alert rows are kept.  Linear in the readings — no
-    (alert, reading) pairs are formed, however many alerts a patient has.
+    ``lag`` pass, the window statistics from a trailing RANGE frame, and only
+    alert rows are kept.  Linear in the readings — no (alert, reading) pairs
+    are formed, however many alerts a patient has or readings a frame holds.
     Readings at the alert's own millisecond are in the frame (RANGE peers).
     """
     base = scored.select("patient_id", "seq", "ts_ms", "news2_tier", "heart_rate",
@@ -118,15 +119,12 @@ def pre_alert_window(scored: DataFrame, window_ms: int = 600_000,
                                      "_prev_rank").withColumn(
         "_alert", F.col("_rank").isNotNull() & F.col("_prev_rank").isNotNull()
         & (F.col("_prev_rank") != F.col("_rank")))
-    aggs = {
-        "readings": lambda w: F.count(F.lit(1)).over(w),
-        "hr_min": lambda w: F.min("heart_rate").over(w),
-        "hr_max": lambda w: F.max("heart_rate").over(w),
-        "rr_avg": lambda w: F.avg("respiration_rate").over(w),
-        "score_max": lambda w: F.max("news2_score").over(w),
-    }
-    framed = with_frame(flagged, "patient_id", "ts_ms", -window_ms, 0, aggs,
-                        bucket_width=bucket_width)
+    rr = F.col("respiration_rate").cast("long")
+    parts = {"readings": ("sum", F.lit(1).cast("long")), "hr_min": ("min", F.col("heart_rate")),
+             "hr_max": ("max", F.col("heart_rate")), **moments("rr", rr),
+             "score_max": ("max", F.col("news2_score"))}
+    framed = with_sliding(flagged, "patient_id", "ts_ms", -window_ms, 0, parts, splits=splits)
     return framed.filter("_alert").select(
         "patient_id", F.col("seq").alias("alert_seq"), F.col("ts_ms").alias("alert_ms"),
-        F.col("news2_tier").alias("new_tier"), *aggs.keys())
+        F.col("news2_tier").alias("new_tier"), "readings", "hr_min", "hr_max",
+        mean_of("rr").alias("rr_avg"), "score_max")

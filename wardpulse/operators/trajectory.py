@@ -1,8 +1,9 @@
 """Trajectory features, deterioration labels and MLlib models (M1–M6).
 
 Features end at the reading's time (trailing RANGE frame), labels start
-strictly after it (leading frame), and train/test are split by a hash of the
-patient id, so no patient contributes to both sides.  ``simulator_state`` is
+strictly after it (leading frame), both in time linear in the readings, and
+train/test are split by a hash of the patient id, so no patient contributes to
+both sides.  ``simulator_state`` is
 never a feature; it is ground truth for evaluation only.
 """
 
@@ -15,7 +16,8 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardpulse.operators.ordered import SEQ_CHUNK, with_ffill, with_frame, with_neighbour
+from wardpulse.operators.ordered import SEQ_CHUNK, with_ffill, with_neighbour
+from wardpulse.operators.sliding import mean_of, moments, slope_of, std_of, with_sliding
 from wardpulse.operators.windows import DOUBLE_PLACES, vital
 
 DAY0_MS = 1704067200000       # origin of the minute axis used for slopes
@@ -28,40 +30,44 @@ TREND_MIN_READINGS = 3
 TRAIN_BUCKETS = 8             # of 10 hash buckets of patient_id
 
 
-def _minutes() -> F.Column:
-    return (F.col("ts_ms") - F.lit(DAY0_MS)) / F.lit(60000.0)
+#: Subtracted from temperatures before squares and products are summed.
+TYPICAL_TEMPERATURE = 37.0
 
 
-def trajectory_features(scored: DataFrame, width_ms: int = WINDOW_MS) -> DataFrame:
+def _measured(v: str) -> F.Column:
+    """A vital sign as its statistics see it; NaN is no measurement."""
+    if v == "temperature":
+        return vital(v) - F.lit(TYPICAL_TEMPERATURE)
+    return F.col(v).cast("long")
+
+
+def trajectory_features(scored: DataFrame, width_ms: int = WINDOW_MS, splits: int = 1) -> DataFrame:
     """M1: per reading, over the trailing ``width_ms``: slope (units/min),
     delta from the frame's first reading, mean and std of each vital."""
     cols = ["seq", "patient_id", "ts_ms", "news2_score", "news2_tier", *FEATURE_VITALS]
-    base = scored.select(*cols).withColumn("t_min", _minutes())
-    aggs = {"n": lambda w: F.count(F.lit(1)).over(w)}
+    parts = {"n": ("sum", F.lit(1).cast("long")),
+             "_first": ("min", F.struct("ts_ms", "seq", *FEATURE_VITALS))}
     for v, s in FEATURE_VITALS.items():
-        if v == "temperature":
-            aggs[f"{s}_mean"] = (lambda v: lambda w: F.round(
-                F.avg(vital(v)).over(w), DOUBLE_PLACES))(v)
-        else:
-            aggs[f"{s}_mean"] = (lambda v: lambda w: F.avg(v).over(w))(v)
-        aggs[f"{s}_std"] = (lambda v: lambda w: F.round(F.stddev_samp(v).over(w), 4))(v)
-        aggs[f"{s}_slope"] = (lambda v: lambda w: F.round(
-            F.regr_slope(F.col(v), F.col("t_min")).over(w), 4))(v)
-        aggs[f"{s}_first"] = (lambda v: lambda w: F.min_by(
-            F.col(v), F.struct("ts_ms", "seq")).over(w))(v)
-    out = with_frame(base, "patient_id", "ts_ms", -width_ms, 0, aggs)
-    deltas = {f"{s}_delta": F.col(v) - F.col(f"{s}_first") for v, s in FEATURE_VITALS.items()}
-    return out.withColumns(deltas).drop(*[f"{s}_first" for s in FEATURE_VITALS.values()],
-                                        "t_min")
-
-
-def deterioration_label(scored: DataFrame, horizon_ms: int = HORIZON_MS) -> DataFrame:
+        parts |= moments(s, _measured(v), ts=True)
+    out = with_sliding(scored.select(*cols), "patient_id", "ts_ms", -width_ms, 0, parts,
+                       splits=splits)
+    features = []
+    for v, s in FEATURE_VITALS.items():
+        exact = v != "temperature"
+        mean = mean_of(s) if exact else F.round(mean_of(s, TYPICAL_TEMPERATURE), DOUBLE_PLACES)
+        features += [mean.alias(f"{s}_mean"), F.round(std_of(s, exact), 4).alias(f"{s}_std"),
+                     F.round(slope_of(s, exact), 4).alias(f"{s}_slope")]
+    deltas = [(F.col(v) - F.col("_first")[v]).alias(f"{s}_delta") for v, s in FEATURE_VITALS.items()]
+    return out.select(*cols, "n", *features, *deltas)
+
+
+def deterioration_label(scored: DataFrame, horizon_ms: int = HORIZON_MS,
+                        splits: int = 1) -> DataFrame:
     """M2: 1 if the patient reaches High within (t, t + horizon], for readings
     not already High (those are left out: nothing left to predict)."""
-    base = scored.select("seq", "patient_id", "ts_ms", "news2_tier").withColumn(
-        "_high", (F.col("news2_tier") == "High").cast("int"))
-    out = with_frame(base, "patient_id", "ts_ms", 1, horizon_ms,
-                     {"_future_high": lambda w: F.max("_high").over(w)})
+    high = (F.col("news2_tier") == "High").cast("int")
+    out = with_sliding(scored.select("seq", "patient_id", "ts_ms", "news2_tier"), "patient_id",
+                       "ts_ms", 1, horizon_ms, {"_future_high": ("max", high)}, splits=splits)
     return (out.filter(F.col("news2_tier") != "High")
             .select("seq", "patient_id", "ts_ms",
                     F.coalesce(F.col("_future_high"), F.lit(0)).alias("label")))
@@ -78,11 +84,16 @@ def patient_bucket(key: str = "patient_id") -> F.Column:
             .cast("long") % 10)
 
 
+def without_gaps(features: DataFrame) -> DataFrame:
+    """Features as the model takes them: no spread and no slope count as 0."""
+    return features.fillna(0.0, subset=[c for c in FEATURE_COLUMNS if c.endswith(("_std", "_slope"))])
+
+
 def training_frame(scored: DataFrame) -> DataFrame:
     feats = trajectory_features(scored)
     labels = deterioration_label(scored)
     j = feats.join(labels.select("patient_id", "seq", "label"), ["patient_id", "seq"])
-    return (j.fillna(0.0, subset=[c for c in FEATURE_COLUMNS if c.endswith(("_std", "_slope"))])
+    return (without_gaps(j)
             .withColumn("is_train",
                         patient_bucket() < TRAIN_BUCKETS)
             .withColumn("label", F.col("label").cast("double")))

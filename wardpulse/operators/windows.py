@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardpulse.functions.news2 import tier
-from wardpulse.operators.ordered import TIME_CHUNK_MS, with_frame, with_neighbour
+from wardpulse.operators.ordered import TIME_CHUNK_MS, with_neighbour
+from wardpulse.operators.sliding import mean_of, moments, std_of, with_sliding
 from wardpulse.schemas import NUMERIC_VITALS
 
 SHORT = {"respiration_rate": "rr", "oxygen_saturation": "spo2", "temperature": "temp",
@@ -67,22 +68,26 @@ def window_stats(scored: DataFrame, duration: str, slide: str | None = None,
     return out.withColumn("window_start_ms", F.unix_millis(F.col("window.start")))
 
 
-def rollup_stats(stats: DataFrame, width_ms: int) -> DataFrame:
-    """Roll fine window stats up to tumbling windows of ``width_ms``."""
-    start = (F.floor(F.col("window_start_ms") / F.lit(width_ms)) * F.lit(width_ms)).cast("long")
+def rollup_aggs() -> list[Column]:
+    """Aggregates that turn stats of fine windows into stats of coarse ones."""
     aggs = [F.sum("readings").alias("readings")]
     for s in SHORT.values():
         aggs += [F.sum(f"{s}_sum").alias(f"{s}_sum"), F.sum(f"{s}_n").alias(f"{s}_n"),
                  F.min(f"{s}_min").alias(f"{s}_min"),
                  F.max(f"{s}_max").alias(f"{s}_max")]
-    aggs += [
+    return aggs + [
         F.sum("o2_readings").alias("o2_readings"),
         F.max("max_score").alias("max_score"),
         F.max_by("last_score", "last_seq").alias("last_score"),
         F.max("last_seq").alias("last_seq"),
         F.max("worst_rank").alias("worst_rank"),
     ]
-    return stats.groupBy("patient_id", start.alias("window_start_ms")).agg(*aggs)
+
+
+def rollup_stats(stats: DataFrame, width_ms: int) -> DataFrame:
+    """Roll fine window stats up to tumbling windows of ``width_ms``."""
+    start = (F.floor(F.col("window_start_ms") / F.lit(width_ms)) * F.lit(width_ms)).cast("long")
+    return stats.groupBy("patient_id", start.alias("window_start_ms")).agg(*rollup_aggs())
 
 
 def finish_stats(stats: DataFrame) -> DataFrame:
@@ -119,19 +124,16 @@ def agg_sliding(scored: DataFrame, duration: str = "10 minutes",
 
 
 def rolling(scored: DataFrame, width_ms: int = 600_000, column: str = "heart_rate",
-            bucket_width: int = 3_600_000) -> DataFrame:
-    """A5: per reading, trailing ``width_ms`` RANGE frame per patient."""
-    s = SHORT[column]
-    aggs = {
-        "n": lambda w: F.count(F.lit(1)).over(w),
-        f"{s}_avg": lambda w: F.avg(column).over(w),
-        f"{s}_min": lambda w: F.min(column).over(w),
-        f"{s}_max": lambda w: F.max(column).over(w),
-        f"{s}_std": lambda w: F.round(F.stddev_samp(column).over(w), 4),
-    }
-    out = with_frame(scored.select("seq", "patient_id", "ts_ms", column), "patient_id",
-                     "ts_ms", -width_ms, 0, aggs, bucket_width=bucket_width)
-    return out.select("seq", "patient_id", "ts_ms", *aggs.keys())
+            splits: int = 1) -> DataFrame:
+    """A5: per reading, trailing ``width_ms`` RANGE frame per patient, in time linear
+    in the readings; ``splits`` cuts the blocks of a patient too hot for one task."""
+    s, x = SHORT[column], F.col(column).cast("long")
+    parts = {"n": ("sum", F.lit(1).cast("long")), f"{s}_min": ("min", F.col(column)),
+             f"{s}_max": ("max", F.col(column)), **moments("m", x)}
+    out = with_sliding(scored.select("seq", "patient_id", "ts_ms", column), "patient_id",
+                       "ts_ms", -width_ms, 0, parts, splits=splits)
+    return out.select("seq", "patient_id", "ts_ms", "n", mean_of("m").alias(f"{s}_avg"),
+                      f"{s}_min", f"{s}_max", F.round(std_of("m", True), 4).alias(f"{s}_std"))
 
 
 def window_news2(scored: DataFrame) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardpulse.operators import alerts as A
+from wardpulse.operators import sketches as SK
 from wardpulse.plans.oracle import sql
 from wardpulse.plans.registry import raw, register, scored
+from wardpulse.session import scratch_path
 
 ALERT_REPLAY_MOD = 5     # every 5th alert delivered twice (T5 fixture)
 READING_REPLAY_MOD = 50  # every 50th reading delivered twice (T6 fixture)
@@ -84,3 +86,47 @@ FROM (SELECT *, {EMIT_DELAY_SQL} - ts_ms AS l FROM alerts) GROUP BY new_tier""")
 def alert_latency_summary(spark, sf_dir):
     """Latency percentiles by new tier."""
     return A.latency_summary(A.alert_latency(alerts_of(spark, sf_dir), _emitted()))
+
+
+def _stored_sketches(spark, sf_dir):
+    """Hourly latency sketches, written and read back, and the latencies."""
+    latency = A.alert_latency(alerts_of(spark, sf_dir), _emitted())
+    path = scratch_path(spark, "latency_sketches")
+    SK.latency_sketches(latency).write.parquet(path)
+    return spark.read.parquet(path), latency
+
+
+@register("alert_latency_hours", sql(f"""
+SELECT new_tier, ts_ms // {SK.HOUR_MS} * {SK.HOUR_MS} AS start_ms, count(*) AS alerts, max(l) AS max_ms,
+       CASE WHEN count(*) <= {SK.LATENCY_K} THEN quantile_disc(l, 0.5) END AS p50_ms,
+       CASE WHEN count(*) <= {SK.LATENCY_K} THEN quantile_disc(l, 0.95) END AS p95_ms
+FROM (SELECT *, {EMIT_DELAY_SQL} - ts_ms AS l FROM alerts) GROUP BY ALL"""))
+def alert_latency_hours(spark, sf_dir):
+    """Quantiles from stored sketches, exact for groups that a sketch keeps whole
+    (larger groups: see ``alert_latency_days``)."""
+    found = SK.with_latency_quantiles(_stored_sketches(spark, sf_dir)[0])
+    small = F.col("alerts") <= SK.LATENCY_K
+    return found.select("new_tier", "start_ms", "alerts", "max_ms",
+                        *[F.when(small, F.col(c)).alias(c) for c in ("p50_ms", "p95_ms")])
+
+
+@register("alert_latency_days", sql(f"""
+SELECT new_tier, ts_ms // {SK.DAY_MS} * {SK.DAY_MS} AS start_ms, count(*) AS alerts, max(l) AS max_ms,
+       true AS p50_within, true AS p95_within
+FROM (SELECT *, {EMIT_DELAY_SQL} - ts_ms AS l FROM alerts) GROUP BY ALL"""))
+def alert_latency_days(spark, sf_dir):
+    """Daily quantiles merged from hourly sketches; the true rank of each answer,
+    counted over the latencies, is within the stated error."""
+    hours, latency = _stored_sketches(spark, sf_dir)
+    day = SK.start_of("start_ms", SK.DAY_MS).alias("start_ms")
+    days = SK.with_latency_quantiles(SK.merge_latency(hours, ["new_tier", day])).drop("sketch")
+    day = SK.start_of("ts_ms", SK.DAY_MS).alias("start_ms")
+    each = latency.select("new_tier", day, "latency_ms").join(days, ["new_tier", "start_ms"])
+    n = F.count(F.lit(1))
+
+    def within(q: float, answer: str):
+        return ((F.count_if(F.col("latency_ms") < F.col(answer)) / n <= q + SK.RANK_ERROR)
+                & (F.count_if(F.col("latency_ms") <= F.col(answer)) / n >= q - SK.RANK_ERROR))
+
+    return each.groupBy("new_tier", "start_ms", "alerts", "max_ms").agg(
+        within(0.5, "p50_ms").alias("p50_within"), within(0.95, "p95_ms").alias("p95_within"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardpulse.operators.alerts import tier_change_alerts
+from wardpulse.operators.joins import alerts_with_vitals
 from wardpulse.plans.oracle import sql
 from wardpulse.plans.registry import register, scored
 from wardpulse.session import scratch_path
@@ -67,3 +68,42 @@ def patient_history(spark, sf_dir):
     h = H.newest_per_patient(_written_scored(spark, sf_dir), DAY0_MS, DAY0_MS + H.DAY_MS,
                              HISTORY_N)
     return h.select("seq", "ts_ms", "patient_id", "news2_score", "news2_tier", "recency")
+
+
+BUCKETS = 8
+
+
+def _by_patient(spark, sf_dir):
+    path = scratch_path(spark, "by_patient")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    H.write_by_patient(scored(spark, sf_dir), table, path, BUCKETS)
+    return spark.table(table)
+
+
+@register("patient_history_layout", sql(f"""
+SELECT seq, ts_ms, patient_id, news2_score, news2_tier,
+       CAST(row_number() OVER (PARTITION BY patient_id ORDER BY ts_ms DESC, seq DESC)
+            AS INTEGER) AS recency
+FROM scored WHERE ts_ms >= {DAY0_MS} AND ts_ms < {DAY0_MS + H.DAY_MS}
+QUALIFY recency <= {HISTORY_N}"""))
+def patient_history_layout(spark, sf_dir):
+    """Newest readings of every patient from the table bucketed by patient, without a
+    shuffle (one patient reads one bucket of each date: ``patient_history``)."""
+    h = H.newest_per_patient(_by_patient(spark, sf_dir), DAY0_MS, DAY0_MS + H.DAY_MS, HISTORY_N)
+    return h.select("seq", "ts_ms", "patient_id", "news2_score", "news2_tier", "recency")
+
+
+@register("alerts_with_vitals_layout", sql("""
+SELECT a.*, s.respiration_rate, s.oxygen_saturation, s.supplemental_o2, s.temperature,
+       s.systolic_bp, s.heart_rate, s.consciousness_level
+FROM alerts a JOIN scored s ON a.patient_id = s.patient_id AND a.seq = s.seq"""))
+def alerts_with_vitals_layout(spark, sf_dir):
+    """J1 on tables bucketed by patient: neither side is shuffled."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    table = _by_patient(spark, sf_dir)
+    path = scratch_path(spark, "alerts_by_patient")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    (tier_change_alerts(scored(spark, sf_dir)).repartition(BUCKETS, "patient_id")
+     .write.bucketBy(BUCKETS, "patient_id").sortBy("patient_id", "ts_ms").option("path", path)
+     .format("parquet").saveAsTable(name))
+    return alerts_with_vitals(spark.table(name), table)

@@ -11,10 +11,14 @@ from wardpulse.operators import alerts as A
 from wardpulse.operators import joins as J
 from wardpulse.operators import kpis as K
 from wardpulse.operators import quality as Q
+from wardpulse.operators import sketches as SK
+from wardpulse.operators import trajectory as M
 from wardpulse.operators import windows as W
 from wardpulse.plans.oracle import sql_days, sql_hot
 from wardpulse.plans.q_quality import _episodes_sql
-from wardpulse.plans.q_windows import _RW_SQL
+from wardpulse.plans.q_joins import _LATEST_SQL
+from wardpulse.plans.q_trajectory import _features_sql
+from wardpulse.plans.q_windows import _RW_SQL, ROLLING_SQL
 from wardpulse.plans.registry import admin, raw_days, register, scored_hot
 from wardpulse.session import scratch_path
 from wardpulse.sources import history as H
@@ -86,6 +90,21 @@ def hot_readings_asof_ward(spark, sf_dir):
     return J.asof_registry(r, with_hot_patient(admin(spark, sf_dir)), chunk_width=FEW_MS)
 
 
+SPLITS = 60   # parts of a ten-minute block: ten seconds each
+
+
+@register("hot_rolling_10min", sql_hot(ROLLING_SQL))
+def hot_rolling_10min(spark, sf_dir):
+    """A5 with a hot patient, blocks cut into ten seconds."""
+    return W.rolling(scored_hot(spark, sf_dir), splits=SPLITS)
+
+
+@register("hot_trajectory_features", sql_hot(_features_sql()))
+def hot_trajectory_features(spark, sf_dir):
+    """M1 with a hot patient, blocks cut into ten seconds."""
+    return M.trajectory_features(scored_hot(spark, sf_dir), splits=SPLITS)
+
+
 FIRST_DAY, DAYS = 10, 7
 LO_MS, HI_MS = (EPOCH_2024_MS + d * H.DAY_MS for d in (FIRST_DAY, FIRST_DAY + DAYS))
 
@@ -131,3 +150,23 @@ def ward_kpis_days(spark, sf_dir):
     """A7 over thirty days: chunks of a day, carried across their edges."""
     return K.ward_kpis(K.readings_in_ward(with_news2(raw_days(spark, sf_dir)),
                                           admin(spark, sf_dir)))
+
+
+@register("patients_by_ward_day", sql_days(_LATEST_SQL + f"""
+, d AS (SELECT coalesce(l.ward, 'unknown') AS ward, r.ts_ms // {H.DAY_MS} * {H.DAY_MS} AS start_ms,
+          r.patient_id, count(*) AS n
+        FROM raw r LEFT JOIN latest l ON r.patient_id = l.patient_id GROUP BY ALL)
+SELECT ward, start_ms, CAST(sum(n) AS BIGINT) AS readings, count(*) AS patients,
+  CASE WHEN EXISTS (SELECT 1 FROM d y WHERE y.ward = d.ward AND y.start_ms = d.start_ms - {H.DAY_MS})
+    THEN (SELECT count(*) FROM d y WHERE y.ward = d.ward AND y.start_ms = d.start_ms - {H.DAY_MS}
+          AND NOT EXISTS (SELECT 1 FROM d z WHERE z.ward = d.ward AND z.start_ms = d.start_ms
+                          AND z.patient_id = y.patient_id)) END AS gone
+FROM d GROUP BY ward, start_ms"""))
+def patients_by_ward_day(spark, sf_dir):
+    """Distinct patients per ward and day, and those of the day before that are
+    gone, from sketches per minute that are stored and merged."""
+    placed = J.readings_with_ward(raw_days(spark, sf_dir), admin(spark, sf_dir))
+    path = scratch_path(spark, "patient_sketches")
+    SK.patient_sketches(placed, ["ward"]).write.parquet(path)
+    days = SK.merge_patients(spark.read.parquet(path), ["ward"])
+    return SK.patient_counts(days, ["ward"])

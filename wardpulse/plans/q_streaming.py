@@ -1,10 +1,10 @@
 """Registered queries: streaming jobs replayed from files derived from the
-given tables (S1, T3, A3, K6).  Each run writes its replay files, outputs
+given tables (S1, T1, T3, T6, A3, J1, J2, K6, K7, M5, R4, R5).  Each run writes its replay files, outputs
 and checkpoints under a fresh folder of the shared directory."""
 
 from __future__ import annotations
 
-
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from wardpulse.operators.alerts import redeliver
@@ -12,16 +12,21 @@ from wardpulse.operators.windows import finish_stats
 from wardpulse.plans.oracle import sql
 from wardpulse.plans.q_frames import _FAULTS_CTE
 from wardpulse.plans.q_windows import _stats_sql
-from wardpulse.plans.registry import raw, register
+from wardpulse.plans.registry import ORACLE, admin, raw, register
 from wardpulse.session import scratch_path
 from wardpulse.sources import frames as FR
 from wardpulse.sources import history as H
-from wardpulse.streaming.aggregates import run_aggregates
+from wardpulse.operators import trajectory as M
+from wardpulse.operators.joins import ASOF_FIELDS
+from wardpulse.operators.quality import SILENCE_MS
+from wardpulse.streaming.aggregates import run_aggregates, run_hourly, run_sessions, run_silences
+from wardpulse.streaming.predict import probability_from, run_predictions
+from wardpulse.streaming.registry import append_version, run_wards
 from wardpulse.functions.news2 import with_news2
 from wardpulse.schemas import ALERT, RAW_AVSC
 from wardpulse.streaming.scoring import (
-    alerts_with_vitals_stream, file_readings, read_live_board, run_live_board, run_scoring,
-    write_replay)
+    alerts_with_vitals_stream, file_readings, finished, read_live_board, run_live_board,
+    run_scoring, stored_tiers, write_replay)
 
 REPLAY_DUP_MOD = 50   # every 50th reading redelivered in the lake replay
 
@@ -75,7 +80,7 @@ def lake_write_readback(spark, sf_dir):
 FAULTY_ORDER = (0, 2, 3, 1)   # replay order of the four ranges: one comes late
 
 
-@register("stream_faulty_replay", sql(_FAULTS_CTE + """
+_ARRIVED = _FAULTS_CTE + """
 , b AS (SELECT min(seq) AS lo, CAST(ceil((max(seq) - min(seq) + 1) / 4) AS BIGINT) AS step FROM raw),
 arrived AS (
   SELECT s.*, f.fault, list_position([0, 2, 3, 1], (s.seq - lo) // step) AS batch
@@ -83,6 +88,10 @@ arrived AS (
 good AS (SELECT * FROM arrived WHERE fault IS NULL OR fault IN ('other_schema_id', 'bad_timestamp')),
 steps AS (
   SELECT *, lag(news2_tier) OVER (PARTITION BY patient_id ORDER BY batch, seq) AS prev FROM good)
+"""
+
+
+@register("stream_faulty_replay", sql(_ARRIVED + """
 SELECT 'lake' AS output, seq, news2_tier AS detail, CAST(NULL AS BIGINT) AS raw_bytes FROM good
 WHERE fault IS NULL OR fault <> 'bad_timestamp'
 UNION ALL
@@ -113,6 +122,37 @@ def stream_faulty_replay(spark, sf_dir):
                 short.alias("raw_bytes"))))
 
 
+def _two_runs(spark, sf_dir, name):
+    """Faulty, late and redelivered frames scored by a job that stops half-way and is
+    started again from its checkpoint."""
+    base = scratch_path(spark, name)
+    frames = redeliver(FR.fixture_frames(raw(spark, sf_dir), RAW_AVSC).select("seq", "value"),
+                       REPLAY_DUP_MOD)
+    for ranges in (FAULTY_ORDER[:2], FAULTY_ORDER[2:]):
+        fpt = write_replay(frames, f"{base}/replay", order=ranges)
+        paths = run_scoring(spark, file_readings(spark, f"{base}/replay", frames.schema, fpt),
+                            f"{base}/out", dedup=True, avsc=RAW_AVSC)
+    return base, paths
+
+
+@register("stream_state_alerts", sql(_ARRIVED + """
+SELECT patient_id, seq, ts_ms, prev AS previous_tier, news2_tier AS new_tier, news2_score
+FROM steps WHERE prev <> news2_tier AND (fault IS NULL OR fault <> 'bad_timestamp')"""))
+def stream_state_alerts(spark, sf_dir):
+    """Alerts from keyed state across a restart; equals T2 in arrival order."""
+    _, paths = _two_runs(spark, sf_dir, "stream_state")
+    return finished(spark, paths, "alerts").select(
+        "patient_id", "seq", "ts_ms", "previous_tier", "new_tier", "news2_score")
+
+
+@register("stream_last_tier", sql(_ARRIVED + """
+SELECT patient_id, arg_max(news2_tier, (batch, seq)) AS last_tier FROM good GROUP BY patient_id"""))
+def stream_last_tier(spark, sf_dir):
+    """Each patient's last tier as the stream's state store holds it."""
+    base, _ = _two_runs(spark, sf_dir, "stream_tiers")
+    return stored_tiers(spark, f"{base}/out")
+
+
 @register("stream_agg_5min", sql(_stats_sql(300_000).replace(
     "GROUP BY patient_id, window_start_ms",
     "GROUP BY patient_id, window_start_ms "
@@ -125,6 +165,111 @@ def stream_agg_5min(spark, sf_dir):
     return finish_stats(spark.read.parquet(path))
 
 
+@register("stream_agg_1hour", sql(_stats_sql(3_600_000).replace(
+    "GROUP BY patient_id, window_start_ms",
+    "GROUP BY patient_id, window_start_ms "
+    "HAVING window_start_ms + 3600000 <= (SELECT max(ts_ms) FROM raw) - 600000")))
+def stream_agg_1hour(spark, sf_dir):
+    """A3: hours chained on 5-minute windows in one streaming query; closed hours equal A2."""
+    stream, base, _ = _replayed(spark, sf_dir, "stream_hours")
+    return finish_stats(spark.read.parquet(run_hourly(spark, stream, f"{base}/out")))
+
+
+DISORDER_MS = 80_000   # readings come up to six times this late
+
+
+def _disordered(spark, sf_dir, name):
+    """Readings that come up to eight minutes after younger ones, within the watermark."""
+    base, r = scratch_path(spark, name), raw(spark, sf_dir)
+    fpt = write_replay(r, f"{base}/replay", by=F.col("ts_ms") + F.col("seq") % 7 * DISORDER_MS)
+    return file_readings(spark, f"{base}/replay", r.schema, fpt), base
+
+
+_LAST_SEEN_SQL = f"""
+, n AS (SELECT patient_id, ts_ms,
+          lead(ts_ms) OVER (PARTITION BY patient_id ORDER BY ts_ms, seq) AS next_ms FROM raw)
+SELECT patient_id, ts_ms AS silent_since_ms FROM n
+WHERE (next_ms IS NULL OR next_ms - ts_ms > {SILENCE_MS})
+  AND ts_ms + {SILENCE_MS} < (SELECT max(ts_ms) FROM raw) - 600000"""
+
+
+@register("stream_silences", sql(_LAST_SEEN_SQL))
+def stream_silences(spark, sf_dir):
+    """R4 live: one row per silence from event-time timers, of patients that send again
+    and of those that never do; equals R4's gaps and the open ones."""
+    stream, base = _disordered(spark, sf_dir, "stream_silences")
+    return spark.read.parquet(run_silences(spark, stream, f"{base}/out")).select(
+        "patient_id", "silent_since_ms")
+
+
+@register("stream_sessions", sql(f"""
+, f AS (
+  SELECT patient_id, seq, ts_ms,
+    CASE WHEN lag(ts_ms) OVER w IS NULL OR ts_ms - lag(ts_ms) OVER w >= {SILENCE_MS}
+         THEN ts_ms END AS st
+  FROM raw WINDOW w AS (PARTITION BY patient_id ORDER BY ts_ms, seq)),
+g AS (
+  SELECT *, max(st) OVER (PARTITION BY patient_id ORDER BY ts_ms, seq ROWS UNBOUNDED PRECEDING)
+         AS session_start_ms
+  FROM f)
+SELECT patient_id, session_start_ms, max(ts_ms) AS session_end_ms, count(*) AS readings
+FROM g GROUP BY ALL
+HAVING max(ts_ms) + {SILENCE_MS} <= (SELECT max(ts_ms) FROM raw) - 600000"""))
+def stream_sessions(spark, sf_dir):
+    """R5 on the stream: closed sessions of an out-of-order replay, in which late
+    readings bridge sessions, equal the batch form's."""
+    stream, base = _disordered(spark, sf_dir, "stream_sessions")
+    return spark.read.parquet(run_sessions(spark, stream, f"{base}/out"))
+
+
+ASOF_PARTS = 4
+
+
+@register("stream_readings_asof_ward", ORACLE["readings_asof_ward"])
+def stream_readings_asof_ward(spark, sf_dir):
+    """J2 on the stream: the registry grows between the micro-batches, each joins the
+    version of its time; equals J3."""
+    base, r = scratch_path(spark, "stream_wards"), raw(spark, sf_dir)
+    events = admin(spark, sf_dir)
+    lo, hi = r.agg(F.min("ts_ms"), F.max("ts_ms")).first()
+    step = -(-(hi - lo + 1) // ASOF_PARTS)
+    known = None
+    for i in range(ASOF_PARTS):
+        until = lo + (i + 1) * step
+        change = F.col("event_ms") < until if i < ASOF_PARTS - 1 else F.lit(True)
+        if known is not None:
+            change = change & (F.col("event_ms") >= known)
+        append_version(events.filter(change), f"{base}/registry", i)
+        fpt = write_replay(r, f"{base}/replay", parts=ASOF_PARTS, order=(i,), by=F.col("ts_ms"))
+        out = run_wards(file_readings(spark, f"{base}/replay", r.schema, fpt),
+                        f"{base}/registry", f"{base}/out")
+        known = until
+    return spark.read.parquet(out).filter("event_ms IS NOT NULL").select(
+        "patient_id", "seq", "ts_ms", *ASOF_FIELDS)
+
+
+@register("stream_predictions", sql("""
+SELECT seq, patient_id, true AS as_batch, true AS as_stored FROM scored
+WHERE news2_tier <> 'High'"""))
+def stream_predictions(spark, sf_dir):
+    """M5 on the stream: the stored pipeline applied to features from a bounded tail.
+    Each prediction equals the batch form's, and the one written out from the stored
+    coefficients."""
+    base, r = scratch_path(spark, "stream_predict"), raw(spark, sf_dir)
+    frame = M.training_frame(with_news2(r)).checkpoint()
+    M.fit_model(frame.filter("is_train")).write().save(f"{base}/model")
+    fpt = write_replay(r, f"{base}/replay", by=F.col("ts_ms"))
+    out = run_predictions(file_readings(spark, f"{base}/replay", r.schema, fpt),
+                          f"{base}/model", f"{base}/out")
+    model = PipelineModel.load(f"{base}/model")
+    batch = M.predict(model, frame).select("seq", "patient_id",
+                                           F.col("p_deteriorate").alias("p_batch"))
+    near = lambda c: F.abs(F.col("p_deteriorate") - c) < 1e-9
+    return (spark.read.parquet(out).join(batch, ["seq", "patient_id"])
+            .select("seq", "patient_id", near(F.col("p_batch")).alias("as_batch"),
+                    near(probability_from(model)).alias("as_stored")))
+
+
 _LIVE_COLS = ["seq", "ts_ms", "news2_score", "news2_tier", "respiration_rate",
               "oxygen_saturation", "temperature", "systolic_bp", "heart_rate",
               "consciousness_level"]

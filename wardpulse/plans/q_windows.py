@@ -54,14 +54,17 @@ def agg_sliding_10min(spark, sf_dir):
     return W.agg_sliding(scored(spark, sf_dir))
 
 
-@register("rolling_10min", sql("""
+ROLLING_SQL = """
 SELECT seq, patient_id, ts_ms, count(*) OVER w AS n, avg(heart_rate) OVER w AS hr_avg,
        min(heart_rate) OVER w AS hr_min, max(heart_rate) OVER w AS hr_max,
        round(stddev_samp(heart_rate) OVER w, 4) AS hr_std
 FROM scored
-WINDOW w AS (PARTITION BY patient_id ORDER BY ts_ms RANGE BETWEEN 600000 PRECEDING AND CURRENT ROW)"""))
+WINDOW w AS (PARTITION BY patient_id ORDER BY ts_ms RANGE BETWEEN 600000 PRECEDING AND CURRENT ROW)"""
+
+
+@register("rolling_10min", sql(ROLLING_SQL))
 def rolling_10min(spark, sf_dir):
-    """A5: per-reading trailing 10-minute RANGE frame (halo-bucketed)."""
+    """A5: per-reading trailing 10-minute RANGE frame (growing frames of blocks)."""
     return W.rolling(scored(spark, sf_dir))
 
 

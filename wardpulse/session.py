@@ -94,6 +94,19 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def touch_path(spark: SparkSession, path: str) -> None:
+    """Create one empty file."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True).close()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where there is no folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total size of the given inputs from file-system metadata (no scan)."""
     jvm = spark._jvm

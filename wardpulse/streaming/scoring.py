@@ -6,27 +6,28 @@
   and written to the lake (K6/K1), the alert table and topic (K2/K3), the scored
   topic (K4) and the rejects (S4).
 
-Arrival order is truth, and nothing is dropped for being late.  The alert state
-(T1/T3) is a table of the last tier by patient, rewritten per batch id: a batch
-is stepped by the same chunked operator as the batch form (T2), with each
-patient's last tier as a row before all others, so a hot patient is split and
-a replayed batch gives the same rows.
+Arrival order is truth, and nothing is dropped for being late.  The offsets seen
+(T6) and the last tier of each patient (T1/T3) are keyed state in the state store
+(``streaming.state``): a batch costs what it holds, whatever the population and
+the lake.  Each folder is named by the batch id, which a replay overwrites; readers
+that ask for ``finished`` rows see a batch in all tables or in none.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardpulse.functions.news2 import rank_label, tier_rank, with_news2
-from wardpulse.operators.alerts import tier_change_alerts, with_emission
+from wardpulse.operators.alerts import with_emission
 from wardpulse.schemas import ALERT_AVSC, RAW_AVSC, SCORED_AVSC, TOPIC_ALERTS, TOPIC_RAW, TOPIC_SCORED
-from wardpulse.session import delete_path, prepare_streaming
+from wardpulse.session import list_names, prepare_streaming, touch_path
 from wardpulse.sources import frames as FR
 from wardpulse.sources import history as H
+from wardpulse.streaming.state import RETENTION_MS, stepped
 
 REPLAY_PARTS, REPLAY_FILES = 4, 4
 ROWS_PER_FILE = 4_000_000
@@ -36,19 +37,21 @@ MAX_OFFSETS, MAX_FILES = 20_000_000, 1_000
 
 
 def write_replay(rows: DataFrame, path: str, parts: int = REPLAY_PARTS,
-                 files_per_part: int | None = None, order: tuple[int, ...] | None = None) -> int:
-    """Replay fixture: ``rows`` split into ``parts`` consecutive ``seq`` ranges,
-    appended one after another (in ``order``), so each range's files are newer
-    than those of the range before.  Each append writes ``files_per_part``
+                 files_per_part: int | None = None, order: tuple[int, ...] | None = None,
+                 by: Column | None = None) -> int:
+    """Replay fixture: ``rows`` split into ``parts`` consecutive ranges of ``seq`` (or
+    of ``by``), appended one after another (in ``order``), so each range's files are
+    newer than those of the range before.  Each append writes ``files_per_part``
     files (from the number of rows unless given), so a stream that reads as
     many per trigger sees whole ranges.  Returns the files per trigger."""
-    lo, hi, n = rows.agg(F.min("seq"), F.max("seq"), F.count(F.lit(1))).first()
+    by = F.col("seq") if by is None else by
+    lo, hi, n = rows.agg(F.min(by), F.max(by), F.count(F.lit(1))).first()
     if not files_per_part:
         files_per_part = max(REPLAY_FILES, math.ceil(n / parts / ROWS_PER_FILE))
     step = math.ceil((hi - lo + 1) / parts)
     for i in order or range(parts):
         a, b = lo + i * step, lo + (i + 1) * step
-        (rows.filter((F.col("seq") >= a) & (F.col("seq") < b))
+        (rows.filter((by >= a) & (by < b))
          .repartition(files_per_part).write.mode("append").parquet(path))
     return files_per_part
 
@@ -82,75 +85,31 @@ def kafka_readings(spark: SparkSession, brokers: str, topic: str = TOPIC_RAW,
     return FR.route(FR.decode_frames(src, avsc, keep=["seq", "value"]))
 
 
-BEFORE_ALL = -1   # ``seq`` of the row that stands for a patient's stored state
-
-
-def step_state(scored: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """One micro-batch against the stored last tiers (``patient_id``,
-    ``rank``) -> (alerts, new last tiers).  Rows with a NULL tier are rejects
-    under the null rule and do not step the state."""
-    rows = scored.select("patient_id", "seq", "ts_ms", "news2_tier", "news2_score")
-    if state is not None:
-        rows = rows.unionByName(state.select(
-            "patient_id", F.lit(BEFORE_ALL).cast("long").alias("seq"),
-            F.lit(0).cast("long").alias("ts_ms"), rank_label(F.col("rank")).alias("news2_tier"),
-            F.lit(0).alias("news2_score")))
-    alerts = tier_change_alerts(rows).filter(F.col("seq") > BEFORE_ALL)
-    last = (rows.filter(F.col("news2_tier").isNotNull())
-            .withColumn("rank", tier_rank("news2_tier"))
-            .groupBy("patient_id").agg(F.max_by("rank", "seq").alias("rank")))
-    return alerts, last
-
-
-def first_deliveries(readings: DataFrame, lake: DataFrame | None) -> DataFrame:
-    """Readings not delivered before: one per ``seq`` in the batch, and none
-    that the lake has.  The lake is read for the dates of the batch only (the
-    anti join's dates prune its partitions), and late readings stay."""
-    out = readings.dropDuplicates(["seq"])
-    if lake is None:
-        return out
-    out = out.withColumn("date", H.date_of())
-    seen = lake.select("date", F.col("seq").alias("_seen"))
-    return out.join(seen, (out["date"] == seen["date"]) & (out["seq"] == seen["_seen"]),
-                    "left_anti").drop("date")
+def arriving(source: DataFrame, avsc: str | None) -> DataFrame:
+    """Decoded rows of a stream of frames (``avsc`` given) or of readings.  Raw bytes
+    stay with the rows that a table will refuse."""
+    if not avsc:
+        return source.drop("timestamp").withColumns({
+            "status": F.lit("ok"), "decode_error": F.lit(None).cast("string"),
+            "value": F.lit(None).cast("binary")})
+    decoded = FR.decode_frames(source, avsc, keep=["seq", "value"])
+    fine = (F.col("status") == "ok") & F.coalesce(FR.ts_guard(), F.lit(False))
+    return decoded.withColumn("value", F.when(~fine, F.col("value")))
 
 
 class ScoringSink:
-    """``foreachBatch`` sink: all outputs of a micro-batch from one decoding and
-    scoring.  Every folder is overwritten by batch id, so a replayed batch
-    rewrites the same files; topics are at-least-once like any producer."""
+    """``foreachBatch`` sink: all outputs of a micro-batch from one cached frame.
+    Every folder is overwritten by batch id, so a replayed batch rewrites the same
+    files; topics are at-least-once like any producer.  ``schema`` is that of the
+    rows in ``payload``."""
 
-    def __init__(self, out_dir: str, avsc: str | None = None, dedup: bool = False,
-                 brokers: str | None = None, time_mode: str = "event"):
+    def __init__(self, out_dir: str, schema: T.StructType, brokers: str | None = None,
+                 time_mode: str = "event"):
         if time_mode not in ("event", "processing"):
             raise ValueError(time_mode)
-        self.avsc, self.dedup, self.brokers, self.time_mode = avsc, dedup, brokers, time_mode
+        self.schema, self.brokers, self.time_mode = schema, brokers, time_mode
         self.paths = {k: f"{out_dir}/{k}" for k in
-                      ("lake", "alerts", "alert_frames", "rejects", "last_tier")}
-
-    def _readings(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        if self.avsc:
-            decoded = FR.decode_frames(batch, self.avsc, keep=["seq", "value"])
-        else:
-            decoded = batch.withColumns({
-                "status": F.lit("ok"), "decode_error": F.lit(None).cast("string"),
-                "value": F.lit(None).cast("binary")})
-        decoded = decoded.persist()
-        self._held.append(decoded)
-        ok, rejects = FR.route(decoded)
-        return ok.drop("status", "decode_error", "value", "split_status", "schema_id"), rejects
-
-    def _earlier(self, spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-        """The lake as of the batches before this one."""
-        if not batch_id:
-            return None
-        try:
-            lake = spark.read.parquet(path)
-        except Exception as e:  # noqa: BLE001  no batch has written a row so far
-            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-                return None
-            raise
-        return lake.filter(F.col("batch") < batch_id)
+                      ("lake", "alerts", "alert_frames", "rejects", "commits")}
 
     def _to_topic(self, records: DataFrame, avsc: str, topic: str) -> None:
         (FR.encode_frames(records, avsc).select("key", "value").write.format("kafka")
@@ -158,19 +117,16 @@ class ScoringSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, at = batch.sparkSession, f"batch={batch_id}"
-        self._held: list[DataFrame] = []
-        readings, rejects = self._readings(batch)
-        if self.dedup:
-            readings = first_deliveries(
-                readings, self._earlier(spark, self.paths["lake"], batch_id))
-            rejects = rejects.dropDuplicates(["seq", "reason"])
-        scored = with_news2(readings).persist()
-        self._held.append(scored)
-        state = spark.read.parquet(f"{self.paths['last_tier']}/batch={batch_id - 1}") \
-            if batch_id else None
-        alerts, last = step_state(scored, state)
-        alerts = with_emission(alerts).persist()
-        self._held.append(alerts)
+        rows = batch.select("prev", F.from_json("payload", self.schema).alias("r")).select(
+            "prev", "r.*").persist()
+        readings, rejects = FR.route(rows)
+        scored = with_news2(readings.drop("status", "decode_error", "value", "split_status",
+                                          "schema_id"))
+        rank = tier_rank("news2_tier")
+        alerts = with_emission(
+            scored.filter((F.col("prev") >= 0) & (F.col("prev") != rank))
+            .select("patient_id", "seq", "ts_ms", rank_label(F.col("prev")).alias("previous_tier"),
+                    F.col("news2_tier").alias("new_tier"), "news2_score")).persist()
 
         H.write_table(H.to_scored_row(scored), f"{self.paths['lake']}/{at}", "overwrite")
         H.write_table(H.to_alert_row(alerts), f"{self.paths['alerts']}/{at}", "overwrite")
@@ -179,13 +135,28 @@ class ScoringSink:
         FR.encode_frames(told, ALERT_AVSC).write.mode("overwrite").parquet(
             f"{self.paths['alert_frames']}/{at}")
         rejects.write.mode("overwrite").parquet(f"{self.paths['rejects']}/{at}")
-        last.write.mode("overwrite").parquet(f"{self.paths['last_tier']}/{at}")
+        touch_path(spark, f"{self.paths['commits']}/{batch_id}")
         if self.brokers:
             self._to_topic(told, ALERT_AVSC, TOPIC_ALERTS)
             self._to_topic(scored, SCORED_AVSC, TOPIC_SCORED)
-        delete_path(spark, f"{self.paths['last_tier']}/batch={batch_id - 2}")
-        for df in self._held:
-            df.unpersist()
+        rows.unpersist()
+        alerts.unpersist()
+
+
+def finished(spark: SparkSession, paths: dict[str, str], table: str) -> DataFrame:
+    """K6: rows of one output of ``run_scoring`` from batches that are written whole, to
+    all outputs; batches run one after another, so the last one tells."""
+    done = max(map(int, list_names(spark, paths["commits"])), default=-1)
+    return spark.read.parquet(paths[table]).filter(F.col("batch") <= done)
+
+
+def stored_tiers(spark: SparkSession, out_dir: str) -> DataFrame:
+    """T1 (stream): each patient's last tier, read from the state store of a
+    ``run_scoring`` job as of its last batch."""
+    state = (spark.read.format("statestore").option("path", f"{out_dir}/_ck_scoring")
+             .option("operatorId", 0).option("stateVarName", "last_tier").load())
+    return state.select(F.substring(F.col("key")["key"], 2, 1 << 30).alias("patient_id"),
+                        rank_label(F.col("value")["rank"]).alias("last_tier"))
 
 
 def dedup_alert_stream(alerts: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -199,17 +170,27 @@ def dedup_alert_stream(alerts: DataFrame, delay: str = "10 minutes") -> DataFram
 
 def run_scoring(spark: SparkSession, source: DataFrame, out_dir: str,
                 available_now: bool = True, dedup: bool = False, avsc: str | None = None,
-                brokers: str | None = None, time_mode: str = "event") -> dict[str, str]:
+                brokers: str | None = None, time_mode: str = "event",
+                retention_ms: int = RETENTION_MS) -> dict[str, str]:
     """Score a stream of readings, or of frames when ``avsc`` is given.
 
-    ``dedup`` (T6) drops redelivered messages; late ones are scored, stored and
-    stepped like any other.  ``time_mode`` says which time alert records carry:
-    the reading's, or the time of processing.  With ``available_now`` the call
-    returns when the backlog is done."""
+    ``dedup`` (T6) drops messages redelivered within ``retention_ms``; late ones are
+    scored, stored and stepped like any other.  ``time_mode`` says which time alert
+    records carry: the reading's, or the time of processing.  With ``available_now``
+    the call returns when the backlog is done."""
     prepare_streaming(spark)
-    sink = ScoringSink(out_dir, avsc, dedup, brokers, time_mode)
-    w = source.writeStream.foreachBatch(sink).option("checkpointLocation", f"{out_dir}/_ck_scoring")
-    q = (w.trigger(availableNow=True) if available_now else w).start()
+    rows = arriving(source, avsc)
+    sink = ScoringSink(out_dir, rows.schema, brokers, time_mode)
+    w = (stepped(rows, dedup, retention_ms).writeStream.foreachBatch(sink).outputMode("append")
+         .option("checkpointLocation", f"{out_dir}/_ck_scoring"))
+    # Offsets expire with the next batch; a batch without data has nothing to do.
+    no_data = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(no_data)
+    spark.conf.set(no_data, "false")
+    try:
+        q = (w.trigger(availableNow=True) if available_now else w).start()
+    finally:
+        spark.conf.set(no_data, before)
     if available_now:
         q.awaitTermination()
     return sink.paths
