@@ -101,51 +101,42 @@ def with_sliding(df: DataFrame, key: str, ts_col: str, lo: int, hi: int,
                       *[merged(n, how) for n, (how, _) in parts.items()])
 
 
-#: Statistics of one column over a frame, from sums that merge: see ``moments``.
 MINUTE_MS = 60_000
 
 
 def moments(name: str, x: Column, ts: bool = False) -> dict[str, tuple[str, Column]]:
     """Parts from which ``mean_of``, ``std_of`` and, with ``ts``, ``slope_of`` follow.
 
-    Integers are summed as integers.  Doubles should come near zero (subtract a
-    typical value), so that their squares lose no digits."""
-    t = F.when(x.isNotNull(), F.col("time_in_block"))
-    square = (t * t).cast("decimal(18,0)")   # outgrows a long in a frame of some 10**7 rows
+    Integers are summed as integers, squares of times as doubles, which are exact up to
+    2**53 and cannot overflow.  Doubles should come near zero (subtract a typical
+    value), so that their squares lose no digits."""
     out = {f"{name}_n": ("sum", x.isNotNull().cast("long")), f"{name}_x": ("sum", x),
            f"{name}_xx": ("sum", x * x)}
     if ts:
-        out |= {f"{name}_t": ("sum", t), f"{name}_tt": ("sum", square), f"{name}_xt": ("sum", x * t)}
+        t = F.when(x.isNotNull(), F.col("time_in_block"))
+        out |= {f"{name}_t": ("sum", t), f"{name}_tt": ("sum", t.cast("double") * t),
+                f"{name}_xt": ("sum", x * t)}
     return out
 
 
-def _wide(c: str) -> Column:
-    return F.col(c).cast("decimal(19,0)")
+def _sums(name: str, *kinds: str) -> list[Column]:
+    return [F.col(f"{name}_{k}").cast("double") for k in kinds]
 
 
 def mean_of(name: str, base: float = 0) -> Column:
-    mean = F.try_divide(F.col(f"{name}_x").cast("double"), F.col(f"{name}_n").cast("double"))
+    x, n = _sums(name, "x", "n")
+    mean = F.try_divide(x, n)
     return mean + F.lit(base) if base else mean
 
 
-def std_of(name: str, exact: bool) -> Column:
-    """Sample standard deviation; NULL under two values.  ``exact``: of integers."""
-    n, x, xx = (_wide(f"{name}_{k}") if exact else F.col(f"{name}_{k}").cast("double")
-                for k in ("n", "x", "xx"))
-    spread = F.greatest((n * xx - x * x).cast("double"), F.lit(0.0))
-    count = F.col(f"{name}_n").cast("double")
-    return F.when(F.col(f"{name}_n") > 1, F.sqrt(spread / (count * (count - 1))))
+def std_of(name: str) -> Column:
+    """Sample standard deviation; NULL under two values."""
+    n, x, xx = _sums(name, "n", "x", "xx")
+    return F.when(n > 1, F.sqrt(F.greatest(n * xx - x * x, F.lit(0.0)) / (n * (n - 1))))
 
 
-def slope_of(name: str, exact: bool) -> Column:
+def slope_of(name: str) -> Column:
     """Slope of the least-squares line, per minute; NULL without two times."""
-    n, t, tt = _wide(f"{name}_n"), _wide(f"{name}_t"), F.col(f"{name}_tt")
-    spread = (n * tt - t * t).cast("double")
-    if exact:
-        both = (n * _wide(f"{name}_xt") - _wide(f"{name}_x") * t).cast("double")
-    else:
-        nd, td = n.cast("double"), t.cast("double")
-        both = nd * F.col(f"{name}_xt") - F.col(f"{name}_x") * td
-    return F.when(spread > 0, both / spread * F.lit(float(MINUTE_MS)))
-
-
+    n, x, t, tt, xt = _sums(name, "n", "x", "t", "tt", "xt")
+    spread = n * tt - t * t
+    return F.when(spread > 0, (n * xt - x * t) / spread * F.lit(float(MINUTE_MS)))

@@ -55,8 +55,8 @@ def trajectory_features(scored: DataFrame, width_ms: int = WINDOW_MS, splits: in
     for v, s in FEATURE_VITALS.items():
         exact = v != "temperature"
         mean = mean_of(s) if exact else F.round(mean_of(s, TYPICAL_TEMPERATURE), DOUBLE_PLACES)
-        features += [mean.alias(f"{s}_mean"), F.round(std_of(s, exact), 4).alias(f"{s}_std"),
-                     F.round(slope_of(s, exact), 4).alias(f"{s}_slope")]
+        features += [mean.alias(f"{s}_mean"), F.round(std_of(s), 4).alias(f"{s}_std"),
+                     F.round(slope_of(s), 4).alias(f"{s}_slope")]
     deltas = [(F.col(v) - F.col("_first")[v]).alias(f"{s}_delta") for v, s in FEATURE_VITALS.items()]
     return out.select(*cols, "n", *features, *deltas)
 

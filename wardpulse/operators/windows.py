@@ -133,7 +133,7 @@ def rolling(scored: DataFrame, width_ms: int = 600_000, column: str = "heart_rat
     out = with_sliding(scored.select("seq", "patient_id", "ts_ms", column), "patient_id",
                        "ts_ms", -width_ms, 0, parts, splits=splits)
     return out.select("seq", "patient_id", "ts_ms", "n", mean_of("m").alias(f"{s}_avg"),
-                      f"{s}_min", f"{s}_max", F.round(std_of("m", True), 4).alias(f"{s}_std"))
+                      f"{s}_min", f"{s}_max", F.round(std_of("m"), 4).alias(f"{s}_std"))
 
 
 def window_news2(scored: DataFrame) -> DataFrame:

@@ -19,6 +19,11 @@ ROCKSDB_PROVIDER = (
 )
 
 
+#: The JVM interprets generated methods above this size instead of compiling them; Spark
+#: then does better to leave such a stage to smaller generated parts.
+HUGE_METHOD_BYTES = "8000"
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "wardpulse") -> SparkSession:
     """A local session configured the way the jobs expect (UTC, AQE, no UI)."""
@@ -33,6 +38,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        .config("spark.sql.codegen.hugeMethodLimit", HUGE_METHOD_BYTES)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("WARDPULSE_DRIVER_MEM", "16g"))
@@ -59,6 +65,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     change results, but stream watermarks and date partitions read best in UTC.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", HUGE_METHOD_BYTES)
     return spark
 
 

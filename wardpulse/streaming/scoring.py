@@ -27,7 +27,7 @@ from wardpulse.schemas import ALERT_AVSC, RAW_AVSC, SCORED_AVSC, TOPIC_ALERTS, T
 from wardpulse.session import list_names, prepare_streaming, touch_path
 from wardpulse.sources import frames as FR
 from wardpulse.sources import history as H
-from wardpulse.streaming.state import RETENTION_MS, stepped
+from wardpulse.streaming.state import NOBODY, RETENTION_MS, stepped
 
 REPLAY_PARTS, REPLAY_FILES = 4, 4
 ROWS_PER_FILE = 4_000_000
@@ -155,8 +155,9 @@ def stored_tiers(spark: SparkSession, out_dir: str) -> DataFrame:
     ``run_scoring`` job as of its last batch."""
     state = (spark.read.format("statestore").option("path", f"{out_dir}/_ck_scoring")
              .option("operatorId", 0).option("stateVarName", "last_tier").load())
-    return state.select(F.substring(F.col("key")["key"], 2, 1 << 30).alias("patient_id"),
-                        rank_label(F.col("value")["rank"]).alias("last_tier"))
+    patient = F.col("user_map_key")["patient_id"]
+    return state.select(F.when(patient != NOBODY, patient).alias("patient_id"),
+                        rank_label(F.col("user_map_value")["rank"]).alias("last_tier"))
 
 
 def dedup_alert_stream(alerts: DataFrame, delay: str = "10 minutes") -> DataFrame:

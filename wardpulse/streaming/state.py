@@ -7,10 +7,11 @@ the keys it holds, whatever the population or the tables behind it:
   offsets seen, as ranges (a block seen whole is one range), which expires once
   the broker no longer keeps its messages.  It drops redelivered messages (T6) and
   finds, for each reading, the tier of the patient's reading before it in the block;
-* ``LastTier``: keyed by patient, its state is the last tier (T1).  Only the first
-  reading of a patient in each block comes here, with the patient's last tier in
-  the block, so a patient with most of a batch's readings is one row per block.
-  It fills in the tier before the block (T3);
+* ``LastTier``: a map from patient to last tier (T1), keyed by one of BUCKETS hashes of
+  the patient, because a key of its own costs Python more than the look-up of a
+  patient in the map.  Only the first reading of a patient in each block comes here,
+  with the patient's last tier in the block, so a patient with most of a batch's
+  readings is one row per block.  It fills in the tier before the block (T3);
 * ``Silences``: keyed by patient, with event-time timers (see ``silence_stream``).
 
 Readings travel through the first two as one JSON column beside the few that the state
@@ -36,8 +37,14 @@ BLOCK = 1 << 14
 RETENTION_MS = 3_600_000
 
 SEEN = T.StructType([T.StructField("ranges", T.BinaryType())])
+#: Keys of the tier state, and so tasks that can step it side by side.
+BUCKETS = 256
+PATIENT = T.StructType([T.StructField("patient_id", T.StringType())])
 RANK = T.StructType([T.StructField("rank", T.IntegerType())])
 
+#: Stands for a missing patient id, which is a patient of its own.
+NOBODY = "\0"
+
 #: ``rank``: the reading's tier, -1 for none; ``prev``: the tier before it, -1 while
 #: unknown; ``last``: the patient's last tier in the block; ``edge``: the patient's
 #: first reading with a tier in the block.
@@ -87,7 +94,8 @@ class Arrivals(StatefulProcessor):
         block = pd.concat(list(rows), ignore_index=True)
         if self.dedup:
             block = block.drop_duplicates("seq", ignore_index=True)
-            seen = unpack_offsets(self.seen.get()[0]) if self.seen.exists() else np.zeros(BLOCK, bool)
+            held = self.seen.get()
+            seen = unpack_offsets(held[0]) if held else np.zeros(BLOCK, bool)
             at = block["seq"].to_numpy() - int(key[0]) * BLOCK
             block = block[~seen[at]]
             if block.empty:
@@ -102,20 +110,28 @@ class Arrivals(StatefulProcessor):
 
 class LastTier(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.tier = handle.getValueState("last_tier", RANK)
+        self.tiers = handle.getMapState("last_tier", PATIENT, RANK)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues
                         ) -> Iterator[pd.DataFrame]:
-        if key[0] is not None and key[0].startswith("b"):
-            for chunk in rows:   # of a block: nothing to fill in
-                yield chunk[STEPS.names]
+        if key[0] < 0:   # of a block: nothing to fill in
+            yield from rows
             return
         edges = pd.concat(list(rows), ignore_index=True).sort_values("block", ignore_index=True)
-        prev = edges["last"].shift(1, fill_value=-1)
-        if self.tier.exists():
-            prev.iloc[0] = self.tier.get()[0]
-        self.tier.update((int(edges["last"].iloc[-1]),))
-        yield edges.assign(prev=prev.astype("int32"))[STEPS.names]
+        patients = edges["patient_id"].fillna(NOBODY)
+        by_patient = edges.groupby(patients, sort=False)["last"]
+        prev = by_patient.shift(1).fillna(-1).to_numpy(np.int32)
+        opening, closing = ~patients.duplicated(), ~patients.duplicated(keep="last")
+        held = {p: self._tier(p) for p in patients[opening].tolist()}
+        prev[opening.to_numpy()] = list(held.values())
+        for p, last in zip(patients[closing].tolist(), edges["last"][closing].tolist()):
+            if held[p] != last:
+                self.tiers.updateValue((p,), (last,))
+        yield edges.assign(prev=prev)
+
+    def _tier(self, patient: str) -> int:
+        held = self.tiers.getValue((patient,))
+        return -1 if held is None else int(held[0])
 
     def close(self) -> None:
         pass
@@ -131,9 +147,10 @@ def stepped(readings: DataFrame, dedup: bool, retention_ms: int = RETENTION_MS)
         rank.alias("rank"), F.to_json(F.struct(*readings.columns)).alias("payload"))
     blocks = rows.groupBy("block").transformWithStateInPandas(
         Arrivals(dedup, retention_ms), STEPS, "Append", "ProcessingTime" if dedup else "None")
-    key = F.when(F.col("edge"), F.concat(F.lit("p"), "patient_id")).otherwise(
-        F.concat(F.lit("b"), "block"))
-    return (blocks.withColumn("key", key).groupBy("key")
+    # Rows of a block go through by the block, under keys of their own.
+    key = F.when(F.col("edge"), F.pmod(F.xxhash64("patient_id"), F.lit(BUCKETS))).otherwise(
+        -1 - F.abs("block"))
+    return (blocks.withColumn("key", key.cast("long")).groupBy("key")
             .transformWithStateInPandas(LastTier(), STEPS, "Append", "None")
             .select("seq", "prev", "payload"))
 
@@ -179,8 +196,8 @@ class Silences(StatefulProcessor):
         self.runs = handle.getValueState("runs", RUNS)
 
     def _held(self) -> np.ndarray:
-        held = self.runs.get()[0] if self.runs.exists() else b""
-        return np.frombuffer(held, "<i8").reshape(-1, 2)
+        held = self.runs.get()
+        return np.frombuffer(held[0] if held else b"", "<i8").reshape(-1, 2)
 
     def _settle(self, key, runs: np.ndarray, watermark: int) -> Iterator[pd.DataFrame]:
         over = runs[:, 1] + self.gap < watermark
