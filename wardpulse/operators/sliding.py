@@ -88,7 +88,9 @@ def with_sliding(df: DataFrame, key: str, ts_col: str, lo: int, hi: int,
                       for n, (how, _) in parts.items()],
             *[_AGG[how](f"d_{n}").over(behind).alias(f"_wp_cd_{n}")
               for n, (how, _) in parts.items()])
-        out, sides = out.join(carry, place), ["u", "d", "cu", "cd"]
+        carry = carry.withColumnsRenamed({c: f"_wp_c{c}" for c in place})
+        same = [F.col(c).eqNullSafe(F.col(f"_wp_c{c}")) for c in place]   # a NULL key is a key
+        out, sides = out.join(carry, same), ["u", "d", "cu", "cd"]
     out = out.filter(F.col(_KIND) == (_READER if hi else _ROW))
 
     def merged(name: str, how: str) -> Column:
