@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from wardpulse.llm import near_dedup as ND, substring_dedup as SD
 from wardpulse.llm.components import connected
@@ -138,6 +139,45 @@ def test_near_copies_of_one_text(spark, monkeypatch):
     assert got == components_reference(rows)
 
 
+def template_rows(n, shared, own, seed=6):
+    """Unlike pages of one template, and near copies of every tenth of them."""
+    import random
+    rng = random.Random(seed)
+    frame = [f"menu{k}" for k in range(shared)]
+    rows = []
+    for i in range(n):
+        page = frame + [f"own{i}x{k}" for k in range(own)]
+        rows.append((3 * i, " ".join(page)))
+        if i % 10 == 0:
+            near = list(page)
+            near[rng.randrange(len(page))] = f"changed{i}"
+            rows.append((3 * i + 1, " ".join(near)))
+        if i % 30 == 0:
+            rows.append((3 * i + 2, " ".join(page[:-2])))
+    return rows
+
+
+@pytest.mark.parametrize("n,shared,own", [(800, 104, 40), (400, 120, 28), (400, 140, 12)])
+def test_pages_of_a_template(spark, n, shared, own, monkeypatch):
+    """Pages that share most of their shingles are linked to their copies alone.  Where
+    they are half alike, no node of theirs is compared whole."""
+    largest = []
+    plain = ND._outsiders_against_all
+
+    def counted(members, *rest):
+        groups = members.groupBy("grp").agg(
+            (F.count_if("outer") * F.count_if("inner")).alias("pairs"))
+        largest.append(groups.agg(F.max("pairs")).first()[0])
+        return plain(members, *rest)
+
+    monkeypatch.setattr(ND, "_outsiders_against_all", counted)
+    rows = template_rows(n, shared, own)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup(df).collect())
+    assert got == components_reference(rows)
+    assert own != 40 or largest[0] <= ND.CENTRED ** 2
+
+
 def test_near_stage(edge):
     kept = drop_near_copies(edge)
     assert kept.columns == edge.columns

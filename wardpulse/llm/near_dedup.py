@@ -14,16 +14,26 @@ at similarity 0.85 survives one tree with probability ``s = 1 - (1 - .85 s)^2``
 = 0.97, and is missed by four of them in about one case of a million; at 0.80
 it is 0.94 and 15 cases of a million.
 
-A large node that keeps most of its parent's classes holds mutual copies, which
-branching does not part; it is a leaf as well.
-
-Leaves are compared exhaustively, in steps that keep what is passed on linear
-in a group of mutual copies.  First every class meets two pivots of its node,
-confirmed on full sets.  Then, with the components so found, the classes
-outside their node's largest component meet all others of the node in blocks
+A node of over CENTRED classes that keeps most of its parent's is not parted by such
+coordinates: its classes share most tokens, as copies of one text do, but also
+unlike pages of one template.  Its centre is the token that over half of SAMPLES
+classes have at each coordinate.  What two classes have in common beyond the centre
+tells copies from pages.  A class goes on to the children named by the RARE
+lowest-hashed of its tokens beside the centre's, and by one of those that a quarter of
+the node or more has, if it has any.  Two linked classes that share none of those are both
+near the centre, ``beside(x) + beside(y)`` being no more than the tokens in which links
+may differ; so only classes up to half of that (``low``) are compared with all up to the
+whole.  Unlike pages of a template drop out of both unless they are alike in
+two of three shingles anyway.
+
+Leaves and centres are compared exhaustively, in steps that keep what is passed on
+linear in a group of mutual copies.  First every class meets two pivots of its
+node, confirmed on full sets.  Then, with the components so found, the classes
+outside their node's largest component meet the others of the node in blocks
 inside tasks, by the agreement of their tokens; each block passes on a spanning
-forest of the pairs that come within four standard deviations of ``percent``.
-What these loose pairs connect is compared on full sets, again outsiders
+forest of the pairs that come within four standard deviations of ``percent`` (all trees
+share the tokens, so a link at exactly 0.85 is lost here in about one case of 10,000, at
+0.86 in one of 50,000).  What these loose pairs connect is compared on full sets, again outsiders
 against all in blocks inside tasks, and each block passes on the links that
 join components.
 
@@ -40,7 +50,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from wardpulse.llm.components import connected
 from wardpulse.llm.rows import KEY, arrow_batches, keep_rows, row_key, shared_table
@@ -56,9 +66,16 @@ DEPTH = 8
 TIGHT = 0.5
 BLOCK = 2048
 SET_BLOCK = 512
+#: Members of a block of full sets weigh more where their sets are larger: a block
+#: holds about this many shingles on each side.
+SET_ENTRIES = 1 << 21
+SIGMAS = 4
+SAMPLES, RARE = 64, 8
+CENTRED = 4 * SAMPLES   # a centre is made of nodes with more classes only
 SLOT_BITS = 20
 
 _MULT = np.random.default_rng(11).integers(1, 1 << 63, COORDS, np.uint64) | np.uint64(1)
+_CHILD = "node long, up long, c long"
 _SCHEMA = "__id {id}, " + KEY + " long, n long, c long, tokens binary, brief binary"
 
 
@@ -126,6 +143,60 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                      b.column("c")], names=["node", "up", "c"])
 
 
+def _centres(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, tokens of some classes) -> (node, common): by coordinate the tokens that a
+    quarter of them have or more, first the one that over half have (none: 0)."""
+    for b in batches:
+        out = []
+        for some in b.column("some").to_pylist():
+            t = np.sort(np.frombuffer(b"".join(some), np.uint32).reshape(-1, COORDS), axis=0)
+            common = np.zeros((COORDS, 5), np.uint32)
+            for i in range(COORDS):
+                value, count = np.unique(t[:, i], return_counts=True)
+                many = value[2 * count > len(t)]
+                common[i, :len(many)] = many
+                several = value[(4 * count >= len(t)) & (2 * count <= len(t))]
+                common[i, 1:1 + len(several)] = several
+            out.append(common.tobytes())
+        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(out, pa.binary())],
+                                         names=["node", "common"])
+
+
+def _beside(percent: int):
+    """(node, up, c, tokens, common) -> children (child, up, c) by tokens beside the
+    centre's, and (node, c, low) of the classes near the centre (child null)."""
+    apart = COORDS * (1 - _least_agreement(percent))
+    none = np.uint64((1 << 64) - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            tokens = np.frombuffer(b"".join(b.column("tokens").to_pylist()), np.uint32).reshape(-1, COORDS)
+            common = np.frombuffer(b"".join(b.column("common").to_pylist()), np.uint32).reshape(
+                -1, COORDS, 5)
+            node = b.column("node").to_numpy().view(np.uint64)
+            beside = tokens != common[:, :, 0]
+            rare = beside & (tokens[:, :, None] != common[:, :, 1:]).all(axis=2)
+            place = mix(node[:, None], np.arange(COORDS, dtype=np.uint64)[None] + np.uint64(1000))
+            named = mix(place, tokens.astype(np.uint64))
+            child = np.concatenate([
+                np.partition(np.where(rare, named, none), RARE - 1, axis=1)[:, :RARE],
+                np.where(beside & ~rare, named, none).min(axis=1, keepdims=True)], axis=1)
+            size = beside.sum(axis=1)
+            row, col = np.nonzero(child != none)
+            near = np.flatnonzero(size <= apart)
+            rows = pa.array(np.concatenate([row, near]))
+            whole = b.select(["node", "up", "c"]).take(rows)
+            names = np.concatenate([child[row, col].view(np.int64), np.zeros(len(near), np.int64)])
+            core = np.arange(len(rows)) >= len(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.int64(), mask=core), whole.column("node"), whole.column("up"),
+                 whole.column("c"), pa.array((2 * size <= apart)[rows.to_numpy()])],
+                names=["child", "node", "up", "c", "low"])
+    return run
+
+
 class Forest:
     """Union-find over positions, joining by given groups first."""
 
@@ -146,7 +217,7 @@ class Forest:
 
 def _least_agreement(percent: int) -> float:
     p = percent / 100
-    return p - 4 * (p * (1 - p) / COORDS) ** 0.5
+    return p - SIGMAS * (p * (1 - p) / COORDS) ** 0.5
 
 
 def _sized(n: np.ndarray, i: int, j: np.ndarray, percent: int) -> np.ndarray:
@@ -228,22 +299,26 @@ def _in_blocks(compare, percent: int):
 
 def _outsiders_against_all(members: DataFrame, data: DataFrame, block: int, compare,
                            percent: int) -> DataFrame:
-    """``members``: (grp, c, comp); ``data``: (c, n, data).  Pairs (a, b) that
-    ``compare`` finds in each group of more than one component, between classes
-    outside the group's largest component and all classes, in cells of at most
-    ``block`` by ``block`` or so."""
-    parts = members.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("m"))
-    groups = (parts.groupBy("grp").agg(F.sum("m").alias("size"), F.max("m").alias("most"),
-                                       F.count(F.lit(1)).alias("comps"),
-                                       F.max_by("comp", F.struct("m", "comp")).alias("main"))
-              .filter("comps > 1")
-              .select("grp", "main", F.ceil(F.col("size") / block).alias("nb"),
-                      F.ceil((F.col("size") - F.col("most")) / block).alias("no")))
+    """``members``: (grp, c, comp, weight, outer, inner); ``data``: (c, n, data).  Pairs
+    (a, b) that ``compare`` finds in each group of more than one component, between
+    ``outer`` classes outside the group's largest component and ``inner`` classes, in
+    cells of at most a weight of ``block`` by ``block`` or so."""
+    weigh = lambda c: F.sum(F.when(c, F.col("weight")).otherwise(0))
+    parts = members.groupBy("grp", "comp").agg(weigh(F.col("inner")).alias("i"),
+                                               weigh(F.col("outer")).alias("o"))
+    groups = (parts.groupBy("grp").agg(
+        F.sum("i").alias("inside"), F.sum("o").alias("outs"), F.count(F.lit(1)).alias("comps"),
+        F.max_by(F.struct("comp", "o"), F.struct("i", "comp")).alias("main"))
+        .withColumn("outs", F.col("outs") - F.col("main")["o"])
+        .filter("comps > 1 AND inside > 0 AND outs > 0")
+        .select("grp", F.col("main")["comp"].alias("main"), F.ceil(F.col("inside") / block).alias("nb"),
+                F.ceil(F.col("outs") / block).alias("no")))
     apart = members.join(groups, "grp").join(data, "c")
     h, cols = F.xxhash64("c"), ["c", "n", "comp", "data"]
-    everyone = apart.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("no") - 1))).select(
-        F.xxhash64("grp", F.pmod(h, "nb"), "o").alias("block"), *cols, F.lit(False).alias("out"))
-    outside = (apart.filter("comp != main")
+    everyone = (apart.filter("inner")
+                .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("no") - 1))).select(
+        F.xxhash64("grp", F.pmod(h, "nb"), "o").alias("block"), *cols, F.lit(False).alias("out")))
+    outside = (apart.filter("outer AND comp != main")
                .withColumn("r", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select(
         F.xxhash64("grp", "r", F.pmod(h, "no")).alias("block"), *cols, F.lit(True).alias("out")))
     cells = everyone.union(outside).repartition("block").sortWithinPartitions("block")
@@ -262,6 +337,17 @@ def _sets_of(need: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
             .groupBy("c").agg(F.first("data").alias("data")))
 
 
+def _around_centres(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """``rows``: (node, up, c) of nodes that keep together; see ``_beside``."""
+    first = Window.partitionBy("node").orderBy(F.xxhash64("c"))
+    some = (rows.select("node", "c").withColumn("r", F.row_number().over(first))
+            .filter(F.col("r") <= SAMPLES).join(tokens, "c")
+            .groupBy("node").agg(F.collect_list("tokens").alias("some")))
+    centres = some.mapInArrow(_centres, "node long, common binary")
+    return (rows.join(centres, "node").join(tokens, "c")
+            .mapInArrow(_beside(percent), "child long, node long, up long, c long, low boolean"))
+
+
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes that are links, on full sets."""
     lo, hi = F.least("na", "nb"), F.greatest("na", "nb")
@@ -321,24 +407,35 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.first("tokens").alias("tokens"), F.first("brief").alias("brief")), "near-classes")
 
     # Walk the trees.
-    above = classes.select(F.lit(None).cast("long").alias("node"),
-                           F.lit(1 << 62).alias("up"), "c", "tokens")
-    stars, leaves = [], []
-    for depth in range(1, DEPTH + 1):
-        level = shared_table(above.mapInArrow(_branch, "node long, up long, c long"), "near-level")
+    tokens = classes.select("c", "tokens")
+    level = classes.select(F.lit(None).cast("long").alias("node"), F.lit(1 << 62).alias("up"),
+                           "c", "tokens").mapInArrow(_branch, _CHILD)
+    stars, leaves, cores = [], [], []
+    for depth in range(1, DEPTH + 2):
+        level = shared_table(level, "near-level")
         sizes = (level.groupBy("node").agg(F.count(F.lit(1)).alias("size"),
                                            F.min("c").alias("p"), F.max("c").alias("q"))
                  .filter("size > 1"))
         level = shared_table(level.join(sizes, "node"), "near-nodes")
         stars += [level.select(F.least(p, "c").alias("a"), F.greatest(p, "c").alias("b"))
                   .filter("a != b") for p in ("p", "q")]
-        grows = (F.col("size") > NODE_LIMIT) & (F.col("size") <= TIGHT * F.col("up"))
-        large = level.filter(grows).select("node", F.col("size").alias("up"), "c")
-        if depth == DEPTH or large.isEmpty():
+        if depth > DEPTH:
             leaves.append(level.select("node", "c"))
             break
-        leaves.append(level.filter(~grows).select("node", "c"))
-        above = large.join(classes.select("c", "tokens"), "c").select("node", "up", "c", "tokens")
+        parts = (F.col("size") <= TIGHT * F.col("up")) & F.lit(depth < DEPTH)
+        large = F.col("size") > F.when(parts, NODE_LIMIT).otherwise(max(NODE_LIMIT, CENTRED))
+        leaves.append(level.filter(~large).select("node", "c"))
+        level = level.filter(large).select("node", F.col("size").alias("up"), "c",
+                                           parts.alias("parts"))
+        if level.isEmpty():
+            break
+        near = shared_table(_around_centres(level.filter(~F.col("parts")).drop("parts"), tokens,
+                                            percent), "near-centres")
+        cores.append(near.filter("child IS NULL").select("node", "c", "low"))
+        level = (level.filter("parts").drop("parts").join(tokens, "c").select("node", "up", "c", "tokens")
+                 .mapInArrow(_branch, _CHILD)
+                 .unionByName(near.filter("child IS NOT NULL").select(
+                     F.col("child").alias("node"), "up", "c")))
 
     pairs = stars[0]
     for s in stars[1:]:
@@ -351,17 +448,29 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # What the pivots left apart: loose pairs by tokens, then links on full sets.
     def with_comp(members: DataFrame) -> DataFrame:
         return members.join(roots, F.col("c") == F.col("u"), "left").select(
-            "grp", "c", F.coalesce("root", "c").alias("comp"))
-
-    leaf = leaves[0]
-    for x in leaves[1:]:
-        leaf = leaf.union(x)
+            *members.columns, F.coalesce("root", "c").alias("comp"))
+
+    yes, one = F.lit(True), F.lit(1.0)
+    compared = [x.select(F.col("node").alias("grp"), "c", yes.alias("outer"), yes.alias("inner"))
+                for x in leaves]
+    for x in cores:   # low ones against all, then the others against low ones
+        compared += [x.select("node", "c", F.col("low").alias("outer"), yes.alias("inner"))
+                     .withColumnRenamed("node", "grp"),
+                     x.select(F.xxhash64("node", F.lit(1)).alias("grp"), "c",
+                              (~F.col("low")).alias("outer"), F.col("low").alias("inner"))]
+    members = compared[0]
+    for x in compared[1:]:
+        members = members.unionByName(x)
     loose = connected(_outsiders_against_all(
-        with_comp(leaf.select(F.col("node").alias("grp"), "c")),
+        with_comp(members).withColumn("weight", one),
         classes.select("c", "n", F.col("brief").alias("data")), BLOCK, loose_pairs, percent))
-    members = shared_table(with_comp(
-        loose.select(F.col("root").alias("grp"), F.col("u").alias("c"))
-        .union(loose.select("root", F.col("root").alias("c")).distinct())), "near-loose")
+    members = with_comp(loose.select(F.col("root").alias("grp"), F.col("u").alias("c"))
+                        .union(loose.select("root", F.col("root").alias("c")).distinct()))
+    weight = F.greatest(one, F.col("n") * F.lit(SET_BLOCK / SET_ENTRIES))
+    members = shared_table(
+        members.join(classes.select("c", "n"), "c").select(
+            "grp", "c", "comp", weight.alias("weight"), yes.alias("outer"), yes.alias("inner")),
+        "near-loose")
     sets = _sets_of(members.select("c"), classes, slim).join(classes.select("c", "n"), "c")
     more = _outsiders_against_all(members, sets, SET_BLOCK, exact_pairs, percent)
     roots = connected(links.union(more))
