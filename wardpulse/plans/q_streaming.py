@@ -12,6 +12,7 @@ from wardpulse.operators.windows import finish_stats
 from wardpulse.plans.oracle import sql
 from wardpulse.plans.q_frames import _FAULTS_CTE
 from wardpulse.plans.q_windows import _stats_sql
+from wardpulse.plans import q_joins
 from wardpulse.plans.registry import ORACLE, admin, raw, register
 from wardpulse.session import scratch_path
 from wardpulse.sources import frames as FR
@@ -225,7 +226,7 @@ def stream_sessions(spark, sf_dir):
 ASOF_PARTS = 4
 
 
-@register("stream_readings_asof_ward", ORACLE["readings_asof_ward"])
+@register("stream_readings_asof_ward", ORACLE[q_joins.readings_asof_ward.__name__])
 def stream_readings_asof_ward(spark, sf_dir):
     """J2 on the stream: the registry grows between the micro-batches, each joins the
     version of its time; equals J3."""
