@@ -150,13 +150,13 @@ def _centres(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for some in b.column("some").to_pylist():
             t = np.sort(np.frombuffer(b"".join(some), np.uint32).reshape(-1, COORDS), axis=0)
-            common = np.zeros((COORDS, 5), np.uint32)
+            common = np.zeros((COORDS, 4), np.uint32)
             for i in range(COORDS):
                 value, count = np.unique(t[:, i], return_counts=True)
                 many = value[2 * count > len(t)]
                 common[i, :len(many)] = many
                 several = value[(4 * count >= len(t)) & (2 * count <= len(t))]
-                common[i, 1:1 + len(several)] = several
+                common[i, 1:1 + len(several)] = several[:3]
             out.append(common.tobytes())
         yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(out, pa.binary())],
                                          names=["node", "common"])
@@ -174,7 +174,7 @@ def _beside(percent: int):
                 continue
             tokens = np.frombuffer(b"".join(b.column("tokens").to_pylist()), np.uint32).reshape(-1, COORDS)
             common = np.frombuffer(b"".join(b.column("common").to_pylist()), np.uint32).reshape(
-                -1, COORDS, 5)
+                -1, COORDS, 4)
             node = b.column("node").to_numpy().view(np.uint64)
             beside = tokens != common[:, :, 0]
             rare = beside & (tokens[:, :, None] != common[:, :, 1:]).all(axis=2)
@@ -344,7 +344,8 @@ def _around_centres(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFra
             .filter(F.col("r") <= SAMPLES).join(tokens, "c")
             .groupBy("node").agg(F.collect_list("tokens").alias("some")))
     centres = some.mapInArrow(_centres, "node long, common binary")
-    return (rows.join(centres, "node").join(tokens, "c")
+    # Tokens first: the wider centres are not shuffled by class.
+    return (rows.join(tokens, "c").join(centres, "node")
             .mapInArrow(_beside(percent), "child long, node long, up long, c long, low boolean"))
 
 
