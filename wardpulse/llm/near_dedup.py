@@ -23,7 +23,7 @@ lowest-hashed of its tokens beside the centre's, and by one of those that a quar
 the node or more has, if it has any.  Two linked classes that share none of those are both
 near the centre, ``beside(x) + beside(y)`` being no more than the tokens in which links
 may differ; so only classes up to half of that (``low``) are compared with all up to the
-whole.  Unlike pages of a template drop out of both unless they are alike in
+whole, and a node of low ones alone, such as copies of one text, ends there.  Unlike pages of a template drop out of both unless they are alike in
 two of three shingles anyway.
 
 Leaves and centres are compared exhaustively, in steps that keep what is passed on
@@ -411,9 +411,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tokens = classes.select("c", "tokens")
     level = classes.select(F.lit(None).cast("long").alias("node"), F.lit(1 << 62).alias("up"),
                            "c", "tokens").mapInArrow(_branch, _CHILD)
-    stars, leaves, cores = [], [], []
+    stars, leaves, cores, edges = [], [], [], []
     for depth in range(1, DEPTH + 2):
         level = shared_table(level, "near-level")
+        if depth > 1 and level.isEmpty():
+            break
         sizes = (level.groupBy("node").agg(F.count(F.lit(1)).alias("size"),
                                            F.min("c").alias("p"), F.max("c").alias("q"))
                  .filter("size > 1"))
@@ -433,9 +435,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         near = shared_table(_around_centres(level.filter(~F.col("parts")).drop("parts"), tokens,
                                             percent), "near-centres")
         cores.append(near.filter("child IS NULL").select("node", "c", "low"))
+        # Where all classes are low, they all meet near the centre.
+        mixed = near.filter("NOT low").select("node").distinct()
+        edges.append(near.filter("child IS NULL").join(mixed, "node", "left_semi")
+                     .select("node", "c", "low"))
         level = (level.filter("parts").drop("parts").join(tokens, "c").select("node", "up", "c", "tokens")
                  .mapInArrow(_branch, _CHILD)
-                 .unionByName(near.filter("child IS NOT NULL").select(
+                 .unionByName(near.filter("child IS NOT NULL").join(mixed, "node", "left_semi").select(
                      F.col("child").alias("node"), "up", "c")))
 
     pairs = stars[0]
@@ -454,11 +460,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     yes, one = F.lit(True), F.lit(1.0)
     compared = [x.select(F.col("node").alias("grp"), "c", yes.alias("outer"), yes.alias("inner"))
                 for x in leaves]
-    for x in cores:   # low ones against all, then the others against low ones
-        compared += [x.select("node", "c", F.col("low").alias("outer"), yes.alias("inner"))
-                     .withColumnRenamed("node", "grp"),
-                     x.select(F.xxhash64("node", F.lit(1)).alias("grp"), "c",
-                              (~F.col("low")).alias("outer"), F.col("low").alias("inner"))]
+    # Near a centre, low ones against all, then the others against low ones.
+    compared += [x.select(F.col("node").alias("grp"), "c", F.col("low").alias("outer"),
+                          yes.alias("inner")) for x in cores]
+    compared += [x.select(F.xxhash64("node", F.lit(1)).alias("grp"), "c",
+                          (~F.col("low")).alias("outer"), F.col("low").alias("inner"))
+                 for x in edges]
     members = compared[0]
     for x in compared[1:]:
         members = members.unionByName(x)
