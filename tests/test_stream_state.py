@@ -106,6 +106,34 @@ def test_silences(spark):
     assert got == {("gone", 0), ("back", 0), ("back", 13), ("late", 8)}
 
 
+def test_silences_of_many_patients(spark):
+    """Gaps of exactly the limit are none, patients without a name are one, times come
+    out of order; readings meet in session windows, so no patient costs a Python call."""
+    gap, day = 300_000, 20_000 * 86_400_000
+    rng = np.random.default_rng(3)
+    names = [None, *(f"p{i}" for i in range(40))]
+    rows = [(names[int(p)], int(t) * 60_000) for p, t in
+            zip(rng.integers(0, len(names), 600), rng.integers(0, 90, 600))]
+    rows += [("equal", 0), ("equal", gap), ("over", 0), ("over", gap + 1), ("end", 130 * 60_000)]
+    rows += [("just", 115 * 60_000 - 1), ("open", 115 * 60_000)]   # the watermark: 120 minutes
+    rows = [(p, day + t) for p, t in rows]
+    base = tempfile.mkdtemp(prefix="wp-silences-")
+    readings = readings_df(spark, [reading(pid=p, ts=t, seq=i) for i, (p, t) in enumerate(rows)])
+    readings.repartition(3).write.parquet(f"{base}/replay")
+    stream = file_readings(spark, f"{base}/replay", readings.schema, 3)
+    got = spark.read.parquet(run_silences(spark, stream, f"{base}/out")).collect()
+    expected = set()
+    for p in {p for p, _ in rows} - {"end", "open"}:
+        t = np.array([t for q, t in rows if q == p])
+        expected |= {(p, int(z)) for z in S.merge_runs(np.stack([t, t], axis=1), gap)[:, 1]}
+    watermark = day + 120 * 60_000
+    assert {(r.patient_id, r.silent_since_ms) for r in got} == expected
+    assert len(got) == len(expected)
+    assert {r.noticed_ms for r in got} == {watermark}
+    plan = S.silence_stream(stream, gap, "10 minutes")._jdf.queryExecution().logical().toString()
+    assert "session_window" in plan and "MapInArrow" not in plan
+
+
 def test_replayed_batch_keeps_its_registry_version(spark):
     base = tempfile.mkdtemp(prefix="wp-registry-")
 

@@ -20,6 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from wardpulse.functions.news2 import rank_label, tier_rank, with_news2
 from wardpulse.operators.alerts import with_emission
@@ -30,7 +31,7 @@ from wardpulse.sources import history as H
 from wardpulse.streaming.state import NOBODY, RETENTION_MS, stepped
 
 REPLAY_PARTS, REPLAY_FILES = 4, 4
-ROWS_PER_FILE = 4_000_000
+ROWS_PER_FILE = 250_000   # a file is one task of the stream
 #: Offsets or files of one micro-batch unless the caller says otherwise; the
 #: first batch of a backlog is then no larger than the others.
 MAX_OFFSETS, MAX_FILES = 20_000_000, 1_000
@@ -45,6 +46,7 @@ def write_replay(rows: DataFrame, path: str, parts: int = REPLAY_PARTS,
     files (from the number of rows unless given), so a stream that reads as
     many per trigger sees whole ranges.  Returns the files per trigger."""
     by = F.col("seq") if by is None else by
+    rows = rows.persist(StorageLevel.DISK_ONLY)   # derived once, not once for each range
     lo, hi, n = rows.agg(F.min(by), F.max(by), F.count(F.lit(1))).first()
     if not files_per_part:
         files_per_part = max(REPLAY_FILES, math.ceil(n / parts / ROWS_PER_FILE))
@@ -53,6 +55,7 @@ def write_replay(rows: DataFrame, path: str, parts: int = REPLAY_PARTS,
         a, b = lo + i * step, lo + (i + 1) * step
         (rows.filter((by >= a) & (by < b))
          .repartition(files_per_part).write.mode("append").parquet(path))
+    rows.unpersist()
     return files_per_part
 
 

@@ -12,7 +12,8 @@ the keys it holds, whatever the population or the tables behind it:
   patient in the map.  Only the first reading of a patient in each block comes here,
   with the patient's last tier in the block, so a patient with most of a batch's
   readings is one row per block.  It fills in the tier before the block (T3);
-* ``Silences``: keyed by patient, with event-time timers (see ``silence_stream``).
+* ``Noticed``: tells when a silence was noticed.  The runs of readings that it follows
+  are session windows, in the state store of Spark's own aggregate (see ``silence_stream``).
 
 Readings travel through the first two as one JSON column beside the few that the state
 needs, because pandas keeps neither NULL beside NaN nor whole longs beside NULL.
@@ -155,7 +156,6 @@ def stepped(readings: DataFrame, dedup: bool, retention_ms: int = RETENTION_MS)
             .select("seq", "prev", "payload"))
 
 
-RUNS = T.StructType([T.StructField("runs", T.BinaryType())])
 SILENCE = T.StructType([T.StructField("patient_id", T.StringType()),
                         T.StructField("silent_since_ms", T.LongType()),
                         T.StructField("noticed_ms", T.LongType())])
@@ -169,57 +169,18 @@ def merge_runs(runs: np.ndarray, gap: int) -> np.ndarray:
     return np.stack([runs[starts, 0], last[np.append(starts[1:], len(runs)) - 1]], axis=1)
 
 
-def _runs_of_task(gap: int):
-    """Readings -> each patient's runs within a batch of the task, few rows even
-    for a patient with most of the readings."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = b.to_pandas()
-            out = [(p, *r) for p, g in rows.groupby("patient_id", sort=False, dropna=False)["ts_ms"]
-                   for r in merge_runs(np.stack([g.to_numpy()] * 2, axis=1), gap).tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([None if pd.isna(p) else p for p, _, _ in out], pa.string()),
-                 pa.array([a for _, a, _ in out], pa.int64()),
-                 pa.array([z for _, _, z in out], pa.int64())], names=["patient_id", "first", "last"])
-    return run
-
-
-class Silences(StatefulProcessor):
-    """State: the patient's runs whose end the watermark has not settled, each with a
-    timer at its last reading + gap.  When it fires no reading can follow in time."""
-
-    def __init__(self, gap: int):
-        self.gap = gap
+class Noticed(StatefulProcessor):
+    """Silences keyed by one of BUCKETS hashes of the patient -> the same with the
+    watermark that settled them; no state."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.runs = handle.getValueState("runs", RUNS)
-
-    def _held(self) -> np.ndarray:
-        held = self.runs.get()
-        return np.frombuffer(held[0] if held else b"", "<i8").reshape(-1, 2)
-
-    def _settle(self, key, runs: np.ndarray, watermark: int) -> Iterator[pd.DataFrame]:
-        over = runs[:, 1] + self.gap < watermark
-        left = runs[~over]
-        if len(left):
-            self.runs.update((left.astype("<i8").tobytes(),))
-            for last in left[:, 1].tolist():
-                self.handle.registerTimer(last + self.gap + 1)
-        else:
-            self.runs.clear()
-        if over.any():
-            yield pd.DataFrame({"patient_id": key[0], "silent_since_ms": runs[over, 1],
-                                "noticed_ms": np.int64(watermark)})
+        pass
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues
                         ) -> Iterator[pd.DataFrame]:
-        new = [r[["first", "last"]].to_numpy(np.int64) for r in rows]
-        runs = merge_runs(np.concatenate([self._held(), *new]), self.gap)
-        yield from self._settle(key, runs, timerValues.getCurrentWatermarkInMs())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._settle(key, self._held(), timerValues.getCurrentWatermarkInMs())
+        for r in rows:
+            yield r[["patient_id", "silent_since_ms"]].assign(
+                noticed_ms=np.int64(timerValues.getCurrentWatermarkInMs()))
 
     def close(self) -> None:
         pass
@@ -228,9 +189,15 @@ class Silences(StatefulProcessor):
 def silence_stream(readings: DataFrame, gap_ms: int, delay: str) -> DataFrame:
     """R4 live: a row once a patient has been silent for more than ``gap_ms`` of
     event time, whether or not the patient sends again.  Times count that come at most
-    ``delay`` late; a run that ends behind the watermark is dropped as late."""
+    ``delay`` late; a reading whose silence the watermark has settled is dropped as late."""
+    # Session windows that touch are one, and one is settled when its end is the watermark:
+    # 2 us beyond the gap part times in ms as "over the gap" and "behind the watermark" do.
     runs = (readings.filter(F.col("timestamp").isNotNull()).select("patient_id", "ts_ms")
-            .mapInArrow(_runs_of_task(gap_ms), "patient_id string, first long, last long"))
-    return (runs.withColumn("at", F.timestamp_millis("last")).withWatermark("at", delay)
-            .groupBy("patient_id")
-            .transformWithStateInPandas(Silences(gap_ms), SILENCE, "Append", "EventTime"))
+            .withColumn("at", F.timestamp_millis("ts_ms")).withWatermark("at", delay)
+            .groupBy("patient_id", F.session_window("at", f"{1000 * gap_ms + 2} microseconds").alias("run"))
+            .agg(F.max("ts_ms").alias("silent_since_ms")))
+    # Only what is settled goes through Python, many patients under one key.
+    settled = runs.select(F.window_time("run").alias("at"), "patient_id", "silent_since_ms",
+                          F.pmod(F.xxhash64("patient_id"), F.lit(BUCKETS)).alias("key"))
+    return settled.groupBy("key").transformWithStateInPandas(
+        Noticed(), SILENCE, "Append", "EventTime")
