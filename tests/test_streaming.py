@@ -212,3 +212,19 @@ def test_join_reads_whole_ranges_of_many_files(spark, monkeypatch):
     expected = tier_change_alerts(scored).select("patient_id", "seq")
     assert got.count() == 195
     assert expected.exceptAll(got.select("patient_id", "seq")).count() == 0
+
+
+def test_replay_rows_are_derived_once(spark):
+    """Four ranges and their bounds come from one derivation of the rows."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.range(1000).withColumnRenamed("id", "seq").mapInArrow(count, "seq long")
+    base = tempfile.mkdtemp(prefix="wp-once-")
+    write_replay(rows, f"{base}/replay", order=(2, 0, 3, 1))
+    assert seen.value == 1000
+    assert spark.read.parquet(f"{base}/replay").distinct().count() == 1000
