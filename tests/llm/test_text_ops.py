@@ -153,7 +153,7 @@ def test_quality_stage_keeps_columns(edge):
     assert kept.columns == edge.columns
     ref = rules_reference(rows_of(edge, "source"), 10, 0.005)
     assert Counter(r.doc_id for r in kept.collect()) == Counter(
-        {i: n for (i, *_, k), n in ref.items() if k and n})
+        {i: n for (i, *_, k, _clean), n in ref.items() if k and n})
 
 
 BASE = {
