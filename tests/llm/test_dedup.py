@@ -178,6 +178,69 @@ def test_pages_of_a_template(spark, n, shared, own, monkeypatch):
     assert own != 40 or largest[0] <= ND.CENTRED ** 2
 
 
+def family_rows(n, seed=9):
+    """Variants of one text."""
+    import random
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(rng.randint(0, 4)):
+            w[rng.randrange(len(w))] = f"v{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def test_small_nodes_are_walked_in_tasks(spark, monkeypatch):
+    """A family that keeps together is shuffled by node once, not once for each level."""
+    nodes = []
+    plain = ND.shared_table
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name == "near-nodes":
+            nodes.append(out.count())
+        return out
+
+    monkeypatch.setattr(ND, "shared_table", counted)
+    rows = family_rows(400)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup(df).collect())
+    assert got == components_reference(rows)
+    assert len(nodes) == 1 and nodes[0] <= ND.TREES * ND.BRANCH * len(rows)
+
+
+@pytest.mark.parametrize("rows", [family_rows(200), template_rows(200, 104, 40)])
+def test_nodes_too_large_for_a_task(spark, monkeypatch, rows):
+    """Branching by shuffles, pivots and blocks finds what the walk in tasks does."""
+    for name, value in (("TASK_NODE", 40), ("CENTRED", 60), ("BLOCK", 32), ("SET_BLOCK", 20)):
+        monkeypatch.setattr(ND, name, value)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup(df).collect())
+    assert got == components_reference(rows)
+
+
+@pytest.mark.parametrize("rows", [family_rows(600), template_rows(600, 104, 40)])
+def test_walk_finds_linked_pairs(rows):
+    """Classes that are linked are connected by the walk of their node, whatever its paths."""
+    import numpy as np
+    sets = [ND.shingles(t) for _, t in rows]
+    brief = ND._tokens(sets).astype(np.uint8)
+    node = {"c": [i for i, _ in rows], "n": list(map(len, sets)),
+            "data": [x.tobytes() for x in brief]}
+    want = components_reference(rows)
+    found = [Counter(ND.walk(node | {"block": k}, 85)) for k in (-3, 0, 12345)]
+    for pairs in found:
+        root = {b: a for a, b in pairs}
+        assert len(root) == len(pairs)
+        groups = defaultdict(set)
+        for i, _, c in want:
+            groups[c].add(root.get(i, i))
+        # One tree, so a pair may be lost; the copies of a text agree in nearly all tokens.
+        assert sum(len(g) > 1 for g in groups.values()) <= len(groups) // 50
+
+
 def test_near_stage(edge):
     kept = drop_near_copies(edge)
     assert kept.columns == edge.columns

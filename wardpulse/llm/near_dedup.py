@@ -14,6 +14,10 @@ at similarity 0.85 survives one tree with probability ``s = 1 - (1 - .85 s)^2``
 = 0.97, and is missed by four of them in about one case of a million; at 0.80
 it is 0.94 and 15 cases of a million.
 
+Only nodes of over TASK_NODE classes branch by a shuffle.  A smaller one goes whole to a
+task, which walks what is below it by the last bytes of the tokens (``walk``): equal
+tokens have equal bytes, so no pair is parted there that tokens would keep together.
+
 A node of over CENTRED classes that keeps most of its parent's is not parted by such
 coordinates: its classes share most tokens, as copies of one text do, but also
 unlike pages of one template.  Its centre is the token that over half of SAMPLES
@@ -23,19 +27,20 @@ lowest-hashed of its tokens beside the centre's, and by one of those that a quar
 the node or more has, if it has any.  Two linked classes that share none of those are both
 near the centre, ``beside(x) + beside(y)`` being no more than the tokens in which links
 may differ; so only classes up to half of that (``low``) are compared with all up to the
-whole, and a node of low ones alone, such as copies of one text, ends there.  Unlike pages of a template drop out of both unless they are alike in
-two of three shingles anyway.
+whole, and a node of low ones alone, such as copies of one text, ends there.  Unlike pages
+of a template drop out of both unless they are alike in two of three shingles anyway.
 
 Leaves and centres are compared exhaustively, in steps that keep what is passed on
-linear in a group of mutual copies.  First every class meets two pivots of its
-node, confirmed on full sets.  Then, with the components so found, the classes
-outside their node's largest component meet the others of the node in blocks
-inside tasks, by the agreement of their tokens; each block passes on a spanning
-forest of the pairs that come within four standard deviations of ``percent`` (all trees
-share the tokens, so a link at exactly 0.85 is lost here in about one case of 10,000, at
-0.86 in one of 50,000).  What these loose pairs connect is compared on full sets, again outsiders
-against all in blocks inside tasks, and each block passes on the links that
-join components.
+linear in a group of mutual copies: every class meets two pivots, then those outside the
+largest component meet the others.  In a task this is done by the agreement of tokens, and
+the task passes on the components of the pairs that come within four standard deviations
+of ``percent`` (all trees share the tokens, so a link at exactly 0.85 is lost here in about
+one case of 10,000, at 0.86 in one of 50,000).  In nodes too large for a task the
+pivots' links are confirmed on full sets, and outsiders meet the others in blocks.
+
+What these loose pairs connect is compared on full sets in the same way: a group in one
+cell, or in several that all have the group's pivots; of a group in several cells, the
+classes outside its largest component then meet the others in blocks.
 
 Defined cases: null or wordless text has no set, n_shingles 0 and is its own
 component; fewer than five words are one shingle; null ids take part, and a
@@ -64,11 +69,15 @@ BRANCH = 2
 NODE_LIMIT = 64
 DEPTH = 8
 TIGHT = 0.5
+#: A node of up to so many classes (2 MB of briefs) is walked in one task.
+TASK_NODE = 1 << 14
 BLOCK = 2048
-SET_BLOCK = 512
+SET_BLOCK = 4096
 #: Members of a block of full sets weigh more where their sets are larger: a block
 #: holds about this many shingles on each side.
 SET_ENTRIES = 1 << 21
+#: Pairs that a task passes on at once.
+PAIRS = 10_000
 SIGMAS = 4
 SAMPLES, RARE = 64, 8
 CENTRED = 4 * SAMPLES   # a centre is made of nodes with more classes only
@@ -116,10 +125,14 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["__id", KEY, "n", "c", "tokens", "brief"])
 
 
+def _coordinate(node: np.ndarray, step: int) -> np.ndarray:
+    pick = mix(node, np.uint64(7)) % np.uint64(COORDS)
+    return (pick + np.uint64(step * 53)) % np.uint64(COORDS)
+
+
 def _children(node: np.ndarray, tokens: np.ndarray, step: int) -> np.ndarray:
     """Child node of each row for the ``step``-th coordinate its node picks."""
-    pick = mix(node, np.uint64(7)) % np.uint64(COORDS)
-    coord = (pick + np.uint64(step * 53)) % np.uint64(COORDS)
+    coord = _coordinate(node, step)
     value = tokens[np.arange(len(node)), coord.astype(np.int64)].astype(np.uint64)
     return mix(mix(node, coord), value)
 
@@ -143,30 +156,50 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                      b.column("c")], names=["node", "up", "c"])
 
 
+def centre(tokens: np.ndarray, none: int = 0) -> np.ndarray:
+    """(COORDS, 4) of the tokens that a quarter of the rows have or more, first the one
+    that over half have; ``none`` where there are fewer."""
+    t = np.sort(tokens, axis=0)
+    common = np.full((COORDS, 4), none, tokens.dtype)
+    for i in range(COORDS):
+        value, count = np.unique(t[:, i], return_counts=True)
+        many = value[2 * count > len(t)]
+        common[i, :len(many)] = many
+        several = value[(4 * count >= len(t)) & (2 * count <= len(t))]
+        common[i, 1:1 + len(several)] = several[:3]
+    return common
+
+
 def _centres(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, tokens of some classes) -> (node, common): by coordinate the tokens that a
-    quarter of them have or more, first the one that over half have (none: 0)."""
+    """(node, tokens of some classes) -> (node, common): ``centre`` of those."""
     for b in batches:
-        out = []
-        for some in b.column("some").to_pylist():
-            t = np.sort(np.frombuffer(b"".join(some), np.uint32).reshape(-1, COORDS), axis=0)
-            common = np.zeros((COORDS, 4), np.uint32)
-            for i in range(COORDS):
-                value, count = np.unique(t[:, i], return_counts=True)
-                many = value[2 * count > len(t)]
-                common[i, :len(many)] = many
-                several = value[(4 * count >= len(t)) & (2 * count <= len(t))]
-                common[i, 1:1 + len(several)] = several[:3]
-            out.append(common.tobytes())
+        out = [centre(np.frombuffer(b"".join(some), np.uint32).reshape(-1, COORDS)).tobytes()
+               for some in b.column("some").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(out, pa.binary())],
                                          names=["node", "common"])
 
 
+_NONE = np.uint64((1 << 64) - 1)
+
+
+def beside_centre(node: np.ndarray, tokens: np.ndarray, common: np.ndarray
+                  ) -> tuple[np.ndarray, np.ndarray]:
+    """Children of each row by tokens beside the centre's (_NONE: no such child), and
+    the number of those tokens."""
+    beside = tokens != common[:, :, 0]
+    rare = beside & (tokens[:, :, None] != common[:, :, 1:]).all(axis=2)
+    place = mix(node[:, None], np.arange(COORDS, dtype=np.uint64)[None] + np.uint64(1000))
+    named = mix(place, tokens.astype(np.uint64))
+    child = np.concatenate([
+        np.partition(np.where(rare, named, _NONE), RARE - 1, axis=1)[:, :RARE],
+        np.where(beside & ~rare, named, _NONE).min(axis=1, keepdims=True)], axis=1)
+    return child, beside.sum(axis=1)
+
+
 def _beside(percent: int):
     """(node, up, c, tokens, common) -> children (child, up, c) by tokens beside the
     centre's, and (node, c, low) of the classes near the centre (child null)."""
     apart = COORDS * (1 - _least_agreement(percent))
-    none = np.uint64((1 << 64) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -175,16 +208,8 @@ def _beside(percent: int):
             tokens = np.frombuffer(b"".join(b.column("tokens").to_pylist()), np.uint32).reshape(-1, COORDS)
             common = np.frombuffer(b"".join(b.column("common").to_pylist()), np.uint32).reshape(
                 -1, COORDS, 4)
-            node = b.column("node").to_numpy().view(np.uint64)
-            beside = tokens != common[:, :, 0]
-            rare = beside & (tokens[:, :, None] != common[:, :, 1:]).all(axis=2)
-            place = mix(node[:, None], np.arange(COORDS, dtype=np.uint64)[None] + np.uint64(1000))
-            named = mix(place, tokens.astype(np.uint64))
-            child = np.concatenate([
-                np.partition(np.where(rare, named, none), RARE - 1, axis=1)[:, :RARE],
-                np.where(beside & ~rare, named, none).min(axis=1, keepdims=True)], axis=1)
-            size = beside.sum(axis=1)
-            row, col = np.nonzero(child != none)
+            child, size = beside_centre(b.column("node").to_numpy().view(np.uint64), tokens, common)
+            row, col = np.nonzero(child != _NONE)
             near = np.flatnonzero(size <= apart)
             rows = pa.array(np.concatenate([row, near]))
             whole = b.select(["node", "up", "c"]).take(rows)
@@ -224,6 +249,145 @@ def _sized(n: np.ndarray, i: int, j: np.ndarray, percent: int) -> np.ndarray:
     return 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
 
 
+class Labels:
+    """Components of the rows of a node or cell, as a label for each row."""
+
+    def __init__(self, size: int):
+        self.of = np.arange(size)
+
+    def join(self, i: int, rows: np.ndarray) -> None:
+        rows = rows[self.of[rows] != self.of[i]]
+        if len(rows):
+            found = np.zeros(len(self.of), bool)
+            found[self.of[rows]] = True
+            self.of[found[self.of]] = self.of[i]
+
+    def meet(self, rows: np.ndarray, others: np.ndarray, alike) -> None:
+        """Join each of ``rows`` with those of ``rows`` and ``others`` that ``alike(i, among)``
+        finds, pairs of ``others`` left out: two pivots first, then what is outside the
+        largest component."""
+        everyone = np.concatenate([rows, others])
+
+        def ask(i: int, among: np.ndarray) -> None:
+            among = among[self.of[among] != self.of[i]]   # the others need no question
+            if len(among):
+                self.join(i, alike(i, among))
+
+        for i in (rows[0], rows[-1]):
+            ask(i, everyone)
+        main = np.bincount(self.of[everyone]).argmax()
+        for i in rows[self.of[rows] != main]:
+            ask(i, everyone)
+        main = np.bincount(self.of[everyone]).argmax()
+        for i in others[self.of[others] != main]:
+            ask(i, rows)
+
+    def pairs(self, c: np.ndarray) -> list[tuple[int, int]]:
+        """(smallest class, class) of each component."""
+        order = np.lexsort([c, self.of])
+        first = np.flatnonzero(np.diff(self.of[order], prepend=-1))
+        size = np.diff(np.append(first, len(order)))
+        low = np.repeat(c[order][first], size)
+        more = np.ones(len(order), bool)
+        more[first] = False
+        return list(zip(low[more].tolist(), c[order][more].tolist()))
+
+
+def _split(names: np.ndarray) -> Iterator[np.ndarray]:
+    """Positions of each name that occurs more than once."""
+    order = np.argsort(names, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(names[order]) != 0]))
+    for part in np.split(order, starts[1:]):
+        if len(part) > 1:
+            yield part
+
+
+def walk(rows: dict, percent: int) -> list[tuple[int, int]]:
+    """The trees below one node, by briefs -> components of the classes whose tokens agree."""
+    brief = np.frombuffer(b"".join(rows["data"]), np.uint8).reshape(-1, COORDS)
+    c, n = (np.asarray(rows[k], np.int64) for k in ("c", "n"))
+    low = _least_agreement(percent)
+    apart, labels = COORDS * (1 - low), Labels(len(c))
+
+    def alike(i: int, among: np.ndarray) -> np.ndarray:
+        among = among[_sized(n, i, among, percent)]
+        return among[(brief[among] == brief[i]).sum(axis=1, dtype=np.uint8) >= low * COORDS]
+
+    none = np.empty(0, np.int64)
+    todo = [(np.arange(len(c)), np.uint64(rows["block"] % (1 << 64)), True, 0)]
+    while todo:
+        at, node, parts, depth = todo.pop()
+        if len(at) <= NODE_LIMIT:
+            b = brief[at]
+            for i, hit in enumerate((b[:, None] == b).sum(axis=2, dtype=np.uint8) >= low * COORDS):
+                hit = at[i + 1:][hit[i + 1:]]
+                if len(hit):
+                    labels.join(at[i], hit[_sized(n, at[i], hit, percent)])
+            continue
+        if (not parts and len(at) <= CENTRED) or depth == DEPTH:
+            labels.meet(at, none, alike)
+            continue
+        if parts:
+            for step in range(BRANCH):
+                coord = _coordinate(np.array([node]), step)
+                values = brief[at, int(coord[0])]
+                for part in _split(values):
+                    child = mix(mix(np.array([node]), coord), values[part[:1]].astype(np.uint64))[0]
+                    todo.append((at[part], child, len(part) <= TIGHT * len(at), depth + 1))
+            continue
+        some = at[np.argsort(mix(c[at].view(np.uint64), node), kind="stable")[:SAMPLES]]
+        common = centre(brief[some].astype(np.int16), -1)[None]
+        names, size = map(np.concatenate, zip(*(
+            beside_centre(np.full(len(x), node), brief[x], common)
+            for x in np.split(at, range(BLOCK, len(at), BLOCK)))))
+        core = 2 * size <= apart
+        if core.any():
+            labels.meet(at[core], at[~core & (size <= apart)], alike)
+        if not core.all():
+            row, col = np.nonzero(names != _NONE)
+            for part in _split(names[row, col]):
+                todo.append((at[row[part]], names[row[part[0]], col[part[0]]],
+                             len(part) <= TIGHT * len(at), depth + 1))
+    return labels.pairs(c)
+
+
+class SharedShingles:
+    """Sets of some rows by shingle."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.members, where = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        self.owner = owner[np.argsort(where, kind="stable")]
+        self.ends = np.concatenate([[0], np.cumsum(np.bincount(where, minlength=len(self.members)))])
+        self.size = len(sets)
+
+    def counts(self, one: np.ndarray) -> np.ndarray:
+        """Shingles that each set shares with ``one``."""
+        at = np.searchsorted(self.members, one)
+        fits = at < len(self.members)
+        at = at[fits][self.members[at[fits]] == one[fits]]
+        if not len(at):
+            return np.zeros(self.size, np.int64)
+        return np.bincount(np.concatenate([self.owner[self.ends[a]:self.ends[a + 1]] for a in at]),
+                           minlength=self.size)
+
+
+def exact_components(rows: dict, percent: int) -> list[tuple[int, int]]:
+    """A cell's components by links on full sets."""
+    c, n = (np.asarray(rows[k], np.int64) for k in ("c", "n"))
+    if len(c) < 2:
+        return []
+    sets = [np.frombuffer(x, np.uint64) for x in rows["data"]]
+    shared, labels = SharedShingles(sets), Labels(len(c))
+
+    def alike(i: int, among: np.ndarray) -> np.ndarray:
+        both = shared.counts(sets[i])[among]
+        return among[100 * both >= percent * (n[i] + n[among] - both)]
+
+    labels.meet(np.arange(len(c)), np.empty(0, np.int64), alike)
+    return labels.pairs(c)
+
+
 def loose_pairs(rows: dict, percent: int) -> list[tuple[int, int]]:
     """Spanning pairs of outsiders and others whose tokens agree."""
     brief = np.frombuffer(b"".join(rows["data"]), np.uint8).reshape(-1, COORDS)
@@ -248,18 +412,10 @@ def exact_pairs(rows: dict, percent: int) -> list[tuple[int, int]]:
     rest = np.flatnonzero(~out)
     if not len(rest) or not out.any():
         return []
-    members, where = np.unique(np.concatenate([sets[j] for j in rest]), return_inverse=True)
-    owner = np.repeat(np.arange(len(rest)), [len(sets[j]) for j in rest])
-    owner = owner[np.argsort(where, kind="stable")]
-    ends = np.concatenate([[0], np.cumsum(np.bincount(where, minlength=len(members)))])
+    shared = SharedShingles([sets[j] for j in rest])
     forest, links = Forest(comp), []
     for i in np.flatnonzero(out):
-        at = np.searchsorted(members, sets[i])
-        at = at[at < len(members)][members[at[at < len(members)]] == sets[i][at < len(members)]]
-        if not len(at):
-            continue
-        both = np.bincount(np.concatenate([owner[ends[a]:ends[a + 1]] for a in at]),
-                           minlength=len(rest))
+        both = shared.counts(sets[i])
         hit = 100 * both >= percent * (n[i] + n[rest] - both)
         for k in rest[hit].tolist():
             if forest.join(int(i), k):
@@ -267,16 +423,15 @@ def exact_pairs(rows: dict, percent: int) -> list[tuple[int, int]]:
     return links
 
 
-def _in_blocks(compare, percent: int):
-    """Run ``compare`` on each block; rows come sorted by block."""
-    def pairs(rows: dict) -> pa.RecordBatch:
-        found = compare(rows, percent)
+def _in_blocks(compare, percent: int, names: tuple[str, ...]):
+    """Run ``compare`` on the columns of each block; rows come sorted by block."""
+    def pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array([min(p) for p in found], pa.int64()),
              pa.array([max(p) for p in found], pa.int64())], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, key, held = ["c", "n", "comp", "data", "out"], None, {}
+        key, held, found = None, {}, []
         for batch in batches:
             keys = batch.column("block").to_pylist()
             cols = {k: batch.column(k).to_pylist() for k in names}
@@ -286,17 +441,27 @@ def _in_blocks(compare, percent: int):
                     continue
                 if keys[start] != key:
                     if held:
-                        yield pairs(held)
+                        found += compare(held | {"block": key}, percent)
+                        if len(found) >= PAIRS:
+                            yield pairs(found)
+                            found = []
                     key, held = keys[start], {k: [] for k in names}
                 for k in names:
                     held[k] += cols[k][start:end]
                 start = end
         if held:
-            yield pairs(held)
+            found += compare(held | {"block": key}, percent)
+        yield pairs(found)
 
     return run
 
 
+def _each_block(rows: DataFrame, compare, percent: int, *names: str) -> DataFrame:
+    """Pairs (a, b) that ``compare`` finds in each ``block`` of ``rows``."""
+    cells = rows.select("block", *names).repartition("block").sortWithinPartitions("block")
+    return cells.mapInArrow(_in_blocks(compare, percent, names), "a long, b long")
+
+
 def _outsiders_against_all(members: DataFrame, data: DataFrame, block: int, compare,
                            percent: int) -> DataFrame:
     """``members``: (grp, c, comp, weight, outer, inner); ``data``: (c, n, data).  Pairs
@@ -321,8 +486,7 @@ def _outsiders_against_all(members: DataFrame, data: DataFrame, block: int, comp
     outside = (apart.filter("outer AND comp != main")
                .withColumn("r", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select(
         F.xxhash64("grp", "r", F.pmod(h, "no")).alias("block"), *cols, F.lit(True).alias("out")))
-    cells = everyone.union(outside).repartition("block").sortWithinPartitions("block")
-    return cells.mapInArrow(_in_blocks(compare, percent), "a long, b long")
+    return _each_block(everyone.union(outside), compare, percent, *cols, "out")
 
 
 def _sets_of(need: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -394,94 +558,119 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([s.tobytes() for s in sets], pa.binary())], names=["c", "data"])
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id, kept, KEY."""
-    arrow_batches(docs.sparkSession)
-    slim = docs.select(F.col(id_col).alias("__id"), row_key(id_col, text_col).alias(KEY),
-                       F.col(text_col).cast("string").alias("__text"))
-    kind = slim.schema["__id"].dataType.simpleString()
-    rows = shared_table(slim.mapInArrow(_classes, _SCHEMA.format(id=kind)), "near-rows")
-    classes = shared_table(
-        rows.filter("n > 0").groupBy("c").agg(
-            F.max("n").alias("n"), F.min("__id").alias("first_id"), F.min(KEY).alias("rep"),
-            F.first("tokens").alias("tokens"), F.first("brief").alias("brief")), "near-classes")
-
-    # Walk the trees.
+def _walk_trees(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes, by the agreement of their tokens; what is linked is connected
+    by them."""
     tokens = classes.select("c", "tokens")
+    briefs = classes.select("c", "n", F.col("brief").alias("data"))
     level = classes.select(F.lit(None).cast("long").alias("node"), F.lit(1 << 62).alias("up"),
                            "c", "tokens").mapInArrow(_branch, _CHILD)
-    stars, leaves, cores, edges = [], [], [], []
+    yes = F.lit(True)
+    stars, small, compared = [], [], []
     for depth in range(1, DEPTH + 2):
         level = shared_table(level, "near-level")
-        if depth > 1 and level.isEmpty():
-            break
         sizes = (level.groupBy("node").agg(F.count(F.lit(1)).alias("size"),
                                            F.min("c").alias("p"), F.max("c").alias("q"))
                  .filter("size > 1"))
         level = shared_table(level.join(sizes, "node"), "near-nodes")
-        stars += [level.select(F.least(p, "c").alias("a"), F.greatest(p, "c").alias("b"))
-                  .filter("a != b") for p in ("p", "q")]
-        if depth > DEPTH:
-            leaves.append(level.select("node", "c"))
+        large = F.col("size") > TASK_NODE
+        small.append(level.filter(~large).select("node", "c"))
+        level = level.filter(large)
+        if level.isEmpty():
             break
         parts = (F.col("size") <= TIGHT * F.col("up")) & F.lit(depth < DEPTH)
-        large = F.col("size") > F.when(parts, NODE_LIMIT).otherwise(max(NODE_LIMIT, CENTRED))
-        leaves.append(level.filter(~large).select("node", "c"))
-        level = level.filter(large).select("node", F.col("size").alias("up"), "c",
-                                           parts.alias("parts"))
-        if level.isEmpty():
+        whole = level if depth > DEPTH else level.filter(~parts)
+        stars += [whole.select(F.least(p, "c").alias("a"), F.greatest(p, "c").alias("b"))
+                  .filter("a != b") for p in ("p", "q")]
+        if depth > DEPTH:
+            compared.append(level.select(F.col("node").alias("grp"), "c", yes.alias("outer"),
+                                         yes.alias("inner")))
             break
+        level = level.select("node", F.col("size").alias("up"), "c", parts.alias("parts"))
         near = shared_table(_around_centres(level.filter(~F.col("parts")).drop("parts"), tokens,
                                             percent), "near-centres")
-        cores.append(near.filter("child IS NULL").select("node", "c", "low"))
         # Where all classes are low, they all meet near the centre.
         mixed = near.filter("NOT low").select("node").distinct()
-        edges.append(near.filter("child IS NULL").join(mixed, "node", "left_semi")
-                     .select("node", "c", "low"))
+        cores = near.filter("child IS NULL")
+        # Near a centre, low ones against all, then the others against low ones.
+        compared.append(cores.select(F.col("node").alias("grp"), "c", F.col("low").alias("outer"),
+                                     yes.alias("inner")))
+        compared.append(cores.join(mixed, "node", "left_semi").select(
+            F.xxhash64("node", F.lit(1)).alias("grp"), "c", (~F.col("low")).alias("outer"),
+            F.col("low").alias("inner")))
         level = (level.filter("parts").drop("parts").join(tokens, "c").select("node", "up", "c", "tokens")
                  .mapInArrow(_branch, _CHILD)
                  .unionByName(near.filter("child IS NOT NULL").join(mixed, "node", "left_semi").select(
                      F.col("child").alias("node"), "up", "c")))
 
-    pairs = stars[0]
-    for s in stars[1:]:
-        pairs = pairs.union(s)
-    links = shared_table(_confirm(pairs, classes, slim, percent), "near-links")
-    # Groups within components are enough here: a pivot and its classes are joined
-    # after one round.
-    roots = connected(links, 1, partial=True)
-
-    # What the pivots left apart: loose pairs by tokens, then links on full sets.
-    def with_comp(members: DataFrame) -> DataFrame:
-        return members.join(roots, F.col("c") == F.col("u"), "left").select(
-            *members.columns, F.coalesce("root", "c").alias("comp"))
-
-    yes, one = F.lit(True), F.lit(1.0)
-    compared = [x.select(F.col("node").alias("grp"), "c", yes.alias("outer"), yes.alias("inner"))
-                for x in leaves]
-    # Near a centre, low ones against all, then the others against low ones.
-    compared += [x.select(F.col("node").alias("grp"), "c", F.col("low").alias("outer"),
-                          yes.alias("inner")) for x in cores]
-    compared += [x.select(F.xxhash64("node", F.lit(1)).alias("grp"), "c",
-                          (~F.col("low")).alias("outer"), F.col("low").alias("inner"))
-                 for x in edges]
-    members = compared[0]
-    for x in compared[1:]:
-        members = members.unionByName(x)
-    loose = connected(_outsiders_against_all(
-        with_comp(members).withColumn("weight", one),
-        classes.select("c", "n", F.col("brief").alias("data")), BLOCK, loose_pairs, percent))
-    members = with_comp(loose.select(F.col("root").alias("grp"), F.col("u").alias("c"))
-                        .union(loose.select("root", F.col("root").alias("c")).distinct()))
-    weight = F.greatest(one, F.col("n") * F.lit(SET_BLOCK / SET_ENTRIES))
-    members = shared_table(
-        members.join(classes.select("c", "n"), "c").select(
-            "grp", "c", "comp", weight.alias("weight"), yes.alias("outer"), yes.alias("inner")),
-        "near-loose")
-    sets = _sets_of(members.select("c"), classes, slim).join(classes.select("c", "n"), "c")
-    more = _outsiders_against_all(members, sets, SET_BLOCK, exact_pairs, percent)
-    roots = connected(links.union(more))
+    pairs = _each_block(_all(small).withColumnRenamed("node", "block").join(briefs, "c"),
+                        walk, percent, "c", "n", "data")
+    if stars:
+        # Groups within components are enough here: a pivot and its classes are joined
+        # after one round.
+        links = shared_table(_confirm(_all(stars), classes, docs, percent), "near-pivots")
+        members = _with_comp(_all(compared), connected(links, 1, partial=True))
+        pairs = pairs.union(links).union(_outsiders_against_all(
+            members.withColumn("weight", F.lit(1.0)), briefs, BLOCK, loose_pairs, percent))
+    return pairs
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for x in frames[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def _with_comp(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return members.join(roots, F.col("c") == F.col("u"), "left").select(
+        *members.columns, F.coalesce("root", "c").alias("comp"))
+
+
+def _components(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """(u, root) of the classes' components, by links on full sets."""
+    loose = connected(_walk_trees(classes, docs, percent))
+    members = loose.select(F.col("root").alias("grp"), F.col("u").alias("c")).union(
+        loose.select("root", F.col("root").alias("c")).distinct())
+    weight = F.greatest(F.lit(1.0), F.col("n") * F.lit(SET_BLOCK / SET_ENTRIES))
+    members = members.join(classes.select("c", "n"), "c").withColumn("weight", weight)
+    groups = members.groupBy("grp").agg(F.ceil(F.sum("weight") / SET_BLOCK).alias("cells"),
+                                        F.min("c").alias("p"), F.max("c").alias("q"))
+    members = shared_table(members.join(groups, "grp"), "near-loose")
+    pivot = F.col("c").isin(F.col("p"), F.col("q"))
+    cell = F.explode(F.when(pivot, F.sequence(F.lit(0), F.col("cells") - 1)).otherwise(
+        F.array(F.pmod(F.xxhash64("c"), "cells"))))
+    placed = members.select("c", "n", "grp", cell.alias("r")).select(
+        F.xxhash64("grp", "r").alias("block"), "c", "n")
+    roots = connected(_each_block(
+        placed.join(_sets_of(members.select("c"), classes, docs), "c"),
+        exact_components, percent, "c", "n", "data"))
+    # In one cell, all have met.
+    wide = F.col("cells") > 1
+    apart = _with_comp(members.select("grp", "c", "weight", wide.alias("outer"),
+                                      F.lit(True).alias("inner")), roots)
+    sets = _sets_of(members.filter(wide).select("c"), classes, docs).join(
+        classes.select("c", "n"), "c")
+    more = _outsiders_against_all(apart, sets, SET_BLOCK, exact_pairs, percent)
+    if members.filter(wide).isEmpty():
+        return roots
+    return connected(roots.toDF("a", "b").union(more))
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs``: id, n_shingles, component_id, kept, KEY."""
+    arrow_batches(docs.sparkSession)
+    slim = docs.select(F.col(id_col).alias("__id"), row_key(id_col, text_col).alias(KEY),
+                       F.col(text_col).cast("string").alias("__text"))
+    kind = slim.schema["__id"].dataType.simpleString()
+    rows = shared_table(slim.mapInArrow(_classes, _SCHEMA.format(id=kind)), "near-rows")
+    classes = shared_table(
+        rows.filter("n > 0").groupBy("c").agg(
+            F.max("n").alias("n"), F.min("__id").alias("first_id"), F.min(KEY).alias("rep"),
+            F.first("tokens").alias("tokens"), F.first("brief").alias("brief")), "near-classes")
+
+    roots = _components(classes, slim, percent)
 
     owner = classes.join(roots, F.col("c") == F.col("u"), "left").select(
         "c", F.coalesce("root", "c").alias("root"), "first_id")
