@@ -4,6 +4,7 @@ import tempfile
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,6 +41,52 @@ def test_steps_within_a_block():
     assert got.loc[1, "last"] == 2 and got.loc[3, "last"] == 1
 
 
+def _chunks(rows):
+    return pd.concat([b.to_pandas() for b in S.pack_blocks(iter(rows.to_batches(max_chunksize=1000)))])
+
+
+def test_chunks_keep_rows_whole():
+    """Missing values beside NaN, longs beyond a double, several blocks in any order."""
+    n = 5000
+    seq = np.random.default_rng(2).permutation(n) * 10
+    rows = pa.table({"seq": seq, "_block": seq // S.BLOCK, "big": pa.array([None, 2**63 - 1] * (n // 2)),
+                     "t": pa.array([float("nan"), None, 1.5, -0.0] * (n // 4), from_pandas=False)})
+    packed = _chunks(rows)
+    assert sorted(packed["key"]) == sorted(set((seq // S.BLOCK).tolist()))
+    back = S.from_chunks(packed["rows"]).sort_by("seq")
+    assert str(back.to_pylist()) == str(rows.sort_by("seq").to_pylist())
+    assert pa.Table.from_batches(S.unpack([pa.RecordBatch.from_pandas(packed[["rows"]])], ["t", "big"])).num_rows == n
+
+
+def test_readings_reach_the_state_in_chunks():
+    """A block of 16,384 readings, some twice, is a few rows to Python: one for each bucket of
+    patients and one for the readings whose tier before is known."""
+    class Held:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    n, patients = S.BLOCK, 900
+    seq = np.append(np.arange(n), np.arange(0, n, 50))
+    rows = pa.table({"seq": seq, "patient_id": [f"p{i % patients}" for i in seq], "_block": np.zeros(len(seq), int),
+                     "_bucket": pa.array(seq % patients % S.BUCKETS, pa.int32()),
+                     "_rank": pa.array(seq // 1000 % 3, pa.int32())})
+    packed = _chunks(rows)
+    assert len(packed) == 1
+    arrivals = S.Arrivals(True, 1000)
+    arrivals.seen = Held()
+    out = pd.concat(arrivals.handleInputRows((0,), iter([packed]), None))
+    assert len(out) == S.BUCKETS + 1 and set(out["key"]) == {-1, *range(S.BUCKETS)}
+    steps = S.from_chunks(out["rows"]).sort_by("seq")
+    assert steps["seq"].to_pylist() == list(range(n))
+    assert steps["_prev"].to_pylist() == [-1 if i < patients else (i - patients) // 1000 % 3 for i in range(n)]
+    assert list(arrivals.handleInputRows((0,), iter([packed]), None)) == []   # all redelivered
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_runs_merge_in_any_order(seed):
     rng = np.random.default_rng(seed)

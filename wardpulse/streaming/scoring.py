@@ -103,14 +103,13 @@ def arriving(source: DataFrame, avsc: str | None) -> DataFrame:
 class ScoringSink:
     """``foreachBatch`` sink: all outputs of a micro-batch from one cached frame.
     Every folder is overwritten by batch id, so a replayed batch rewrites the same
-    files; topics are at-least-once like any producer.  ``schema`` is that of the
-    rows in ``payload``."""
+    files; topics are at-least-once like any producer."""
 
-    def __init__(self, out_dir: str, schema: T.StructType, brokers: str | None = None,
+    def __init__(self, out_dir: str, brokers: str | None = None,
                  time_mode: str = "event"):
         if time_mode not in ("event", "processing"):
             raise ValueError(time_mode)
-        self.schema, self.brokers, self.time_mode = schema, brokers, time_mode
+        self.brokers, self.time_mode = brokers, time_mode
         self.paths = {k: f"{out_dir}/{k}" for k in
                       ("lake", "alerts", "alert_frames", "rejects", "commits")}
 
@@ -120,15 +119,14 @@ class ScoringSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, at = batch.sparkSession, f"batch={batch_id}"
-        rows = batch.select("prev", F.from_json("payload", self.schema).alias("r")).select(
-            "prev", "r.*").persist()
+        rows = batch.persist()
         readings, rejects = FR.route(rows)
         scored = with_news2(readings.drop("status", "decode_error", "value", "split_status",
                                           "schema_id"))
         rank = tier_rank("news2_tier")
         alerts = with_emission(
-            scored.filter((F.col("prev") >= 0) & (F.col("prev") != rank))
-            .select("patient_id", "seq", "ts_ms", rank_label(F.col("prev")).alias("previous_tier"),
+            scored.filter((F.col("_prev") >= 0) & (F.col("_prev") != rank))
+            .select("patient_id", "seq", "ts_ms", rank_label(F.col("_prev")).alias("previous_tier"),
                     F.col("news2_tier").alias("new_tier"), "news2_score")).persist()
 
         H.write_table(H.to_scored_row(scored), f"{self.paths['lake']}/{at}", "overwrite")
@@ -184,7 +182,7 @@ def run_scoring(spark: SparkSession, source: DataFrame, out_dir: str,
     the call returns when the backlog is done."""
     prepare_streaming(spark)
     rows = arriving(source, avsc)
-    sink = ScoringSink(out_dir, rows.schema, brokers, time_mode)
+    sink = ScoringSink(out_dir, brokers, time_mode)
     w = (stepped(rows, dedup, retention_ms).writeStream.foreachBatch(sink).outputMode("append")
          .option("checkpointLocation", f"{out_dir}/_ck_scoring"))
     # Offsets expire with the next batch; a batch without data has nothing to do.

@@ -15,17 +15,19 @@ the keys it holds, whatever the population or the tables behind it:
 * ``Noticed``: tells when a silence was noticed.  The runs of readings that it follows
   are session windows, in the state store of Spark's own aggregate (see ``silence_stream``).
 
-Readings travel through the first two as one JSON column beside the few that the state
-needs, because pandas keeps neither NULL beside NaN nor whole longs beside NULL.
+Spark hands the rows of a key to Python one at a time, so readings travel through the first
+two in chunks: rows of one block, or of one bucket, in a binary cell in Arrow's stream
+format.  That also keeps what pandas does not: NULL beside NaN, whole longs beside NULL.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,14 +48,67 @@ RANK = T.StructType([T.StructField("rank", T.IntegerType())])
 #: Stands for a missing patient id, which is a patient of its own.
 NOBODY = "\0"
 
-#: ``rank``: the reading's tier, -1 for none; ``prev``: the tier before it, -1 while
-#: unknown; ``last``: the patient's last tier in the block; ``edge``: the patient's
-#: first reading with a tier in the block.
-STEPS = T.StructType([
-    T.StructField("block", T.LongType()), T.StructField("seq", T.LongType()),
-    T.StructField("patient_id", T.StringType()), T.StructField("rank", T.IntegerType()),
-    T.StructField("prev", T.IntegerType()), T.StructField("last", T.IntegerType()),
-    T.StructField("edge", T.BooleanType()), T.StructField("payload", T.StringType())])
+#: Rows of one block (``key``: the block on the way to ``Arrivals``; then a bucket, or
+#: below zero for rows that are done).
+CHUNK = T.StructType([
+    T.StructField("key", T.LongType()), T.StructField("block", T.LongType()),
+    T.StructField("rows", T.BinaryType())])
+#: Rows that a task gathers before it cuts them into chunks.
+CHUNK_BYTES = 1 << 25
+# Beside the reading a chunk holds its block and the bucket of its patient; ``_rank``: its
+# tier, -1 for none; ``_prev``: the tier before it, -1 while unknown; ``_last``: the
+# patient's last tier in the block.  An edge is a patient's first reading with a tier in
+# the block.
+
+
+def to_chunk(rows: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema) as stream:
+        stream.write_table(rows.combine_chunks())
+    return out.getvalue().to_pybytes()
+
+
+def from_chunks(chunks: Iterable[bytes]) -> pa.Table:
+    return pa.concat_tables(pa.ipc.open_stream(c).read_all() for c in chunks)
+
+
+def cut(rows: pa.Table, by: str) -> Iterator[tuple[int, bytes]]:
+    """A chunk of ``rows`` for each value of ``by``; rows keep their order."""
+    rows = rows.take(pa.compute.sort_indices(rows[by])).combine_chunks()
+    at = rows[by].to_numpy()
+    ends = np.append(np.flatnonzero(at[1:] != at[:-1]) + 1, len(at))
+    start = 0
+    for end in ends.tolist():
+        yield int(at[start]), to_chunk(rows.slice(start, end - start))
+        start = end
+
+
+def pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a task -> chunks by block."""
+    def packed(held):
+        chunks = list(cut(pa.Table.from_batches(held), "_block"))
+        blocks = pa.array([b for b, _ in chunks], pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [blocks, blocks, pa.array([c for _, c in chunks], pa.binary())], names=CHUNK.names)
+
+    held, size = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            size += b.nbytes
+        if size >= CHUNK_BYTES:
+            yield packed(held)
+            held, size = [], 0
+    if held:
+        yield packed(held)
+
+
+def unpack(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Chunks -> the named columns of their rows."""
+    for b in batches:
+        for chunk in b.column("rows"):
+            for rows in pa.ipc.open_stream(chunk.as_buffer()):
+                yield rows.select(names)
 
 
 def pack_offsets(seen: np.ndarray) -> bytes:
@@ -79,7 +134,7 @@ def step_block(rows: pd.DataFrame) -> pd.DataFrame:
     edge[tiered] = np.isnan(before)
     prev[tiered] = np.where(edge[tiered], -1, np.nan_to_num(before, nan=-1))
     last[tiered] = by_patient.transform("last").to_numpy()
-    return rows.assign(prev=prev, last=last, edge=edge)[STEPS.names]
+    return rows.assign(prev=prev, last=last, edge=edge)
 
 
 class Arrivals(StatefulProcessor):
@@ -92,7 +147,9 @@ class Arrivals(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues
                         ) -> Iterator[pd.DataFrame]:
-        block = pd.concat(list(rows), ignore_index=True)
+        rows = from_chunks(c for r in rows for c in r["rows"])
+        block = rows.select(["seq", "patient_id", "_rank"]).to_pandas().rename(columns={"_rank": "rank"})
+        block["at"] = np.arange(len(block))
         if self.dedup:
             block = block.drop_duplicates("seq", ignore_index=True)
             held = self.seen.get()
@@ -103,7 +160,17 @@ class Arrivals(StatefulProcessor):
                 return
             seen[at] = True
             self.seen.update((pack_offsets(seen),))
-        yield step_block(block)
+        block = step_block(block)
+        rows = rows.take(pa.array(block["at"]))
+        for name in ("prev", "last"):
+            rows = rows.append_column(f"_{name}", pa.array(block[name], pa.int32()))
+        edge = block["edge"].to_numpy()
+        # Rows of a block go through by the block, under keys of their own.
+        chunks = list(cut(rows.filter(pa.array(edge)), "_bucket")) if edge.any() else []
+        if not edge.all():
+            chunks.append((-1 - abs(int(key[0])), to_chunk(rows.filter(pa.array(~edge)))))
+        yield pd.DataFrame({"key": [k for k, _ in chunks], "block": int(key[0]),
+                            "rows": [c for _, c in chunks]})
 
     def close(self) -> None:
         pass
@@ -118,17 +185,19 @@ class LastTier(StatefulProcessor):
         if key[0] < 0:   # of a block: nothing to fill in
             yield from rows
             return
-        edges = pd.concat(list(rows), ignore_index=True).sort_values("block", ignore_index=True)
-        patients = edges["patient_id"].fillna(NOBODY)
-        by_patient = edges.groupby(patients, sort=False)["last"]
-        prev = by_patient.shift(1).fillna(-1).to_numpy(np.int32)
+        chunks = pd.concat(list(rows), ignore_index=True).sort_values("block", ignore_index=True)
+        edges = from_chunks(chunks["rows"])
+        patients = edges["patient_id"].to_pandas().fillna(NOBODY)
+        lasts = edges["_last"].to_pandas()
+        prev = lasts.groupby(patients, sort=False).shift(1).fillna(-1).to_numpy(np.int32)
         opening, closing = ~patients.duplicated(), ~patients.duplicated(keep="last")
         held = {p: self._tier(p) for p in patients[opening].tolist()}
         prev[opening.to_numpy()] = list(held.values())
-        for p, last in zip(patients[closing].tolist(), edges["last"][closing].tolist()):
+        for p, last in zip(patients[closing].tolist(), lasts[closing].tolist()):
             if held[p] != last:
                 self.tiers.updateValue((p,), (last,))
-        yield edges.assign(prev=prev)
+        edges = edges.set_column(edges.schema.get_field_index("_prev"), "_prev", pa.array(prev))
+        yield chunks[:1].assign(rows=[to_chunk(edges)])
 
     def _tier(self, patient: str) -> int:
         held = self.tiers.getValue((patient,))
@@ -139,21 +208,20 @@ class LastTier(StatefulProcessor):
 
 
 def stepped(readings: DataFrame, dedup: bool, retention_ms: int = RETENTION_MS) -> DataFrame:
-    """A stream of readings (decoded frames, good or not) -> ``seq``, ``prev``
-    (the rank of the patient's tier before, -1: none) and ``payload``, the row as JSON."""
+    """A stream of readings (decoded frames, good or not) -> the same with ``_prev``
+    (the rank of the patient's tier before, -1: none)."""
     good = F.col("status") == "ok"
     rank = F.when(good, F.coalesce(tier_rank("news2_tier"), F.lit(-1))).otherwise(F.lit(-1))
     rows = with_news2(readings).select(
-        F.floor(F.col("seq") / BLOCK).cast("long").alias("block"), "seq", "patient_id",
-        rank.alias("rank"), F.to_json(F.struct(*readings.columns)).alias("payload"))
-    blocks = rows.groupBy("block").transformWithStateInPandas(
-        Arrivals(dedup, retention_ms), STEPS, "Append", "ProcessingTime" if dedup else "None")
-    # Rows of a block go through by the block, under keys of their own.
-    key = F.when(F.col("edge"), F.pmod(F.xxhash64("patient_id"), F.lit(BUCKETS))).otherwise(
-        -1 - F.abs("block"))
-    return (blocks.withColumn("key", key.cast("long")).groupBy("key")
-            .transformWithStateInPandas(LastTier(), STEPS, "Append", "None")
-            .select("seq", "prev", "payload"))
+        *readings.columns, F.floor(F.col("seq") / BLOCK).cast("long").alias("_block"),
+        F.pmod(F.xxhash64("patient_id"), F.lit(BUCKETS)).cast("int").alias("_bucket"),
+        rank.alias("_rank"))
+    blocks = rows.mapInArrow(pack_blocks, CHUNK).groupBy("key").transformWithStateInPandas(
+        Arrivals(dedup, retention_ms), CHUNK, "Append", "ProcessingTime" if dedup else "None")
+    done = blocks.groupBy("key").transformWithStateInPandas(LastTier(), CHUNK, "Append", "None")
+    out = T.StructType([T.StructField(f.name, f.dataType) for f in readings.schema]
+                       + [T.StructField("_prev", T.IntegerType())])
+    return done.mapInArrow(lambda batches: unpack(batches, out.names), out)
 
 
 SILENCE = T.StructType([T.StructField("patient_id", T.StringType()),
