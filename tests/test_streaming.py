@@ -214,6 +214,33 @@ def test_join_reads_whole_ranges_of_many_files(spark, monkeypatch):
     assert expected.exceptAll(got.select("patient_id", "seq")).count() == 0
 
 
+def test_join_of_readings_whose_times_go_back(spark):
+    """Later arrivals of other patients begin again at the first time; the join still finds
+    the reading of every alert."""
+    from wardpulse.plans.q_streaming import stream_alerts_with_vitals
+    base = tempfile.mkdtemp(prefix="wp-back-")
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    copies = events.crossJoin(spark.range(3).withColumnRenamed("id", "i"))
+    (copies.withColumns({"event_id": F.col("event_id") + 1000 * F.col("i"),
+                         "user_id": F.col("user_id") + 10_000 * F.col("i")})
+     .drop("i").write.parquet(f"{base}/events.parquet"))
+    got = stream_alerts_with_vitals(spark, base).select("patient_id", "seq")
+    expected = tier_change_alerts(with_news2(raw_readings(spark, base))).select("patient_id", "seq")
+    assert got.count() == expected.count() > 3 * 150
+    assert expected.exceptAll(got).count() == 0
+
+
+def test_even_ranges_hold_as_many_rows(spark):
+    """One time far from the others leaves no range without files, so that a trigger reads
+    one range; the outlier is in the last."""
+    base = tempfile.mkdtemp(prefix="wp-even-")
+    rows = spark.range(400).select(F.col("id").alias("seq"), F.when(F.col("id") == 0, 10**9).otherwise(
+        F.col("id")).alias("at"))
+    assert write_replay(rows, f"{base}/replay", files_per_part=2, by=F.col("at"), even=True) == 2
+    files = spark.read.parquet(f"{base}/replay").groupBy(F.input_file_name()).count().collect()
+    assert len(files) == 8 and all(40 <= r["count"] <= 60 for r in files)
+
+
 def test_replay_rows_are_derived_once(spark):
     """Four ranges and their bounds come from one derivation of the rows."""
     seen = spark.sparkContext.accumulator(0)

@@ -293,10 +293,13 @@ FROM alerts a JOIN scored s ON a.patient_id = s.patient_id AND a.seq = s.seq""")
 def stream_alerts_with_vitals(spark, sf_dir):
     """J1 (stream): the alert topic joined to the scored topic with
     watermarks and an event-time bound; equals the batch J1."""
-    stream, base, fpt = _replayed(spark, sf_dir, "stream_j1")
+    stream, base, _ = _replayed(spark, sf_dir, "stream_j1")
     paths = run_scoring(spark, stream, f"{base}/out")
-    r = raw(spark, sf_dir)
-    readings = with_news2(file_readings(spark, f"{base}/replay", r.schema, fpt))
+    # Arrival order need not be that of time, but the join drops what comes behind its
+    # watermark: its readings are replayed by event time.
+    fpt = write_replay(spark.read.schema(stream.schema).parquet(f"{base}/replay"), f"{base}/by_time",
+                       by=F.col("ts_ms"), even=True)
+    readings = with_news2(file_readings(spark, f"{base}/by_time", stream.schema, fpt))
     alerts = spark.readStream.schema(ALERT).parquet(f"{paths['alerts']}/*/*")
     q = (alerts_with_vitals_stream(alerts, readings).writeStream.format("parquet")
          .option("checkpointLocation", f"{base}/_ck_j1").trigger(availableNow=True)

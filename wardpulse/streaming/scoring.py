@@ -39,20 +39,25 @@ MAX_OFFSETS, MAX_FILES = 20_000_000, 1_000
 
 def write_replay(rows: DataFrame, path: str, parts: int = REPLAY_PARTS,
                  files_per_part: int | None = None, order: tuple[int, ...] | None = None,
-                 by: Column | None = None) -> int:
+                 by: Column | None = None, even: bool = False) -> int:
     """Replay fixture: ``rows`` split into ``parts`` consecutive ranges of ``seq`` (or
     of ``by``), appended one after another (in ``order``), so each range's files are
     newer than those of the range before.  Each append writes ``files_per_part``
     files (from the number of rows unless given), so a stream that reads as
-    many per trigger sees whole ranges.  Returns the files per trigger."""
+    many per trigger sees whole ranges.  Ranges are equally wide, or hold about as many
+    rows when ``even``; then none is empty.  Returns the files per trigger."""
     by = F.col("seq") if by is None else by
     rows = rows.persist(StorageLevel.DISK_ONLY)   # derived once, not once for each range
     lo, hi, n = rows.agg(F.min(by), F.max(by), F.count(F.lit(1))).first()
     if not files_per_part:
         files_per_part = max(REPLAY_FILES, math.ceil(n / parts / ROWS_PER_FILE))
     step = math.ceil((hi - lo + 1) / parts)
-    for i in order or range(parts):
-        a, b = lo + i * step, lo + (i + 1) * step
+    bounds = [lo + i * step for i in range(parts + 1)]
+    if even:
+        cuts = rows.agg(F.percentile_approx(by, [i / parts for i in range(1, parts)])).first()[0]
+        bounds = [*sorted({lo, *cuts}), hi + 1]
+    for i in order or range(len(bounds) - 1):
+        a, b = bounds[i], bounds[i + 1]
         (rows.filter((by >= a) & (by < b))
          .repartition(files_per_part).write.mode("append").parquet(path))
     rows.unpersist()
